@@ -313,7 +313,7 @@ PAGE_DERIVATIONS = [
 
 
 def _page_features(pages: DataFrame, keep: list[str]) -> DataFrame:
-    return derive_and_project(pages, ["page_id", "url", "author", *keep], PAGE_DERIVATIONS)
+    return derive_and_project(pages, ["page_id", "url", "author"], PAGE_DERIVATIONS, keep)
 
 
 def q_features_job(spark, sf_dir):

@@ -42,18 +42,23 @@ LISTING_DERIVATIONS = [
 ]
 
 
-def derive_and_project(df: DataFrame, wanted: Iterable[str], derivations: Iterable[Derivation]) -> DataFrame:
-    """Wanted columns that exist, then the derived ones. The scan still reads only what these need."""
+def derive_and_project(
+    df: DataFrame, wanted: Iterable[str], derivations: Iterable[Derivation], keep: Sequence[str] = ()
+) -> DataFrame:
+    """Wanted columns that exist, then the derived ones, then `keep`.
+
+    Derivations see all columns of the input; the scan still reads only what is used.
+    """
     derived, new = derive_if_present(df, derivations)
-    kept = [name for name in match_columns(derived.columns, wanted) if name not in new]
-    if not kept:
+    found = [name for name in match_columns(derived.columns, wanted) if name not in new]
+    if not found:
         raise ValueError(f"none of the wanted columns is in the input: {df.columns}")
-    return select_wanted(derived, [*kept, *new])
+    return select_wanted(derived, [*found, *new, *keep])
 
 
 def listing_features(df: DataFrame, id_column: str | None = None, keep: Sequence[str] = ()) -> DataFrame:
     """Features of the listing feed before its category is encoded; `keep` are columns to carry along."""
-    return derive_and_project(df, [*contracts.wanted_columns(id_column), *keep], LISTING_DERIVATIONS)
+    return derive_and_project(df, contracts.wanted_columns(id_column), LISTING_DERIVATIONS, keep)
 
 
 def run_features(

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import csv
 import re
+from collections import Counter
 from collections.abc import Iterable, Sequence
 from functools import reduce
 from urllib.parse import unquote
@@ -13,6 +15,7 @@ from pyspark.sql import types as T
 
 from filefeatures.contracts import CSV_OPTIONS, SOURCE_FILE, TEXT_COLUMNS
 from filefeatures.functions.paths import source_file_name
+from filefeatures.operators.select import quoted
 from filefeatures.session import stage
 
 CORRUPT = "_corrupt_record"
@@ -119,6 +122,17 @@ def glob_literal(path: str) -> str:
     return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
 
 
+def header_names(line: str) -> list[str]:
+    """Column names of a header line, named as Spark does: `_c1` for a blank, `A0, A2` for repeats."""
+    if line.count('"') % 2:
+        raise ValueError(f"the header has a line break in a name: {line!r}")
+    raw = next(csv.reader([line.lstrip("\ufeff")]))
+    seen = Counter(name.lower() for name in raw)
+    return [
+        f"_c{i}" if not name else f"{name}{i}" if seen[name.lower()] > 1 else name for i, name in enumerate(raw)
+    ]
+
+
 def read_by_header(
     spark: SparkSession,
     paths: str | Sequence[str],
@@ -128,17 +142,34 @@ def read_by_header(
 ) -> DataFrame:
     """Files whose headers differ in order or in columns, aligned by column name; adds `source_file`.
 
-    One read per distinct header, not per file. All columns are text; a column that a file lacks is NULL.
-    The driver holds the file paths, as it does for any file scan, and never a data row.
+    One read per distinct header, not per file, and a plain folder read when there is only one. All
+    columns are text; a column that a file lacks is NULL. The driver holds the file paths, as it does for
+    any file scan, and never a data row.
     """
     files: dict[str, list[str]] = {}
     for row in file_headers(spark, paths, glob).toLocalIterator():
         files.setdefault(row.header, []).append(glob_literal(unquote(row.path)))
     if not files:
         raise FileNotFoundError(f"no file with a header in {paths}")
+    if len(files) == 1:
+        [header] = files
+        return _read_header_group(spark, paths, header, multiline, glob)
     groups = [
-        read_csv(spark, sorted(files[header]), multiline=multiline, glob=None, source_file=True)
-        for header in sorted(files)
+        _read_header_group(spark, sorted(files[header]), header, multiline, None) for header in sorted(files)
     ]
     aligned = reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), groups)
-    return aligned.select(*[c for c in aligned.columns if c != SOURCE_FILE], SOURCE_FILE)
+    return aligned.select(*[quoted(c) for c in aligned.columns if c != SOURCE_FILE], SOURCE_FILE)
+
+
+def _read_header_group(spark, paths, header: str, multiline: bool, glob: str | None) -> DataFrame:
+    names = header_names(header)
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
+    return read_csv(
+        spark,
+        paths,
+        schema=schema,
+        multiline=multiline,
+        glob=glob,
+        check_header=names == next(csv.reader([header])),
+        source_file=True,
+    )
