@@ -172,7 +172,7 @@ def q_csv_mixed_headers(spark, sf_dir):
     ]
     for segments, columns in variants:
         write_csv(customer.where(F.col("c_mktsegment").isin(segments)).select(columns), folder, mode="append")
-    rows = read_by_header(spark, folder, multiline=False)
+    rows = read_by_header(spark, folder)
     return rows.select([F.col(field.name).cast(field.dataType) for field in customer.schema])
 
 

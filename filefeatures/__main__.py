@@ -52,7 +52,7 @@ def main(argv: list[str] | None = None) -> None:
             "labels": load_labels(spark, args.labels) if args.labels else None,
             "per_file": args.per_file,
             "id_column": args.id_column,
-            "multiline": not args.one_line_rows,
+            "multiline": False if args.one_line_rows else None,
         }
     if args.job == "features":
         run_features(spark, args.folder, args.out, **options)

@@ -70,7 +70,7 @@ def run_features(
     per_file: bool = False,
     id_column: str | None = None,
     score: Callable[[DataFrame], DataFrame] | None = None,
-    multiline: bool = True,
+    multiline: bool | None = None,
     glob: str | None = "*.csv",
 ) -> DataFrame:
     """Read files, write `out/preprocessed`, `out/model-input` and, with a scorer, `out/predictions`.

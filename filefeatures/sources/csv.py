@@ -17,9 +17,13 @@ from filefeatures.contracts import CSV_OPTIONS, SOURCE_FILE, TEXT_COLUMNS
 from filefeatures.functions.paths import source_file_name
 from filefeatures.operators.select import quoted
 from filefeatures.session import stage
+from filefeatures.sources.spanning import odd_quotes, read_spanning
 
 CORRUPT = "_corrupt_record"
 
+# A file with line breaks inside quotes is read by one task up to this size.
+LARGE_BYTES = 256 * 1024 * 1024
+
 
 def _reader(spark: SparkSession, *, multiline: bool, glob: str | None = None, **options: object):
     reader = spark.read.options(**CSV_OPTIONS, multiLine=multiline, **options)
@@ -102,19 +106,31 @@ def read_checked(
     return split_checked(stage(rows))
 
 
-def file_headers(spark: SparkSession, paths: str | Sequence[str], glob: str | None = "*.csv") -> DataFrame:
-    """One row per file: its path as the file source encodes it, and its first line.
+def file_headers(
+    spark: SparkSession, paths: str | Sequence[str], glob: str | None = "*.csv", *, count_quotes: bool = True
+) -> DataFrame:
+    """One row per file: its path as the file source encodes it, first line, size, and `spans`.
 
-    Only rows of a file's first split are looked at, and one row per file is shuffled.
+    `spans` says whether a quoted value holds a line break, which only a look at every line can tell. The
+    text is split, lines are combined before the shuffle, and one row per file and task is shuffled.
     """
     reader = spark.read.option("pathGlobFilter", glob) if glob else spark.read
     lines = reader.text(paths).select(
         "value",
         F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_size").alias("bytes"),
         F.col("_metadata.file_block_start").alias("start"),
         F.monotonically_increasing_id().alias("position"),
     )
-    return lines.where("start = 0").groupBy("path").agg(F.min_by("value", "position").alias("header"))
+    spans = F.max(odd_quotes(F.col("value"))) == 1 if count_quotes else F.lit(False)
+    return (
+        (lines if count_quotes else lines.where("start = 0"))
+        .groupBy("path", "bytes")
+        .agg(
+            F.min_by("value", F.struct("start", "position")).alias("header"),
+            spans.alias("spans"),
+        )
+    )
 
 
 def glob_literal(path: str) -> str:
@@ -137,39 +153,47 @@ def read_by_header(
     spark: SparkSession,
     paths: str | Sequence[str],
     *,
-    multiline: bool = True,
+    multiline: bool | None = None,
     glob: str | None = "*.csv",
+    large_bytes: int = LARGE_BYTES,
 ) -> DataFrame:
     """Files whose headers differ in order or in columns, aligned by column name; adds `source_file`.
 
-    One read per distinct header, not per file, and a plain folder read when there is only one. All
-    columns are text; a column that a file lacks is NULL. The driver holds the file paths, as it does for
-    any file scan, and never a data row.
+    All columns are text; a column that a file lacks is NULL. Files are read in groups of one header, not
+    one by one, and a folder of one group is read as a folder. With `multiline=None` each file is looked
+    at: without a line break inside quotes it is read in splits; with one it is read whole, or, when it is
+    large, in splits that are put together. The driver holds file paths, as for any file scan, and no rows.
     """
-    files: dict[str, list[str]] = {}
-    for row in file_headers(spark, paths, glob).toLocalIterator():
-        files.setdefault(row.header, []).append(glob_literal(unquote(row.path)))
-    if not files:
+    found = stage(file_headers(spark, paths, glob, count_quotes=multiline is None))
+    spans = F.lit(multiline) if multiline is not None else F.col("spans")
+    large = F.lit(multiline is None) & spans & (F.col("bytes") > large_bytes)
+    files = found.select("path", "header", spans.alias("spans"), large.alias("large"))
+    kinds = files.drop("path").distinct().orderBy("header", "spans", "large").collect()
+    if not kinds:
         raise FileNotFoundError(f"no file with a header in {paths}")
-    if len(files) == 1:
-        [header] = files
-        return _read_header_group(spark, paths, header, multiline, glob)
-    groups = [
-        _read_header_group(spark, sorted(files[header]), header, multiline, None) for header in sorted(files)
-    ]
+    groups = []
+    for kind in kinds:
+        if len(kinds) > 1:
+            same = files.where((F.col("header") == kind.header) & (F.col("spans") == kind.spans))
+            same = same.where(F.col("large") == kind.large).select("path")
+            group, group_glob = sorted(glob_literal(unquote(row.path)) for row in same.toLocalIterator()), None
+        else:
+            group, group_glob = paths, glob
+        names = header_names(kind.header)
+        schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
+        if kind.large:
+            groups.append(read_spanning(spark, group, schema, group_glob))
+        else:
+            groups.append(
+                read_csv(
+                    spark,
+                    group,
+                    schema=schema,
+                    multiline=kind.spans,
+                    glob=group_glob,
+                    check_header=names == next(csv.reader([kind.header])),
+                    source_file=True,
+                )
+            )
     aligned = reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), groups)
     return aligned.select(*[quoted(c) for c in aligned.columns if c != SOURCE_FILE], SOURCE_FILE)
-
-
-def _read_header_group(spark, paths, header: str, multiline: bool, glob: str | None) -> DataFrame:
-    names = header_names(header)
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
-    return read_csv(
-        spark,
-        paths,
-        schema=schema,
-        multiline=multiline,
-        glob=glob,
-        check_header=names == next(csv.reader([header])),
-        source_file=True,
-    )

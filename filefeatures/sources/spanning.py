@@ -1,0 +1,89 @@
+"""Large CSV files whose quoted values hold line breaks, read in parallel.
+
+Spark's multi-line reader gives a whole file to one task. Here the lines are read in splits, and the
+number of quotes before a line tells whether the line continues a record: an odd number means that a
+quoted value is still open. Only lines of records with a line break are put together.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from filefeatures.contracts import CSV_OPTIONS, SOURCE_FILE
+from filefeatures.functions.paths import source_file_name
+
+
+def odd_quotes(line: Column) -> Column:
+    """1 when the line opens or closes a quoted value that spans lines, else 0."""
+    return (F.octet_length(line) - F.octet_length(F.replace(line, F.lit('"'), F.lit("")))) % 2
+
+
+def read_spanning(
+    spark: SparkSession, paths: str | Sequence[str], schema: T.StructType, glob: str | None = None
+) -> DataFrame:
+    """Rows of files with a header line, like a multi-line read with this schema, and `source_file`.
+
+    Lines end in LF, or in CR LF when the header does. The rows are shuffled once, by split, and a split
+    has a bounded size.
+    """
+    reader = spark.read.option("lineSep", "\n")
+    lines = (
+        (reader.option("pathGlobFilter", glob) if glob else reader)
+        .text(paths)
+        .select(
+            F.col("value").alias("line"),
+            source_file_name().alias(SOURCE_FILE),
+            F.col("_metadata.file_path").alias("path"),
+            F.col("_metadata.file_block_start").alias("split"),
+            F.monotonically_increasing_id().alias("position"),
+        )
+    )
+    in_split = Window.partitionBy("path", "split").orderBy("position")
+    earlier = in_split.rowsBetween(Window.unboundedPreceding, -1)
+    lines = lines.withColumn("odd", odd_quotes(F.col("line"))).withColumns(
+        {"before": F.coalesce(F.sum("odd").over(earlier), F.lit(0)), "number": F.row_number().over(in_split)}
+    )
+
+    # What the splits before this one leave open, and how the file ends its lines: one row per split.
+    in_file = Window.partitionBy("path")
+    earlier_splits = in_file.orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    splits = lines.groupBy("path", "split").agg(
+        F.sum("odd").alias("odds"), F.min_by(F.endswith("line", F.lit("\r")), "position").alias("returns")
+    )
+    splits = splits.select(
+        "path",
+        "split",
+        F.coalesce(F.sum("odds").over(earlier_splits), F.lit(0)).alias("carried"),
+        F.bool_or((F.col("split") == 0) & F.col("returns")).over(in_file).alias("returns"),
+    )
+    lines = lines.join(splits, ["path", "split"]).withColumns(
+        {
+            "open": (F.col("before") + F.col("carried")) % 2 == 1,
+            "line": F.when(F.col("returns"), F.regexp_replace("line", r"\r\z", "")).otherwise(F.col("line")),
+        }
+    )
+    lines = lines.where("NOT (split = 0 AND number = 1)")
+
+    whole = lines.where("NOT open AND odd = 0").where(F.col("line").rlike(r"\S"))
+    spanning = lines.where("open OR odd = 1")
+    # Lines of spanning records alternate: a record starts at each line that is not open. A rank over the
+    # file's start lines would need one task per file, so starts are counted per split and added up.
+    starts = F.sum(F.when(~F.col("open"), 1).otherwise(0))
+    spanning = spanning.withColumn("started", starts.over(in_split))
+    started_before = spanning.groupBy("path", "split").agg(F.max("started").alias("starts"))
+    started_before = started_before.select(
+        "path", "split", F.coalesce(F.sum("starts").over(earlier_splits), F.lit(0)).alias("starts_before")
+    )
+    records = (
+        spanning.join(started_before, ["path", "split"])
+        .groupBy("path", SOURCE_FILE, (F.col("started") + F.col("starts_before")).alias("record"))
+        .agg(F.array_sort(F.collect_list(F.struct("split", "position", "line"))).alias("parts"))
+        .select(F.array_join("parts.line", "\n").alias("line"), SOURCE_FILE)
+    )
+    texts = whole.select("line", SOURCE_FILE).unionByName(records)
+    parsed = F.from_csv("line", F.lit(schema.toDDL()), CSV_OPTIONS)
+    return texts.select(parsed.alias("row"), SOURCE_FILE).select("row.*", SOURCE_FILE)

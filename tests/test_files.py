@@ -1,4 +1,5 @@
 import csv
+import random
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -62,7 +63,7 @@ def test_header_of_a_file_with_several_splits(spark, tmp_path):
     put(tmp_path, "b.csv", "B,A", *[f"b,{i}" for i in range(5000)])
     spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
     try:
-        rows = read_by_header(spark, str(tmp_path), multiline=False)
+        rows = read_by_header(spark, str(tmp_path))
         assert rows.rdd.getNumPartitions() > 5
         assert rows.groupBy("B").count().collect() == [("b", 10000)]
         assert rows.agg(F.sum(F.col("A").cast("int"))).first()[0] == 2 * sum(range(5000))
@@ -70,6 +71,38 @@ def test_header_of_a_file_with_several_splits(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+def random_csv(seed, rows=300):
+    pick = random.Random(seed)
+    values = ["", "a", 'say ""hi""', "x,y", "two\nlines", "\n", '""', "é\r\nü", "  b ", '\n""\n', "'"]
+
+    def value():
+        text = pick.choice(values)
+        return f'"{text}"' if pick.random() < 0.3 or any(c in text for c in ',\n"') else text
+
+    return "A,B b,C\n" + "".join(
+        f"{n},{value()},{value()}\n" + ("\n" if pick.random() < 0.02 else "") for n in range(rows)
+    )
+
+
+@pytest.mark.parametrize("split_bytes", ["64", "700", "134217728"])
+def test_large_files_with_line_breaks_are_read_in_splits(spark, tmp_path, split_bytes):
+    for seed in range(4):
+        (tmp_path / f"f{seed}.csv").write_bytes(random_csv(seed).encode())
+    (tmp_path / "windows.csv").write_bytes(random_csv(9).replace("\r\n", "\n").replace("\n", "\r\n").encode())
+    expected = read_csv(spark, str(tmp_path), schema="A string, `B b` string, C string", source_file=True)
+    expected = sorted(map(tuple, expected.collect()), key=str)
+    assert len(expected) == 1500
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split_bytes)
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        for large_bytes in (0, 10**9):
+            rows = read_by_header(spark, str(tmp_path), large_bytes=large_bytes)
+            assert sorted(map(tuple, rows.collect()), key=str) == expected
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 def test_a_wrong_header_is_an_error(spark, tmp_path):
     put(tmp_path, "a.csv", "A,B", "1,2")
     put(tmp_path, "b.csv", "B,A", "2,1")
