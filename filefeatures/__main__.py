@@ -9,7 +9,7 @@ from filefeatures.operators.labels import load_labels
 from filefeatures.operators.scoring import score_constant
 from filefeatures.plans.features import features_handler, run_features
 from filefeatures.plans.importer import run_import
-from filefeatures.session import build_session
+from filefeatures.session import build_session, scratch_scope
 from filefeatures.streaming.arrivals import FILES_PER_BATCH, watch_files
 from filefeatures.streaming.rows import append_csv, read_csv_stream
 
@@ -55,7 +55,8 @@ def main(argv: list[str] | None = None) -> None:
             "multiline": False if args.one_line_rows else None,
         }
     if args.job == "features":
-        run_features(spark, args.folder, args.out, **options)
+        with scratch_scope(spark):
+            run_features(spark, args.folder, args.out, **options)
     elif args.job == "watch":
         watch_files(
             spark,

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from filefeatures.operators.lookup import HOT_MIN_ROWS, HOT_SHARE, hot_keys, key_part, lookup
 from filefeatures.operators.select import quoted
-from filefeatures.session import scratch_folder
+from filefeatures.session import stage
 
 # Distinct labels up to this number are ranked by one window; more are ranked range by range.
 ONE_WINDOW_LABELS = 1_000_000
@@ -58,15 +58,13 @@ def fit_labels(
     The input is read once: its label counts (pre-aggregated before the shuffle) are written to the
     shared scratch folder, and everything after that works on one row per distinct label.
     """
-    spark = df.sparkSession
-    counts = df.groupBy(*groups, F.col(quoted(column)).cast("string").alias("label")).agg(
-        F.count(F.lit(1)).alias("rows")
-    )
-    folder = scratch_folder(spark, "labels")
-    counts.write.parquet(folder + "/counts")
-    size = _measured(spark.read.parquet(folder + "/counts"), groups)
-    rank = _rank_in_one_window if size.table_rows <= one_window_labels else _rank_by_ranges
-    table = rank(size.table, groups, folder, one_window_labels)
+    label = F.col(quoted(column)).cast("string").alias("label")
+    counts = df.groupBy(*groups, label).agg(F.count(F.lit(1)).alias("rows"))
+    size = _measured(stage(counts, "labels"), groups)
+    if size.table_rows <= one_window_labels:
+        table = _rank_in_one_window(size.table, groups)
+    else:
+        table = _rank_by_ranges(size.table, groups, -(-size.table_rows // one_window_labels))
     return LabelModel(table, size.groups, size.table_rows, size.labels, size.fact_rows)
 
 
@@ -74,7 +72,7 @@ def _falling_frequency() -> list[Column]:
     return [F.col("label").isNull(), F.col("rows").desc(), F.col("label")]
 
 
-def _rank_in_one_window(counts: DataFrame, groups: Sequence[str], folder: str, limit: int) -> DataFrame:
+def _rank_in_one_window(counts: DataFrame, groups: Sequence[str]) -> DataFrame:
     group = Window.partitionBy(*groups)
     position = F.row_number().over(group.orderBy(*_falling_frequency())) - 1
     return counts.select(
@@ -86,19 +84,16 @@ def _rank_in_one_window(counts: DataFrame, groups: Sequence[str], folder: str, l
     )
 
 
-def _rank_by_ranges(counts: DataFrame, groups: Sequence[str], folder: str, limit: int) -> DataFrame:
-    """Sort into ranges of about `limit` labels, rank inside each range, add what the ranges before hold.
+def _rank_by_ranges(counts: DataFrame, groups: Sequence[str], ranges: int) -> DataFrame:
+    """Sort into ranges of labels, rank inside each range, add what the ranges before hold.
 
     The ranges are written with their number before it is used: range bounds come from a sample and
     could differ if they were computed twice.
     """
-    spark = counts.sparkSession
-    ranges = -(-counts.count() // limit)
     order = [*groups, *_falling_frequency()]
-    counts.repartitionByRange(ranges, *order).withColumn("part", F.spark_partition_id()).write.parquet(
-        folder + "/ranges"
+    ranged = stage(
+        counts.repartitionByRange(ranges, *order).withColumn("part", F.spark_partition_id()), "label-ranges"
     )
-    ranged = spark.read.parquet(folder + "/ranges")
     group_keys = [f"_g{i}" for i in range(len(groups))]
     ranged = ranged.withColumns({key: key_part(F.col(name)) for key, name in zip(group_keys, groups)})
 
@@ -115,14 +110,9 @@ def _rank_by_ranges(counts: DataFrame, groups: Sequence[str], folder: str, limit
     )
     inside = Window.partitionBy(*group_keys, "part").orderBy(*_falling_frequency())
     position = F.col("_before") + F.col("_position") - 1
-    ranged.withColumn("_position", F.row_number().over(inside)).join(spans, [*group_keys, "part"]).select(
-        *groups,
-        "label",
-        F.when(F.col("label").isNotNull(), position.cast("int")).alias("idx"),
-        "n",
-        "rows",
-    ).write.parquet(folder + "/labels")
-    return spark.read.parquet(folder + "/labels")
+    ranked = ranged.withColumn("_position", F.row_number().over(inside)).join(spans, [*group_keys, "part"])
+    index = F.when(F.col("label").isNotNull(), position.cast("int")).alias("idx")
+    return stage(ranked.select(*groups, "label", index, "n", "rows"), "ranked-labels")
 
 
 def one_hot_text(n: Column, idx: Column) -> Column:

@@ -13,7 +13,7 @@ from filefeatures.functions.text import keyword_flags, labelled_number, marker_c
 from filefeatures.operators.labels import BROADCAST_LABELS, LabelModel, encode, fit_labels, with_label_index
 from filefeatures.operators.scoring import as_numbers, score_model, train_linear
 from filefeatures.operators.select import Derivation, derive_if_present, match_columns, select_wanted
-from filefeatures.session import stage
+from filefeatures.session import scratch_scope, stage
 from filefeatures.sinks.csv import dump_features, write_by_source, write_model_input
 from filefeatures.sources.csv import glob_literal, read_by_header
 
@@ -97,6 +97,8 @@ def run_features(
         clustered = model.table_rows <= BROADCAST_LABELS
     last = [c for c in features.columns if c != contracts.SOURCE_FILE] + [contracts.SOURCE_FILE]
     features = select_wanted(features, last)
+    if not clustered:
+        features = stage(features)
 
     dump_features(features, f"{out}/preprocessed", clustered=clustered)
     write_model_input(features, f"{out}/model-input", clustered=clustered)
@@ -109,7 +111,8 @@ def features_handler(spark: SparkSession, out: str, **options: object) -> Callab
     """`run_features` as a handler for `watch_files`; a repeated batch replaces what it wrote before."""
 
     def handle(paths: Sequence[str], batch_id: int) -> None:
-        run_features(spark, [glob_literal(path) for path in paths], out, glob=None, **options)
+        with scratch_scope(spark):
+            run_features(spark, [glob_literal(path) for path in paths], out, glob=None, **options)
 
     return handle
 

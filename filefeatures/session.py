@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,15 +37,37 @@ def scratch_folder(spark: SparkSession, purpose: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.gettempdir()
-    return f"{root.rstrip('/')}/filefeatures-{purpose}-{uuid.uuid4()}"
+    folder = f"{root.rstrip('/')}/filefeatures-{purpose}-{uuid.uuid4()}"
+    made = _folders_in_scope.get()
+    if made is not None:
+        made.append(folder)
+    return folder
 
 
-def stage(df: DataFrame) -> DataFrame:
+_folders_in_scope: ContextVar[list[str] | None] = ContextVar("folders_in_scope", default=None)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete the scratch folders made inside when it ends; DataFrames that read them end with it."""
+    made: list[str] = []
+    token = _folders_in_scope.set(made)
+    try:
+        yield
+    finally:
+        _folders_in_scope.reset(token)
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+        for folder in made:
+            path = hadoop.Path(folder)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def stage(df: DataFrame, purpose: str = "staged") -> DataFrame:
     """Write the rows once to the shared scratch folder and go on from there.
 
     For a plan that several later jobs need: they read the narrow result, not the raw text again, and a
     lost executor costs no more than its own part.
     """
-    folder = scratch_folder(df.sparkSession, "staged")
+    folder = scratch_folder(df.sparkSession, purpose)
     df.write.parquet(folder)
-    return df.sparkSession.read.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from filefeatures.contracts import CSV_OPTIONS, SOURCE_FILE
-from filefeatures.functions.paths import source_file_name
+from filefeatures.functions.paths import decoded
+from filefeatures.functions.text import last_path_segment
+from filefeatures.session import stage
 
 
 def odd_quotes(line: Column) -> Column:
@@ -36,21 +38,17 @@ def read_spanning(
         .text(paths)
         .select(
             F.col("value").alias("line"),
-            source_file_name().alias(SOURCE_FILE),
+            odd_quotes(F.col("value")).alias("odd"),
             F.col("_metadata.file_path").alias("path"),
             F.col("_metadata.file_block_start").alias("split"),
             F.monotonically_increasing_id().alias("position"),
         )
     )
     in_split = Window.partitionBy("path", "split").orderBy("position")
-    earlier = in_split.rowsBetween(Window.unboundedPreceding, -1)
-    lines = lines.withColumn("odd", odd_quotes(F.col("line"))).withColumns(
-        {"before": F.coalesce(F.sum("odd").over(earlier), F.lit(0)), "number": F.row_number().over(in_split)}
-    )
-
-    # What the splits before this one leave open, and how the file ends its lines: one row per split.
     in_file = Window.partitionBy("path")
     earlier_splits = in_file.orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+
+    # What the splits before this one leave open, and how the file ends its lines: one row per split.
     splits = lines.groupBy("path", "split").agg(
         F.sum("odd").alias("odds"), F.min_by(F.endswith("line", F.lit("\r")), "position").alias("returns")
     )
@@ -60,30 +58,38 @@ def read_spanning(
         F.coalesce(F.sum("odds").over(earlier_splits), F.lit(0)).alias("carried"),
         F.bool_or((F.col("split") == 0) & F.col("returns")).over(in_file).alias("returns"),
     )
-    lines = lines.join(splits, ["path", "split"]).withColumns(
-        {
-            "open": (F.col("before") + F.col("carried")) % 2 == 1,
-            "line": F.when(F.col("returns"), F.regexp_replace("line", r"\r\z", "")).otherwise(F.col("line")),
-        }
+    before = F.sum("odd").over(in_split) - F.col("odd")
+    lines = (
+        lines.withColumns({"before": before, "number": F.row_number().over(in_split)})
+        .join(splits, ["path", "split"])
+        .where("NOT (split = 0 AND number = 1)")
+        .select(
+            "path",
+            "split",
+            "position",
+            F.when(F.col("returns"), F.regexp_replace("line", r"\r\z", "")).otherwise(F.col("line")).alias("line"),
+            "odd",
+            ((F.col("before") + F.col("carried")) % 2 == 1).alias("open"),
+        )
     )
-    lines = lines.where("NOT (split = 0 AND number = 1)")
+    lines = stage(lines, "lines")
+    whole = lines.where("NOT open AND odd = 0").where(F.col("line").rlike(r"\S")).select("path", "line")
 
-    whole = lines.where("NOT open AND odd = 0").where(F.col("line").rlike(r"\S"))
+    # A record with line breaks starts at a line that is not open. Its number in the file is its number
+    # in the split plus those of the splits before.
     spanning = lines.where("open OR odd = 1")
-    # Lines of spanning records alternate: a record starts at each line that is not open. A rank over the
-    # file's start lines would need one task per file, so starts are counted per split and added up.
-    starts = F.sum(F.when(~F.col("open"), 1).otherwise(0))
-    spanning = spanning.withColumn("started", starts.over(in_split))
-    started_before = spanning.groupBy("path", "split").agg(F.max("started").alias("starts"))
-    started_before = started_before.select(
+    started = F.sum(F.when(F.col("open"), 0).otherwise(1))
+    starts = spanning.groupBy("path", "split").agg(started.alias("starts"))
+    starts = starts.select(
         "path", "split", F.coalesce(F.sum("starts").over(earlier_splits), F.lit(0)).alias("starts_before")
     )
     records = (
-        spanning.join(started_before, ["path", "split"])
-        .groupBy("path", SOURCE_FILE, (F.col("started") + F.col("starts_before")).alias("record"))
+        spanning.withColumn("started", started.over(in_split))
+        .join(starts, ["path", "split"])
+        .groupBy("path", (F.col("started") + F.col("starts_before")).alias("record"))
         .agg(F.array_sort(F.collect_list(F.struct("split", "position", "line"))).alias("parts"))
-        .select(F.array_join("parts.line", "\n").alias("line"), SOURCE_FILE)
+        .select("path", F.array_join("parts.line", "\n").alias("line"))
     )
-    texts = whole.select("line", SOURCE_FILE).unionByName(records)
-    parsed = F.from_csv("line", F.lit(schema.toDDL()), CSV_OPTIONS)
-    return texts.select(parsed.alias("row"), SOURCE_FILE).select("row.*", SOURCE_FILE)
+    parsed = F.from_csv("line", F.lit(schema.toDDL()), CSV_OPTIONS).alias("row")
+    source_file = decoded(last_path_segment(F.col("path"))).alias(SOURCE_FILE)
+    return whole.unionByName(records).select(parsed, source_file).select("row.*", SOURCE_FILE)

@@ -1,5 +1,7 @@
 import csv
 import random
+from pathlib import Path
+from urllib.parse import urlparse
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -10,6 +12,7 @@ from filefeatures.__main__ import main, parse
 from filefeatures.operators.labels import fit_labels
 from filefeatures.operators.scoring import score_constant
 from filefeatures.plans.features import features_handler, run_features
+from filefeatures.session import scratch_scope, stage
 from filefeatures.sinks import csv as sink
 from filefeatures.sources.csv import header_names, read_by_header, read_checked, read_csv, read_inferred
 from filefeatures.sources.listing import list_files, route_files
@@ -296,3 +299,14 @@ def test_command_line(spark, tmp_path):
         main(["import", str(tmp_path / "in"), str(tmp_path / "imported")])
     args = parse(["watch", "hdfs://host/data", "out", "--checkpoint", "c", "--max-files", "5"])
     assert (args.job, args.max_files) == ("watch", 5)
+
+
+def test_scratch_is_removed_with_its_scope(spark):
+    with scratch_scope(spark):
+        staged = stage(spark.range(5))
+        assert staged.count() == 5
+        [file, *_] = staged.inputFiles()
+        folder = Path(urlparse(file).path).parent
+        assert folder.exists()
+    kept = Path(urlparse(stage(spark.range(5)).inputFiles()[0]).path)
+    assert kept.exists() and not folder.exists()
