@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from filefeatures.operators.lookup import HOT_MIN_ROWS, HOT_SHARE, hot_keys, key_part, lookup
+from filefeatures.operators.lookup import HOT_MIN_ROWS, HOT_SHARE, hot_keys, hot_part, key_part, lookup
 from filefeatures.operators.select import quoted
 from filefeatures.session import stage
 
@@ -157,9 +157,10 @@ def with_label_index(
         joined = fact.join(F.broadcast(dim.drop("_rows")), keys, "left")
     else:
         if fitted_here:
-            hot = dim.where(F.col("_rows") >= model.fact_rows * hot_share).select(*keys)
+            hot = dim.where(F.col("_rows") >= model.fact_rows * hot_share)
         else:
-            hot = hot_keys(fact, keys, min_rows=hot_min_rows, share=hot_share)
+            keyed = hot_keys(fact, keys, min_rows=hot_min_rows, share=hot_share)
+            hot = hot_part(dim, keyed, keys) if keyed is not None else None
         joined = lookup(fact, dim.drop("_rows"), keys, hot)
     joined = joined.drop(*keys)
     if not model.groups:

@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from filefeatures.session import stage
+
 HOT_SHARE = 1 / 10_000
 HOT_MIN_ROWS = 1_000_000
 KEY_BYTES = 64
@@ -26,23 +28,33 @@ def key_part(value: Column) -> Column:
     )
 
 
-def hot_keys(fact: DataFrame, keys: Sequence[str], *, min_rows: int = HOT_MIN_ROWS, share: float = HOT_SHARE):
+def hot_keys(
+    fact: DataFrame, keys: Sequence[str], *, min_rows: int = HOT_MIN_ROWS, share: float = HOT_SHARE
+) -> DataFrame | None:
     """The keys that hold at least `share` of the rows and at least `min_rows`; None when there are none."""
     counts = fact.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    large = counts.where(F.col("_rows") >= min_rows).persist()
+    large = stage(counts.where(F.col("_rows") >= min_rows), "hot-keys")
     if large.isEmpty():
-        large.unpersist()
         return None
     floor = max(min_rows, fact.count() * share)
     return large.where(F.col("_rows") >= floor).select(*keys)
 
 
+def hot_part(dim: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per hot key: its row of `dim`, or NULLs."""
+    found = dim.join(F.broadcast(hot), list(keys), "left_semi")
+    return hot.join(F.broadcast(found), list(keys), "left")
+
+
 def lookup(fact: DataFrame, dim: DataFrame, keys: Sequence[str], hot: DataFrame | None) -> DataFrame:
-    """`fact LEFT JOIN dim` on non-NULL keys that are unique in `dim`; `hot` are the keys to broadcast."""
+    """`fact LEFT JOIN dim` on non-NULL keys that are unique in `dim`.
+
+    `hot` holds the keys to answer from a broadcast, with their columns of `dim`.
+    """
     keys = list(keys)
     if hot is None:
         return fact.join(dim, keys, "left")
-    hot = F.broadcast(hot.select(*keys))
-    hot_rows = fact.join(hot, keys, "left_semi").join(F.broadcast(dim.join(hot, keys, "left_semi")), keys, "left")
-    cold_rows = fact.join(hot, keys, "left_anti").join(dim.join(hot, keys, "left_anti"), keys, "left")
+    hot = F.broadcast(stage(hot.select(dim.columns), "hot-rows"))
+    hot_rows = fact.join(hot, keys)
+    cold_rows = fact.join(hot.select(*keys), keys, "left_anti").join(dim, keys, "left")
     return hot_rows.unionByName(cold_rows)

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from filefeatures.contracts import CSV_OPTIONS, SOURCE_FILE
 from filefeatures.functions.paths import source_file_name
-from filefeatures.operators.lookup import HOT_MIN_ROWS, hot_keys, lookup
+from filefeatures.operators.lookup import HOT_MIN_ROWS, hot_keys, hot_part, lookup
 from filefeatures.sources.csv import CHECK_OPTIONS, marked_schema, split_checked
 
 POLL = {"processingTime": "5 seconds"}
@@ -123,6 +123,7 @@ def append_lookup(
         keyless = " OR ".join(f"`{key}` IS NULL" for key in keys)
         keyed = rows.where(f"NOT ({keyless})")
         hot = hot_keys(keyed, keys, min_rows=hot_min_rows)
+        hot = hot_part(static, hot, keys) if hot is not None else None
         joined = lookup(keyed, static, keys, hot).unionByName(rows.where(keyless), allowMissingColumns=True)
         _write_batch(joined, batch_id, path)
         rows.unpersist()

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from filefeatures.operators.delivery import reconcile
 from filefeatures.operators.labels import encode, fit_and_encode, fit_labels, load_labels
-from filefeatures.operators.lookup import hot_keys, key_part, lookup
+from filefeatures.operators.lookup import hot_keys, hot_part, key_part, lookup
 from filefeatures.operators.scoring import score_constant, score_linear
 from filefeatures.operators.select import derive_if_present, match_columns, select_strict, select_wanted
 from filefeatures.plans.features import LISTING_DERIVATIONS, listing_features, score_target, train_on_target
@@ -126,7 +126,8 @@ def test_hot_keys(spark):
     assert {r.k for r in hot_keys(keyed, ["k"], min_rows=500).collect()} == {"n", "vhot"}
     assert hot_keys(keyed, ["k"]) is None
     dim = keyed.distinct().withColumn("x", F.length("k"))
-    plain, split = lookup(keyed, dim, ["k"], None), lookup(keyed, dim, ["k"], hot_keys(keyed, ["k"], min_rows=500))
+    hot = hot_part(dim, hot_keys(keyed, ["k"], min_rows=500), ["k"])
+    plain, split = lookup(keyed, dim, ["k"], None), lookup(keyed, dim, ["k"], hot)
     assert plain.exceptAll(split).count() == split.exceptAll(plain).count() == 0
 
 
