@@ -6,17 +6,27 @@ operator reads, into a new scratch folder per call.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
 from filefeatures import contracts
 from filefeatures.functions.paths import file_route
 from filefeatures.functions.text import keyword_flags, labelled_number, last_path_segment, marker_count
 from filefeatures.operators.delivery import join_predictions, reconcile
-from filefeatures.operators.labels import encode, fit_and_encode, fit_labels
+from filefeatures.operators.labels import (
+    encode,
+    fit_and_encode,
+    fit_labels,
+    register_one_hot_text,
+    with_label_index,
+)
 from filefeatures.operators.scoring import score_constant, score_linear, train_linear
 from filefeatures.operators.select import (
     Derivation,
@@ -25,6 +35,7 @@ from filefeatures.operators.select import (
     select_strict,
     select_wanted,
 )
+from filefeatures.plans.delivery import deliver_predictions
 from filefeatures.plans.features import derive_and_project, run_features
 from filefeatures.plans.importer import run_import
 from filefeatures.session import scratch_folder, stage
@@ -147,6 +158,15 @@ def q_encode_many_labels(spark, sf_dir):
     return fit_and_encode(orders, "o_custkey", "customer_vector")
 
 
+def q_one_hot_named_function(spark, sf_dir):
+    """The text form called by the name it is registered under."""
+    register_one_hot_text(spark)
+    part = _table(spark, sf_dir, "part").select("p_partkey", "p_type")
+    indexed = with_label_index(part, fit_labels(part, "p_type"), "p_type", fitted_here=True)
+    vector = F.call_function("one_hot_text", F.col("_n"), F.col("_idx"))
+    return indexed.select("p_partkey", "p_type", vector.alias("type_vector"))
+
+
 # CSV in and out ------------------------------------------------------------------------------------
 
 
@@ -288,6 +308,17 @@ def q_predictions_join(spark, sf_dir):
     return join_predictions(documents, predictions, ["doc_id"])
 
 
+def q_predictions_delivery(spark, sf_dir):
+    """Predictions for the labelled documents, written to one folder per source and read back."""
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
+    labels = _table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("prediction"))
+    predictions = labels.join(documents.select("source", "doc_id"), "doc_id")
+    out = scratch_folder(spark, "out")
+    delivered = deliver_predictions(documents, predictions, ["source", "doc_id"], out, by="source")
+    rows = read_csv(spark, out, schema="doc_id long, lang string, n_chars long, prediction int, source string")
+    return rows.select(delivered.columns)
+
+
 def q_in_out_reconcile(spark, sf_dir):
     def names(table: str) -> DataFrame:
         return _table(spark, sf_dir, table).select(F.format_string("doc-%d.csv", "doc_id").alias("file_name"))
@@ -459,6 +490,8 @@ def oracle_sql() -> dict[str, str]:
         "frequency_index": f"WITH {_ranked_sql('part', 'p_brand')} SELECT label, idx, n_rows AS rows FROM ranked",
         "one_hot_string": f"""WITH {_ranked_sql('part', 'p_brand')}
             SELECT p_partkey, p_brand, {VECTOR_SQL} AS brand_vector FROM part LEFT JOIN ranked ON p_brand = label""",
+        "one_hot_named_function": f"""WITH {_ranked_sql('part', 'p_type')}
+            SELECT p_partkey, p_type, {VECTOR_SQL} AS type_vector FROM part LEFT JOIN ranked ON p_type = label""",
         "one_hot_null_keep": f"""
             WITH typed AS (SELECT event_id, nullif(event_type, 'error') AS event_type FROM events),
                  {_ranked_sql('typed', 'event_type')}
@@ -512,6 +545,8 @@ def oracle_sql() -> dict[str, str]:
             FROM lineitem""",
         "predictions_join": """SELECT doc_id, lang, source, n_chars, quality AS prediction
             FROM documents LEFT JOIN labels USING (doc_id)""",
+        "predictions_delivery": """SELECT doc_id, lang, source, n_chars, quality AS prediction
+            FROM documents LEFT JOIN labels USING (doc_id)""",
         "in_out_reconcile": """
             SELECT concat('doc-', coalesce(d.doc_id, l.doc_id), '.csv') AS file_name,
                    CASE WHEN l.doc_id IS NULL THEN 'MISSING' WHEN d.doc_id IS NULL THEN 'STRAY' ELSE 'DONE' END AS state

@@ -125,6 +125,15 @@ def one_hot_text(n: Column, idx: Column) -> Column:
     )
 
 
+def register_one_hot_text(spark: SparkSession, name: str = "one_hot_text") -> None:
+    """Make the text form callable by name, in SQL and with `call_function`; it is inlined into the plan."""
+    spark.sql(
+        f"""CREATE OR REPLACE TEMPORARY FUNCTION {quoted(name)}(n BIGINT, idx INT) RETURNS STRING
+        RETURN concat_ws('|', CAST(n AS STRING), coalesce(CAST(idx AS STRING), 'null'),
+                         CASE WHEN idx IS NOT NULL THEN '1.0' ELSE 'null' END)"""
+    )
+
+
 def with_label_index(
     df: DataFrame,
     model: LabelModel,

@@ -2,13 +2,16 @@
 
 Spark's multi-line reader gives a whole file to one task. Here the lines are read in splits, and the
 number of quotes before a line tells whether the line continues a record: an odd number means that a
-quoted value is still open. Only lines of records with a line break are put together.
+quoted value is still open. Only the lines of records with a line break are shuffled and put together.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,13 +27,41 @@ def odd_quotes(line: Column) -> Column:
     return (F.octet_length(line) - F.octet_length(F.replace(line, F.lit('"'), F.lit("")))) % 2
 
 
+def _line_counter():
+    """A function over Arrow batches of lines in file order: adds `number` and `before`, the line's number
+    in its split and the odd lines before it there. It is made here so that it travels to the tasks by value.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, lines, odds = None, 0, 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            path, split = batch.column("path"), batch.column("split")
+            odd = batch.column("odd").to_numpy()
+            changes = pc.or_(pc.not_equal(path[1:], path[:-1]), pc.not_equal(split[1:], split[:-1]))
+            bounds = [0, *(np.flatnonzero(changes.to_numpy(zero_copy_only=False)) + 1), batch.num_rows]
+            number, before = np.empty(len(odd), np.int64), np.empty(len(odd), np.int64)
+            for start, end in zip(bounds, bounds[1:]):
+                if (path[start].as_py(), split[start].as_py()) != current:
+                    current, lines, odds = (path[start].as_py(), split[start].as_py()), 0, 0
+                number[start:end] = lines + np.arange(1, end - start + 1)
+                seen = odds + np.cumsum(odd[start:end])
+                before[start:end] = seen - odd[start:end]
+                lines, odds = lines + end - start, int(seen[-1])
+            columns = [*batch.columns, pa.array(number), pa.array(before)]
+            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "number", "before"])
+
+    return count
+
+
 def read_spanning(
     spark: SparkSession, paths: str | Sequence[str], schema: T.StructType, glob: str | None = None
 ) -> DataFrame:
     """Rows of files with a header line, like a multi-line read with this schema, and `source_file`.
 
-    Lines end in LF, or in CR LF when the header does. The rows are shuffled once, by split, and a split
-    has a bounded size.
+    Lines end in LF, or in CR LF when the header does. A running count in file order needs no shuffle, but
+    no built-in operator gives one, so it is taken over Arrow batches.
     """
     reader = spark.read.option("lineSep", "\n")
     lines = (
@@ -41,53 +72,42 @@ def read_spanning(
             odd_quotes(F.col("value")).alias("odd"),
             F.col("_metadata.file_path").alias("path"),
             F.col("_metadata.file_block_start").alias("split"),
-            F.monotonically_increasing_id().alias("position"),
         )
     )
-    in_split = Window.partitionBy("path", "split").orderBy("position")
-    in_file = Window.partitionBy("path")
-    earlier_splits = in_file.orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    lines = stage(
+        lines.mapInArrow(
+            _line_counter(), "line string, odd int, path string, split bigint, number bigint, before bigint"
+        ),
+        "lines",
+    )
 
     # What the splits before this one leave open, and how the file ends its lines: one row per split.
-    splits = lines.groupBy("path", "split").agg(
-        F.sum("odd").alias("odds"), F.min_by(F.endswith("line", F.lit("\r")), "position").alias("returns")
-    )
-    splits = splits.select(
-        "path",
-        "split",
-        F.coalesce(F.sum("odds").over(earlier_splits), F.lit(0)).alias("carried"),
-        F.bool_or((F.col("split") == 0) & F.col("returns")).over(in_file).alias("returns"),
-    )
-    before = F.sum("odd").over(in_split) - F.col("odd")
+    in_file = Window.partitionBy("path")
+    earlier_splits = in_file.orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    splits = lines.groupBy("path", "split").agg(F.sum("odd").alias("odds"))
+    splits = splits.withColumn("carried", F.coalesce(F.sum("odds").over(earlier_splits), F.lit(0))).drop("odds")
+    first_lines = lines.where("split = 0 AND number = 1")
+    endings = first_lines.select("path", F.endswith("line", F.lit("\r")).alias("returns"))
+    # Written, so that its size is known: it is broadcast when small, and the text is not shuffled.
+    splits = stage(splits.join(endings, "path"), "splits")
     lines = (
-        lines.withColumns({"before": before, "number": F.row_number().over(in_split)})
-        .join(splits, ["path", "split"])
+        lines.join(splits, ["path", "split"])
         .where("NOT (split = 0 AND number = 1)")
-        .select(
-            "path",
-            "split",
-            "position",
-            F.when(F.col("returns"), F.regexp_replace("line", r"\r\z", "")).otherwise(F.col("line")).alias("line"),
-            "odd",
-            ((F.col("before") + F.col("carried")) % 2 == 1).alias("open"),
+        .withColumns(
+            {
+                "before": F.col("before") + F.col("carried"),
+                "line": F.when(F.col("returns"), F.regexp_replace("line", r"\r\z", "")).otherwise(F.col("line")),
+            }
         )
     )
-    lines = stage(lines, "lines")
-    whole = lines.where("NOT open AND odd = 0").where(F.col("line").rlike(r"\S")).select("path", "line")
-
-    # A record with line breaks starts at a line that is not open. Its number in the file is its number
-    # in the split plus those of the splits before.
-    spanning = lines.where("open OR odd = 1")
-    started = F.sum(F.when(F.col("open"), 0).otherwise(1))
-    starts = spanning.groupBy("path", "split").agg(started.alias("starts"))
-    starts = starts.select(
-        "path", "split", F.coalesce(F.sum("starts").over(earlier_splits), F.lit(0)).alias("starts_before")
-    )
+
+    # Odd lines open and close records in turn, so half their number counts the records with line breaks.
+    is_open = F.col("before") % 2 == 1
+    whole = lines.where(~is_open & (F.col("odd") == 0) & F.col("line").rlike(r"\S")).select("path", "line")
     records = (
-        spanning.withColumn("started", started.over(in_split))
-        .join(starts, ["path", "split"])
-        .groupBy("path", (F.col("started") + F.col("starts_before")).alias("record"))
-        .agg(F.array_sort(F.collect_list(F.struct("split", "position", "line"))).alias("parts"))
+        lines.where(is_open | (F.col("odd") == 1))
+        .groupBy("path", F.shiftright("before", 1).alias("record"))
+        .agg(F.array_sort(F.collect_list(F.struct("split", "number", "line"))).alias("parts"))
         .select("path", F.array_join("parts.line", "\n").alias("line"))
     )
     parsed = F.from_csv("line", F.lit(schema.toDDL()), CSV_OPTIONS).alias("row")
