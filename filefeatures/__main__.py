@@ -1,15 +1,25 @@
-"""Command line for spark-submit: features, watch, stream and import jobs."""
+"""Command line for spark-submit: one sub-command per job."""
 
 from __future__ import annotations
 
 import argparse
 
+from pyspark.sql import SparkSession
+
+from filefeatures.contracts import CATEGORY_COLUMN
 from filefeatures.functions.paths import without_scheme
-from filefeatures.operators.labels import load_labels
+from filefeatures.operators.labels import fit_labels, load_labels
 from filefeatures.operators.scoring import score_constant
-from filefeatures.plans.features import features_handler, run_features
+from filefeatures.plans.features import (
+    features_handler,
+    listing_features,
+    run_features,
+    score_target,
+    train_on_target,
+)
 from filefeatures.plans.importer import run_import
-from filefeatures.session import build_session, scratch_scope
+from filefeatures.session import build_session, scratch_scope, stage
+from filefeatures.sources.csv import read_by_header
 from filefeatures.streaming.arrivals import FILES_PER_BATCH, watch_files
 from filefeatures.streaming.rows import append_csv, read_csv_stream
 
@@ -18,18 +28,25 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="filefeatures", description=__doc__)
     jobs = parser.add_subparsers(dest="job", required=True)
 
+    labels = jobs.add_parser("labels", help="rank the categories of a folder and store them")
+    train = jobs.add_parser("train", help="fit a model of the target column on a folder and store it")
     features = jobs.add_parser("features", help="turn the files of a folder into features")
-    watch = jobs.add_parser("watch", help="turn each file that lands in ROOT/in into features")
+    watch = jobs.add_parser("watch", help="turn each file that lands in FOLDER/in into features")
     watch.add_argument("--checkpoint", required=True)
     watch.add_argument("--quarantine", help="folder for the names of files that fail")
     watch.add_argument("--max-files", type=int, default=FILES_PER_BATCH, help="files per micro-batch")
-    for job in (features, watch):
+    for job in (labels, train, features, watch):
         job.add_argument("folder")
         job.add_argument("out")
-        job.add_argument("--id-column", help="name of the feed's identifier column")
-        job.add_argument("--labels", help="stored label model; without it labels are fitted on the input")
-        job.add_argument("--per-file", action="store_true", help="fit labels on each file alone")
         job.add_argument("--one-line-rows", action="store_true", help="no value holds a line break")
+    for job in (features, watch):
+        job.add_argument("--id-column", help="name of the feed's identifier column")
+        job.add_argument("--labels", help="stored categories; without them they are ranked from the input")
+        job.add_argument("--per-file", action="store_true", help="rank the categories of each file alone")
+        job.add_argument("--model", help="stored model to predict with; needs --labels and --numeric")
+    train.add_argument("--labels", required=True)
+    for job in (train, features, watch):
+        job.add_argument("--numeric", nargs="*", default=[], help="columns the model takes as numbers")
 
     stream = jobs.add_parser("stream", help="append a prediction to each row that arrives")
     stream.add_argument("folder")
@@ -41,28 +58,36 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     importer = jobs.add_parser("import", help="import the CSV files of a folder once")
     importer.add_argument("folder")
     importer.add_argument("out")
-    return parser.parse_args(argv)
+
+    args = parser.parse_args(argv)
+    if getattr(args, "model", None) and not (args.labels and args.numeric):
+        parser.error("--model needs --labels and --numeric")
+    return args
+
+
+def feature_options(spark: SparkSession, args: argparse.Namespace) -> dict:
+    labels = load_labels(spark, args.labels) if args.labels else None
+    options = {"labels": labels, "id_column": args.id_column, "multiline": multiline(args)}
+    if args.per_file:
+        options["per_file"] = True
+    if args.model:
+        options["score"] = lambda features: score_target(features, labels, args.numeric, args.model)
+    return options
+
+
+def multiline(args: argparse.Namespace) -> bool | None:
+    return False if args.one_line_rows else None
 
 
 def main(argv: list[str] | None = None) -> None:
     args = parse(argv)
     spark = build_session(f"filefeatures-{args.job}")
-    if args.job in ("features", "watch"):
-        options = {
-            "labels": load_labels(spark, args.labels) if args.labels else None,
-            "per_file": args.per_file,
-            "id_column": args.id_column,
-            "multiline": False if args.one_line_rows else None,
-        }
-    if args.job == "features":
-        with scratch_scope(spark):
-            run_features(spark, args.folder, args.out, **options)
-    elif args.job == "watch":
+    if args.job == "watch":
         watch_files(
             spark,
             args.folder,
             args.checkpoint,
-            on_in=features_handler(spark, args.out, **options),
+            on_in=features_handler(spark, args.out, **feature_options(spark, args)),
             quarantine=args.quarantine,
             root=without_scheme(args.folder),
             max_files=args.max_files,
@@ -70,8 +95,19 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "stream":
         rows = read_csv_stream(spark, args.folder, args.schema, header=not args.no_header)
         append_csv(score_constant(rows), args.out, args.checkpoint).awaitTermination()
-    else:
+    elif args.job == "import":
         run_import(spark, args.folder, args.out)
+    else:
+        with scratch_scope(spark):
+            if args.job == "features":
+                run_features(spark, args.folder, args.out, **feature_options(spark, args))
+                return
+            rows = read_by_header(spark, args.folder, multiline=multiline(args))
+            if args.job == "labels":
+                fit_labels(rows, CATEGORY_COLUMN).save(args.out)
+            else:
+                features = stage(listing_features(rows))
+                train_on_target(features, load_labels(spark, args.labels), args.numeric, args.out)
 
 
 if __name__ == "__main__":

@@ -108,7 +108,12 @@ def run_features(
 
 
 def features_handler(spark: SparkSession, out: str, **options: object) -> Callable[[Sequence[str], int], None]:
-    """`run_features` as a handler for `watch_files`; a repeated batch replaces what it wrote before."""
+    """`run_features` as a handler for `watch_files`; a repeated batch replaces what it wrote before.
+
+    Without a stored label model each file gets labels of its own, so that the features of a file do not
+    depend on the files it happens to arrive with.
+    """
+    options.setdefault("per_file", options.get("labels") is None)
 
     def handle(paths: Sequence[str], batch_id: int) -> None:
         with scratch_scope(spark):

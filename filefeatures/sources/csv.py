@@ -164,24 +164,25 @@ def read_by_header(
     at: without a line break inside quotes it is read in splits; with one it is read whole, or, when it is
     large, in splits that are put together. The driver holds file paths, as for any file scan, and no rows.
     """
-    found = stage(file_headers(spark, paths, glob, count_quotes=multiline is None))
+    found = file_headers(spark, paths, glob, count_quotes=multiline is None)
     spans = F.lit(multiline) if multiline is not None else F.col("spans")
     large = F.lit(multiline is None) & spans & (F.col("bytes") > large_bytes)
-    files = found.select("path", "header", spans.alias("spans"), large.alias("large"))
-    kinds = files.drop("path").distinct().orderBy("header", "spans", "large").collect()
+    files = found.select("path", "header", spans.alias("spans"), large.alias("large")).persist()
+    kinds = sorted(map(tuple, files.drop("path").distinct().collect()))
     if not kinds:
         raise FileNotFoundError(f"no file with a header in {paths}")
+    members: dict[tuple, list[str]] = {kind: [] for kind in kinds}
+    if len(kinds) > 1:
+        for row in files.toLocalIterator():
+            members[row.header, row.spans, row.large].append(glob_literal(unquote(row.path)))
+    files.unpersist()
     groups = []
     for kind in kinds:
-        if len(kinds) > 1:
-            same = files.where((F.col("header") == kind.header) & (F.col("spans") == kind.spans))
-            same = same.where(F.col("large") == kind.large).select("path")
-            group, group_glob = sorted(glob_literal(unquote(row.path)) for row in same.toLocalIterator()), None
-        else:
-            group, group_glob = paths, glob
-        names = header_names(kind.header)
+        header, spanning, is_large = kind
+        group, group_glob = (sorted(members[kind]), None) if len(kinds) > 1 else (paths, glob)
+        names = header_names(header)
         schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
-        if kind.large:
+        if is_large:
             groups.append(read_spanning(spark, group, schema, group_glob))
         else:
             groups.append(
@@ -189,9 +190,9 @@ def read_by_header(
                     spark,
                     group,
                     schema=schema,
-                    multiline=kind.spans,
+                    multiline=spanning,
                     glob=group_glob,
-                    check_header=names == next(csv.reader([kind.header])),
+                    check_header=names == next(csv.reader([header])),
                     source_file=True,
                 )
             )

@@ -22,15 +22,19 @@ FILES_PER_BATCH = 1_000
 
 
 def file_arrivals(
-    spark: SparkSession, folder: str, *, glob: str = "*", max_files: int = FILES_PER_BATCH
+    spark: SparkSession, folder: str, *, glob: str = "*", max_files: int = FILES_PER_BATCH, **options: str
 ) -> DataFrame:
-    """New files below a folder as a stream of (path, file_name, modified, bytes); contents are not read."""
+    """New files below a folder as a stream of (path, file_name, modified, bytes); contents are not read.
+
+    `options` go to the file source, such as `cleanSource` to move handled files out of a growing folder.
+    """
     files = (
         spark.readStream.format("binaryFile")
         .schema(LISTING_SCHEMA)
         .option("pathGlobFilter", glob)
         .option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", max_files)
+        .options(**options)
         .load(folder)
     )
     return describe_files(files)
@@ -49,6 +53,7 @@ def watch_files(
     out_pattern: str = OUT_PATTERN,
     max_files: int = FILES_PER_BATCH,
     trigger: dict | None = None,
+    **options: str,
 ) -> StreamingQuery:
     """Hand every new file to the handler of its route, once; files of no route are skipped and logged.
 
@@ -66,7 +71,7 @@ def watch_files(
             if paths and handler:
                 _handle_files(spark, handler, paths, (batch_id, route), quarantine)
 
-    arrivals = file_arrivals(spark, folder, max_files=max_files)
+    arrivals = file_arrivals(spark, folder, max_files=max_files, **options)
     return for_each_batch(arrivals, handle, checkpoint, trigger=trigger)
 
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,8 @@ from pyspark.sql.streaming import StreamingQuery
 from filefeatures.contracts import CSV_OPTIONS, SOURCE_FILE
 from filefeatures.functions.paths import source_file_name
 from filefeatures.operators.lookup import HOT_MIN_ROWS, hot_keys, hot_part, lookup
+from filefeatures.operators.select import quoted
+from filefeatures.session import scratch_scope
 from filefeatures.sources.csv import CHECK_OPTIONS, marked_schema, split_checked
 
 POLL = {"processingTime": "5 seconds"}
@@ -65,6 +68,16 @@ def for_each_batch(
     )
 
 
+@contextmanager
+def _kept(batch: DataFrame) -> Iterator[DataFrame]:
+    """The batch, parsed once for several jobs; what an executor loses is read again."""
+    kept = batch.persist()
+    try:
+        yield kept
+    finally:
+        kept.unpersist()
+
+
 def _write_batch(df: DataFrame, batch_id: int, path: str) -> None:
     """Write a batch into a folder of its own, so a repeated batch replaces itself."""
     (
@@ -91,11 +104,10 @@ def append_checked(
     rows = read_csv_stream(spark, folder, marked_schema(schema), **CHECK_OPTIONS, **source)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        parsed = batch.persist()
-        good, bad = split_checked(parsed)
-        _write_batch(good, batch_id, path)
-        _write_batch(bad, batch_id, quarantine)
-        parsed.unpersist()
+        with _kept(batch) as parsed:
+            good, bad = split_checked(parsed)
+            _write_batch(good, batch_id, path)
+            _write_batch(bad, batch_id, quarantine)
 
     named = rows.select("*", source_file_name().alias(SOURCE_FILE))
     return for_each_batch(named, handle, checkpoint, trigger=trigger)
@@ -118,14 +130,14 @@ def append_lookup(
     Rows whose key is NULL stay, spread over the tasks, without looked-up columns.
     """
 
+    keyless = " OR ".join(f"{quoted(key)} IS NULL" for key in keys)
+
     def handle(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.persist()
-        keyless = " OR ".join(f"`{key}` IS NULL" for key in keys)
-        keyed = rows.where(f"NOT ({keyless})")
-        hot = hot_keys(keyed, keys, min_rows=hot_min_rows)
-        hot = hot_part(static, hot, keys) if hot is not None else None
-        joined = lookup(keyed, static, keys, hot).unionByName(rows.where(keyless), allowMissingColumns=True)
-        _write_batch(joined, batch_id, path)
-        rows.unpersist()
+        with _kept(batch) as rows, scratch_scope(batch.sparkSession):
+            keyed = rows.where(f"NOT ({keyless})")
+            hot = hot_keys(keyed, keys, min_rows=hot_min_rows)
+            hot = hot_part(static, hot, keys) if hot is not None else None
+            joined = lookup(keyed, static, keys, hot)
+            _write_batch(joined.unionByName(rows.where(keyless), allowMissingColumns=True), batch_id, path)
 
     return for_each_batch(stream, handle, checkpoint, trigger=trigger)

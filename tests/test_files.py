@@ -293,13 +293,24 @@ def test_writing_by_source_replaces_only_its_sources(spark, tmp_path):
 
 
 def test_command_line(spark, tmp_path):
-    feed(tmp_path / "in", "a.csv", "x", "y")
-    main(["features", str(tmp_path / "in"), str(tmp_path / "out"), "--id-column", "Listing", "--per-file"])
-    assert dump(spark, str(tmp_path / "out/preprocessed")).count() == 2
+    columns = "Listing,Category,Employee Count,sales"
+    put(tmp_path / "in", "a.csv", columns, *[f"a{i},{'xy'[i % 2]},{i},{2 * i + 5 * (i % 2)}" for i in range(20)])
+    put(tmp_path / "in", "b.csv", "sales,Listing,Category,Employee Count", ",b,y,100", ",c,new,50")
+    folder, out, labels, model = (str(tmp_path / name) for name in ("in", "out", "labels", "model"))
+    main(["labels", folder, labels])
+    numeric = ["--numeric", "Employee Count"]
+    main(["train", folder, model, "--labels", labels, *numeric])
+    main(["features", folder, out, "--id-column", "Listing", "--labels", labels, "--model", model, *numeric])
+    got = {r.Listing: r for r in read_csv(spark, f"{out}/predictions").collect()}
+    assert len(got) == 22 and got["a0"].CategoryVector == "3|1|1.0" and got["b"].CategoryVector == "3|0|1.0"
+    assert float(got["b"].prediction) == pytest.approx(205.0) and float(got["a4"].prediction) == pytest.approx(8.0)
+
     with pytest.raises(AnalysisException):
-        main(["import", str(tmp_path / "in"), str(tmp_path / "imported")])
+        main(["import", folder, str(tmp_path / "imported")])
     args = parse(["watch", "hdfs://host/data", "out", "--checkpoint", "c", "--max-files", "5"])
-    assert (args.job, args.max_files) == ("watch", 5)
+    assert (args.job, args.max_files, args.per_file) == ("watch", 5, False)
+    with pytest.raises(SystemExit):
+        parse(["features", "in", "out", "--model", "m"])
 
 
 def test_delivery_and_what_is_left(spark, tmp_path):
