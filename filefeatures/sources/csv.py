@@ -109,7 +109,7 @@ def read_checked(
 def file_headers(
     spark: SparkSession, paths: str | Sequence[str], glob: str | None = "*.csv", *, count_quotes: bool = True
 ) -> DataFrame:
-    """One row per file: its path as the file source encodes it, first line, size, and `spans`.
+    """One row per file: its path as the file source encodes it, first line that is not blank, size, `spans`.
 
     `spans` says whether a quoted value holds a line break, which only a look at every line can tell. The
     text is split, lines are combined before the shuffle, and one row per file and task is shuffled.
@@ -125,6 +125,7 @@ def file_headers(
     spans = F.max(odd_quotes(F.col("value"))) == 1 if count_quotes else F.lit(False)
     return (
         (lines if count_quotes else lines.where("start = 0"))
+        .where(F.col("value").rlike(r"\S"))
         .groupBy("path", "bytes")
         .agg(
             F.min_by("value", F.struct("start", "position")).alias("header"),

@@ -86,13 +86,15 @@ def read_spanning(
     earlier_splits = in_file.orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
     splits = lines.groupBy("path", "split").agg(F.sum("odd").alias("odds"))
     splits = splits.withColumn("carried", F.coalesce(F.sum("odds").over(earlier_splits), F.lit(0))).drop("odds")
-    first_lines = lines.where("split = 0 AND number = 1")
-    endings = first_lines.select("path", F.endswith("line", F.lit("\r")).alias("returns"))
+    starts = lines.where((F.col("split") == 0) & F.col("line").rlike(r"\S")).groupBy("path")
+    starts = starts.agg(
+        F.min("number").alias("header"), F.min_by(F.endswith("line", F.lit("\r")), "number").alias("returns")
+    )
     # Written, so that its size is known: it is broadcast when small, and the text is not shuffled.
-    splits = stage(splits.join(endings, "path"), "splits")
+    splits = stage(splits.join(starts, "path"), "splits")
     lines = (
         lines.join(splits, ["path", "split"])
-        .where("NOT (split = 0 AND number = 1)")
+        .where("NOT (split = 0 AND number <= header)")
         .withColumns(
             {
                 "before": F.col("before") + F.col("carried"),
@@ -103,7 +105,7 @@ def read_spanning(
 
     # Odd lines open and close records in turn, so half their number counts the records with line breaks.
     is_open = F.col("before") % 2 == 1
-    whole = lines.where(~is_open & (F.col("odd") == 0) & F.col("line").rlike(r"\S")).select("path", "line")
+    whole = lines.where(~is_open & (F.col("odd") == 0) & (F.col("line") != "")).select("path", "line")
     records = (
         lines.where(is_open | (F.col("odd") == 1))
         .groupBy("path", F.shiftright("before", 1).alias("record"))

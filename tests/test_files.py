@@ -84,7 +84,7 @@ def random_csv(seed, rows=60):
         return f'"{text}"' if pick.random() < 0.3 or any(c in text for c in ',\n"') else text
 
     return "A,B b,C\n" + "".join(
-        f"{n},{value()},{value()}\n" + ("\n" if pick.random() < 0.02 else "") for n in range(rows)
+        f"{n},{value()},{value()}\n" + pick.choice(["", "\n", "  \n", *[""] * 50]) for n in range(rows)
     )
 
 
@@ -92,10 +92,14 @@ def random_csv(seed, rows=60):
 def test_large_files_with_line_breaks_are_read_in_splits(spark, tmp_path, split_bytes):
     for seed in range(4):
         (tmp_path / f"f{seed}.csv").write_bytes(random_csv(seed).encode())
+    with (tmp_path / "f0.csv").open("r+b") as file:
+        text = file.read()
+        file.seek(0)
+        file.write(b"\n\n" + text)
     (tmp_path / "windows.csv").write_bytes(random_csv(9).replace("\r\n", "\n").replace("\n", "\r\n").encode())
     expected = read_csv(spark, str(tmp_path), schema="A string, `B b` string, C string", source_file=True)
     expected = sorted(map(tuple, expected.collect()), key=str)
-    assert len(expected) == 300
+    assert len(expected) >= 300
     spark.conf.set("spark.sql.files.maxPartitionBytes", split_bytes)
     spark.conf.set("spark.sql.files.openCostInBytes", "1")
     try:
