@@ -122,15 +122,17 @@ def file_headers(
         F.col("_metadata.file_block_start").alias("start"),
         F.monotonically_increasing_id().alias("position"),
     )
-    spans = F.max(odd_quotes(F.col("value"))) == 1 if count_quotes else F.lit(False)
+    lines = lines.withColumn("odd", odd_quotes(F.col("value")) if count_quotes else F.lit(0))
+    first = F.when((F.col("start") == 0) & F.col("value").rlike(r"\S"), F.col("position"))
+    # A set keeps the whole aggregation hash-based; with text buffers alone Spark would sort all lines.
     return (
-        (lines if count_quotes else lines.where("start = 0"))
-        .where(F.col("value").rlike(r"\S"))
+        lines.where("start = 0 OR odd = 1")
         .groupBy("path", "bytes")
         .agg(
-            F.min_by("value", F.struct("start", "position")).alias("header"),
-            spans.alias("spans"),
+            F.min_by("value", first).alias("header"),
+            F.array_contains(F.collect_set("odd"), 1).alias("spans"),
         )
+        .where("header IS NOT NULL")
     )
 
 

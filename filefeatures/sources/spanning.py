@@ -24,7 +24,8 @@ from filefeatures.session import stage
 
 def odd_quotes(line: Column) -> Column:
     """1 when the line opens or closes a quoted value that spans lines, else 0."""
-    return (F.octet_length(line) - F.octet_length(F.replace(line, F.lit('"'), F.lit("")))) % 2
+    quotes = F.octet_length(line) - F.octet_length(F.replace(line, F.lit('"'), F.lit("")))
+    return F.when(F.contains(line, F.lit('"')), quotes % 2).otherwise(0)
 
 
 def _line_counter():
