@@ -32,12 +32,12 @@ def hot_keys(
     fact: DataFrame, keys: Sequence[str], *, min_rows: int = HOT_MIN_ROWS, share: float = HOT_SHARE
 ) -> DataFrame | None:
     """The keys that hold at least `share` of the rows and at least `min_rows`; None when there are none."""
-    counts = fact.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    large = stage(counts.where(F.col("_rows") >= min_rows), "hot-keys")
-    if large.isEmpty():
+    total = fact.count()
+    if total < min_rows:
         return None
-    floor = max(min_rows, fact.count() * share)
-    return large.where(F.col("_rows") >= floor).select(*keys)
+    counts = fact.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    hot = stage(counts.where(F.col("_rows") >= max(min_rows, total * share)).select(*keys), "hot-keys")
+    return None if hot.isEmpty() else hot
 
 
 def hot_part(dim: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -174,15 +174,18 @@ def read_by_header(
     kinds = sorted(map(tuple, files.drop("path").distinct().collect()))
     if not kinds:
         raise FileNotFoundError(f"no file with a header in {paths}")
-    members: dict[tuple, list[str]] = {kind: [] for kind in kinds}
+    members: list[list[str]] = [[] for _ in kinds]
     if len(kinds) > 1:
-        for row in files.toLocalIterator():
-            members[row.header, row.spans, row.large].append(glob_literal(unquote(row.path)))
+        same = [
+            F.when((F.col("header") == header) & (F.col("spans") == spanning) & (F.col("large") == is_large), i)
+            for i, (header, spanning, is_large) in enumerate(kinds)
+        ]
+        for path, kind in files.select("path", F.coalesce(*same)).collect():
+            members[kind].append(glob_literal(unquote(path)))
     files.unpersist()
     groups = []
-    for kind in kinds:
-        header, spanning, is_large = kind
-        group, group_glob = (sorted(members[kind]), None) if len(kinds) > 1 else (paths, glob)
+    for (header, spanning, is_large), member_paths in zip(kinds, members):
+        group, group_glob = (sorted(member_paths), None) if len(kinds) > 1 else (paths, glob)
         names = header_names(header)
         schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
         if is_large:

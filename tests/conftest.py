@@ -9,8 +9,7 @@ from filefeatures.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
-    checkpoints = tmp_path_factory.mktemp("checkpoints")
+def spark():
     session = build_session(
         "tests",
         **{
@@ -18,7 +17,6 @@ def spark(tmp_path_factory):
             "spark.ui.enabled": "false",
             "spark.sql.shuffle.partitions": "8",
             "spark.driver.memory": "6g",
-            "spark.checkpoint.dir": str(checkpoints),
         },
     )
     session.sparkContext.setLogLevel("ERROR")
