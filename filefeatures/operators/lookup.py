@@ -16,10 +16,12 @@ from filefeatures.session import stage
 HOT_SHARE = 1 / 10_000
 HOT_MIN_ROWS = 1_000_000
 KEY_BYTES = 64
+# Hot rows wider than this in all are not broadcast.
+BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def key_part(value: Column) -> Column:
-    """A join key that is never NULL and at most 65 + 7 bytes long, whatever the value is."""
+    """A join key that is never NULL and at most 71 bytes long, whatever the value is."""
     text = value.cast("string")
     return (
         F.when(text.isNull(), "n")
@@ -42,19 +44,28 @@ def hot_keys(
 
 def hot_part(dim: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per hot key: its row of `dim`, or NULLs."""
-    found = dim.join(F.broadcast(hot), list(keys), "left_semi")
-    return hot.join(F.broadcast(found), list(keys), "left")
+    return hot.join(dim.join(hot, list(keys), "left_semi"), list(keys), "left")
 
 
-def lookup(fact: DataFrame, dim: DataFrame, keys: Sequence[str], hot: DataFrame | None) -> DataFrame:
+def lookup(
+    fact: DataFrame,
+    dim: DataFrame,
+    keys: Sequence[str],
+    hot: DataFrame | None,
+    *,
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
     """`fact LEFT JOIN dim` on non-NULL keys that are unique in `dim`.
 
-    `hot` holds the keys to answer from a broadcast, with their columns of `dim`.
+    `hot` holds the keys to answer from a broadcast, with their columns of `dim`. When these few rows are
+    too wide for that, it is a plain join, and adaptive execution splits what is skewed.
     """
     keys = list(keys)
-    if hot is None:
-        return fact.join(dim, keys, "left")
-    hot = F.broadcast(stage(hot.select(dim.columns), "hot-rows"))
-    hot_rows = fact.join(hot, keys)
-    cold_rows = fact.join(hot.select(*keys), keys, "left_anti").join(dim, keys, "left")
-    return hot_rows.unionByName(cold_rows)
+    if hot is not None:
+        hot = stage(hot.select(dim.columns), "hot-rows")
+        size = hot.select(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
+        if size <= broadcast_bytes:
+            hot_rows = fact.join(F.broadcast(hot), keys)
+            cold_rows = fact.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(dim, keys, "left")
+            return hot_rows.unionByName(cold_rows)
+    return fact.join(dim, keys, "left")

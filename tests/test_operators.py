@@ -129,6 +129,10 @@ def test_hot_keys(spark):
     hot = hot_part(dim, hot_keys(keyed, ["k"], min_rows=500), ["k"])
     plain, split = lookup(keyed, dim, ["k"], None), lookup(keyed, dim, ["k"], hot)
     assert plain.exceptAll(split).count() == split.exceptAll(plain).count() == 0
+    wide = lookup(keyed, dim, ["k"], hot, broadcast_bytes=1)
+    assert "Union" in split._jdf.queryExecution().executedPlan().toString()
+    assert "Union" not in wide._jdf.queryExecution().executedPlan().toString()
+    assert plain.exceptAll(wide).count() == wide.exceptAll(plain).count() == 0
 
 
 def test_small_label_table_needs_no_shuffle_of_the_rows(spark):
