@@ -296,6 +296,22 @@ def test_writing_by_source_replaces_only_its_sources(spark, tmp_path):
     assert {tuple(r) for r in got} == {(9, "a"), (2, "b/c"), (3, None)}
 
 
+def test_a_hot_source_is_written_by_several_tasks(spark, tmp_path):
+    rows = spark.range(60000).select(
+        "id",
+        F.sha2(F.col("id").cast("string"), 256).alias("text"),
+        F.when(F.col("id") < 20000, "hot").otherwise(F.format_string("s%02d", F.col("id") % 40)).alias("source_file"),
+    )
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200k")
+    try:
+        sink.write_by_source(rows.repartition(16), str(tmp_path))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = {folder.name: len(list(folder.glob("*.csv"))) for folder in tmp_path.glob("source_file=*")}
+    assert len(files) == 41 and files["source_file=hot"] > 1 and max(files.values()) < 16
+    assert read_csv(spark, str(tmp_path), schema="id long, text string", header=False).count() == 60000
+
+
 def test_command_line(spark, tmp_path):
     columns = "Listing,Category,Employee Count,sales"
     put(tmp_path / "in", "a.csv", columns, *[f"a{i},{'xy'[i % 2]},{i},{2 * i + 5 * (i % 2)}" for i in range(20)])
