@@ -44,6 +44,16 @@ from filefeatures.sources.csv import glob_literal, read_by_header, read_checked,
 from filefeatures.streaming.arrivals import watch_files
 from filefeatures.streaming.rows import append_csv, append_lookup, read_csv_stream
 
+try:  # the corpus operators and their pipeline are optional; nothing else needs them
+    import corpus_pipeline
+    from filefeatures.llm import queries as corpus_queries
+
+    CORPUS = [corpus_queries, corpus_pipeline]
+except ModuleNotFoundError as missing:
+    if (missing.name or "").split(".")[0] not in {"corpus_pipeline", "filefeatures"}:
+        raise
+    CORPUS = []
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 TITLE_WORDS = ["the", "der", "que", "and", "des", "und", "los"]
@@ -405,7 +415,8 @@ def q_listing_import_job(spark, sf_dir):
 
 
 def queries() -> dict[str, Query]:
-    return {name[2:]: query for name, query in globals().items() if name.startswith("q_")}
+    own = {name[2:]: query for name, query in globals().items() if name.startswith("q_")}
+    return own | {name: query for module in CORPUS for name, query in module.queries().items()}
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -463,13 +474,16 @@ EVENT_COLUMNS_SQL = "event_id, ts, user_id, event_type, value, props"
 
 
 def oracle_sql() -> dict[str, str]:
-    return {
-        "marker_count": "SELECT page_id, CAST(len(string_split(html, '<li>')) - 1 AS INTEGER) AS list_items FROM pages",
-        "labeled_number": """SELECT event_id, TRY_CAST(regexp_extract(props, '("k": )([0-9]+)', 2) AS BIGINT) AS k
+    return OWN_SQL | {name: sql for module in CORPUS for name, sql in module.oracle_sql().items()}
+
+
+OWN_SQL = {
+    "marker_count": "SELECT page_id, CAST(len(string_split(html, '<li>')) - 1 AS INTEGER) AS list_items FROM pages",
+    "labeled_number": """SELECT event_id, TRY_CAST(regexp_extract(props, '("k": )([0-9]+)', 2) AS BIGINT) AS k
             FROM events""",
-        "labeled_keyword_flags": f"SELECT page_id, {_title_flag_sql('html')} FROM pages",
-        "last_path_segment": "SELECT page_id, regexp_extract(url, '/([^/]*)$', 1) AS segment FROM pages",
-        "file_route": r"""
+    "labeled_keyword_flags": f"SELECT page_id, {_title_flag_sql('html')} FROM pages",
+    "last_path_segment": "SELECT page_id, regexp_extract(url, '/([^/]*)$', 1) AS segment FROM pages",
+    "file_route": r"""
             WITH paths AS (
               SELECT doc_id, CASE lang
                 WHEN 'en' THEN concat('/in/doc-', doc_id, '.csv')
@@ -482,80 +496,80 @@ def oracle_sql() -> dict[str, str]:
               WHEN regexp_full_match(path, '/out/[0-9a-z\-]{1,}\.csv') THEN 'OUT'
               ELSE 'SKIP' END AS route
             FROM paths""",
-        "intersect_select": 'SELECT c_mktsegment, c_name AS "C_NAME", c_custkey FROM customer',
-        "strict_select": "SELECT o_orderdate, o_orderkey, o_orderpriority FROM orders",
-        "constant_column": "SELECT *, CAST(1 AS INTEGER) AS purchase_complete FROM orders",
-        "guarded_derive": """SELECT *, TRY_CAST(regexp_extract(props, '"k": ([0-9]+)', 1) AS BIGINT) AS k
+    "intersect_select": 'SELECT c_mktsegment, c_name AS "C_NAME", c_custkey FROM customer',
+    "strict_select": "SELECT o_orderdate, o_orderkey, o_orderpriority FROM orders",
+    "constant_column": "SELECT *, CAST(1 AS INTEGER) AS purchase_complete FROM orders",
+    "guarded_derive": """SELECT *, TRY_CAST(regexp_extract(props, '"k": ([0-9]+)', 1) AS BIGINT) AS k
             FROM events""",
-        "frequency_index": f"WITH {_ranked_sql('part', 'p_brand')} SELECT label, idx, n_rows AS rows FROM ranked",
-        "one_hot_string": f"""WITH {_ranked_sql('part', 'p_brand')}
+    "frequency_index": f"WITH {_ranked_sql('part', 'p_brand')} SELECT label, idx, n_rows AS rows FROM ranked",
+    "one_hot_string": f"""WITH {_ranked_sql('part', 'p_brand')}
             SELECT p_partkey, p_brand, {VECTOR_SQL} AS brand_vector FROM part LEFT JOIN ranked ON p_brand = label""",
-        "one_hot_named_function": f"""WITH {_ranked_sql('part', 'p_type')}
+    "one_hot_named_function": f"""WITH {_ranked_sql('part', 'p_type')}
             SELECT p_partkey, p_type, {VECTOR_SQL} AS type_vector FROM part LEFT JOIN ranked ON p_type = label""",
-        "one_hot_null_keep": f"""
+    "one_hot_null_keep": f"""
             WITH typed AS (SELECT event_id, nullif(event_type, 'error') AS event_type FROM events),
                  {_ranked_sql('typed', 'event_type')}
             SELECT event_id, event_type, {VECTOR_SQL} AS type_vector
             FROM typed LEFT JOIN ranked ON event_type = label""",
-        "encode_unseen": f"""
+    "encode_unseen": f"""
             WITH docs AS (SELECT doc_id, concat(lang, '/', source) AS category FROM documents),
                  labelled AS (SELECT * FROM docs WHERE doc_id IN (SELECT doc_id FROM labels)),
                  {_ranked_sql('labelled', 'category')}
             SELECT doc_id, category, {VECTOR_SQL} AS category_vector
             FROM docs LEFT JOIN ranked ON category = label""",
-        "encode_per_group": """
+    "encode_per_group": """
             WITH ranked AS (
               SELECT lang, source, count(*) OVER (PARTITION BY lang) AS n,
                      row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, source) - 1 AS idx
               FROM documents GROUP BY lang, source)
             SELECT doc_id, lang, source, concat(n, '|', idx, '|1.0') AS source_vector
             FROM documents JOIN ranked USING (lang, source)""",
-        "encode_many_labels": f"""
+    "encode_many_labels": f"""
             WITH texts AS (SELECT o_orderkey, o_custkey, CAST(o_custkey AS VARCHAR) AS customer FROM orders),
                  {_ranked_sql('texts', 'customer')}
             SELECT o_orderkey, o_custkey, {VECTOR_SQL} AS customer_vector
             FROM texts LEFT JOIN ranked ON customer = label""",
-        "csv_quoted_multiline": "SELECT * FROM documents",
-        "csv_folder_glob": "SELECT * FROM customer",
-        "csv_mixed_headers": """
+    "csv_quoted_multiline": "SELECT * FROM documents",
+    "csv_folder_glob": "SELECT * FROM customer",
+    "csv_mixed_headers": """
             SELECT c_custkey, c_name, c_nationkey,
                    CASE WHEN c_mktsegment NOT IN ('HOUSEHOLD', 'MACHINERY') THEN c_acctbal END AS c_acctbal,
                    c_mktsegment
             FROM customer""",
-        "csv_inferred": """SELECT CAST(p_partkey AS INTEGER) AS p_partkey, p_name, p_brand, p_type,
+    "csv_inferred": """SELECT CAST(p_partkey AS INTEGER) AS p_partkey, p_name, p_brand, p_type,
             CAST(p_size AS VARCHAR) AS p_size, p_retailprice FROM part""",
-        "csv_partitioned_by_source": "SELECT * FROM documents",
-        "quarantine_bad_rows": """
+    "csv_partitioned_by_source": "SELECT * FROM documents",
+    "quarantine_bad_rows": """
             SELECT CASE WHEN event_type NOT IN ('error', 'signup') THEN event_id END AS event_id,
                    CASE WHEN event_type NOT IN ('error', 'signup') THEN event_type END AS event_type,
                    CASE WHEN event_type NOT IN ('error', 'signup') THEN value END AS value,
                    CASE event_type WHEN 'error' THEN concat(event_id, ',error,broken')
                                    WHEN 'signup' THEN concat(event_id, ',signup') END AS bad_line
             FROM events""",
-        "stream_constant_prediction": f"SELECT {EVENT_COLUMNS_SQL}, 'predicted' AS prediction FROM events",
-        "stream_per_file_features": PAGE_ENCODED_SQL,
-        "stream_static_join": f"""SELECT {EVENT_COLUMNS_SQL}, c_name, c_mktsegment
+    "stream_constant_prediction": f"SELECT {EVENT_COLUMNS_SQL}, 'predicted' AS prediction FROM events",
+    "stream_per_file_features": PAGE_ENCODED_SQL,
+    "stream_static_join": f"""SELECT {EVENT_COLUMNS_SQL}, c_name, c_mktsegment
             FROM events LEFT JOIN customer ON user_id = c_custkey""",
-        "score_linear": """SELECT l_orderkey, l_linenumber,
+    "score_linear": """SELECT l_orderkey, l_linenumber,
             0.5::DOUBLE + l_quantity * 0.25::DOUBLE + l_discount * (-3.5)::DOUBLE + l_tax * 1.75::DOUBLE AS prediction
             FROM lineitem""",
-        "train_linear": """SELECT
+    "train_linear": """SELECT
             floor(regr_intercept(l_extendedprice, l_quantity) * 10000 + 0.5) / 10000 AS intercept,
             floor(regr_slope(l_extendedprice, l_quantity) * 10000 + 0.5) / 10000 AS quantity_weight
             FROM lineitem""",
-        "predictions_join": """SELECT doc_id, lang, source, n_chars, quality AS prediction
+    "predictions_join": """SELECT doc_id, lang, source, n_chars, quality AS prediction
             FROM documents LEFT JOIN labels USING (doc_id)""",
-        "predictions_delivery": """SELECT doc_id, lang, source, n_chars, quality AS prediction
+    "predictions_delivery": """SELECT doc_id, lang, source, n_chars, quality AS prediction
             FROM documents LEFT JOIN labels USING (doc_id)""",
-        "in_out_reconcile": """
+    "in_out_reconcile": """
             SELECT concat('doc-', coalesce(d.doc_id, l.doc_id), '.csv') AS file_name,
                    CASE WHEN l.doc_id IS NULL THEN 'MISSING' WHEN d.doc_id IS NULL THEN 'STRAY' ELSE 'DONE' END AS state
             FROM documents d FULL JOIN labels l ON d.doc_id = l.doc_id""",
-        "features_job": f"""
+    "features_job": f"""
             SELECT *, 0.5::DOUBLE + list_items::DOUBLE * 0.25::DOUBLE + title_has_the::DOUBLE * 1.5::DOUBLE
                    + title_has_der::DOUBLE * (-2.0)::DOUBLE AS prediction
             FROM ({PAGE_ENCODED_SQL})""",
-        "listing_features_job": f"""
+    "listing_features_job": f"""
             WITH listings AS ({LISTINGS_SQL}), {_ranked_sql("listings", "category")}
             SELECT listing_id, address, zip_code, category, review_sources, CAST(c_acctbal AS VARCHAR) AS sales,
                    CAST(len(string_split(review_sources, 'Source:')) - 1 AS VARCHAR) AS reviewsourcescount,
@@ -570,9 +584,9 @@ def oracle_sql() -> dict[str, str]:
                    '0' AS aa_pm_support_amex, '0' AS aa_pm_support_financing,
                    {VECTOR_SQL} AS categoryvector
             FROM listings LEFT JOIN ranked ON category = label""",
-        "listing_import_job": f"""
+    "listing_import_job": f"""
             SELECT address, zip_code, category, category AS full_category_set,
                    CAST(c_nationkey * 12 AS INTEGER) AS likes_count, 'x' AS hours_of_operation,
                    CAST(1 AS INTEGER) AS purchasecomplete
             FROM ({LISTINGS_SQL})""",
-    }
+}
