@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import public_tokenizers
 
+from filefeatures.llm.bpe import encode_documents
+from filefeatures.llm.exact_dedup import dedup
 from filefeatures.llm.packing import pack
+from filefeatures.llm.sharding import HASH_BITS, LIMIT_BYTES, shard
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def _table(spark, sf_dir, name):
@@ -17,9 +22,45 @@ def op1_pack(spark, sf_dir):
     return pack(_table(spark, sf_dir, "documents"), WORD_TOKENIZER)
 
 
+def op6_byte_bpe(spark, sf_dir):
+    return encode_documents(_table(spark, sf_dir, "documents"), BYTE_RANKS, public_tokenizers.PATTERN)
+
+
+def op7_exact_dedup(spark, sf_dir):
+    return dedup(_table(spark, sf_dir, "documents")).drop("row")
+
+
+def op9_shard(spark, sf_dir):
+    return shard(_table(spark, sf_dir, "documents"))
+
+
 def queries():
     return {name: query for name, query in globals().items() if name.startswith("op")}
 
 
+DEDUP_SQL = f"""
+    WITH texts AS (SELECT doc_id, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') AS folded FROM documents),
+         groups AS (SELECT folded, max(doc_id) AS keep_id, count(*) AS group_size FROM texts GROUP BY folded)
+    SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(folded) AS text_sha256
+    FROM texts JOIN groups USING (folded)"""
+
+
+def shard_sql(limit):
+    """Every prefix of every hash with its bytes; a document's shard is its shortest prefix that fits."""
+    return f"""
+    WITH keyed AS (
+           SELECT doc_id, strlen(coalesce(text, '')) AS bytes,
+                  CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), 'text:' || coalesce(text, ''))), 1, 15) AS BIGINT) AS hash
+           FROM documents),
+         prefixes AS (SELECT *, hash >> ({HASH_BITS} - depth) AS prefix FROM keyed, generate_series(0, {HASH_BITS}) AS g(depth)),
+         buckets AS (
+           SELECT depth, prefix, sum(bytes) AS total, count(*) AS documents
+           FROM prefixes GROUP BY depth, prefix HAVING sum(bytes) <= {limit} OR min(hash) = max(hash)),
+         placed AS (SELECT doc_id, hash, min(depth) AS depth FROM prefixes JOIN buckets USING (depth, prefix) GROUP BY doc_id, hash)
+    SELECT doc_id, CASE WHEN depth = 0 THEN '' ELSE lpad(bin(prefix), CAST(depth AS INTEGER), '0') END AS shard,
+           CAST(depth AS INTEGER) AS depth, CAST(total AS BIGINT) AS shard_bytes, documents AS shard_documents
+    FROM placed JOIN prefixes USING (doc_id, hash, depth) JOIN buckets USING (depth, prefix)"""
+
+
 def oracle_sql():
-    return {}
+    return {"op7_exact_dedup": DEDUP_SQL, "op9_shard": shard_sql(LIMIT_BYTES)}
