@@ -6,6 +6,7 @@ import public_tokenizers
 
 from filefeatures.llm.bpe import encode_documents
 from filefeatures.llm.exact_dedup import dedup
+from filefeatures.llm.near_dedup import near_dedup
 from filefeatures.llm.packing import pack
 from filefeatures.llm.sharding import HASH_BITS, LIMIT_BYTES, shard
 
@@ -34,6 +35,11 @@ def op9_shard(spark, sf_dir):
     return shard(_table(spark, sf_dir, "documents"))
 
 
+def op10_near_dedup(spark, sf_dir):
+    """Four words a shingle, as this query's contract says."""
+    return near_dedup(_table(spark, sf_dir, "documents"), shingle_words=4).drop("row")
+
+
 def queries():
     return {name: query for name, query in globals().items() if name.startswith("op")}
 
