@@ -6,6 +6,7 @@ import public_tokenizers
 
 from filefeatures.llm.bpe import encode_documents
 from filefeatures.llm.exact_dedup import dedup
+from filefeatures.llm.lm_scoring import score
 from filefeatures.llm.near_dedup import near_dedup
 from filefeatures.llm.packing import pack
 from filefeatures.llm.sharding import HASH_BITS, LIMIT_BYTES, shard
@@ -23,6 +24,10 @@ def op1_pack(spark, sf_dir):
     return pack(_table(spark, sf_dir, "documents"), WORD_TOKENIZER)
 
 
+def op4_lm_score(spark, sf_dir):
+    return score(_table(spark, sf_dir, "documents"))
+
+
 def op6_byte_bpe(spark, sf_dir):
     return encode_documents(_table(spark, sf_dir, "documents"), BYTE_RANKS, public_tokenizers.PATTERN)
 
