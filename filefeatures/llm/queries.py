@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
 from filefeatures.llm.bpe import encode_documents
 from filefeatures.llm.exact_dedup import dedup
+from filefeatures.llm.html_extract import extract_pages
 from filefeatures.llm.lm_scoring import score
 from filefeatures.llm.near_dedup import near_dedup
 from filefeatures.llm.packing import pack
 from filefeatures.llm.sharding import HASH_BITS, LIMIT_BYTES, shard
+from filefeatures.llm.topk import top_k, whole_vectors
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -24,10 +27,18 @@ def op1_pack(spark, sf_dir):
     return pack(_table(spark, sf_dir, "documents"), WORD_TOKENIZER)
 
 
+def op3_top_k(spark, sf_dir):
+    return top_k(whole_vectors(_table(spark, sf_dir, "embeddings")), F.col("vec_id") % 50 == 0, k=5)
+
+
 def op4_lm_score(spark, sf_dir):
     return score(_table(spark, sf_dir, "documents"))
 
 
+def op5_html_text(spark, sf_dir):
+    return extract_pages(_table(spark, sf_dir, "pages"))
+
+
 def op6_byte_bpe(spark, sf_dir):
     return encode_documents(_table(spark, sf_dir, "documents"), BYTE_RANKS, public_tokenizers.PATTERN)
 
@@ -49,6 +60,18 @@ def queries():
     return {name: query for name, query in globals().items() if name.startswith("op")}
 
 
+TOP_K_SQL = """
+    WITH vectors AS (
+           SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
+           FROM embeddings
+           WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+         scored AS (
+           SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+           FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+         ranked AS (
+           SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
+    SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5"""
+
 DEDUP_SQL = f"""
     WITH texts AS (SELECT doc_id, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') AS folded FROM documents),
          groups AS (SELECT folded, max(doc_id) AS keep_id, count(*) AS group_size FROM texts GROUP BY folded)
@@ -74,4 +97,4 @@ def shard_sql(limit):
 
 
 def oracle_sql():
-    return {"op7_exact_dedup": DEDUP_SQL, "op9_shard": shard_sql(LIMIT_BYTES)}
+    return {"op3_top_k": TOP_K_SQL, "op7_exact_dedup": DEDUP_SQL, "op9_shard": shard_sql(LIMIT_BYTES)}
