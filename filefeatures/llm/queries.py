@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
+from filefeatures.llm import quality, toxicity
 from filefeatures.llm.bpe import encode_documents
 from filefeatures.llm.exact_dedup import dedup
 from filefeatures.llm.html_extract import extract_pages
@@ -27,6 +28,11 @@ def op1_pack(spark, sf_dir):
     return pack(_table(spark, sf_dir, "documents"), WORD_TOKENIZER)
 
 
+def op2_quality(spark, sf_dir):
+    documents = _table(spark, sf_dir, "documents")
+    return quality.score(documents, quality.train(documents, _table(spark, sf_dir, "labels")))
+
+
 def op3_top_k(spark, sf_dir):
     return top_k(whole_vectors(_table(spark, sf_dir, "embeddings")), F.col("vec_id") % 50 == 0, k=5)
 
@@ -47,6 +53,11 @@ def op7_exact_dedup(spark, sf_dir):
     return dedup(_table(spark, sf_dir, "documents")).drop("row")
 
 
+def op8_toxicity(spark, sf_dir):
+    documents = _table(spark, sf_dir, "documents")
+    return toxicity.score(documents, toxicity.train(documents, _table(spark, sf_dir, "labels")))
+
+
 def op9_shard(spark, sf_dir):
     return shard(_table(spark, sf_dir, "documents"))
 
