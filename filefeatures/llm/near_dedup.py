@@ -3,11 +3,12 @@
 1. Every text becomes the set of its word shingles. Equal sets become one node, before anything else: copies of a text,
    however many, cost one row each from here on.
 2. Nodes that agree in all slots of a band share a bucket. The sets of all nodes with company are made once.
-3. Buckets are linked star by star: every member with the bucket's first member, then every member with the first member
-   that was not linked to that one. Each star is as many rows as the bucket has members, and joins most of a group.
-4. What is still apart inside a bucket is compared in blocks: signatures first, then the sets of the pairs whose
-   signatures leave a link possible. So a link is missed only if no band agrees or the estimate is off by more than six
-   standard deviations. A link that joins parts already joined is not looked for: it changes no component.
+3. Every member of a bucket is compared with the bucket's first member: as many pairs as there are members.
+4. What is still apart inside a bucket is compared in blocks by signature. Each member's few most similar partners in other
+   components have their sets compared and the components are joined; this is repeated with more partners, and at last
+   with every partner that the signatures leave possible. So a group of thousands of near copies is joined by few pairs
+   each, and the last round finds little apart. A link is missed only if no band agrees or if the estimate is off by more
+   than six standard deviations; one inside a component is not looked for, as it changes nothing.
 
 Every pair counts as linked only after its whole sets were compared.
 """
@@ -32,6 +33,7 @@ MIN_PERCENT = 80
 SLOTS = 160
 BANDS = 32
 BLOCK_ROWS = 1024
+PARTNERS = (2, 16, None)  # the last round takes all
 
 SKETCH = T.StructType(
     [
@@ -110,33 +112,27 @@ def _with_component(members: DataFrame, links: DataFrame) -> DataFrame:
     return members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
 
-def _second_star(members: DataFrame) -> DataFrame:
-    """Pairs of each member with the first member that is apart from the bucket's first one."""
-    first = members.groupBy("key").agg(F.min(F.struct("node", "component")).alias("first"))
-    apart = members.join(first, "key").where(F.col("component") != F.col("first.component"))
-    second = apart.groupBy("key").agg(F.min(F.struct("node", "component")).alias("second"))
-    return (
-        members.join(second, "key")
-        .where((F.col("component") != F.col("second.component")) & (F.col("node") != F.col("second.node")))
-        .select(F.col("node").alias("a"), F.col("second.node").alias("b"))
-    )
-
-
-def _blocks(slots: int, percent: int):
-    """Compares the members of one block of a bucket, or of two: rows sorted by (key, i, j), in any number of batches."""
+def _blocks(slots: int, percent: int, partners: int | None):
+    """Compares the members of one block of a bucket, or of two: rows sorted by (key, i, j), in any number of batches.
+    Gives each member's most similar partners in other components, or all that may be linked."""
     least = percent / 100 - 6 * math.sqrt(percent / 100 * (1 - percent / 100) / slots)
 
     def compare(rows: list[pa.RecordBatch]):
         table = pa.Table.from_batches(rows)
         node, size, part, chunk, i, j = (table.column(c).to_numpy() for c in ("node", "size", "component", "chunk", "i", "j"))
         slot = np.frombuffer(b"".join(table.column("slots").to_pylist()), np.uint16).reshape(len(node), slots)
-        for x in np.flatnonzero(chunk == i):
-            others = np.flatnonzero((chunk == j) & (part != part[x]) & ((i != j) | (node > node[x])))
+        for x in range(len(node)):
+            facing = chunk != chunk[x] if i[0] != j[0] else np.ones(len(node), bool)
+            others = np.flatnonzero(facing & (part != part[x]))
             small, large = np.minimum(size[others], size[x]), np.maximum(size[others], size[x])
             others = others[100 * small >= percent * large]
-            others = others[(slot[others] == slot[x]).mean(axis=1) >= least]
+            alike = (slot[others] == slot[x]).mean(axis=1)
+            others, alike = others[alike >= least], alike[alike >= least]
+            if partners is not None and len(others) > partners:
+                others = others[np.lexsort((node[others], -alike))[:partners]]
             if len(others):
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(others), node[x])), pa.array(node[others])], names=["a", "b"])
+                a, b = np.minimum(node[others], node[x]), np.maximum(node[others], node[x])
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
     def run(batches):
         open_, key = [], None
@@ -158,8 +154,8 @@ def _blocks(slots: int, percent: int):
     return run
 
 
-def _apart(members: DataFrame, sets: DataFrame, slots: int, percent: int, block_rows: int) -> DataFrame:
-    """Pairs of bucket members in different components that the signatures do not rule out."""
+def _apart(members: DataFrame, sets: DataFrame, slots: int, percent: int, block_rows: int, partners: int | None) -> DataFrame:
+    """Pairs of bucket members in different components that the signatures do not rule out, the likeliest of each member."""
     buckets = members.groupBy("key").agg(
         F.count("*").alias("rows"),
         F.min("component").alias("low"),
@@ -170,13 +166,13 @@ def _apart(members: DataFrame, sets: DataFrame, slots: int, percent: int, block_
     buckets = buckets.where("low <> high").groupBy("rows", "who").agg(F.min("key").alias("key"))
     buckets = buckets.select("key", F.ceil(F.col("rows") / block_rows).cast("int").alias("chunks"))
     rows = members.join(buckets, "key").withColumn("chunk", F.expr("int(pmod(xxhash64(node, 7), chunks))"))
-    partners = F.transform(
+    blocks_of = F.transform(
         F.sequence(F.lit(0), F.col("chunks") - 1),
         lambda other: F.struct(F.least("chunk", other).alias("i"), F.greatest("chunk", other).alias("j")),
     )
-    rows = rows.select("key", "node", "component", "chunk", F.explode(partners).alias("pair")).select("*", "pair.i", "pair.j").drop("pair")
+    rows = rows.select("key", "node", "component", "chunk", F.explode(blocks_of).alias("pair")).select("*", "pair.i", "pair.j").drop("pair")
     rows = rows.join(sets.select("node", "size", "slots"), "node")
-    return rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_blocks(slots, percent), "a long, b long")
+    return rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_blocks(slots, percent, partners), "a long, b long")
 
 
 def near_dedup(
@@ -210,10 +206,12 @@ def near_dedup(
     pairs = members.where("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b"))
     links = stage(_linked(pairs, sets, min_percent), "links")
     members = members.drop("first")
-    now = stage(_with_component(members, links), "joined")
-    links = links.unionByName(stage(_linked(_second_star(now), sets, min_percent), "links"))
-    now = stage(_with_component(members, links), "joined")
-    links = links.unionByName(stage(_linked(_apart(now, sets, slots, min_percent, block_rows), sets, min_percent), "links"))
+    for partners in PARTNERS:
+        now = stage(_with_component(members, links), "joined")
+        pairs = stage(_apart(now, sets, slots, min_percent, block_rows, partners).distinct(), "apart")
+        if pairs.isEmpty():
+            break
+        links = links.unionByName(stage(_linked(pairs, sets, min_percent), "links"))
 
     found = classes.join(components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
     found = stage(found, "found")
