@@ -1,13 +1,70 @@
-"""A training-corpus pipeline: quality, toxicity, exact copies, near copies, packing. Each stage calls one operator."""
+"""A training-corpus pipeline: quality, toxicity, exact copies, near copies, packing. Each stage calls one operator.
+
+Every stage works on all that the one before it kept, written as Parquet and read again; all but the last return the
+columns of documents.
+"""
 
 from __future__ import annotations
 
-STAGES = []
-ORACLE_SQL = None  # trained models and a tokenizer decide
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+
+from filefeatures.llm import quality, toxicity
+from filefeatures.llm.exact_dedup import keep_first
+from filefeatures.llm.near_dedup import keep_one
+from filefeatures.llm.packing import pack
+from filefeatures.session import stage
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier scores below its threshold go. It is fitted on labelled documents of the whole table."""
+    return quality.keep_good(docs, quality.train(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")))
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are likelier toxic than not go."""
+    return toxicity.keep_clean(docs, toxicity.train(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")))
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts the one with the largest doc_id stays."""
+    return keep_first(docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies (five words a shingle, similarity 0.8) the one with the smallest doc_id stays."""
+    return keep_one(docs)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """What is left, packed into sequences of at most 2048 tokens."""
+    return pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [
+    ("quality", drop_low_quality),
+    ("toxicity", drop_toxic),
+    ("exact_dedup", drop_copies),
+    ("near_dedup", drop_near_copies),
+    ("packing", pack_sequences),
+]
+# Trained models and a tokenizer decide, which SQL cannot express; tests hold the stages against plain versions.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    for name, function in STAGES[:-1]:
+        docs = stage(function(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
 
 
 def queries():
-    return {}
+    return {"pipeline": run}
 
 
 def oracle_sql():
