@@ -127,7 +127,7 @@ def _search(k: int, width: int, row_block: int, step: int):
                 asked = int(pc.sum(own.column("is_query")).as_py() or 0)  # they sort before the rows
                 if asked:
                     queries.append(own.slice(0, asked))
-                if asked < own.num_rows:
+                if asked < own.num_rows and (queries or best):  # a small block may have got no query
                     if best is None:
                         both = pa.Table.from_batches(queries)
                         matrix = _matrix(both.column("vector").combine_chunks(), width)

@@ -1,0 +1,229 @@
+"""Quality, toxicity, language model and page text against brute force, held-out accuracy and known pages."""
+
+import html
+import math
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from edge import ROWS, SF_DIR
+
+from filefeatures.llm import quality, toxicity
+from filefeatures.llm.ctw import BITS, Tree, estimate
+from filefeatures.llm.html_extract import extract, extract_pages
+from filefeatures.llm.lm_scoring import gram_keys, is_held_out, pack, score, unpack, words_of
+
+
+def held_out(doc_id):
+    return zlib.crc32(str(doc_id).encode()) % 4 == 2
+
+
+def test_trees_separate_and_walk_alike():
+    draw = np.random.default_rng(0)
+    x = draw.normal(size=(3000, 6))
+    y = ((x[:, 0] > 0.3) ^ (x[:, 3] > 0)).astype(float)
+    trees = quality.fit(x[:2000], y[:2000])
+    margins = trees.margins(x)
+    assert ((margins[2000:] > 0) == y[2000:]).mean() > 0.97
+
+    def walk(row):
+        total = trees.start
+        for node in trees.roots:
+            while trees.left[node] != node:
+                node = trees.left[node] if row[trees.feature[node]] <= trees.threshold[node] else trees.right[node]
+            total += trees.value[node]
+        return total
+
+    assert margins[:50] == pytest.approx([walk(row) for row in x[:50]])
+
+
+def test_trees_without_rows_or_with_one_label_are_constant():
+    assert quality.fit(np.empty((0, 30)), np.empty(0)).margins(np.zeros((3, 30))).tolist() == [0, 0, 0]
+    assert len(set(quality.fit(np.random.rand(9, 30), np.ones(9)).margins(np.random.rand(4, 30)))) == 1
+
+
+def test_quality_on_held_out_documents(documents, labels, edge_docs, no_docs):
+    trees = quality.train(documents, labels)
+    truth = {r.doc_id: r.quality for r in labels.collect()}
+    rows = quality.score(documents, trees).collect()
+    assert len(rows) == documents.count() and all(r.held_out == held_out(r.doc_id) for r in rows)
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) for r in rows)
+    unseen = [(r.predicted, truth[r.doc_id]) for r in rows if r.held_out and r.doc_id in truth]
+    assert np.mean([a == b for a, b in unseen]) > 0.95
+    assert quality.score(edge_docs, trees).count() == len(ROWS)
+    empty = {r.score for r in quality.score(edge_docs, trees).collect() if r.doc_id in (1, 2)}
+    assert len(empty) == 1
+    assert quality.keep_good(edge_docs, trees).columns == edge_docs.columns
+    assert quality.score(no_docs, trees).count() == 0
+    predicted = {r.doc_id for r in rows if r.predicted}
+    assert {r.doc_id for r in quality.keep_good(documents, trees).select("doc_id").collect()} == predicted
+
+
+def test_models_without_labels_are_constant(spark, documents, labels):
+    none = labels.where("doc_id < 0")
+    assert len({r.score for r in quality.score(documents.limit(20), quality.train(documents, none)).collect()}) == 1
+    assert len({r.p_toxic for r in toxicity.score(documents.limit(20), toxicity.train(documents, none)).collect()}) == 1
+
+
+def test_toxicity_on_held_out_documents(spark, edge_docs, no_docs):
+    sf_dir = SF_DIR.replace("0.01", "0.1")
+    documents, labels = (spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in ("documents", "labels"))
+    model = toxicity.train(documents, labels)
+    truth = {r.doc_id: r.toxic for r in labels.collect()}
+    rows = toxicity.score(documents, model).collect()
+    unseen = [(r.toxic, truth[r.doc_id] == 1) for r in rows if r.held_out and r.doc_id in truth]
+    assert np.mean([toxic for toxic, label in unseen if label]) > 0.88
+    assert np.mean([toxic for toxic, label in unseen if not label]) < 0.01
+    assert (np.diff(model.thresholds) > 0).all()
+    assert all(0 <= r.expected_severity <= toxicity.GRADES and r.toxic == (r.p_toxic >= 0.5) for r in rows)
+    assert toxicity.score(edge_docs, model).count() == len(ROWS) and toxicity.score(no_docs, model).count() == 0
+    assert toxicity.keep_clean(edge_docs, model).columns == edge_docs.columns
+    clean = {r.doc_id for r in rows if not r.toxic}
+    assert {r.doc_id for r in toxicity.keep_clean(documents, model).select("doc_id").collect()} == clean
+
+
+def test_ordinal_fit_orders_severity():
+    rows = [np.arange(k) for k in (0, 0, 0, 1, 2, 3, 4, 5) for _ in range(30)]
+    grades = np.repeat([0, 0, 0, 1, 1, 2, 2, 3], 30)
+    model = toxicity.fit(rows, grades, np.arange(5))
+    totals = np.array([model.weights[:k].sum() for k in range(6)])
+    assert (np.diff(totals) > 0).all() and totals[0] < model.thresholds[0] < totals[1]
+
+
+def naive_bits(train, text, depth):
+    """log10 probability of a byte string, by context-tree weighting written out with dictionaries and recursion."""
+    counts = Counter()
+    for data in train:
+        padded = b"\n" * depth + data
+        for at in range(depth, len(padded)):
+            for length in range(depth + 1):
+                for bits in range(BITS):
+                    context, decided = padded[at - length : at], padded[at] >> (BITS - bits)
+                    counts[length, context, bits, decided, padded[at] >> (BITS - 1 - bits) & 1] += 1
+    nodes = {key[:4] for key in counts}
+    ending = {}
+    for node in nodes:
+        if node[0]:
+            ending.setdefault((node[0] - 1, node[1][1:], *node[2:]), []).append(node)
+
+    def log_pe(node):
+        zeros, ones = counts[(*node, 0)], counts[(*node, 1)]
+        return math.lgamma(zeros + 0.5) + math.lgamma(ones + 0.5) - math.log(math.pi) - math.lgamma(zeros + ones + 1)
+
+    def log_pw(node):
+        if node[0] == depth:
+            return log_pe(node)
+        return np.logaddexp(log_pe(node), sum(log_pw(n) for n in ending[node])) - math.log(2)
+
+    total, padded = 0.0, b"\n" * depth + text
+    for at in range(depth, len(padded)):
+        for bits in range(BITS):
+            p, bit = None, padded[at] >> (BITS - 1 - bits) & 1
+            for length in range(depth, -1, -1):
+                node = (length, padded[at - length : at], bits, padded[at] >> (BITS - bits))
+                if node in nodes:
+                    seen = counts[(*node, 0)] + counts[(*node, 1)]
+                    own = (counts[(*node, bit)] + 0.5) / (seen + 1)
+                    share = math.exp(math.log(0.5) + log_pe(node) - log_pw(node))
+                    p = own if p is None else share * own + (1 - share) * p
+            total += math.log10(0.5 if p is None else p)
+    return total
+
+
+@pytest.mark.parametrize("depth", [2, 3])
+def test_scores_equal_the_definition(spark, tmp_path, depth):
+    texts = ["the cat sat on the mat", "The dog sat", "a cat and a dog", "", None, "zebra über 中", "the the the cat"] * 2
+    rows = list(enumerate(texts))
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(2).write.parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    as_bytes = {d: b" ".join(words_of((t or "").encode())) + b"\n" for d, t in rows}
+    train = [as_bytes[d] for d, _ in rows if not is_held_out(d)]
+    got = {r.doc_id: r for r in score(docs, depth=depth, block_bytes=30, shares=3).collect()}
+    assert len(got) == len(rows) and {r.held_out for r in got.values()} == {False, True}
+    for d in (0, 4, 5, 8, 13):
+        assert got[d].score == pytest.approx(naive_bits(train, as_bytes[d], depth), rel=1e-6)
+
+
+def test_scores_of_the_documents(documents, edge_docs, no_docs):
+    rows = [(r.doc_id, (r.text or "").encode()) for r in documents.collect()]
+    words, train = Counter(), []
+    for doc_id, text in rows:
+        if not is_held_out(doc_id):
+            words.update([*words_of(text), None])
+            train.append(gram_keys(words_of(text), 5))
+    total, distinct = sum(words.values()), len(words)
+    tree = Tree(*np.unique(np.concatenate(train), return_counts=True), 5)
+    got = {r.doc_id: r for r in score(documents).collect()}
+    assert len(got) == len(rows)
+    for doc_id, text in rows[::7]:
+        tokens, row = [*words_of(text), None], got[doc_id]
+        base = sum(math.log10((words[t] + 0.5) / (total + 0.5 * (distinct + 1))) for t in tokens)
+        keys = gram_keys(words_of(text), 5)
+        own = sum(np.log10(np.nan_to_num(tree.bit_probabilities(keys, b), nan=0.5)).sum() for b in range(BITS))
+        assert (row.n_tokens, row.n_known, row.train_tokens) == (len(tokens), sum(words[t] > 0 for t in tokens), total)
+        assert row.base_score == pytest.approx(base) and row.score == pytest.approx(own, rel=1e-6)
+    assert score(edge_docs).count() == len(ROWS) and score(no_docs).count() == 0
+
+
+def test_next_byte_probabilities_add_up_to_one():
+    data = gram_keys(words_of(b"abra cadabra abra banana bandana"), 3)
+    tree = Tree(*np.unique(data, return_counts=True), 3)
+    for context in (data[5] >> 8, data[11] >> 8, 0x717171):
+        every = (context << 8) | np.arange(256)
+        p = np.prod([np.nan_to_num(tree.bit_probabilities(every, b), nan=0.5) for b in range(BITS)], axis=0)
+        assert p.sum() == pytest.approx(1)
+
+
+def test_estimates_and_packing():
+    assert np.exp(estimate(np.array([1, 0, 2]), np.array([0, 0, 1]))) == pytest.approx([0.5, 1, 1 / 16])
+    values = np.array([5, -7, 1 << 40], np.int64)
+    assert (unpack(pack(values), np.int64) == values).all()
+
+
+def page(title, blocks, style):
+    body = "".join(f"<p>{html.escape(b)}" + ("</p>" if style % 2 else "") for b in blocks)
+    article = [f"<article><h1>{title}</h1>{body}</article>", f"<div id='content'><h1>{title}</h1>{body}</div>", f"<main><h1>{title}</h1><section>{body}</section></main>"][style % 3]
+    return (
+        "<!DOCTYPE html><html><head><title>t</title><style>p{}</style><script>var x='</p><p>no';</script></head><body class='has-sidebar'>"
+        "<header><a href=/>Home, sweet, home</a></header><nav><ul><li><a href=a>A</a><li><a href=b>B</a></ul></nav>"
+        f"<!-- <p>no</p> --><div class='cookie-notice'>We, use, cookies, and more, and more.</div>{article}"
+        "<aside>Read, this, too, please, everyone.</aside><form>Name <input></form><div class=ad-box>Buy, buy, buy, buy now!</div>"
+        "<section id='comments'><article class='comment'><p>Nice, really nice, very, very, very good, thanks, bye.</p></article></section>"
+        "<footer>&copy; us</footer></body></html>"
+    )
+
+
+@pytest.mark.parametrize("style", range(6))
+def test_pages_of_several_kinds(style):
+    blocks = ["First, a paragraph with some length & a comma, or two.", "Ünïcode  <b> and\n more,   text.", "Short."]
+    expected = "\n".join(["Title", *(" ".join(b.split()) for b in blocks)])
+    assert extract(page("Title", blocks, style)) == expected
+
+
+@pytest.mark.parametrize(
+    "source, text",
+    [
+        ("", ""),
+        ("only text", "only text"),
+        ("<p>a<p>b", "a\nb"),
+        ("<p title='a>b'>q &eacute;&#x41;&nbsp;z</p>", "q éA z"),
+        ("<script>if (a<b) {}</script>", ""),
+        ("<p>a<br>b</p>", "a b"),
+        ("<div>" * 5000 + "deep, deep", "deep, deep"),
+        ("</i>" * 3 + "<b><i>x</b></i><p>y", "x\ny"),
+        ("<p>a <!-- never closed <p>b", "a"),
+        ("<p>1 < 2 and <", "1 < 2 and <"),
+    ],
+)
+def test_odd_pages(source, text):
+    assert extract(source) == text
+
+
+def test_pages_table(spark):
+    pages = spark.read.parquet(f"{SF_DIR}/pages.parquet")
+    got = extract_pages(pages).collect()
+    assert len(got) == pages.count() and all(r.n_chars == len(r.text) for r in got)
+    odd = spark.createDataFrame([(1, None, None, "x"), (None, "u", "<p>a", "y"), (1, "u", "", "z")], "page_id long, url string, html string, text string")
+    assert sorted((r.page_id or 0, r.text, r.n_chars) for r in extract_pages(odd).collect()) == [(0, "a", 1), (1, "", 0), (1, "", 0)]
+    assert extract_pages(odd.where("page_id = 9")).count() == 0
