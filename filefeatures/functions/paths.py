@@ -30,9 +30,16 @@ def decoded(encoded: Column) -> Column:
     return F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
 
 
-def source_file_name() -> Column:
-    """The name of the file a row was read from."""
-    return decoded(F.col("_metadata.file_name"))
+def source_file_name(root: str | None = None) -> Column:
+    """The file a row was read from: its path below `root`, which is its name for a file in that folder.
+
+    Without a root, or outside of it, the name alone.
+    """
+    name = decoded(F.col("_metadata.file_name"))
+    if root is None:
+        return name
+    path, folder = plain_path(decoded(F.col("_metadata.file_path"))), root.rstrip("/") + "/"
+    return F.when(F.startswith(path, F.lit(folder)), F.substring(path, len(folder) + 1, 1 << 30)).otherwise(name)
 
 
 def file_route(path: Column, in_pattern: str = IN_PATTERN, out_pattern: str = OUT_PATTERN) -> Column:

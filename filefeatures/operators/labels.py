@@ -59,7 +59,10 @@ def fit_labels(
     shared scratch folder, and everything after that works on one row per distinct label.
     """
     label = F.col(quoted(column)).cast("string").alias("label")
-    counts = df.groupBy(*groups, label).agg(F.count(F.lit(1)).alias("rows"))
+    group_columns = [F.col(quoted(name)) for name in groups]
+    if {"label", "rows", "idx", "n", "part"} & {name.lower() for name in groups}:
+        raise ValueError(f"rename the group columns {list(groups)}: label, rows, idx, n and part are columns of the result")
+    counts = df.groupBy(*group_columns, label).agg(F.count(F.lit(1)).alias("rows"))
     size = _measured(stage(counts, "labels"), groups)
     if size.table_rows <= one_window_labels:
         table = _rank_in_one_window(size.table, groups)
@@ -73,6 +76,7 @@ def _falling_frequency() -> list[Column]:
 
 
 def _rank_in_one_window(counts: DataFrame, groups: Sequence[str]) -> DataFrame:
+    groups = [F.col(quoted(name)) for name in groups]
     group = Window.partitionBy(*groups)
     position = F.row_number().over(group.orderBy(*_falling_frequency())) - 1
     return counts.select(
@@ -90,12 +94,13 @@ def _rank_by_ranges(counts: DataFrame, groups: Sequence[str], ranges: int) -> Da
     The ranges are written with their number before it is used: range bounds come from a sample and
     could differ if they were computed twice.
     """
-    order = [*groups, *_falling_frequency()]
+    columns = [F.col(quoted(name)) for name in groups]
+    order = [*columns, *_falling_frequency()]
     ranged = stage(
         counts.repartitionByRange(ranges, *order).withColumn("part", F.spark_partition_id()), "label-ranges"
     )
     group_keys = [f"_g{i}" for i in range(len(groups))]
-    ranged = ranged.withColumns({key: key_part(F.col(name)) for key, name in zip(group_keys, groups)})
+    ranged = ranged.withColumns({key: key_part(column) for key, column in zip(group_keys, columns)})
 
     # One row per (group, range): ranges are contiguous, so there are at most groups + ranges of them,
     # and a single group has at most one per range.
@@ -112,7 +117,7 @@ def _rank_by_ranges(counts: DataFrame, groups: Sequence[str], ranges: int) -> Da
     position = F.col("_before") + F.col("_position") - 1
     ranked = ranged.withColumn("_position", F.row_number().over(inside)).join(spans, [*group_keys, "part"])
     index = F.when(F.col("label").isNotNull(), position.cast("int")).alias("idx")
-    return stage(ranked.select(*groups, "label", index, "n", "rows"), "ranked-labels")
+    return stage(ranked.select(*columns, "label", index, "n", "rows"), "ranked-labels")
 
 
 def one_hot_text(n: Column, idx: Column) -> Column:
@@ -183,6 +188,15 @@ def encode(df: DataFrame, model: LabelModel, column: str, out: str, **limits: ob
     return indexed.withColumn(out, one_hot_text(F.col("_n"), F.col("_idx"))).drop("_idx", "_n")
 
 
-def fit_and_encode(df: DataFrame, column: str, out: str, *, groups: Sequence[str] = (), **limits: object):
+def fit_and_encode(
+    df: DataFrame,
+    column: str,
+    out: str,
+    *,
+    groups: Sequence[str] = (),
+    one_window_labels: int = ONE_WINDOW_LABELS,
+    **limits: object,
+):
     """Fit on these rows and encode the same rows; with `groups`, each group has labels of its own."""
-    return encode(df, fit_labels(df, column, groups=groups), column, out, fitted_here=True, **limits)
+    model = fit_labels(df, column, groups=groups, one_window_labels=one_window_labels)
+    return encode(df, model, column, out, fitted_here=True, **limits)

@@ -25,8 +25,12 @@ def score_linear(df: DataFrame, weights: Mapping[str, float], intercept: float,
 
 
 def as_numbers(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Turn columns into doubles; text that is no number becomes NULL."""
-    return df.withColumns({name: F.col(quoted(name)).try_cast("double") for name in names})
+    """Add columns as doubles under the names a model takes; text that is no number becomes NULL."""
+    return df.withColumns({number(name): F.col(quoted(name)).try_cast("double") for name in names})
+
+
+def number(name: str) -> str:
+    return f"_number:{name}"
 
 
 def train_linear(
@@ -39,23 +43,26 @@ def train_linear(
 ) -> PipelineModel:
     """Fit a linear model on the rows that have the target and all numbers.
 
-    `category` is a label index from `with_label_index`, with the number of labels in place of NULL (the
-    extra bucket, an all-zero vector). So the label list never passes through the driver.
+    `category` is a label index from `with_label_index` that says in its metadata how many values it has; the last
+    of them, for NULL and unseen labels, is an all-zero vector. So the label list never passes through the driver.
     """
-    known = as_numbers(df, [target, *numeric]).dropna(subset=[target, *numeric])
-    inputs, stages = list(numeric), []
+    known = as_numbers(df, [target, *numeric]).dropna(subset=[number(name) for name in (target, *numeric)])
+    inputs, stages = [number(name) for name in numeric], []
     if category:
-        stages.append(OneHotEncoder(inputCol=category, outputCol="_category", handleInvalid="keep"))
+        stages.append(OneHotEncoder(inputCol=category, outputCol="_category", dropLast=True))
         inputs.append("_category")
     stages.append(VectorAssembler(inputCols=inputs, outputCol="_features", handleInvalid="keep"))
-    stages.append(LinearRegression(featuresCol="_features", labelCol=target, regParam=reg_param))
+    stages.append(LinearRegression(featuresCol="_features", labelCol=number(target), regParam=reg_param))
     return Pipeline(stages=stages).fit(known)
 
 
-def score_model(df: DataFrame, model: PipelineModel | str) -> DataFrame:
-    """Add the `prediction` of a fitted pipeline, or of one stored at a path; vector columns are dropped.
+def score_model(df: DataFrame, model: PipelineModel | str, numeric: Sequence[str]) -> DataFrame:
+    """Add the `prediction` of a fitted pipeline, or of one stored at a path; all other columns stay as they are.
 
-    Every row stays: a missing number gives NaN.
+    Every row stays; one that lacks a number has no prediction.
     """
     fitted = PipelineModel.load(model) if isinstance(model, str) else model
-    return fitted.transform(df).drop("_category", "_features")
+    numbers = [F.col(quoted(number(name))) for name in numeric]
+    complete = reduce(lambda left, right: left & right, [n.isNotNull() for n in numbers], F.lit(True))
+    scored = fitted.transform(as_numbers(df, numeric)).withColumn("prediction", F.when(complete, F.col("prediction")))
+    return scored.drop("_category", "_features", *[number(name) for name in numeric])

@@ -9,6 +9,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from filefeatures.problems import FileProblem
+
 log = logging.getLogger(__name__)
 
 
@@ -33,7 +35,7 @@ def select_wanted(df: DataFrame, wanted: Iterable[str]) -> DataFrame:
     """Keep the wanted columns that exist, in wanted order and spelling."""
     found = match_columns(df.columns, wanted)
     if not found:
-        raise ValueError(f"none of the wanted columns is in the input: {df.columns}")
+        raise FileProblem(f"none of the wanted columns is in the input: {df.columns}")
     return df.select(*[F.col(quoted(have)).alias(name) for name, have in found.items()])
 
 

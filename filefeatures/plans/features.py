@@ -10,14 +10,17 @@ from pyspark.sql import functions as F
 
 from filefeatures import contracts
 from filefeatures.functions.text import keyword_flags, labelled_number, marker_count
-from filefeatures.operators.labels import BROADCAST_LABELS, LabelModel, encode, fit_labels, with_label_index
-from filefeatures.operators.scoring import as_numbers, score_model, train_linear
+from filefeatures.operators.labels import LabelModel, encode, fit_labels, with_label_index
+from filefeatures.operators.scoring import score_model, train_linear
 from filefeatures.operators.select import Derivation, derive_if_present, match_columns, select_wanted
+from filefeatures.problems import FileProblem
 from filefeatures.session import scratch_scope, stage
 from filefeatures.sinks.csv import dump_features, write_by_source, write_model_input
-from filefeatures.sources.csv import glob_literal, read_by_header
+from filefeatures.sources.csv import files_read, glob_literal, read_by_header
 
 CATEGORY_BUCKET = "_category_bucket"
+# A linear model holds one coefficient per category on the driver and sends them to the tasks in each step.
+MAX_CATEGORIES = 100_000
 
 
 def _payment_flags(source: Column) -> dict[str, Column]:
@@ -52,7 +55,7 @@ def derive_and_project(
     derived, new = derive_if_present(df, derivations)
     found = [name for name in match_columns(derived.columns, wanted) if name not in new]
     if not found:
-        raise ValueError(f"none of the wanted columns is in the input: {df.columns}")
+        raise FileProblem(f"none of the wanted columns is in the input: {df.columns}")
     return select_wanted(derived, [*found, *new, *keep])
 
 
@@ -72,17 +75,20 @@ def run_features(
     score: Callable[[DataFrame], DataFrame] | None = None,
     multiline: bool | None = None,
     glob: str | None = "*.csv",
+    root: str | None = None,
 ) -> DataFrame:
     """Read files, write `out/preprocessed`, `out/model-input` and, with a scorer, `out/predictions`.
 
     The CSV text is parsed once: features are staged as parquet in the shared scratch folder, and the
     label fit and all the writes read that. Labels come from a stored model, from each file alone
     (`per_file`), or from all the files of this run. Gives the encoded features.
+
+    A file is its path below `root` (see `read_by_header`): per-file labels and output folders follow that. The
+    folder of a file that has no row any more is removed.
     """
-    rows = read_by_header(spark, paths, multiline=multiline, glob=glob)
+    rows = read_by_header(spark, paths, multiline=multiline, glob=glob, root=root)
     features = stage(listing_features(rows, id_column, keep=[contracts.SOURCE_FILE]))
 
-    clustered = True
     category = match_columns(features.columns, [contracts.CATEGORY_COLUMN])
     if category:
         groups = [contracts.SOURCE_FILE] if per_file else []
@@ -94,26 +100,30 @@ def run_features(
             contracts.CATEGORY_VECTOR,
             fitted_here=model is not labels,
         )
-        clustered = model.table_rows <= BROADCAST_LABELS
     last = [c for c in features.columns if c != contracts.SOURCE_FILE] + [contracts.SOURCE_FILE]
-    features = select_wanted(features, last)
-    if not clustered:
-        features = stage(features)
+    # Laid out by source once, for all the writes.
+    features = stage(select_wanted(features, last).hint("rebalance", F.col(contracts.SOURCE_FILE)))
 
-    dump_features(features, f"{out}/preprocessed", clustered=clustered)
-    write_model_input(features, f"{out}/model-input", clustered=clustered)
+    how = {"clustered": True, "sources": files_read(spark, paths, glob, root)}
+    dump_features(features, f"{out}/preprocessed", **how)
+    write_model_input(features, f"{out}/model-input", **how)
     if score:
-        write_by_source(score(features), f"{out}/predictions", header=True, clustered=clustered)
+        write_by_source(score(features), f"{out}/predictions", header=True, sources=how["sources"])
     return features
 
 
-def features_handler(spark: SparkSession, out: str, **options: object) -> Callable[[Sequence[str], int], None]:
+def features_handler(
+    spark: SparkSession, out: str, root: str | None = None, **options: object
+) -> Callable[[Sequence[str], int], None]:
     """`run_features` as a handler for `watch_files`; a repeated batch replaces what it wrote before.
 
+    `root` is the folder that files are named below; without it, the folder that the files of a batch share.
+
     Without a stored label model each file gets labels of its own, so that the features of a file do not
     depend on the files it happens to arrive with.
     """
     options.setdefault("per_file", options.get("labels") is None)
+    options.setdefault("root", root)
 
     def handle(paths: Sequence[str], batch_id: int) -> None:
         with scratch_scope(spark):
@@ -138,12 +148,18 @@ def train_on_target(
 
 
 def with_category_bucket(features: DataFrame, labels: LabelModel) -> DataFrame:
-    """The category's index, with the number of labels for a NULL or unseen one."""
+    """The category's index, with the number of labels for a NULL or unseen one.
+
+    The column says how many values it can have, so a model's width does not depend on whether NULL occurs.
+    """
+    if labels.labels > MAX_CATEGORIES:
+        raise ValueError(f"{labels.labels} categories, but a linear model takes at most {MAX_CATEGORIES}: group rare ones before")
     indexed = with_label_index(features, labels, contracts.CATEGORY_COLUMN)
-    return indexed.withColumn(CATEGORY_BUCKET, F.coalesce("_idx", F.col("_n").cast("int"))).drop("_idx", "_n")
+    values = {"ml_attr": {"type": "nominal", "num_vals": labels.labels + 1}}
+    bucket = F.coalesce("_idx", F.lit(labels.labels)).cast("double").alias(CATEGORY_BUCKET, metadata=values)
+    return indexed.select("*", bucket).drop("_idx", "_n")
 
 
 def score_target(features: DataFrame, labels: LabelModel, numeric: Sequence[str], folder: str) -> DataFrame:
     """Add the prediction of a model stored by `train_on_target`."""
-    rows = as_numbers(with_category_bucket(features, labels), numeric)
-    return score_model(rows, folder).drop(CATEGORY_BUCKET)
+    return score_model(with_category_bucket(features, labels), folder, numeric).drop(CATEGORY_BUCKET)

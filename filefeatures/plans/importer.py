@@ -9,15 +9,22 @@ from pyspark.sql import DataFrame, SparkSession
 from filefeatures.contracts import IMPORT_COLUMNS
 from filefeatures.operators.select import add_constant, select_strict
 from filefeatures.sinks.csv import write_csv
-from filefeatures.sources.csv import read_inferred
+from filefeatures.sources.csv import read_csv, read_inferred
 
 
 def import_rows(df: DataFrame, columns: Iterable[str] = IMPORT_COLUMNS) -> DataFrame:
     return add_constant(select_strict(df, columns), "PurchaseComplete", 1)
 
 
-def run_import(spark: SparkSession, folder: str, out: str, columns: Iterable[str] = IMPORT_COLUMNS) -> DataFrame:
-    """Import all the CSV files of a folder."""
-    rows = import_rows(read_inferred(spark, folder), columns)
+def run_import(
+    spark: SparkSession,
+    folder: str,
+    out: str,
+    columns: Iterable[str] = IMPORT_COLUMNS,
+    *,
+    multiline: bool | None = None,
+) -> DataFrame:
+    """Import all the CSV files of a folder; gives the rows as written."""
+    rows = import_rows(read_inferred(spark, folder, multiline=multiline), columns)
     write_csv(rows, out)
-    return rows
+    return read_csv(spark, out, schema=rows.schema)

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,7 +37,7 @@ def scratch_folder(spark: SparkSession, purpose: str) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.gettempdir()
     folder = f"{root.rstrip('/')}/filefeatures-{purpose}-{uuid.uuid4()}"
@@ -56,10 +59,14 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _folders_in_scope.reset(token)
-        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
         for folder in made:
-            path = hadoop.Path(folder)
-            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+            delete_folder(spark, folder)
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    """Remove a folder in whatever store it is; PySpark has no call for that but Hadoop's own."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, purpose: str = "staged") -> DataFrame:
@@ -71,3 +78,16 @@ def stage(df: DataFrame, purpose: str = "staged") -> DataFrame:
     folder = scratch_folder(df.sparkSession, purpose)
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let the Python workers import this package wherever it lies on the driver; once per application."""
+    application = spark.sparkContext.applicationId
+    if application not in _shipped:
+        _shipped.add(application)
+        package = Path(__file__).resolve().parent
+        archive = f"{tempfile.mkdtemp()}/{package.name}"
+        spark.sparkContext.addPyFile(shutil.make_archive(archive, "zip", package.parent, package.name))

@@ -2,24 +2,23 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from filefeatures.contracts import CSV_OPTIONS, SOURCE_FILE
-
-# A single output file is written by one task, so it is only for small results.
-SINGLE_FILE_ROWS = 1_000_000
-
+from filefeatures.session import delete_folder, scratch_scope, stage
 
 def write_csv(df: DataFrame, path: str, *, header: bool = True, quote_all: bool = False, mode: str = "error"):
     df.write.options(**CSV_OPTIONS, header=header, quoteAll=quote_all).mode(mode).csv(path)
 
 
 def write_single_csv(df: DataFrame, path: str, *, quote_all: bool = False, mode: str = "error") -> None:
-    """One part file, with one header; refused when the result is not small."""
-    if df.count() > SINGLE_FILE_ROWS:
-        raise ValueError(f"more than {SINGLE_FILE_ROWS} rows: write them in parallel with write_csv")
-    write_csv(df.repartition(1), path, quote_all=quote_all, mode=mode)
+    """One part file, with one header. One task writes it, so it is for results that one machine's disk holds; the rows
+    are computed in parallel and staged before."""
+    with scratch_scope(df.sparkSession):
+        write_csv(stage(df).coalesce(1), path, quote_all=quote_all, mode=mode)
 
 
 def write_by_source(
@@ -30,11 +29,13 @@ def write_by_source(
     header: bool = False,
     quote_all: bool = False,
     clustered: bool = False,
+    sources: DataFrame | None = None,
 ) -> None:
     """One folder per source, named after it; a rerun replaces the folders of the sources it holds.
 
     Rows that are not yet clustered by source are rebalanced: adaptive execution packs small sources
-    together and splits a large one over many tasks. Rows straight from a file scan are clustered.
+    together and splits a large one over many tasks. `clustered` says that this was done before.
+    `sources` (one column, `by`) are all the sources that were read: those that gave no row lose their folder.
     """
     rows = df if clustered else df.hint("rebalance", F.col(by))
     (
@@ -44,13 +45,21 @@ def write_by_source(
         .partitionBy(by)
         .csv(path)
     )
+    if sources is not None:
+        for row in sources.select(by).distinct().join(df.select(by).distinct(), by, "left_anti").toLocalIterator():
+            delete_folder(df.sparkSession, f"{path}/{by}={escaped(row[0])}")
+
+
+def escaped(value: str) -> str:
+    """A value as Spark writes it into a folder's name."""
+    return re.sub(r"[\x00-\x1f\"#%'*/:=?\\\x7f{\[\]^]", lambda found: f"%{ord(found[0]):02X}", value)
 
 
-def dump_features(df: DataFrame, path: str, *, clustered: bool = False) -> None:
+def dump_features(df: DataFrame, path: str, **how: object) -> None:
     """Features for a human eye: header, every value quoted, one folder per source file."""
-    write_by_source(df, path, header=True, quote_all=True, clustered=clustered)
+    write_by_source(df, path, header=True, quote_all=True, **how)
 
 
-def write_model_input(df: DataFrame, path: str, *, clustered: bool = False) -> None:
+def write_model_input(df: DataFrame, path: str, **how: object) -> None:
     """Features for a model: no header, one folder per source file."""
-    write_by_source(df, path, header=False, clustered=clustered)
+    write_by_source(df, path, header=False, **how)

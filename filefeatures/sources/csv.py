@@ -14,17 +14,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from filefeatures.contracts import CSV_OPTIONS, SOURCE_FILE, TEXT_COLUMNS
-from filefeatures.functions.paths import source_file_name
+from filefeatures.functions.paths import decoded, plain_path, source_file_name
 from filefeatures.operators.select import quoted
+from filefeatures.problems import FileProblem, NoHeader
 from filefeatures.session import stage
-from filefeatures.sources.spanning import odd_quotes, read_spanning
 
 CORRUPT = "_corrupt_record"
 
-# A file with line breaks inside quotes is read by one task up to this size.
-LARGE_BYTES = 256 * 1024 * 1024
-
-
 def _reader(spark: SparkSession, *, multiline: bool, glob: str | None = None, **options: object):
     reader = spark.read.options(**CSV_OPTIONS, multiLine=multiline, **options)
     return reader.option("pathGlobFilter", glob) if glob else reader
@@ -40,6 +36,7 @@ def read_csv(
     glob: str | None = "*.csv",
     check_header: bool = True,
     source_file: bool = False,
+    root: str | None = None,
 ) -> DataFrame:
     """All files of a folder that have one and the same header; every column is text without a schema.
 
@@ -52,7 +49,11 @@ def read_csv(
     if schema is not None:
         reader = reader.schema(schema)
     df = reader.csv(paths)
-    return df.select("*", source_file_name().alias(SOURCE_FILE)) if source_file else df
+    if not source_file:
+        return df
+    if any(name.lower() == SOURCE_FILE for name in df.columns):
+        raise FileProblem(f"a column of the input is named {SOURCE_FILE}, as the one for the file is")
+    return df.select("*", source_file_name(root).alias(SOURCE_FILE))
 
 
 def read_inferred(
@@ -60,10 +61,15 @@ def read_inferred(
     paths: str | Sequence[str],
     *,
     keep_text: Iterable[str] = TEXT_COLUMNS,
-    multiline: bool = True,
+    multiline: bool | None = None,
     glob: str | None = "*.csv",
 ) -> DataFrame:
-    """All files of a folder with inferred types, but code-like columns stay text."""
+    """All files of a folder with inferred types, but code-like columns stay text.
+
+    With `multiline=None` the files are looked at, and read in splits unless a quoted value may hold a line break.
+    """
+    if multiline is None:
+        multiline = not file_headers(spark, paths, glob).where("spans").isEmpty()
     inferred = _reader(spark, multiline=multiline, glob=glob, header=True, inferSchema=True).csv(paths).schema
     text = {name.lower() for name in keep_text}
     schema = T.StructType(
@@ -106,28 +112,38 @@ def read_checked(
     return split_checked(stage(rows))
 
 
+def may_span(line: Column) -> Column:
+    """1 when a quoted value may go on past the end of this line, else 0.
+
+    With quotes only around values, and doubled inside them, that takes an odd number of quotes. A quote elsewhere in
+    an unquoted value makes the count say nothing, so such a line counts too: its file is then read as a whole.
+    """
+    quotes = F.octet_length(line) - F.octet_length(F.replace(line, F.lit('"'), F.lit("")))
+    stray = line.rlike('(?:^|,)[^",]+"')
+    return F.when(F.contains(line, F.lit('"')) & ((quotes % 2 == 1) | stray), 1).otherwise(0)
+
+
 def file_headers(
-    spark: SparkSession, paths: str | Sequence[str], glob: str | None = "*.csv", *, count_quotes: bool = True
+    spark: SparkSession, paths: str | Sequence[str], glob: str | None = "*.csv", *, look_for_breaks: bool = True
 ) -> DataFrame:
-    """One row per file: its path as the file source encodes it, first line that is not blank, size, `spans`.
+    """One row per file: its path as the file source encodes it, first line that is not blank, `spans`.
 
-    `spans` says whether a quoted value holds a line break, which only a look at every line can tell. The
+    `spans` says whether a quoted value may hold a line break, which only a look at every line can tell. The
     text is split, lines are combined before the shuffle, and one row per file and task is shuffled.
     """
     reader = spark.read.option("pathGlobFilter", glob) if glob else spark.read
     lines = reader.text(paths).select(
         "value",
         F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_size").alias("bytes"),
         F.col("_metadata.file_block_start").alias("start"),
         F.monotonically_increasing_id().alias("position"),
     )
-    lines = lines.withColumn("odd", odd_quotes(F.col("value")) if count_quotes else F.lit(0))
+    lines = lines.withColumn("odd", may_span(F.col("value")) if look_for_breaks else F.lit(0))
     first = F.when((F.col("start") == 0) & F.col("value").rlike(r"\S"), F.col("position"))
     # A set keeps the whole aggregation hash-based; with text buffers alone Spark would sort all lines.
     return (
         lines.where("start = 0 OR odd = 1")
-        .groupBy("path", "bytes")
+        .groupBy("path")
         .agg(
             F.min_by("value", first).alias("header"),
             F.array_contains(F.collect_set("odd"), 1).alias("spans"),
@@ -144,7 +160,7 @@ def glob_literal(path: str) -> str:
 def header_names(line: str) -> list[str]:
     """Column names of a header line, named as Spark does: `_c1` for a blank, `A0, A2` for repeats."""
     if line.count('"') % 2:
-        raise ValueError(f"the header has a line break in a name: {line!r}")
+        raise FileProblem(f"the header has a line break in a name: {line!r}")
     raw = next(csv.reader([line.lstrip("\ufeff")]))
     seen = Counter(name.lower() for name in raw)
     return [
@@ -152,55 +168,88 @@ def header_names(line: str) -> list[str]:
     ]
 
 
+def common_folder(folders: Sequence[str]) -> str:
+    """The longest path that all of these folders lie below, or are."""
+    parts = [folder.split("/") for folder in folders]
+    shared = 0
+    while all(len(p) > shared and p[shared] == parts[0][shared] for p in parts):
+        shared += 1
+    return "/".join(parts[0][:shared])
+
+
+def files_read(
+    spark: SparkSession, paths: str | Sequence[str], glob: str | None = "*.csv", root: str | None = None
+) -> DataFrame:
+    """The `source_file` of every file that `read_by_header` reads, also of those without a row; no content is read."""
+    files = spark.read.format("binaryFile")
+    files = (files.option("pathGlobFilter", glob) if glob else files).load(paths)
+    path = plain_path(F.col("path"))
+    folder = F.regexp_replace(path, "/[^/]*$", "")
+    if root is None:
+        root = common_folder([row[0] for row in files.select(folder).distinct().collect()] or [""])
+    prefix = root.rstrip("/") + "/"
+    name = F.when(F.startswith(path, F.lit(prefix)), F.substring(path, len(prefix) + 1, 1 << 30)).otherwise(F.regexp_extract(path, "[^/]*$", 0))
+    return files.select(name.alias(SOURCE_FILE))
+
+
 def read_by_header(
     spark: SparkSession,
     paths: str | Sequence[str],
     *,
     multiline: bool | None = None,
     glob: str | None = "*.csv",
-    large_bytes: int = LARGE_BYTES,
+    root: str | None = None,
 ) -> DataFrame:
     """Files whose headers differ in order or in columns, aligned by column name; adds `source_file`.
 
+    `source_file` is the path below `root`, or below the deepest folder that all the files share: the file's
+    name when they lie in one folder, and never the same for two files.
+
     All columns are text; a column that a file lacks is NULL. Files are read in groups of one header, not
     one by one, and a folder of one group is read as a folder. With `multiline=None` each file is looked
-    at: without a line break inside quotes it is read in splits; with one it is read whole, or, when it is
-    large, in splits that are put together. The driver holds file paths, as for any file scan, and no rows.
+    at: without a line break inside quotes it is read in splits, otherwise by Spark's multi-line reader in
+    one task, whatever its size, so the rows do not depend on it. A file with a line break in a column
+    name is read by itself. The driver holds file paths, as for any file scan, and no rows.
     """
-    found = file_headers(spark, paths, glob, count_quotes=multiline is None)
+    found = file_headers(spark, paths, glob, look_for_breaks=multiline is None)
     spans = F.lit(multiline) if multiline is not None else F.col("spans")
-    large = F.lit(multiline is None) & spans & (F.col("bytes") > large_bytes)
-    files = found.select("path", "header", spans.alias("spans"), large.alias("large")).persist()
-    kinds = sorted(map(tuple, files.drop("path").distinct().collect()))
+    broken = F.regexp_count("header", F.lit('"')) % 2 == 1
+    # Only a header that its first line holds whole can be shared by several files.
+    kind = F.struct("header", spans.alias("spans"), F.when(broken, F.col("path")).alias("alone"))
+    folder = F.regexp_replace(plain_path(decoded(F.col("path"))), "/[^/]*$", "")
+    files = found.select("path", kind.alias("kind"), folder.alias("folder")).persist()
+    kinds = sorted((tuple(row.kind) for row in files.select("kind").distinct().collect()), key=str)
     if not kinds:
-        raise FileNotFoundError(f"no file with a header in {paths}")
-    members: list[list[str]] = [[] for _ in kinds]
+        files.unpersist()
+        raise NoHeader(f"no file with a header in {paths}")
+    if root is None:
+        root = common_folder([row.folder for row in files.select("folder").distinct().collect()])
+    members: dict[tuple, list[str]] = {}
     if len(kinds) > 1:
-        same = [
-            F.when((F.col("header") == header) & (F.col("spans") == spanning) & (F.col("large") == is_large), i)
-            for i, (header, spanning, is_large) in enumerate(kinds)
-        ]
-        for path, kind in files.select("path", F.coalesce(*same)).collect():
-            members[kind].append(glob_literal(unquote(path)))
+        for row in files.select("path", "kind").collect():
+            members.setdefault(tuple(row.kind), []).append(glob_literal(unquote(row.path)))
     files.unpersist()
     groups = []
-    for (header, spanning, is_large), member_paths in zip(kinds, members):
-        group, group_glob = (sorted(member_paths), None) if len(kinds) > 1 else (paths, glob)
-        names = header_names(header)
-        schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
-        if is_large:
-            groups.append(read_spanning(spark, group, schema, group_glob))
+    for kind in kinds:
+        header, spanning, alone = kind
+        group, group_glob = (sorted(members[kind]), None) if len(kinds) > 1 else (paths, glob)
+        if alone is None:
+            names = header_names(header)
+            schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
+            checked = names == next(csv.reader([header]))
         else:
-            groups.append(
-                read_csv(
-                    spark,
-                    group,
-                    schema=schema,
-                    multiline=spanning,
-                    glob=group_glob,
-                    check_header=names == next(csv.reader([header])),
-                    source_file=True,
-                )
+            schema, checked, spanning = None, False, True
+        groups.append(
+            read_csv(
+                spark,
+                group,
+                schema=schema,
+                multiline=spanning,
+                glob=group_glob,
+                check_header=checked,
+                source_file=True,
+                root=root,
             )
+        )
     aligned = reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), groups)
     return aligned.select(*[quoted(c) for c in aligned.columns if c != SOURCE_FILE], SOURCE_FILE)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from filefeatures.contracts import IN_PATTERN, OUT_PATTERN
+from filefeatures.problems import is_file_problem
 from filefeatures.sources.listing import LISTING_SCHEMA, describe_files, route_files
 from filefeatures.streaming.rows import for_each_batch
 
@@ -57,8 +58,10 @@ def watch_files(
 ) -> StreamingQuery:
     """Hand every new file to the handler of its route, once; files of no route are skipped and logged.
 
-    When a batch fails, its files are tried one by one. The ones that fail again are written to the
-    `quarantine` folder with the error, and the watch goes on; without that folder the error stops it.
+    When a batch fails by the fault of a file, it is halved until the files at fault are found: about twice the
+    logarithm of the batch in runs per file. These are written to the `quarantine` folder with the error, and
+    the watch goes on. Any other error, such as a store that is down, stops the watch and leaves the checkpoint,
+    so a restart takes the batch again; without a quarantine folder every error does.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
@@ -79,20 +82,22 @@ def _handle_files(
     spark: SparkSession, handler: Handler, paths: list[str], batch: tuple[int, str], quarantine: str | None
 ) -> None:
     batch_id, route = batch
-    try:
-        handler(paths, batch_id)
-        return
-    except Exception:
-        if not quarantine:
-            raise
-        log.exception("batch %s failed, trying its %s files one by one", batch_id, len(paths))
-    failed = []
-    for path in paths:
+
+    def failures(part: list[str]) -> list[tuple[str, str, int, str]]:
         try:
-            handler([path], batch_id)
+            handler(part, batch_id)
+            return []
         except Exception as error:
-            log.exception("put %s into quarantine", path)
-            failed.append((path, str(error), batch_id, route))
+            if not quarantine or not is_file_problem(error):
+                raise
+            if len(part) == 1:
+                log.exception("put %s into quarantine", part[0])
+                return [(part[0], str(error), batch_id, route)]
+        log.warning("batch %s failed, trying its %s files by halves", batch_id, len(part))
+        middle = len(part) // 2
+        return failures(part[:middle]) + failures(part[middle:])
+
+    failed = failures(paths)
     if failed:
         (
             spark.createDataFrame(failed, "path string, error string, batch_id bigint, route string")

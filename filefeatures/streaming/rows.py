@@ -12,11 +12,14 @@ from pyspark.sql.streaming import StreamingQuery
 
 from filefeatures.contracts import CSV_OPTIONS, SOURCE_FILE
 from filefeatures.functions.paths import source_file_name
+from filefeatures.operators.delivery import require_unique
 from filefeatures.operators.lookup import HOT_MIN_ROWS, hot_keys, hot_part, lookup
 from filefeatures.operators.select import quoted
 from filefeatures.session import scratch_scope
 from filefeatures.sources.csv import CHECK_OPTIONS, marked_schema, split_checked
 
+# Files per micro-batch, so that a first run does not take a whole backlog at once.
+FILES_PER_BATCH = 1_000
 POLL = {"processingTime": "5 seconds"}
 
 
@@ -28,7 +31,7 @@ def read_csv_stream(
     header: bool = True,
     multiline: bool = True,
     glob: str = "*.csv",
-    max_files: int | None = None,
+    max_files: int = FILES_PER_BATCH,
     **options: str,
 ) -> DataFrame:
     """New files of a folder as a stream; the schema is part of the contract, nothing is inferred."""
@@ -37,8 +40,7 @@ def read_csv_stream(
     )
     if header:
         reader = reader.option("enforceSchema", False)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
+    reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.option("pathGlobFilter", glob).csv(folder)
 
 
@@ -125,11 +127,12 @@ def append_lookup(
 ) -> StreamingQuery:
     """Left-join each micro-batch to a static table with unique keys and write it as parquet.
 
-    Hot keys are found per batch and answered from a small broadcast; for the rest Spark decides by the
+    Keys that occur twice in the static table are an error. Hot keys are found per batch and answered from a small broadcast; for the rest Spark decides by the
     size of the static table. A batch owns the folder `batch_id=N`, so a repeated batch replaces itself.
     Rows whose key is NULL stay, spread over the tasks, without looked-up columns.
     """
 
+    require_unique(static, keys)
     keyless = " OR ".join(f"{quoted(key)} IS NULL" for key in keys)
 
     def handle(batch: DataFrame, batch_id: int) -> None:

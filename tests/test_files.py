@@ -13,6 +13,7 @@ from filefeatures.operators.labels import fit_labels
 from filefeatures.operators.scoring import score_constant
 from filefeatures.plans.delivery import deliver_predictions, undelivered
 from filefeatures.plans.features import features_handler, run_features
+from filefeatures.problems import FileProblem
 from filefeatures.session import scratch_scope, stage
 from filefeatures.sinks import csv as sink
 from filefeatures.sources.csv import header_names, read_by_header, read_checked, read_csv, read_inferred
@@ -89,7 +90,7 @@ def random_csv(seed, rows=60):
 
 
 @pytest.mark.parametrize("split_bytes", ["128", "134217728"])
-def test_large_files_with_line_breaks_are_read_in_splits(spark, tmp_path, split_bytes):
+def test_line_breaks_inside_quotes_at_any_split_size(spark, tmp_path, split_bytes):
     for seed in range(4):
         (tmp_path / f"f{seed}.csv").write_bytes(random_csv(seed).encode())
     with (tmp_path / "f0.csv").open("r+b") as file:
@@ -103,14 +104,75 @@ def test_large_files_with_line_breaks_are_read_in_splits(spark, tmp_path, split_
     spark.conf.set("spark.sql.files.maxPartitionBytes", split_bytes)
     spark.conf.set("spark.sql.files.openCostInBytes", "1")
     try:
-        for large_bytes in (0, 10**9):
-            rows = read_by_header(spark, str(tmp_path), large_bytes=large_bytes)
-            assert sorted(map(tuple, rows.collect()), key=str) == expected
+        assert sorted(map(tuple, read_by_header(spark, str(tmp_path)).collect()), key=str) == expected
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
+@pytest.mark.parametrize("split_bytes", ["128", "134217728"])
+@pytest.mark.parametrize(
+    "lines",
+    [
+        ['1,5" pipe', "2,b", '3,"two', 'lines"', "4,d"],
+        ['1,5" pipe', *[f"{i},plain" for i in range(20_000)]],
+        ['1,5" x,"open', 'closed"', "2,b,c"],
+        ['1,a 5"', '2,6" b', '3,"x', 'y"'],
+    ],
+)
+def test_stray_quotes_lose_no_rows(spark, tmp_path, lines, split_bytes):
+    put(tmp_path, "a.csv", "A,B,C" if lines[0].count(",") == 2 else "A,B", *lines)
+    whole = sorted(map(tuple, read_csv(spark, str(tmp_path)).collect()), key=str)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split_bytes)
+    try:
+        assert sorted((tuple(r)[:-1] for r in read_by_header(spark, str(tmp_path)).collect()), key=str) == whole
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_a_header_with_a_line_break(spark, tmp_path):
+    put(tmp_path, "a.csv", '"A', 'x",B', "1,2")
+    put(tmp_path, "b.csv", "B", "3")
+    assert [tuple(r) for r in read_by_header(spark, str(tmp_path)).orderBy("B").collect()] == [
+        ("1", "2", "a.csv"),
+        (None, "3", "b.csv"),
+    ]
+
+
+def test_a_file_is_its_path(spark, tmp_path):
+    feed(tmp_path / "in/p1", "a.csv", "x", "x", "y")
+    feed(tmp_path / "in/p2", "a.csv", "y")
+    out = str(tmp_path / "out")
+    for _ in range(2):
+        run_features(spark, str(tmp_path / "in/*"), out, per_file=True, id_column="Listing")
+    got = dump(spark, out + "/preprocessed").collect()
+    assert sorted((r.source_file, r.CategoryVector) for r in got) == [
+        ("p1/a.csv", "2|0|1.0"),
+        ("p1/a.csv", "2|0|1.0"),
+        ("p1/a.csv", "2|1|1.0"),
+        ("p2/a.csv", "1|0|1.0"),
+    ]
+    header = (tmp_path / "in/p1/a.csv").read_text().splitlines()[0]
+    (tmp_path / "in/p1/a.csv").write_text(header + "\n")
+    run_features(spark, str(tmp_path / "in/*"), out, per_file=True, id_column="Listing")
+    assert [r.source_file for r in dump(spark, out + "/preprocessed").collect()] == ["p2/a.csv"]
+
+
+def test_a_column_named_like_the_file_column(spark, tmp_path):
+    put(tmp_path, "a.csv", "A,source_file", "1,2")
+    with pytest.raises(FileProblem, match="source_file"):
+        read_by_header(spark, str(tmp_path))
+
+
+def test_an_import_reads_one_large_file_in_splits(spark, tmp_path):
+    put(tmp_path, "a.csv", "A,B", *[f"{i},b" for i in range(5000)])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        assert read_inferred(spark, str(tmp_path)).rdd.getNumPartitions() > 5
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_a_wrong_header_is_an_error(spark, tmp_path):
     put(tmp_path, "a.csv", "A,B", "1,2")
     put(tmp_path, "b.csv", "B,A", "2,1")
@@ -280,12 +342,59 @@ def test_a_failing_file_goes_to_quarantine(spark, tmp_path):
     assert [path.rsplit("/", 1)[-1] for path in answered] == ["done.csv"]
 
 
-def test_single_file(spark, tmp_path, monkeypatch):
-    sink.write_single_csv(spark.range(100), str(tmp_path / "one"))
+def test_single_file(spark, tmp_path):
+    sink.write_single_csv(spark.range(100).repartition(5), str(tmp_path / "one"))
     assert len(list((tmp_path / "one").glob("*.csv"))) == 1
-    monkeypatch.setattr(sink, "SINGLE_FILE_ROWS", 99)
-    with pytest.raises(ValueError, match="in parallel"):
-        sink.write_single_csv(spark.range(100), str(tmp_path / "two"))
+    assert read_csv(spark, str(tmp_path / "one")).count() == 100
+
+
+def watched(spark, tmp_path, handler, files=40):
+    """Run a watch over files of which the handler decides; gives the paths per handler call."""
+    calls = []
+
+    def on_in(paths, batch_id):
+        calls.append(paths)
+        handler(paths)
+
+    for i in range(files):
+        (tmp_path / "in").mkdir(exist_ok=True)
+        (tmp_path / f"in/f{i}.csv").write_text("A\n1\n")
+    watch_files(
+        spark,
+        str(tmp_path),
+        str(tmp_path) + "-check",
+        on_in=on_in,
+        root=str(tmp_path),
+        quarantine=str(tmp_path) + "-bad",
+        trigger=ONCE,
+    ).awaitTermination()
+    return calls
+
+
+def test_one_bad_file_is_found_by_halves(spark, tmp_path):
+    def handler(paths):
+        if any(path.endswith("/f7.csv") for path in paths):
+            raise FileProblem("bad content")
+
+    calls = watched(spark, tmp_path / "w", handler) if (tmp_path / "w").mkdir() is None else None
+    assert len(calls) <= 1 + 2 * 6
+    assert [r.path.rsplit("/", 1)[-1] for r in spark.read.json(str(tmp_path / "w-bad")).collect()] == ["f7.csv"]
+    handled = {path for paths in calls for path in paths}
+    assert len(handled) == 40
+
+
+def test_an_outage_leaves_the_checkpoint(spark, tmp_path):
+    root = tmp_path / "w"
+    root.mkdir()
+
+    def down(paths):
+        raise OSError("the store is down")
+
+    with pytest.raises(Exception, match="store is down"):
+        watched(spark, root, down)
+    assert not (tmp_path / "w-bad").exists()
+    calls = watched(spark, root, lambda paths: None)
+    assert sum(map(len, calls)) == 40
 
 
 def test_writing_by_source_replaces_only_its_sources(spark, tmp_path):

@@ -1,9 +1,11 @@
+from dataclasses import replace
+
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.sql import functions as F
 
-from filefeatures.operators.delivery import reconcile
+from filefeatures.operators.delivery import join_predictions, reconcile
 from filefeatures.operators.labels import encode, fit_and_encode, fit_labels, load_labels
 from filefeatures.operators.lookup import hot_keys, hot_part, key_part, lookup
 from filefeatures.operators.scoring import score_constant, score_linear
@@ -130,8 +132,9 @@ def test_hot_keys(spark):
     plain, split = lookup(keyed, dim, ["k"], None), lookup(keyed, dim, ["k"], hot)
     assert plain.exceptAll(split).count() == split.exceptAll(plain).count() == 0
     wide = lookup(keyed, dim, ["k"], hot, broadcast_bytes=1)
-    assert "Union" in split._jdf.queryExecution().executedPlan().toString()
-    assert "Union" not in wide._jdf.queryExecution().executedPlan().toString()
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in (split, wide)]
+    assert "_hot" in plans[0] and "_hot" not in plans[1]
+    assert plans[0].count("Range (0, 3000") == plans[1].count("Range (0, 3000")  # the rows are read once
     assert plain.exceptAll(wide).count() == wide.exceptAll(plain).count() == 0
 
 
@@ -165,8 +168,45 @@ def test_train_and_score_on_the_target(spark, tmp_path):
     scored = score_target(features, labels, ["Employee Count"], str(tmp_path / "model"))
     assert scored.count() == len(data)
     known = {(r["Employee Count"], r.Category): r.prediction for r in scored.collect()}
-    assert known[(5.0, "a")] == pytest.approx(15.0) and known[(5.0, "b")] == pytest.approx(25.0)
-    assert (5.0, None) in known and known[(5.0, "new")] == known[(5.0, None)]
+    assert known[("5", "a")] == pytest.approx(15.0) and known[("5", "b")] == pytest.approx(25.0)
+    assert ("5", None) in known and known[("5", "new")] == known[("5", None)]
+    assert known[("x", "a")] is None  # the text stays, and there is no prediction
+
+
+def test_null_categories_do_not_change_the_width_of_a_model(spark, tmp_path):
+    data = [(str(n), c, str(3.0 * n + (10.0 if c == "b" else 0.0))) for n in range(20) for c in ("a", "b")]
+    nulls = [(str(n), None, str(3.0 * n + 4.0)) for n in range(20)]
+    schema = "`Employee Count` string, Category string, sales string"
+    for name, rows_ in (("without", data), ("with", data + nulls)):
+        features = spark.createDataFrame(rows_, schema)
+        labels = fit_labels(features, "Category")
+        model = train_on_target(features, labels, ["Employee Count"], str(tmp_path / name))
+        line = model.stages[-1]
+        assert len(line.coefficients) == 3
+        scored = score_target(features, labels, ["Employee Count"], str(tmp_path / name))
+        assert scored.where("abs(prediction - cast(sales as double)) > 0.01").count() == 0
+    # The bucket of NULL is an all-zero vector: its rows alone give the intercept.
+    assert line.intercept == pytest.approx(4.0, abs=0.01)
+    with pytest.raises(ValueError, match="categories"):
+        labels = replace(labels, labels=10**6)
+        train_on_target(features, labels, ["Employee Count"], str(tmp_path / "never"))
+
+
+def test_group_columns_with_odd_names(spark):
+    df = spark.createDataFrame([("g1", "a"), ("g1", "a"), ("g2", "b")], "`a.b` string, c string")
+    assert {r.v for r in fit_and_encode(df, "c", "v", groups=["a.b"]).collect()} == {"1|0|1.0"}
+    assert {r.v for r in fit_and_encode(df, "c", "v", groups=["a.b"], one_window_labels=1).collect()} == {"1|0|1.0"}
+    with pytest.raises(ValueError, match="rename"):
+        fit_labels(df.withColumnRenamed("a.b", "rows"), "c", groups=["rows"])
+
+
+def test_repeated_prediction_keys_are_an_error(spark):
+    features = spark.createDataFrame([(1, "x"), (2, "y")], "id int, f string")
+    twice = spark.createDataFrame([(1, 0.5), (1, 0.7)], "id int, prediction double")
+    with pytest.raises(ValueError, match="more than one row"):
+        join_predictions(features, twice, ["id"])
+    once = join_predictions(features, twice.limit(1), ["id"])
+    assert once.count() == 2
 
 
 def test_reconcile(spark):
