@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from filefeatures import contracts
-from filefeatures.functions.paths import file_route
+from filefeatures.functions.paths import file_route, without_scheme
 from filefeatures.functions.text import keyword_flags, labelled_number, last_path_segment, marker_count
 from filefeatures.operators.delivery import join_predictions, reconcile
 from filefeatures.operators.labels import (
@@ -36,10 +36,16 @@ from filefeatures.operators.select import (
     select_wanted,
 )
 from filefeatures.plans.delivery import deliver_predictions
-from filefeatures.plans.features import derive_and_project, run_features
+from filefeatures.plans.features import (
+    derive_and_project,
+    features_handler,
+    run_features,
+    score_target,
+    train_on_target,
+)
 from filefeatures.plans.importer import run_import
-from filefeatures.session import scratch_folder, stage
-from filefeatures.sinks.csv import dump_features, write_by_source, write_csv
+from filefeatures.session import scratch_folder, ship_package, stage
+from filefeatures.sinks.csv import write_by_source, write_csv
 from filefeatures.sources.csv import glob_literal, read_by_header, read_checked, read_csv, read_inferred
 from filefeatures.streaming.arrivals import watch_files
 from filefeatures.streaming.rows import append_csv, append_lookup, read_csv_stream
@@ -168,6 +174,19 @@ def q_encode_many_labels(spark, sf_dir):
     return fit_and_encode(orders, "o_custkey", "customer_vector")
 
 
+def q_rank_by_ranges(spark, sf_dir):
+    """Ranking range by range, as for more labels than one window takes."""
+    orders = _table(spark, sf_dir, "orders").select("o_custkey")
+    return fit_labels(orders, "o_custkey", one_window_labels=1000).table.select("label", "idx", "rows")
+
+
+def q_encode_split_join(spark, sf_dir):
+    """Hot labels from a broadcast and the rest by a shuffle, as for a label table that is too large to broadcast."""
+    orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    limits = {"broadcast_labels": 10, "hot_share": 1 / 2000, "hot_min_rows": 100}
+    return fit_and_encode(orders, "o_custkey", "customer_vector", one_window_labels=1000, **limits)
+
+
 def q_one_hot_named_function(spark, sf_dir):
     """The text form called by the name it is registered under."""
     register_one_hot_text(spark)
@@ -186,6 +205,18 @@ def q_csv_quoted_multiline(spark, sf_dir):
     return read_csv(spark, folder, schema=documents.schema)
 
 
+def q_csv_stray_quotes(spark, sf_dir):
+    """Quotes inside unquoted values, and line breaks inside quoted ones, in the same files."""
+    documents, folder = _table(spark, sf_dir, "documents"), scratch_folder(spark, "csv")
+    key, files = F.col("doc_id").cast("string"), 8
+    line = F.concat(key, F.lit(',5" '), F.col("lang"), F.lit(',"line one\n'), F.col("source"), F.lit('"'))
+    lines = documents.select(F.pmod("doc_id", F.lit(files)).alias("file"), F.lit(1).alias("order"), line.alias("value"))
+    headers = spark.range(files).select(F.col("id").alias("file"), F.lit(0).alias("order"), F.lit("id,size,note").alias("value"))
+    every = headers.unionByName(lines).repartition("file").sortWithinPartitions("file", "order")
+    every.drop("order").write.partitionBy("file").text(folder)
+    return read_by_header(spark, f"{folder}/*", glob="*.txt").select("id", "size", "note")
+
+
 def q_csv_folder_glob(spark, sf_dir):
     customer, folder = _table(spark, sf_dir, "customer"), scratch_folder(spark, "csv")
     write_csv(customer, folder)
@@ -196,12 +227,13 @@ def q_csv_folder_glob(spark, sf_dir):
 def q_csv_mixed_headers(spark, sf_dir):
     customer, folder = _table(spark, sf_dir, "customer"), scratch_folder(spark, "csv")
     variants = [
-        (["AUTOMOBILE", "BUILDING"], ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]),
-        (["FURNITURE"], ["c_mktsegment", "c_acctbal", "c_name", "c_custkey", "c_nationkey"]),
-        (["HOUSEHOLD", "MACHINERY"], ["c_nationkey", "c_custkey", "c_mktsegment", "c_name"]),
+        (0, ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]),
+        (1, ["c_mktsegment", "c_acctbal", "c_name", "c_custkey", "c_nationkey"]),
+        (2, ["c_nationkey", "c_custkey", "c_mktsegment", "c_name"]),
     ]
-    for segments, columns in variants:
-        write_csv(customer.where(F.col("c_mktsegment").isin(segments)).select(columns), folder, mode="append")
+    layout = F.when(F.col("c_mktsegment") == "FURNITURE", 1).when(F.col("c_mktsegment").isin("HOUSEHOLD", "MACHINERY"), 2)
+    for number, columns in variants:
+        write_csv(customer.where(F.coalesce(layout, F.lit(0)) == number).select(columns), folder, mode="append")
     rows = read_by_header(spark, folder)
     return rows.select([F.col(field.name).cast(field.dataType) for field in customer.schema])
 
@@ -278,14 +310,50 @@ def q_stream_per_file_features(spark, sf_dir):
     return features.withColumn("page_id", F.col("page_id").cast("bigint"))
 
 
+def _stream_listing_features(spark, root, listings, labels):
+    """The files in `root/in` through the job for arriving files; its dump, read back."""
+    handler = features_handler(spark, f"{root}/out", root=without_scheme(f"{root}/in"), labels=labels, id_column="Listing ID")
+    watch_files(spark, root, f"{root}-checkpoint", on_in=handler, root=without_scheme(root), max_files=2, trigger=ONCE).awaitTermination()
+    rows = read_csv(spark, f"{root}/out/preprocessed").drop(contracts.SOURCE_FILE)
+    return rows.select([F.col(f"`{name}`").alias(name.lower().replace(" ", "_")) for name in rows.columns])
+
+
+def q_stream_listing_features(spark, sf_dir):
+    """The whole feature job on each batch of arriving files, with stored labels."""
+    listings, root = _listings(spark, sf_dir), scratch_folder(spark, "stream")
+    write_csv(listings.repartition(4), f"{root}/in", quote_all=True)
+    labels = fit_labels(listings, "Category").save(scratch_folder(spark, "labels"))
+    return _stream_listing_features(spark, root, listings, labels)
+
+
+def q_stream_listing_features_per_file(spark, sf_dir):
+    """The same without stored labels: each arriving file is ranked alone."""
+    listings, root = _listings(spark, sf_dir), scratch_folder(spark, "stream")
+    for file in range(4):
+        own = listings.where(F.col("`Zip Code`").cast("int") % 4 == file)
+        write_csv(own.coalesce(1), f"{root}/in", quote_all=True, mode="append")
+    return _stream_listing_features(spark, root, listings, None)
+
+
 def q_stream_static_join(spark, sf_dir):
+    return _stream_lookup(spark, sf_dir)
+
+
+def q_stream_hot_keys(spark, sf_dir):
+    """The same with hot keys answered from a broadcast, as for large batches."""
+    return _stream_lookup(spark, sf_dir, hot_min_rows=10)
+
+
+def _stream_lookup(spark, sf_dir, **limits):
     events, root = _table(spark, sf_dir, "events"), scratch_folder(spark, "stream")
     write_csv(events, f"{root}/in")
     rows = read_csv_stream(spark, f"{root}/in", events.schema, multiline=False)
     customer = _table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("user_id"), "c_name", "c_mktsegment"
     )
-    append_lookup(rows, customer, ["user_id"], f"{root}/out", f"{root}/checkpoint", trigger=ONCE).awaitTermination()
+    append_lookup(
+        rows, customer, ["user_id"], f"{root}/out", f"{root}/checkpoint", trigger=ONCE, **limits
+    ).awaitTermination()
     return spark.read.parquet(f"{root}/out").drop("batch_id")
 
 
@@ -312,6 +380,37 @@ def q_train_linear(spark, sf_dir):
     )
 
 
+def _sales_model(spark, sf_dir):
+    """A model of the balance by nation number and segment, stored; with what it was fitted on."""
+    listings = _listings(spark, sf_dir).select(
+        "Listing ID", "Category", F.col("`Zip Code`").alias("Employee Count"), F.col("sales").cast("string").alias("sales")
+    )
+    labels, folder = fit_labels(listings, "Category"), scratch_folder(spark, "model")
+    model = train_on_target(listings, labels, ["Employee Count"], folder)
+    return listings, labels, folder, model
+
+
+def q_train_linear_category(spark, sf_dir):
+    """The weight of each segment against that of a missing one, to three decimals."""
+    _, labels, _, model = _sales_model(spark, sf_dir)
+    weights = model.stages[-1].coefficients.toArray()[1:]
+    by_index = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), F.col("idx") + 1)
+    known = labels.table.where("label IS NOT NULL")
+    return known.select(F.col("label").alias("category"), (F.floor(by_index * 1000 + 0.5) / 1000).alias("weight"))
+
+
+def q_score_stored_model(spark, sf_dir):
+    """Every listing scored with a stored model; the feature values stay as they are."""
+    listings, labels, folder, _ = _sales_model(spark, sf_dir)
+    scored = score_target(listings, labels, ["Employee Count"], folder)
+    return scored.select(
+        F.col("`Listing ID`").alias("listing_id"),
+        F.col("`Employee Count`").alias("employee_count"),
+        "sales",
+        (F.floor(F.col("prediction") * 1000 + 0.5) / 1000).alias("prediction"),
+    )
+
+
 def q_predictions_join(spark, sf_dir):
     documents = _table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
     predictions = _table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("prediction"))
@@ -330,10 +429,13 @@ def q_predictions_delivery(spark, sf_dir):
 
 
 def q_in_out_reconcile(spark, sf_dir):
-    def names(table: str) -> DataFrame:
-        return _table(spark, sf_dir, table).select(F.format_string("doc-%d.csv", "doc_id").alias("file_name"))
+    """Spanish documents were answered but never came in; others came in, with or without an answer."""
+
+    def names(rows: DataFrame) -> DataFrame:
+        return rows.select(F.format_string("doc-%d.csv", "doc_id").alias("file_name"))
 
-    return reconcile(names("documents"), names("labels"))
+    documents = _table(spark, sf_dir, "documents").where("lang <> 'es'")
+    return reconcile(names(documents), names(_table(spark, sf_dir, "labels")))
 
 
 # Whole jobs ----------------------------------------------------------------------------------------
@@ -403,20 +505,42 @@ def q_listing_features_job(spark, sf_dir):
     return rows.select([F.col(f"`{name}`").alias(name.lower().replace(" ", "_")) for name in rows.columns])
 
 
+def q_features_same_name_two_folders(spark, sf_dir):
+    """Two folders whose files have the same names: none replaces another."""
+    listings, root = _listings(spark, sf_dir), scratch_folder(spark, "listings")
+    half = (F.col("`Zip Code`").cast("int") % 2).alias("half")
+    options = {**contracts.CSV_OPTIONS, "header": True, "quoteAll": True}
+    listings.select("*", half).write.options(**options).partitionBy("half").csv(f"{root}/in")
+    run_features(spark, f"{root}/in/*", f"{root}/out", id_column="Listing ID")
+    rows = read_csv(spark, f"{root}/out/preprocessed").drop(contracts.SOURCE_FILE)
+    return rows.select([F.col(f"`{name}`").alias(name.lower().replace(" ", "_")) for name in rows.columns])
+
+
 def q_listing_import_job(spark, sf_dir):
-    """The importer's 48 columns, of which the feed fills a few."""
+    """The importer's 48 columns, each with values of its own."""
     listings, root = _listings(spark, sf_dir), scratch_folder(spark, "import")
     filled = listings.withColumns({"Full Category Set": F.col("Category"), "Likes Count": F.length("Review Sources")})
-    missing = {name: F.lit("x") for name in contracts.IMPORT_COLUMNS if name not in filled.columns}
+    missing = {
+        name: F.concat(F.lit(f"{name} "), F.col("Listing ID")) for name in contracts.IMPORT_COLUMNS if name not in filled.columns
+    }
     write_csv(filled.withColumns(missing), f"{root}/in", quote_all=True)
     rows = run_import(spark, f"{root}/in", f"{root}/out")
-    kept = ["Address", "Zip Code", "Category", "Full Category Set", "Likes Count", "Hours of Operation", "PurchaseComplete"]
-    return rows.select([F.col(f"`{name}`").alias(name.lower().replace(" ", "_")) for name in kept])
+    return rows.select([F.col(f"`{name}`").alias(name.lower().replace(" ", "_")) for name in rows.columns])
 
 
 def queries() -> dict[str, Query]:
     own = {name[2:]: query for name, query in globals().items() if name.startswith("q_")}
-    return own | {name: query for module in CORPUS for name, query in module.queries().items()}
+    return own | {name: _shipped(query) for module in CORPUS for name, query in module.queries().items()}
+
+
+def _shipped(query: Query) -> Query:
+    """The corpus operators run Python in the tasks, which must find this package there."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return query(spark, sf_dir)
+
+    return run
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -473,6 +597,74 @@ LISTINGS_SQL = """
 EVENT_COLUMNS_SQL = "event_id, ts, user_id, event_type, value, props"
 
 
+LISTING_FEATURES_SQL = f"""
+            WITH listings AS ({LISTINGS_SQL}), {_ranked_sql("listings", "category")}
+            SELECT listing_id, address, zip_code, category, review_sources, CAST(c_acctbal AS VARCHAR) AS sales,
+                   CAST(len(string_split(review_sources, 'Source:')) - 1 AS VARCHAR) AS reviewsourcescount,
+                   CAST(c_custkey * 7 AS VARCHAR) AS facebooklikescount,
+                   CAST(c_custkey AS VARCHAR) AS twitterfollowerscount,
+                   '1' AS twitterfollowingcount, CAST(NULL AS VARCHAR) AS twittertweetscount,
+                   CASE WHEN c_nationkey < 10 THEN '1' ELSE '0' END AS aa_pm_support_visa,
+                   CASE WHEN c_nationkey < 10 THEN '1' ELSE '0' END AS aa_pm_support_master,
+                   CASE WHEN c_nationkey BETWEEN 10 AND 19 THEN '1' ELSE '0' END AS aa_pm_support_cash,
+                   '0' AS aa_pm_support_debit,
+                   CASE WHEN c_nationkey BETWEEN 10 AND 19 THEN '1' ELSE '0' END AS aa_pm_support_check,
+                   '0' AS aa_pm_support_amex, '0' AS aa_pm_support_financing,
+                   {VECTOR_SQL} AS categoryvector
+            FROM listings LEFT JOIN ranked ON category = label"""
+
+# Each quarter of the nations is a file of its own.
+PER_FILE_VECTOR_SQL = """concat(labels, '|', coalesce(CAST(idx AS VARCHAR), 'null'), '|',
+        CASE WHEN idx IS NULL THEN 'null' ELSE '1.0' END)"""
+
+LISTING_FEATURES_PER_FILE_SQL = f"""
+            WITH listings AS ({LISTINGS_SQL}), ranked AS (
+      SELECT c_nationkey % 4 AS file, category AS label,
+             count(category) OVER (PARTITION BY c_nationkey % 4) AS labels,
+             CASE WHEN category IS NOT NULL THEN row_number() OVER (
+               PARTITION BY c_nationkey % 4 ORDER BY category IS NULL, count(*) DESC, category) - 1 END AS idx
+      FROM listings GROUP BY c_nationkey % 4, category)
+            SELECT listing_id, address, zip_code, category, review_sources, CAST(c_acctbal AS VARCHAR) AS sales,
+                   CAST(len(string_split(review_sources, 'Source:')) - 1 AS VARCHAR) AS reviewsourcescount,
+                   CAST(c_custkey * 7 AS VARCHAR) AS facebooklikescount,
+                   CAST(c_custkey AS VARCHAR) AS twitterfollowerscount,
+                   '1' AS twitterfollowingcount, CAST(NULL AS VARCHAR) AS twittertweetscount,
+                   CASE WHEN c_nationkey < 10 THEN '1' ELSE '0' END AS aa_pm_support_visa,
+                   CASE WHEN c_nationkey < 10 THEN '1' ELSE '0' END AS aa_pm_support_master,
+                   CASE WHEN c_nationkey BETWEEN 10 AND 19 THEN '1' ELSE '0' END AS aa_pm_support_cash,
+                   '0' AS aa_pm_support_debit,
+                   CASE WHEN c_nationkey BETWEEN 10 AND 19 THEN '1' ELSE '0' END AS aa_pm_support_check,
+                   '0' AS aa_pm_support_amex, '0' AS aa_pm_support_financing,
+                   {PER_FILE_VECTOR_SQL} AS categoryvector
+            FROM listings JOIN ranked ON category IS NOT DISTINCT FROM label AND c_nationkey % 4 = file"""
+
+# Least squares with one constant per segment: the slope within the segments, then each one's mean.
+SALES_MODEL_SQL = f"""
+    WITH rows AS (SELECT *, CAST(c_acctbal AS VARCHAR) AS sales FROM ({LISTINGS_SQL})),
+         means AS (SELECT category, avg(c_nationkey) AS x, avg(c_acctbal) AS y FROM rows GROUP BY category),
+         slopes AS (
+           SELECT sum((c_nationkey - x) * (c_acctbal - y)) / sum((c_nationkey - x) * (c_nationkey - x)) AS slope
+           FROM rows JOIN means ON rows.category IS NOT DISTINCT FROM means.category),
+         model AS (SELECT category, slope, y - slope * x AS constant FROM means, slopes)"""
+
+
+# Columns of the import that are not the feed's name followed by the listing's.
+IMPORT_VALUES_SQL = {
+    "Address": "address",
+    "Zip Code": "zip_code",
+    "Category": "category",
+    "Full Category Set": "category",
+    "Likes Count": "CAST(c_nationkey * 12 AS INTEGER)",
+    "Facebook Profile": "concat('Likes:', c_custkey * 7, ' Likes:1')",
+    "Twitter Profile": "concat('Followers:', c_custkey, ' Following:1,234 Tweets: 5')",
+    "PurchaseComplete": "CAST(1 AS INTEGER)",
+}
+IMPORT_SQL = "SELECT " + ", ".join(
+    f"{IMPORT_VALUES_SQL.get(name, f"concat('{name} ', listing_id)")} AS \"{name.lower().replace(' ', '_')}\""
+    for name in [*contracts.IMPORT_COLUMNS, "PurchaseComplete"]
+) + f" FROM ({LISTINGS_SQL})"
+
+
 def oracle_sql() -> dict[str, str]:
     return OWN_SQL | {name: sql for module in CORPUS for name, sql in module.oracle_sql().items()}
 
@@ -564,29 +756,32 @@ OWN_SQL = {
     "in_out_reconcile": """
             SELECT concat('doc-', coalesce(d.doc_id, l.doc_id), '.csv') AS file_name,
                    CASE WHEN l.doc_id IS NULL THEN 'MISSING' WHEN d.doc_id IS NULL THEN 'STRAY' ELSE 'DONE' END AS state
-            FROM documents d FULL JOIN labels l ON d.doc_id = l.doc_id""",
+            FROM (SELECT * FROM documents WHERE lang <> 'es') d FULL JOIN labels l ON d.doc_id = l.doc_id""",
     "features_job": f"""
             SELECT *, 0.5::DOUBLE + list_items::DOUBLE * 0.25::DOUBLE + title_has_the::DOUBLE * 1.5::DOUBLE
                    + title_has_der::DOUBLE * (-2.0)::DOUBLE AS prediction
             FROM ({PAGE_ENCODED_SQL})""",
-    "listing_features_job": f"""
-            WITH listings AS ({LISTINGS_SQL}), {_ranked_sql("listings", "category")}
-            SELECT listing_id, address, zip_code, category, review_sources, CAST(c_acctbal AS VARCHAR) AS sales,
-                   CAST(len(string_split(review_sources, 'Source:')) - 1 AS VARCHAR) AS reviewsourcescount,
-                   CAST(c_custkey * 7 AS VARCHAR) AS facebooklikescount,
-                   CAST(c_custkey AS VARCHAR) AS twitterfollowerscount,
-                   '1' AS twitterfollowingcount, CAST(NULL AS VARCHAR) AS twittertweetscount,
-                   CASE WHEN c_nationkey < 10 THEN '1' ELSE '0' END AS aa_pm_support_visa,
-                   CASE WHEN c_nationkey < 10 THEN '1' ELSE '0' END AS aa_pm_support_master,
-                   CASE WHEN c_nationkey BETWEEN 10 AND 19 THEN '1' ELSE '0' END AS aa_pm_support_cash,
-                   '0' AS aa_pm_support_debit,
-                   CASE WHEN c_nationkey BETWEEN 10 AND 19 THEN '1' ELSE '0' END AS aa_pm_support_check,
-                   '0' AS aa_pm_support_amex, '0' AS aa_pm_support_financing,
-                   {VECTOR_SQL} AS categoryvector
-            FROM listings LEFT JOIN ranked ON category = label""",
-    "listing_import_job": f"""
-            SELECT address, zip_code, category, category AS full_category_set,
-                   CAST(c_nationkey * 12 AS INTEGER) AS likes_count, 'x' AS hours_of_operation,
-                   CAST(1 AS INTEGER) AS purchasecomplete
-            FROM ({LISTINGS_SQL})""",
+    "listing_features_job": LISTING_FEATURES_SQL,
+    "stream_listing_features": LISTING_FEATURES_SQL,
+    "features_same_name_two_folders": LISTING_FEATURES_SQL,
+    "stream_listing_features_per_file": LISTING_FEATURES_PER_FILE_SQL,
+    "csv_stray_quotes": """SELECT CAST(doc_id AS VARCHAR) AS id, concat('5" ', lang) AS size,
+            concat('line one', chr(10), source) AS note FROM documents""",
+    "rank_by_ranges": f"""WITH texts AS (SELECT CAST(o_custkey AS VARCHAR) AS customer FROM orders),
+            {_ranked_sql("texts", "customer")} SELECT label, idx, n_rows AS rows FROM ranked""",
+    "encode_split_join": f"""
+            WITH texts AS (SELECT o_orderkey, o_custkey, CAST(o_custkey AS VARCHAR) AS customer FROM orders),
+                 {_ranked_sql('texts', 'customer')}
+            SELECT o_orderkey, o_custkey, {VECTOR_SQL} AS customer_vector
+            FROM texts LEFT JOIN ranked ON customer = label""",
+    "stream_hot_keys": f"""SELECT {EVENT_COLUMNS_SQL}, c_name, c_mktsegment
+            FROM events LEFT JOIN customer ON user_id = c_custkey""",
+    "train_linear_category": f"""{SALES_MODEL_SQL}
+            SELECT m.category, floor((m.constant - none.constant) * 1000 + 0.5) / 1000 AS weight
+            FROM model m, (SELECT constant FROM model WHERE category IS NULL) none WHERE m.category IS NOT NULL""",
+    "score_stored_model": f"""{SALES_MODEL_SQL}
+            SELECT listing_id, zip_code AS employee_count, sales,
+                   floor((constant + slope * c_nationkey) * 1000 + 0.5) / 1000 AS prediction
+            FROM rows JOIN model ON rows.category IS NOT DISTINCT FROM model.category""",
+    "listing_import_job": IMPORT_SQL,
 }
