@@ -205,15 +205,19 @@ def q_csv_quoted_multiline(spark, sf_dir):
     return read_csv(spark, folder, schema=documents.schema)
 
 
+def _write_lines(spark, lines, header, files, folder):
+    """Lines (file, value) as text, one folder per file, each with the header first."""
+    headers = spark.range(files).select(F.col("id").alias("file"), F.lit(0).alias("order"), F.lit(header).alias("value"))
+    every = headers.unionByName(lines.withColumn("order", F.lit(1)))
+    every.repartition("file").sortWithinPartitions("file", "order").drop("order").write.partitionBy("file").text(folder)
+
+
 def q_csv_stray_quotes(spark, sf_dir):
     """Quotes inside unquoted values, and line breaks inside quoted ones, in the same files."""
     documents, folder = _table(spark, sf_dir, "documents"), scratch_folder(spark, "csv")
     key, files = F.col("doc_id").cast("string"), 8
     line = F.concat(key, F.lit(',5" '), F.col("lang"), F.lit(',"line one\n'), F.col("source"), F.lit('"'))
-    lines = documents.select(F.pmod("doc_id", F.lit(files)).alias("file"), F.lit(1).alias("order"), line.alias("value"))
-    headers = spark.range(files).select(F.col("id").alias("file"), F.lit(0).alias("order"), F.lit("id,size,note").alias("value"))
-    every = headers.unionByName(lines).repartition("file").sortWithinPartitions("file", "order")
-    every.drop("order").write.partitionBy("file").text(folder)
+    _write_lines(spark, documents.select(F.pmod("doc_id", F.lit(files)).alias("file"), line.alias("value")), "id,size,note", files, folder)
     return read_by_header(spark, f"{folder}/*", glob="*.txt").select("id", "size", "note")
 
 
@@ -516,6 +520,27 @@ def q_features_same_name_two_folders(spark, sf_dir):
     return rows.select([F.col(f"`{name}`").alias(name.lower().replace(" ", "_")) for name in rows.columns])
 
 
+def q_features_with_bad_rows(spark, sf_dir):
+    """Rows with a value too many or some too few go to the job's bad rows, the others through it."""
+    listings, root = _listings(spark, sf_dir), scratch_folder(spark, "listings")
+    names = ["Listing ID", "Zip Code", "Category"]
+    values = [F.coalesce(F.col(f"`{name}`"), F.lit("")) for name in names]
+    nation = F.col("`Zip Code`").cast("int")
+    line = (
+        F.when(nation < 5, F.concat_ws(",", *values, F.lit("more")))
+        .when(nation < 10, values[0])
+        .otherwise(F.concat_ws(",", *values))
+    )
+    file = F.pmod(F.xxhash64("Listing ID"), F.lit(8))
+    _write_lines(spark, listings.select(file.alias("file"), line.alias("value")), ",".join(names), 8, f"{root}/in")
+    run_features(spark, f"{root}/in/*", f"{root}/out", id_column="Listing ID", glob="*.txt")
+    good = read_csv(spark, f"{root}/out/preprocessed").select(
+        F.col("`Listing ID`").alias("listing_id"), F.col("`Zip Code`").alias("zip_code"), F.col("CategoryVector").alias("vector")
+    )
+    bad = read_csv(spark, f"{root}/out/bad-rows", schema="bad_line string", header=False).select("bad_line")
+    return good.unionByName(bad, allowMissingColumns=True)
+
+
 def q_listing_import_job(spark, sf_dir):
     """The importer's 48 columns, each with values of its own."""
     listings, root = _listings(spark, sf_dir), scratch_folder(spark, "import")
@@ -765,6 +790,15 @@ OWN_SQL = {
     "stream_listing_features": LISTING_FEATURES_SQL,
     "features_same_name_two_folders": LISTING_FEATURES_SQL,
     "stream_listing_features_per_file": LISTING_FEATURES_PER_FILE_SQL,
+    "features_with_bad_rows": f"""
+            WITH listings AS ({LISTINGS_SQL}), good AS (SELECT * FROM listings WHERE c_nationkey >= 10),
+                 {_ranked_sql("good", "category")}
+            SELECT listing_id, zip_code, {VECTOR_SQL} AS vector, NULL AS bad_line
+            FROM good LEFT JOIN ranked ON category = label
+            UNION ALL
+            SELECT NULL, NULL, NULL, CASE WHEN c_nationkey < 5
+              THEN concat(listing_id, ',', zip_code, ',', coalesce(category, ''), ',more') ELSE listing_id END
+            FROM listings WHERE c_nationkey < 10""",
     "csv_stray_quotes": """SELECT CAST(doc_id AS VARCHAR) AS id, concat('5" ', lang) AS size,
             concat('line one', chr(10), source) AS note FROM documents""",
     "rank_by_ranges": f"""WITH texts AS (SELECT CAST(o_custkey AS VARCHAR) AS customer FROM orders),

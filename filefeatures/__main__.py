@@ -5,11 +5,13 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import SparkSession
+from pyspark.sql import types as T
 
-from filefeatures.contracts import CATEGORY_COLUMN
+from filefeatures.contracts import CATEGORY_COLUMN, IN_PATTERN, OUT_PATTERN, SOURCE_FILE
 from filefeatures.functions.paths import without_scheme
 from filefeatures.operators.labels import fit_labels, load_labels
 from filefeatures.operators.scoring import score_constant
+from filefeatures.plans.delivery import deliver_predictions, undelivered
 from filefeatures.plans.features import (
     features_handler,
     listing_features,
@@ -19,9 +21,10 @@ from filefeatures.plans.features import (
 )
 from filefeatures.plans.importer import run_import
 from filefeatures.session import build_session, scratch_scope, stage
+from filefeatures.sinks.csv import write_csv
 from filefeatures.sources.csv import read_by_header
-from filefeatures.streaming.arrivals import FILES_PER_BATCH, watch_files
-from filefeatures.streaming.rows import append_csv, read_csv_stream
+from filefeatures.streaming.arrivals import append_files, watch_files
+from filefeatures.streaming.rows import FILES_PER_BATCH, append_csv, read_csv_stream
 
 
 def parse(argv: list[str] | None = None) -> argparse.Namespace:
@@ -34,6 +37,8 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     watch = jobs.add_parser("watch", help="turn each file that lands in FOLDER/in into features")
     watch.add_argument("--checkpoint", required=True)
     watch.add_argument("--quarantine", help="folder for the names of files that fail")
+    watch.add_argument("--in-pattern", default=IN_PATTERN, help="paths below FOLDER that are taken, matched as a whole")
+    watch.add_argument("--out-pattern", default=OUT_PATTERN, help="paths below FOLDER that are answers")
     watch.add_argument("--max-files", type=int, default=FILES_PER_BATCH, help="files per micro-batch")
     for job in (labels, train, features, watch):
         job.add_argument("folder")
@@ -54,10 +59,25 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     stream.add_argument("--checkpoint", required=True)
     stream.add_argument("--schema", required=True, help="column types, such as 'a string, b int'")
     stream.add_argument("--no-header", action="store_true")
+    stream.add_argument("--quarantine", help="folder for files with another header and for rows that break the schema")
+    stream.add_argument("--max-files", type=int, default=FILES_PER_BATCH, help="files per micro-batch")
 
     importer = jobs.add_parser("import", help="import the CSV files of a folder once")
     importer.add_argument("folder")
     importer.add_argument("out")
+    for job in (stream, importer):
+        job.add_argument("--one-line-rows", action="store_true", help="no value holds a line break")
+
+    deliver = jobs.add_parser("deliver", help="join predictions to their features, one folder per input file")
+    deliver.add_argument("features", help="parquet of features")
+    deliver.add_argument("predictions", help="parquet of predictions, one row per key")
+    deliver.add_argument("out")
+    deliver.add_argument("--keys", nargs="+", required=True)
+    deliver.add_argument("--by", default=SOURCE_FILE, help="column that names the input file")
+    missing = jobs.add_parser("undelivered", help="which input files have an answer")
+    missing.add_argument("folder")
+    missing.add_argument("answers")
+    missing.add_argument("out")
 
     args = parser.parse_args(argv)
     if getattr(args, "model", None) and not (args.labels and args.numeric):
@@ -87,16 +107,32 @@ def main(argv: list[str] | None = None) -> None:
             spark,
             args.folder,
             args.checkpoint,
-            on_in=features_handler(spark, args.out, **feature_options(spark, args)),
+            on_in=features_handler(spark, args.out, root=without_scheme(f"{args.folder.rstrip('/')}/in"), **feature_options(spark, args)),
             quarantine=args.quarantine,
             root=without_scheme(args.folder),
+            in_pattern=args.in_pattern,
+            out_pattern=args.out_pattern,
             max_files=args.max_files,
         ).awaitTermination()
     elif args.job == "stream":
-        rows = read_csv_stream(spark, args.folder, args.schema, header=not args.no_header)
-        append_csv(score_constant(rows), args.out, args.checkpoint).awaitTermination()
+        how = {"header": not args.no_header, "max_files": args.max_files}
+        if args.quarantine:
+            schema = T.StructType.fromDDL(args.schema)
+            target = (args.out, args.quarantine, args.checkpoint)
+            append_files(
+                spark, args.folder, schema, *target, derive=score_constant, multiline=multiline(args), **how
+            ).awaitTermination()
+        else:
+            rows = read_csv_stream(spark, args.folder, args.schema, multiline=not args.one_line_rows, **how)
+            append_csv(score_constant(rows), args.out, args.checkpoint).awaitTermination()
     elif args.job == "import":
-        run_import(spark, args.folder, args.out)
+        with scratch_scope(spark):
+            run_import(spark, args.folder, args.out, multiline=multiline(args))
+    elif args.job == "deliver":
+        features, predictions = spark.read.parquet(args.features), spark.read.parquet(args.predictions)
+        deliver_predictions(features, predictions, args.keys, args.out, by=args.by)
+    elif args.job == "undelivered":
+        write_csv(undelivered(spark, args.folder, args.answers), args.out)
     else:
         with scratch_scope(spark):
             if args.job == "features":

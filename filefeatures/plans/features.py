@@ -16,7 +16,7 @@ from filefeatures.operators.select import Derivation, derive_if_present, match_c
 from filefeatures.problems import FileProblem
 from filefeatures.session import scratch_scope, stage
 from filefeatures.sinks.csv import dump_features, write_by_source, write_model_input
-from filefeatures.sources.csv import files_read, glob_literal, read_by_header
+from filefeatures.sources.csv import CORRUPT, files_read, glob_literal, read_by_header, split_checked
 
 CATEGORY_BUCKET = "_category_bucket"
 # A linear model holds one coefficient per category on the driver and sends them to the tasks in each step.
@@ -83,11 +83,12 @@ def run_features(
     label fit and all the writes read that. Labels come from a stored model, from each file alone
     (`per_file`), or from all the files of this run. Gives the encoded features.
 
+    Rows with more or fewer values than their header go to `out/bad-rows` with their file and raw text, and nowhere else.
     A file is its path below `root` (see `read_by_header`): per-file labels and output folders follow that. The
     folder of a file that has no row any more is removed.
     """
-    rows = read_by_header(spark, paths, multiline=multiline, glob=glob, root=root)
-    features = stage(listing_features(rows, id_column, keep=[contracts.SOURCE_FILE]))
+    rows = read_by_header(spark, paths, multiline=multiline, glob=glob, root=root, marked=True)
+    features, bad = split_checked(stage(listing_features(rows, id_column, keep=[contracts.SOURCE_FILE, CORRUPT])))
 
     category = match_columns(features.columns, [contracts.CATEGORY_COLUMN])
     if category:
@@ -105,6 +106,7 @@ def run_features(
     features = stage(select_wanted(features, last).hint("rebalance", F.col(contracts.SOURCE_FILE)))
 
     how = {"clustered": True, "sources": files_read(spark, paths, glob, root)}
+    write_by_source(bad, f"{out}/bad-rows", quote_all=True, sources=how["sources"])
     dump_features(features, f"{out}/preprocessed", **how)
     write_model_input(features, f"{out}/model-input", **how)
     if score:

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from filefeatures.contracts import IMPORT_COLUMNS
 from filefeatures.operators.select import add_constant, select_strict
-from filefeatures.sinks.csv import write_csv
-from filefeatures.sources.csv import read_csv, read_inferred
+from filefeatures.sinks.csv import write_by_source, write_csv
+from filefeatures.sources.csv import read_checked, read_csv, read_inferred, spans_lines
 
 
 def import_rows(df: DataFrame, columns: Iterable[str] = IMPORT_COLUMNS) -> DataFrame:
@@ -24,7 +24,15 @@ def run_import(
     *,
     multiline: bool | None = None,
 ) -> DataFrame:
-    """Import all the CSV files of a folder; gives the rows as written."""
-    rows = import_rows(read_inferred(spark, folder, multiline=multiline), columns)
+    """Import all the CSV files of a folder; gives the rows as written.
+
+    Rows with more or fewer values than the header, or of another type, go to `<out>-bad-rows` with their raw text.
+    """
+    if multiline is None:
+        multiline = spans_lines(spark, folder)
+    schema = read_inferred(spark, folder, multiline=multiline).schema
+    good, bad = read_checked(spark, folder, schema, multiline=multiline)
+    rows = import_rows(good, columns)
     write_csv(rows, out)
+    write_by_source(bad, f"{out.rstrip('/')}-bad-rows", quote_all=True)
     return read_csv(spark, out, schema=rows.schema)

@@ -37,13 +37,17 @@ def read_csv(
     check_header: bool = True,
     source_file: bool = False,
     root: str | None = None,
+    marked: bool = False,
 ) -> DataFrame:
     """All files of a folder that have one and the same header; every column is text without a schema.
 
     A file whose header differs from the schema is an error, never a silent shift of columns.
-    `multiline=False` lets Spark split large files; use it when no value holds a line break.
+    `multiline=False` lets Spark split large files; use it when no value holds a line break. `marked` adds the
+    raw text of rows that do not follow the schema (see `split_checked`).
     """
-    reader = _reader(spark, multiline=multiline, glob=glob, header=header)
+    reader = _reader(spark, multiline=multiline, glob=glob, header=header, **(CHECK_OPTIONS if marked else {}))
+    if marked:
+        schema = marked_schema(schema)
     if header and check_header:
         reader = reader.option("enforceSchema", False)
     if schema is not None:
@@ -69,7 +73,7 @@ def read_inferred(
     With `multiline=None` the files are looked at, and read in splits unless a quoted value may hold a line break.
     """
     if multiline is None:
-        multiline = not file_headers(spark, paths, glob).where("spans").isEmpty()
+        multiline = spans_lines(spark, paths, glob)
     inferred = _reader(spark, multiline=multiline, glob=glob, header=True, inferSchema=True).csv(paths).schema
     text = {name.lower() for name in keep_text}
     schema = T.StructType(
@@ -105,10 +109,11 @@ def read_checked(
     header: bool = True,
     multiline: bool = True,
     glob: str | None = "*.csv",
+    root: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Good rows with their `source_file`, and the raw text of bad ones; the files are parsed once."""
     reader = _reader(spark, multiline=multiline, glob=glob, header=header, **CHECK_OPTIONS)
-    rows = reader.schema(marked_schema(schema)).csv(paths).select("*", source_file_name().alias(SOURCE_FILE))
+    rows = reader.schema(marked_schema(schema)).csv(paths).select("*", source_file_name(root).alias(SOURCE_FILE))
     return split_checked(stage(rows))
 
 
@@ -152,6 +157,11 @@ def file_headers(
     )
 
 
+def spans_lines(spark: SparkSession, paths: str | Sequence[str], glob: str | None = "*.csv") -> bool:
+    """Whether any of the files may have a line break inside quotes."""
+    return not file_headers(spark, paths, glob).where("spans").isEmpty()
+
+
 def glob_literal(path: str) -> str:
     """A path as `load` wants it, with its glob characters taken literally."""
     return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
@@ -199,6 +209,7 @@ def read_by_header(
     multiline: bool | None = None,
     glob: str | None = "*.csv",
     root: str | None = None,
+    marked: bool = False,
 ) -> DataFrame:
     """Files whose headers differ in order or in columns, aligned by column name; adds `source_file`.
 
@@ -209,7 +220,8 @@ def read_by_header(
     one by one, and a folder of one group is read as a folder. With `multiline=None` each file is looked
     at: without a line break inside quotes it is read in splits, otherwise by Spark's multi-line reader in
     one task, whatever its size, so the rows do not depend on it. A file with a line break in a column
-    name is read by itself. The driver holds file paths, as for any file scan, and no rows.
+    name is read by itself. With `marked`, a row with more or fewer values than its header has its raw text in
+    a column of its own (see `split_checked`). The driver holds file paths, as for any file scan, and no rows.
     """
     found = file_headers(spark, paths, glob, look_for_breaks=multiline is None)
     spans = F.lit(multiline) if multiline is not None else F.col("spans")
@@ -249,7 +261,11 @@ def read_by_header(
                 check_header=checked,
                 source_file=True,
                 root=root,
+                marked=marked and schema is not None,
             )
         )
     aligned = reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), groups)
-    return aligned.select(*[quoted(c) for c in aligned.columns if c != SOURCE_FILE], SOURCE_FILE)
+    if marked and CORRUPT not in aligned.columns:
+        aligned = aligned.withColumn(CORRUPT, F.lit(None).cast("string"))
+    last = [CORRUPT, SOURCE_FILE] if marked else [SOURCE_FILE]
+    return aligned.select(*[quoted(c) for c in aligned.columns if c not in last], *last)

@@ -7,20 +7,22 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from filefeatures.contracts import IN_PATTERN, OUT_PATTERN
-from filefeatures.problems import is_file_problem
+from filefeatures.functions.paths import without_scheme
+from filefeatures.problems import FileProblem, is_file_problem
+from filefeatures.session import scratch_scope
+from filefeatures.sinks.csv import write_by_source
+from filefeatures.sources.csv import file_headers, glob_literal, header_names, read_checked
 from filefeatures.sources.listing import LISTING_SCHEMA, describe_files, route_files
-from filefeatures.streaming.rows import for_each_batch
+from filefeatures.streaming.rows import FILES_PER_BATCH, for_each_batch
 
 log = logging.getLogger(__name__)
 
 Handler = Callable[[Sequence[str], int], None]
 
-# Files per micro-batch. The driver holds their paths, and one job reads them together.
-FILES_PER_BATCH = 1_000
-
 
 def file_arrivals(
     spark: SparkSession, folder: str, *, glob: str = "*", max_files: int = FILES_PER_BATCH, **options: str
@@ -78,6 +80,52 @@ def watch_files(
     return for_each_batch(arrivals, handle, checkpoint, trigger=trigger)
 
 
+def append_files(
+    spark: SparkSession,
+    folder: str,
+    schema: T.StructType,
+    out: str,
+    quarantine: str,
+    checkpoint: str,
+    *,
+    derive: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+    header: bool = True,
+    multiline: bool | None = None,
+    trigger: dict | None = None,
+    max_files: int = FILES_PER_BATCH,
+) -> StreamingQuery:
+    """Rows of arriving CSV files of one schema, to `out`, a folder per file.
+
+    Rows that do not follow the schema go to `quarantine/rows` with their raw text. A file whose header is another
+    goes to `quarantine/files`, and the stream goes on.
+    """
+    root = without_scheme(folder)
+
+    def handle(paths: Sequence[str], batch_id: int) -> None:
+        files = [glob_literal(path) for path in paths]
+        found = file_headers(spark, files, None).select("header", "spans").collect()
+        wrong = sorted({row.header for row in found if header and header_names(row.header) != schema.names})
+        if wrong:
+            raise FileProblem(f"columns {wrong} instead of {schema.names}")
+        with scratch_scope(spark):
+            whole = any(row.spans for row in found) if multiline is None else multiline
+            good, bad = read_checked(spark, files, schema, header=header, multiline=whole, glob=None, root=root)
+            write_by_source(derive(good), out)
+            write_by_source(bad, f"{quarantine}/rows", quote_all=True)
+
+    return watch_files(
+        spark,
+        folder,
+        checkpoint,
+        on_in=handle,
+        quarantine=f"{quarantine}/files",
+        in_pattern=r".*\.csv",
+        out_pattern=r"(?!)",
+        max_files=max_files,
+        trigger=trigger,
+    )
+
+
 def _handle_files(
     spark: SparkSession, handler: Handler, paths: list[str], batch: tuple[int, str], quarantine: str | None
 ) -> None:

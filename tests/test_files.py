@@ -18,7 +18,7 @@ from filefeatures.session import scratch_scope, stage
 from filefeatures.sinks import csv as sink
 from filefeatures.sources.csv import header_names, read_by_header, read_checked, read_csv, read_inferred
 from filefeatures.sources.listing import list_files, route_files
-from filefeatures.streaming.arrivals import watch_files
+from filefeatures.streaming.arrivals import append_files, watch_files
 from filefeatures.streaming.rows import append_checked, append_csv, append_lookup, read_csv_stream
 
 ONCE = {"availableNow": True}
@@ -342,6 +342,24 @@ def test_a_failing_file_goes_to_quarantine(spark, tmp_path):
     assert [path.rsplit("/", 1)[-1] for path in answered] == ["done.csv"]
 
 
+def test_a_wrong_header_on_a_row_stream(spark, tmp_path):
+    put(tmp_path / "in", "a.csv", "a,b", "1,x", "zwei,y", "3")
+    put(tmp_path / "in", "b.csv", "b,a", "x,1")
+    target = [str(tmp_path / name) for name in ("out", "bad", "check")]
+    schema = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.StringType())])
+
+    def run():
+        append_files(spark, str(tmp_path / "in"), schema, *target, derive=score_constant, trigger=ONCE).awaitTermination()
+
+    run()
+    put(tmp_path / "in", "c.csv", "a,b", "4,later")
+    run()
+    rows = read_csv(spark, target[0], schema="a int, b string, prediction string, source_file string", header=False)
+    assert sorted(r.a for r in rows.collect()) == [1, 4]
+    assert [r.path.rsplit("/", 1)[-1] for r in spark.read.json(f"{target[1]}/files").collect()] == ["b.csv"]
+    assert sorted(r.line for r in read_csv(spark, f"{target[1]}/rows", schema="line string", header=False).select("line").collect()) == ["3", "zwei,y"]
+
+
 def test_single_file(spark, tmp_path):
     sink.write_single_csv(spark.range(100).repartition(5), str(tmp_path / "one"))
     assert len(list((tmp_path / "one").glob("*.csv"))) == 1
