@@ -4,11 +4,12 @@
    however many, cost one row each from here on.
 2. Nodes that agree in all slots of a band share a bucket. The sets of all nodes with company are made once.
 3. Every member of a bucket is compared with the bucket's first member: as many pairs as there are members.
-4. What is still apart inside a bucket is compared in blocks by signature. Each member's few most similar partners in other
-   components have their sets compared and the components are joined; this is repeated with more partners, and at last
-   with every partner that the signatures leave possible. So a group of thousands of near copies is joined by few pairs
-   each, and the last round finds little apart. A link is missed only if no band agrees or if the estimate is off by more
-   than six standard deviations; one inside a component is not looked for, as it changes nothing.
+4. Members that buckets connect are a group, in which every text that may be linked to another lies with it. Groups that
+   still hold several components are compared in blocks: signatures first, then the whole sets of the pairs that the
+   signatures leave possible and that lie in different components, the likeliest first. A task joins components as it
+   finds links, and gives back only the links that joined some: fewer than it has members, however many pairs are alike.
+   A link is missed only if neither bands nor chains of buckets bring its texts together, or if the estimate is off by
+   more than six standard deviations.
 
 Every pair counts as linked only after its whole sets were compared.
 """
@@ -32,8 +33,8 @@ SHINGLE_WORDS = 5
 MIN_PERCENT = 80
 SLOTS = 160
 BANDS = 32
-BLOCK_ROWS = 1024
-PARTNERS = (2, 16, None)  # the last round takes all
+BLOCK_ROWS = 512
+AT_ONCE = 64  # candidates whose sets are compared together
 
 SKETCH = T.StructType(
     [
@@ -96,8 +97,7 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets are alike enough; sizes that rule it out are told before the sets are fetched."""
     sizes = sets.select("node", "size")
     near = (
-        pairs.distinct()
-        .join(sizes.toDF("a", "size_a"), "a")
+        pairs.join(sizes.toDF("a", "size_a"), "a")
         .join(sizes.toDF("b", "size_b"), "b")
         .where(100 * F.least("size_a", "size_b") >= percent * F.greatest("size_a", "size_b"))
     )
@@ -112,34 +112,49 @@ def _with_component(members: DataFrame, links: DataFrame) -> DataFrame:
     return members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
 
-def _blocks(slots: int, percent: int, partners: int | None):
-    """Compares the members of one block of a bucket, or of two: rows sorted by (key, i, j), in any number of batches.
-    Gives each member's most similar partners in other components, or all that may be linked."""
+def _blocks(slots: int, percent: int):
+    """Compares the members of one block of a group, or of two: rows sorted by (group, i, j), in any number of batches.
+    Gives links that join components; a link inside what is joined already is not looked for."""
     least = percent / 100 - 6 * math.sqrt(percent / 100 * (1 - percent / 100) / slots)
 
     def compare(rows: list[pa.RecordBatch]):
         table = pa.Table.from_batches(rows)
-        node, size, part, chunk, i, j = (table.column(c).to_numpy() for c in ("node", "size", "component", "chunk", "i", "j"))
+        node, size, part, chunk = (table.column(c).to_numpy() for c in ("node", "size", "component", "chunk"))
+        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
+        part = part.copy()
         slot = np.frombuffer(b"".join(table.column("slots").to_pylist()), np.uint16).reshape(len(node), slots)
-        for x in range(len(node)):
-            facing = chunk != chunk[x] if i[0] != j[0] else np.ones(len(node), bool)
+        lists = table.column("shingles").combine_chunks()
+        flat, ends = lists.values.to_numpy().view(np.uint64), lists.offsets.to_numpy()
+        found = []
+        for x in np.flatnonzero(chunk == i):
+            facing = chunk == j if i != j else np.arange(len(node)) > x
             others = np.flatnonzero(facing & (part != part[x]))
             small, large = np.minimum(size[others], size[x]), np.maximum(size[others], size[x])
             others = others[100 * small >= percent * large]
+            if not len(others):
+                continue
             alike = (slot[others] == slot[x]).mean(axis=1)
-            others, alike = others[alike >= least], alike[alike >= least]
-            if partners is not None and len(others) > partners:
-                others = others[np.lexsort((node[others], -alike))[:partners]]
-            if len(others):
-                a, b = np.minimum(node[others], node[x]), np.maximum(node[others], node[x])
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+            others = others[np.argsort(-alike, kind="stable")][: int((alike >= least).sum())]
+            own = flat[ends[x] : ends[x + 1]]
+            while len(others):
+                now, others = others[:AT_ONCE], others[AT_ONCE:]
+                hashes = np.concatenate([flat[ends[y] : ends[y + 1]] for y in now])
+                place = np.minimum(np.searchsorted(own, hashes), len(own) - 1)
+                common = np.bincount(np.repeat(np.arange(len(now)), size[now]), weights=own[place] == hashes, minlength=len(now))
+                for y in now[100 * common >= percent * (size[now] + size[x] - common)]:
+                    if part[y] != part[x]:
+                        found.append((node[x], node[y]))
+                        part[part == part[y]] = part[x]
+                others = others[part[others] != part[x]]
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=["a", "b"])
 
     def run(batches):
         open_, key = [], None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            keys = np.stack([batch.column(c).to_numpy() for c in ("key", "i", "j")], axis=1)
+            keys = np.stack([batch.column(c).to_numpy() for c in ("group", "i", "j")], axis=1)
             starts = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]).any(axis=1)])
             for begin, end in zip(starts, [*starts[1:], len(keys)], strict=True):
                 now = tuple(keys[begin])
@@ -154,25 +169,18 @@ def _blocks(slots: int, percent: int, partners: int | None):
     return run
 
 
-def _apart(members: DataFrame, sets: DataFrame, slots: int, percent: int, block_rows: int, partners: int | None) -> DataFrame:
-    """Pairs of bucket members in different components that the signatures do not rule out, the likeliest of each member."""
-    buckets = members.groupBy("key").agg(
-        F.count("*").alias("rows"),
-        F.min("component").alias("low"),
-        F.max("component").alias("high"),
-        F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("who"),
-    )
-    # A group of near copies meets in many bands; the same members need one comparison.
-    buckets = buckets.where("low <> high").groupBy("rows", "who").agg(F.min("key").alias("key"))
-    buckets = buckets.select("key", F.ceil(F.col("rows") / block_rows).cast("int").alias("chunks"))
-    rows = members.join(buckets, "key").withColumn("chunk", F.expr("int(pmod(xxhash64(node, 7), chunks))"))
+def _links_across(members: DataFrame, sets: DataFrame, slots: int, percent: int, block_rows: int) -> DataFrame:
+    """Links between components, from rows (group, node, component): blocks of each group that holds several."""
+    groups = members.groupBy("group").agg(F.count("*").alias("rows"), F.min("component").alias("low"), F.max("component").alias("high"))
+    groups = groups.where("low <> high").select("group", F.ceil(F.col("rows") / block_rows).cast("int").alias("chunks"))
+    rows = members.join(groups, "group").withColumn("chunk", F.expr("int(pmod(xxhash64(node, 7), chunks))"))
     blocks_of = F.transform(
         F.sequence(F.lit(0), F.col("chunks") - 1),
         lambda other: F.struct(F.least("chunk", other).alias("i"), F.greatest("chunk", other).alias("j")),
     )
-    rows = rows.select("key", "node", "component", "chunk", F.explode(blocks_of).alias("pair")).select("*", "pair.i", "pair.j").drop("pair")
-    rows = rows.join(sets.select("node", "size", "slots"), "node")
-    return rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_blocks(slots, percent, partners), "a long, b long")
+    rows = rows.join(sets, "node").withColumn("pair", F.explode(blocks_of)).select("*", "pair.i", "pair.j").drop("pair", "chunks")
+    dealt = rows.repartition("group", "i", "j").sortWithinPartitions("group", "i", "j")
+    return dealt.mapInArrow(_blocks(slots, percent), "a long, b long")
 
 
 def near_dedup(
@@ -203,15 +211,11 @@ def near_dedup(
     company = members.select("node").distinct()
     sets = stage(rows.join(company, F.col("row") == F.col("node"), "left_semi").mapInArrow(_sets(shingle_words, slots), SETS), "sets")
 
-    pairs = members.where("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b"))
+    pairs = stage(members.where("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b")).distinct(), "pairs")
     links = stage(_linked(pairs, sets, min_percent), "links")
-    members = members.drop("first")
-    for partners in PARTNERS:
-        now = stage(_with_component(members, links), "joined")
-        pairs = stage(_apart(now, sets, slots, min_percent, block_rows, partners).distinct(), "apart")
-        if pairs.isEmpty():
-            break
-        links = links.unionByName(stage(_linked(pairs, sets, min_percent), "links"))
+    grouped = components(pairs).withColumnRenamed("component", "group")
+    grouped = stage(_with_component(grouped, links), "grouped")
+    links = links.unionByName(stage(_links_across(grouped, sets, slots, min_percent, block_rows), "links"))
 
     found = classes.join(components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
     found = stage(found, "found")

@@ -79,7 +79,7 @@ def comparable(rows):
     return Counter((r.doc_id, r.n_shingles, r.component_id) for r in rows)
 
 
-@pytest.mark.parametrize("block_rows", [1024, 16])
+@pytest.mark.parametrize("block_rows", [512, 16])
 def test_near_dedup_of_groups_around_the_limit(spark, tmp_path, block_rows):
     """Families whose members are alike by 0.6 to 1: bridges, hot buckets, copies, singles."""
     draw = np.random.default_rng(5)
