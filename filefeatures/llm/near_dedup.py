@@ -34,6 +34,7 @@ MIN_PERCENT = 80
 SLOTS = 160
 BANDS = 32
 BLOCK_ROWS = 512
+SKETCH_BYTES = 1 << 20  # text at a time: a signature takes 160 two-byte places for each shingle of a short text
 AT_ONCE = 64  # candidates whose sets are compared together
 
 SKETCH = T.StructType(
@@ -63,7 +64,7 @@ def _lists(rows: list[np.ndarray]) -> pa.Array:
 
 def _sketch(width: int, slots: int, count: int):
     def run(batches):
-        for part in slices(batches):
+        for part in slices(batches, max_bytes=SKETCH_BYTES):
             sets = [shingles(text, width) for text in as_bytes(part.column("text"))]
             keys = bands(signatures(sets, slots), count)
             yield pa.RecordBatch.from_arrays(
@@ -82,7 +83,7 @@ def _sketch(width: int, slots: int, count: int):
 
 def _sets(width: int, slots: int):
     def run(batches):
-        for part in slices(batches):
+        for part in slices(batches, max_bytes=SKETCH_BYTES):
             sets = [shingles(text, width) for text in as_bytes(part.column("text"))]
             low = (signatures(sets, slots) & np.uint64(0xFFFF)).astype(np.uint16)
             yield pa.RecordBatch.from_arrays(

@@ -16,7 +16,7 @@ import xxhash
 
 from filefeatures.llm.arrow import ascii_lower, splitmix
 
-WORDS_KEPT = 1_000_000
+WORDS_KEPT = 250_000
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
