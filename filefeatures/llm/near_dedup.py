@@ -193,10 +193,10 @@ def near_dedup(
     band_count: int = BANDS,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """Per row: row, doc_id, n_shingles, component_id, kept.
+    """Per row: row, doc_id, n_shingles, component, component_id, kept.
 
-    Texts are linked if their sets of shingles share min_percent of their union at least; component_id is the smallest
-    doc_id that links lead to. NULL, empty and blank texts have no shingles and are linked with nothing, so each one
+    Texts are linked if their sets of shingles share min_percent of their union at least; component is a row number that
+    exactly the rows whose texts are linked have in common, component_id the smallest doc_id that links lead to. NULL, empty and blank texts have no shingles and are linked with nothing, so each one
     stays. A text with fewer words than a shingle is one shingle. NULL doc_ids are passed over for component_id unless a
     group has no other; kept compares doc_id and component_id as equal values, NULL with NULL too. Rows that repeat a
     doc_id are one group if their texts are, and all carry the same flag. An empty table gives no rows. Other columns
@@ -221,19 +221,19 @@ def near_dedup(
     found = classes.join(components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
     found = stage(found, "found")
     named = found.groupBy("component").agg(F.min("lowest").alias("component_id"))
-    of_set = found.join(named, "component").select("set_id", "component_id")
-    linked = some.join(of_set, "set_id").select("row", "doc_id", "n_shingles", "component_id")
-    alone = sketches.where("n_shingles = 0").select("row", "doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    of_set = found.join(named, "component").select("set_id", "component", "component_id")
+    linked = some.join(of_set, "set_id").select("row", "doc_id", "n_shingles", "component", "component_id")
+    alone = sketches.where("n_shingles = 0").select(
+        "row", "doc_id", "n_shingles", F.col("row").alias("component"), F.col("doc_id").alias("component_id")
+    )
     return linked.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of docs that stay, one of each group, with all their columns; docs must be a scan of files.
+    """The rows of docs that stay, one of each component, with all their columns; docs must be a scan of files.
 
-    Rows that repeat doc_id and text are one document here: the first stays.
+    Of a component the smallest doc_id stays, NULL only where there is no other; of rows that repeat it, the first.
     """
-    kept = near_dedup(docs).where("kept")
-    apart = kept.where("n_shingles = 0").select("row")
-    grouped = kept.where("n_shingles > 0").groupBy("component_id").agg(F.min("row").alias("row")).select("row")
-    kept = apart.unionByName(grouped).withColumnRenamed("row", "__row")
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")
+    kept = near_dedup(docs).groupBy("component").agg(F.min(order).alias("best")).select(F.col("best.row").alias("__row"))
     return docs.withColumn("__row", F.monotonically_increasing_id()).join(kept, "__row", "left_semi").select(docs.columns)

@@ -114,6 +114,19 @@ def test_near_dedup_edge_documents(edge_docs):
     assert sorted(r.doc_id for r in kept.select("doc_id").collect()) == [1, 2, 3, 4, 6, 9, 10]
 
 
+def test_keep_one_keeps_unlinked_texts_that_share_an_id_or_have_none(spark, tmp_path):
+    texts = [f"{name} one two three four five six seven" for name in ("red", "blue")] + [f"{x}1 {x}2 {x}3 {x}4 {x}5 {x}6" for x in "abcdef"]
+    rows = list(zip([None, 3, None, None, 7, 7, 8, 8], texts, strict=True))
+    rows += [(None, texts[2]), (5, texts[3]), (6, texts[4]), (8, texts[7])]
+    docs = as_file(spark, tmp_path, rows)
+    components_of = defaultdict(set)
+    for r in near_dedup(docs).collect():
+        components_of[r.component].add(r.component_id)
+    assert len(components_of) == len(texts) and all(len(ids) == 1 for ids in components_of.values())
+    expected = [(None, texts[0]), (3, texts[1]), (None, texts[2]), (5, texts[3]), (6, texts[4]), (7, texts[5]), (8, texts[6]), (8, texts[7])]
+    assert Counter(map(tuple, keep_one(docs).collect())) == Counter(expected)
+
+
 def test_dedup_edge_documents(edge_docs):
     got = dedup(edge_docs).collect()
     assert len(got) == len(ROWS)
