@@ -67,10 +67,11 @@ def _probability(margin: np.ndarray) -> np.ndarray:
 
 
 class Trees:
-    """Flat arrays over all nodes of all trees; a leaf points to itself."""
+    """Flat arrays over all nodes of all trees; a leaf points to itself. Trees that were not fitted on both labels decide
+    nothing: they have a score, but reject no text."""
 
-    def __init__(self, start: float):
-        self.start, self.roots = start, []
+    def __init__(self, start: float, decides: bool = True):
+        self.start, self.roots, self.decides = start, [], decides
         self.feature, self.threshold, self.left, self.right, self.value = [], [], [], [], []
 
     def add_node(self) -> int:
@@ -95,8 +96,8 @@ class Trees:
 def fit(x: np.ndarray, y: np.ndarray) -> Trees:
     """Trees for labels 0 and 1. Without rows, or with one label only, the result is a constant."""
     share = (y.sum() + 1) / (len(y) + 2)
-    trees = Trees(float(np.log(share / (1 - share))))
-    if not len(y) or y.min() == y.max():
+    trees = Trees(float(np.log(share / (1 - share))), bool(len(y) and y.min() != y.max()))
+    if not trees.decides:
         return trees.freeze()
     edges = [np.unique(np.quantile(column, np.linspace(0, 1, BINS + 1)[1:-1])) for column in x.T]
     binned = np.stack([np.searchsorted(e, column, side="left") for e, column in zip(edges, x.T, strict=True)], axis=1)
@@ -184,7 +185,9 @@ def score(docs: DataFrame, trees: Trees, *, threshold: float = THRESHOLD) -> Dat
 
 
 def keep_good(docs: DataFrame, trees: Trees, *, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows whose text reaches the threshold, with all their columns."""
+    """The rows whose text reaches the threshold, with all their columns; all rows if the trees do not decide."""
+    if not trees.decides:
+        return docs
 
     def run(batches):
         for part in slices(batches):

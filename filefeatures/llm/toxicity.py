@@ -3,7 +3,7 @@
 With grades 0 < 1 < .. < K, P(grade > k) = logistic(w . x - threshold k): one weight per word, shared by all thresholds,
 and thresholds in order. x is sparse: a 1 for each chosen word that the text has, and for each word or stem that is a
 certain share of the text. They are chosen by how much more of the toxic than of the other training documents have them,
-measured in standard deviations. The expected severity is the sum over k of P(grade > k).
+measured in standard deviations: those that come up to a bar, which falls with what few documents can reach. The expected severity is the sum over k of P(grade > k).
 
 Labels say only toxic or not. The grade of a toxic training document is one more than the thirds it lies above when toxic
 documents are ordered by how many of the chosen features they have.
@@ -26,6 +26,7 @@ from filefeatures.session import stage
 
 GRADES = 3
 WORDS, LEAST_DOCUMENTS, LEAST_DEVIATIONS = 500, 4, 6.0
+OF_STRONGEST = 0.75  # where the strongest feature is weak, others count from this share of its deviations on
 STEM_BYTES = (5, 7)
 SHARES = (0.005, 0.01)
 COPY_WORDS = 5
@@ -64,10 +65,11 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 class Severity:
-    """Weights by word hash (sorted) and rising thresholds."""
+    """Weights by word hash (sorted) and rising thresholds. A model that was not fitted on both labels, or
+    knows no word, decides nothing: it has chances, the same for all texts, but calls none toxic."""
 
-    def __init__(self, words: np.ndarray, weights: np.ndarray, thresholds: np.ndarray):
-        self.words, self.weights, self.thresholds = words, weights, thresholds
+    def __init__(self, words: np.ndarray, weights: np.ndarray, thresholds: np.ndarray, decides: bool = True):
+        self.words, self.weights, self.thresholds, self.decides = words, weights, thresholds, decides
 
     def above(self, texts: list[bytes]) -> np.ndarray:
         """P(grade > k) by text and k."""
@@ -84,8 +86,9 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, words: np.ndarray) -> Severi
     """rows: numbers of the words that each text has. Gradient ascent (Adam) on the ordinal likelihood with a ridge."""
     top = GRADES
     thresholds = np.array([np.log(((grades <= k).sum() + 1) / ((grades > k).sum() + 1)) for k in range(top)])
+    decides = bool(len(words) and (grades == 0).any() and (grades > 0).any())
     if not len(words) or not len(grades):
-        return Severity(words, np.zeros(len(words)), thresholds)
+        return Severity(words, np.zeros(len(words)), thresholds, decides)
     owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     column = np.concatenate(rows) if len(owner) else np.empty(0, np.int64)
     # Thresholds as a first one and logarithms of the gaps keep their order.
@@ -113,7 +116,7 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, words: np.ndarray) -> Severi
         mean = 0.9 * mean + 0.1 * gradient
         square = 0.999 * square + 0.001 * gradient**2
         state = state + RATE * mean / (1 - 0.9**step) / (np.sqrt(square / (1 - 0.999**step)) + 1e-8)
-    return Severity(words, state[: len(words)], cuts(state))
+    return Severity(words, state[: len(words)], cuts(state), decides)
 
 
 def train(docs: DataFrame, labels: DataFrame, *, limit: int = MAX_LABELLED) -> Severity:
@@ -133,18 +136,21 @@ def train(docs: DataFrame, labels: DataFrame, *, limit: int = MAX_LABELLED) -> S
     sample = stage(sample.withColumn("copy", one).where("copy = 1").select("label", "words"), "toxicity-sample")
     sizes = {row["label"]: row["count"] for row in sample.groupBy("label").count().collect()}
     toxic, other = sizes.get(1, 0), sizes.get(0, 0)
+    none = np.zeros(0, np.int64)
     if not toxic or not other:
-        return fit([], np.zeros(0, np.int64), np.zeros(0, np.int64))
+        return fit([], np.repeat([0, 1], [other, toxic]), none)
     share = F.col("with") / (toxic + other)
     deviations = (F.col("toxic") / toxic - F.col("other") / other) / F.sqrt(share * (1 - share) * (1 / toxic + 1 / other))
     counts = sample.select("label", F.explode("words").alias("word")).groupBy("word").agg(
         F.count("*").alias("with"), F.sum("label").alias("toxic"), F.sum(1 - F.col("label")).alias("other")
     )
-    chosen = counts.where((F.col("toxic") >= LEAST_DOCUMENTS) & (F.col("with") < toxic + other)).withColumn("deviations", deviations)
-    chosen = chosen.where(F.col("deviations") >= LEAST_DEVIATIONS).orderBy(F.desc("deviations"), "word").limit(WORDS)
-    words = np.sort(np.array([row["word"] for row in chosen.select("word").collect()], np.int64))
+    least = min(LEAST_DOCUMENTS, -(-toxic // 2))
+    strongest = counts.where((F.col("toxic") >= least) & (F.col("with") < toxic + other)).withColumn("deviations", deviations)
+    found = strongest.where("deviations > 0").orderBy(F.desc("deviations"), "word").limit(WORDS).collect()
+    bar = min(LEAST_DEVIATIONS, OF_STRONGEST * found[0]["deviations"]) if found else 0.0
+    words = np.sort(np.array([row["word"] for row in found if row["deviations"] >= bar], np.int64))
     if not len(words):
-        return fit([], np.zeros(0, np.int64), words)
+        return fit([], np.repeat([0, 1], [other, toxic]), none)
     known = F.array_sort(F.array_intersect("words", F.array(*[F.lit(int(w)) for w in words])))
     rows = sample.select("label", known.alias("known")).orderBy("label", "known").collect()
     numbers = [np.searchsorted(words, np.array(row["known"], np.int64)) for row in rows]
@@ -159,7 +165,8 @@ def score(docs: DataFrame, model: Severity, *, threshold: float = THRESHOLD) ->
     """Per row: doc_id, held_out, p_toxic (grade 1 or more), expected_severity (0 to 3), grade (the likeliest), toxic.
 
     NULL text counts as empty; a text without any chosen word gets the chances that the thresholds alone give. doc_id may
-    be NULL (then the row is not held out) or repeated. Other columns are not read.
+    be NULL (then the row is not held out) or repeated. A model that does not decide calls no text toxic. Other
+    columns are not read.
     """
 
     def run(batches):
@@ -170,11 +177,15 @@ def score(docs: DataFrame, model: Severity, *, threshold: float = THRESHOLD) ->
             yield pa.RecordBatch.from_arrays(arrays, names=SCHEMA.names)
 
     found = docs.select(docs["doc_id"].cast("long"), text_or_empty(docs).alias("text")).mapInArrow(run, SCHEMA)
-    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "p_toxic", "expected_severity", "grade", (F.col("p_toxic") >= threshold).alias("toxic"))
+    toxic = ((F.col("p_toxic") >= threshold) & F.lit(model.decides)).alias("toxic")
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "p_toxic", "expected_severity", "grade", toxic)
 
 
 def keep_clean(docs: DataFrame, model: Severity, *, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows whose text is less likely toxic than the threshold, with all their columns."""
+    """The rows whose text is less likely toxic than the threshold, with all their columns; all rows if the model does not
+    decide."""
+    if not model.decides:
+        return docs
 
     def run(batches):
         for part in slices(batches):

@@ -66,6 +66,39 @@ def test_models_without_labels_are_constant(spark, documents, labels):
     assert len({r.p_toxic for r in toxicity.score(documents.limit(20), toxicity.train(documents, none)).collect()}) == 1
 
 
+def test_models_without_both_labels_reject_nothing(spark, documents, labels):
+    some = documents.limit(20)
+    for one in (labels.where("doc_id < 0"), labels.where("toxic = 0 and quality = 0"), labels.where("toxic = 1")):
+        model = toxicity.train(documents, one)
+        assert not any(r.toxic for r in toxicity.score(some, model).collect())
+        assert toxicity.keep_clean(some, model).count() == 20
+    assert toxicity.score(some, toxicity.train(documents, labels.where("toxic = 0"))).where("p_toxic >= 0.5").count() == 0
+    for one in (labels.where("doc_id < 0"), labels.where("quality = 0")):
+        assert quality.keep_good(some, quality.train(documents, one)).count() == 20
+
+
+def test_a_model_without_telling_words_gives_the_base_rate(spark):
+    docs = spark.createDataFrame([(i, " ".join(f"{x}{i}" for x in "abcdef")) for i in range(40)], "doc_id long, text string")
+    for is_toxic in (lambda i: i % 8 == 0, lambda i: i % 8 > 0):
+        labels = spark.createDataFrame([(i, int(is_toxic(i))) for i in range(40)], "doc_id long, toxic int")
+        model = toxicity.train(docs, labels)
+        assert not len(model.words) and toxicity.keep_clean(docs, model).count() == 40
+        rows = toxicity.score(docs, model).collect()
+        assert not any(r.toxic for r in rows) and len({r.p_toxic for r in rows}) == 1
+        assert (rows[0].p_toxic < 0.5) == is_toxic(0)
+
+
+def test_toxicity_of_few_labels(spark):
+    sf_dir = SF_DIR.replace("0.01", "0.001")
+    documents, labels = (spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in ("documents", "labels"))
+    truth = {r.doc_id: r.toxic == 1 for r in labels.collect()}
+    rows = toxicity.score(documents, toxicity.train(documents, labels)).collect()
+    for unseen in (False, True):
+        own = [(r.toxic, truth[r.doc_id]) for r in rows if r.doc_id in truth and r.held_out == unseen]
+        assert np.mean([toxic for toxic, label in own if not label]) < 0.05
+        assert unseen or np.mean([toxic for toxic, label in own if label]) > 0.5
+
+
 def test_toxicity_on_held_out_documents(spark, edge_docs, no_docs):
     sf_dir = SF_DIR.replace("0.01", "0.1")
     documents, labels = (spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in ("documents", "labels"))
