@@ -13,6 +13,7 @@ is shuffled, and holds some windows of ids at a time.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections import deque
 from collections.abc import Generator, Iterator
@@ -87,14 +88,18 @@ class WordTokens:
     a text as for its words one by one. Words seen before are looked up; the table starts anew when it is full.
 
     With a tokenizer that ignores case and separates letters from punctuation, words that differ only in capitals and
-    in full stops or commas at their end share the work: the tokenizer sees their letters once.
+    in full stops or commas at their end share the work: the tokenizer sees their letters once. A word that holds an
+    added token of the tokenizer (as <|endoftext|>) goes to it alone and as it is.
     """
 
     def __init__(self, path: str, keep: int = WORDS_KEPT):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
+        if any(re.search(r"\s", token) for token in added):
+            raise ValueError("an added token of the tokenizer spans white space")
+        self.added = "|".join(map(re.escape, added))  # without regard to case: alone, any word gets its right ids
         probe = ["Ab", "\u00c9t.", "x.,"]
         ids = {t: self.tokenizer.encode(t, add_special_tokens=False).ids for t in (*probe, "ab", "\u00e9t", ".", "x", ".,")}
         self.shares = (ids["Ab"], ids["\u00c9t."], ids["x.,"]) == (ids["ab"], ids["\u00e9t"] + ids["."], ids["x"] + ids[".,"])
@@ -116,12 +121,18 @@ class WordTokens:
     def _learn(self, words: pa.Array) -> None:
         cores = pc.utf8_rtrim(words, characters=".,")
         simple = pc.match_substring_regex(cores, LETTERS) if self.shares else pa.array(np.zeros(len(words), bool))
+        if self.added:
+            simple = pc.and_not(simple, pc.match_substring_regex(words, self.added, ignore_case=True))
         keys = pc.if_else(simple, pc.utf8_lower(cores), words).dictionary_encode()
         distinct = keys.dictionary
         letters = pc.match_substring_regex(distinct, LETTERS).to_numpy(zero_copy_only=False) & self.shares
+        alone = np.zeros(len(distinct), bool)
+        if self.added:
+            alone = pc.match_substring_regex(distinct, self.added, ignore_case=True).to_numpy(zero_copy_only=False)
         distinct = distinct.to_pylist()
-        self._learn_parts([text for text, plain in zip(distinct, letters, strict=True) if plain], self._ids_of_letters)
-        self._learn_parts([text for text, plain in zip(distinct, letters, strict=True) if not plain], self._ids_of)
+        ways = np.where(alone, 2, np.where(letters, 0, 1))
+        for way, encode in enumerate((self._ids_of_letters, self._ids_of, self._ids_alone)):
+            self._learn_parts([text for text, own in zip(distinct, ways, strict=True) if own == way], encode)
         ends = ["" if not plain else word[len(word.rstrip(".,")) :] for word, plain in zip(words.to_pylist(), simple.to_pylist(), strict=True)]
         self._learn_parts([*dict.fromkeys(ends)], self._ids_of)
         pairs = np.empty((len(words), 2), np.int64)
@@ -152,6 +163,11 @@ class WordTokens:
         places = np.fromiter((begin for begin, _ in encoding.offsets), np.int64, len(encoding.ids))
         return np.array(encoding.ids, np.uint32), np.diff(np.searchsorted(places, begins))
 
+    def _ids_alone(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Each word by itself: an added token may take the white space beside it, or end a word without its mark."""
+        found = [self.tokenizer.encode(text, add_special_tokens=False).ids for text in texts]
+        return np.array([i for ids in found for i in ids], np.uint32), np.array([len(ids) for ids in found], np.int64)
+
     def encode(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """For each text its ids, and after how many ids its sentences end."""
         split = pc.ascii_split_whitespace(texts)

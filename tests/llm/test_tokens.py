@@ -66,6 +66,15 @@ def test_pack_documents_with_little_padding(documents, word_tokenizer):
     assert all(row.ids == by_doc[row.doc_id][row.start : row.start + row.length] for row in rows)
 
 
+def test_added_tokens_get_the_ids_of_the_unmodified_tokenizer(spark):
+    tokenizer = Tokenizer.from_file(WORDS)
+    texts = ["a <|endoftext|> b", "a<|endoftext|>b", "<|startoftext|>The end.<|endoftext|>.,", "<|ENDOFTEXT|> <|endoftext", "x\n<|endoftext|>\n<|endoftext|>'s"]
+    assert 49407 in tokenizer.encode(texts[0], add_special_tokens=False).ids
+    expected = [(d, [*tokenizer.encode(t, add_special_tokens=False).ids, 1]) for d, t in enumerate(texts)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    check_pieces(pack(docs, WORDS).collect(), expected)
+
+
 def test_pack_nothing(no_docs):
     assert pack(no_docs, WORDS).count() == 0
 
