@@ -1,4 +1,4 @@
-"""What the Arrow-batched operators share: bounded slices of a batch, and normalised bytes of a text."""
+"""What the Arrow-batched operators share: numbered rows, bounded slices of a batch, and normalised bytes of a text."""
 
 from __future__ import annotations
 
@@ -10,6 +10,9 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from filefeatures.session import stage
+
+ROW = "__row"
 UPPER = bytes(range(ord("A"), ord("Z") + 1))
 TO_LOWER = bytes.maketrans(UPPER, UPPER.lower())
 SLICE_BYTES = 4 << 20
@@ -24,6 +27,12 @@ def text_or_empty(docs: DataFrame, text: str = "text") -> Column:
     return F.coalesce(docs[text].cast("string"), F.lit(""))
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """docs with the number ROW of each row, written once: every later job reads the number with its row, however files are
+    split by then (that follows the executors that are alive)."""
+    return stage(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
+
+
 def as_bytes(column: pa.Array) -> list[bytes]:
     return pc.cast(column, pa.binary()).to_pylist()
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from filefeatures.llm.arrow import as_bytes, ascii_lower, slices, text_or_empty
+from filefeatures.llm.arrow import ROW, as_bytes, ascii_lower, numbered, slices, text_or_empty
 from filefeatures.session import stage
 
 BLOCK_BYTES = 4096
@@ -80,10 +80,10 @@ def _name_sorted(batches):
 def identities(docs: DataFrame, *, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Per row of docs: row, doc_id, text_sha256, and (level, name), equal exactly for equal normalised texts.
 
-    row is the monotonically increasing id of the input's rows; reading the input again must give the same order within
-    its partitions, as a scan of files does.
+    row is the number of numbered rows, else the monotonically increasing id of the input's rows, which are read once.
     """
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), docs["doc_id"].cast("long"), text_or_empty(docs).alias("text"))
+    row = docs[ROW] if ROW in docs.columns else F.monotonically_increasing_id()
+    rows = docs.select(row.alias("row"), docs["doc_id"].cast("long"), text_or_empty(docs).alias("text"))
     blocks = rows.mapInArrow(_blocks(block_bytes), BLOCK_SCHEMA)
     named = stage(blocks.repartition("block").sortWithinPartitions("block").mapInArrow(_name_sorted, NAME_SCHEMA), "blocks")
     heads = named.where("position = 0").select("row", "doc_id", "text_sha256", "blocks", "name")
@@ -133,6 +133,7 @@ def dedup(docs: DataFrame, *, block_bytes: int = BLOCK_BYTES) -> DataFrame:
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """The rows of docs that stay, with all their columns; docs must be a scan of files (see identities)."""
-    kept = dedup(docs).where("kept").select(F.col("row").alias("__row"))
-    return docs.withColumn("__row", F.monotonically_increasing_id()).join(kept, "__row", "left_semi").select(docs.columns)
+    """The rows of docs that stay, with all their columns."""
+    whole = numbered(docs)
+    kept = dedup(whole).where("kept").select(F.col("row").alias(ROW))
+    return whole.join(kept, ROW, "left_semi").select(docs.columns)

@@ -151,7 +151,24 @@ def _blocked(batches, block_bytes: int) -> Iterator[tuple[int, pa.RecordBatch]]:
             yield first + int(numbers[begin]), part.slice(int(begin), int(end - begin))
 
 
-def _occurrences(depth: int, block_bytes: int, shares: int):
+def _by_block(batches) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """Slices of placed rows with their block. A block may come in several tasks: each asks for what its rows need."""
+    for part in slices(batches):
+        blocks = part.column("block").to_numpy()
+        starts = np.flatnonzero(np.r_[True, blocks[1:] != blocks[:-1]])
+        for begin, end in zip(starts, [*starts[1:], part.num_rows], strict=True):
+            yield int(blocks[begin]), part.slice(int(begin), int(end - begin))
+
+
+def look_up(keys: np.ndarray, values: np.ndarray, asked: np.ndarray) -> np.ndarray:
+    """The values of the keys asked for; keys are sorted. A key that is not there is an error."""
+    at = np.searchsorted(keys, asked)
+    if len(at) and (int(at.max()) >= len(keys) or (keys[at] != asked).any()):
+        raise ValueError("a key has no answer")
+    return values[at]
+
+
+def _occurrences(depth: int, shares: int):
     """What each block asks for: its distinct grams and words, with how often its training documents have them."""
 
     def emit(block: int, sums: list[Sum]):
@@ -169,7 +186,7 @@ def _occurrences(depth: int, block_bytes: int, shares: int):
 
     def run(batches):
         block, sums = None, []
-        for number, part in _blocked(batches, block_bytes):
+        for number, part in _by_block(batches):
             if number != block and block is not None:
                 yield from emit(block, sums)
             if number != block:
@@ -287,7 +304,7 @@ def _answer(batches):
             known, values = np.concatenate([k for k, _ in parts]), np.concatenate([v for _, v in parts])
             order = np.argsort(known)
             table, parts = (known[order], values[order]), []
-        found = table[1][np.searchsorted(table[0], keys)]
+        found = look_up(*table, keys)
         found = found.astype(np.float32 if now[0] == GRAM else np.uint32 if found.max() < 1 << 32 else np.int64)
         yield _batch([(now[0], now[1], row["block"], row["keys"], found.dtype.char.encode() + pack(found))], SHARED)
 
@@ -325,8 +342,8 @@ def _score(depth: int, total: int, distinct: int):
         for doc_id, text in zip(part.column("doc_id").to_pylist(), as_bytes(part.column("text")), strict=True):
             words = words_of(text)
             keys = gram_keys(words, depth)
-            score = float(tables[GRAM][1][np.searchsorted(tables[GRAM][0], keys)].sum())
-            counts = tables[WORD][1][np.searchsorted(tables[WORD][0], word_keys(words))]
+            score = float(look_up(*tables[GRAM], keys).sum())
+            counts = look_up(*tables[WORD], word_keys(words))
             base = float(np.log10((counts + 0.5) / (total + 0.5 * (distinct + 1))).sum())
             bits = -score / np.log10(2) / len(keys)
             yield doc_id, is_held_out(doc_id), len(counts), int((counts > 0).sum()), total, base, score, bits
@@ -340,12 +357,18 @@ def score(docs: DataFrame, *, depth: int = DEPTH, block_bytes: int = BLOCK_BYTES
     Documents whose crc32 of the id leaves 1 modulo 5 are held out: scored, not learnt from. NULL text counts as empty:
     one token, the end. A NULL doc_id is learnt from; rows that repeat one are separate documents. Without any training
     document every bit has probability 1/2 and the base is that of its formula. An empty table gives no rows. Other
-    columns than doc_id and text are not read. Reading docs again must give the same order, as a scan of files does.
+    columns than doc_id and text are not read.
     """
     if not TOP <= depth <= 6:
         raise ValueError(f"depth must be {TOP} to 6")
     texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_or_empty(docs).alias("text"))
-    asked = stage(texts.mapInArrow(_occurrences(depth, block_bytes, shares), SHARED), "occurrences")
+    def blocked(batches):
+        for block, part in _blocked(batches, block_bytes):
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(part.num_rows, block)), part.column("doc_id"), part.column("text")], names=["block", "doc_id", "text"])
+
+    # Written once: every later job reads the block with its row, however files are split by then.
+    placed = stage(texts.mapInArrow(blocked, "block long, doc_id long, text string"), "placed")
+    asked = stage(placed.mapInArrow(_occurrences(depth, shares), SHARED), "occurrences")
     by_share = asked.drop("block").repartition("kind", "share").sortWithinPartitions("kind", "share")
     counts = stage(by_share.mapInArrow(_add_shares, COUNTS), "counts")
     word_sums = counts.where(F.col("kind") == WORD).agg(F.sum("distinct"), F.sum("total")).first()
@@ -364,10 +387,5 @@ def score(docs: DataFrame, *, depth: int = DEPTH, block_bytes: int = BLOCK_BYTES
     together = known.unionByName(asked).repartition("kind", "share").sortWithinPartitions("kind", "share", "block")
     returned = together.select(SHARED.names).mapInArrow(_answer, SHARED)
 
-    def blocked(batches):
-        for block, part in _blocked(batches, block_bytes):
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(part.num_rows, block)), part.column("doc_id"), part.column("text")], names=["block", "doc_id", "text"])
-
-    placed = texts.mapInArrow(blocked, "block long, doc_id long, text string").withColumn("kind", F.lit(2))
-    rows = placed.unionByName(returned.drop("share"), allowMissingColumns=True)
+    rows = placed.withColumn("kind", F.lit(2)).unionByName(returned.drop("share"), allowMissingColumns=True)
     return rows.repartition("block").sortWithinPartitions("block", "kind").mapInArrow(_score(depth, total, distinct), SCORES)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from filefeatures.llm.arrow import as_bytes, slices, text_or_empty
+from filefeatures.llm.arrow import ROW, as_bytes, numbered, slices, text_or_empty
 from filefeatures.llm.components import components
 from filefeatures.llm.superminhash import bands, set_id, shingles, signatures
 from filefeatures.session import stage
@@ -200,9 +200,14 @@ def near_dedup(
     stays. A text with fewer words than a shingle is one shingle. NULL doc_ids are passed over for component_id unless a
     group has no other; kept compares doc_id and component_id as equal values, NULL with NULL too. Rows that repeat a
     doc_id are one group if their texts are, and all carry the same flag. An empty table gives no rows. Other columns
-    than doc_id and text are not read. Reading docs again must give the same order, as a scan of files does.
+    than doc_id and text are not read.
     """
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), docs["doc_id"].cast("long"), text_or_empty(docs).alias("text"))
+    docs = numbered(docs.select("doc_id", "text"))
+    return _near_dedup(docs, shingle_words, min_percent, slots, band_count, block_rows)
+
+
+def _near_dedup(docs: DataFrame, shingle_words: int, min_percent: int, slots: int, band_count: int, block_rows: int) -> DataFrame:
+    rows = docs.select(docs[ROW].alias("row"), docs["doc_id"].cast("long"), text_or_empty(docs).alias("text"))
     sketches = stage(rows.mapInArrow(_sketch(shingle_words, slots, band_count), SKETCH), "sketches")
     some = sketches.where("n_shingles > 0")
     classes = stage(some.groupBy("set_id").agg(F.min("row").alias("node"), F.min("doc_id").alias("lowest")), "classes")
@@ -230,10 +235,12 @@ def near_dedup(
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of docs that stay, one of each component, with all their columns; docs must be a scan of files.
+    """The rows of docs that stay, one of each component, with all their columns.
 
     Of a component the smallest doc_id stays, NULL only where there is no other; of rows that repeat it, the first.
     """
+    whole = numbered(docs)
+    found = _near_dedup(whole, SHINGLE_WORDS, MIN_PERCENT, SLOTS, BANDS, BLOCK_ROWS)
     order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")
-    kept = near_dedup(docs).groupBy("component").agg(F.min(order).alias("best")).select(F.col("best.row").alias("__row"))
-    return docs.withColumn("__row", F.monotonically_increasing_id()).join(kept, "__row", "left_semi").select(docs.columns)
+    kept = found.groupBy("component").agg(F.min(order).alias("best")).select(F.col("best.row").alias(ROW))
+    return whole.join(kept, ROW, "left_semi").select(docs.columns)

@@ -1,5 +1,7 @@
 """Exact top-k, near dedup, components and sharding against brute force."""
 
+import itertools
+import sys
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -10,10 +12,12 @@ from pyspark.sql import types as T
 
 from filefeatures.llm.components import components, union_find
 from filefeatures.llm.exact_dedup import dedup, keep_first
+from filefeatures.llm.lm_scoring import look_up, score
 from filefeatures.llm.near_dedup import keep_one, near_dedup
 from filefeatures.llm.sharding import shard, write_shards
 from filefeatures.llm.superminhash import shingles, signatures
 from filefeatures.llm.topk import top_k, whole_vectors
+from filefeatures.session import stage
 
 VECTOR = T.StructType([T.StructField("vec_id", T.LongType()), T.StructField("embedding", T.ArrayType(T.FloatType())), T.StructField("part", T.StringType())])
 
@@ -127,6 +131,49 @@ def test_keep_one_keeps_unlinked_texts_that_share_an_id_or_have_none(spark, tmp_
     assert Counter(map(tuple, keep_one(docs).collect())) == Counter(expected)
 
 
+@pytest.fixture
+def shifting_splits(spark, monkeypatch):
+    """After every staged table files are split in another way, as when executors come or go."""
+    names = [f"spark.sql.files.{name}" for name in ("maxPartitionBytes", "openCostInBytes", "minPartitionNum")]
+    before, sizes = {name: spark.conf.get(name, None) for name in names}, itertools.cycle(["4k", "1g"])
+    spark.conf.set(names[1], "1")
+    spark.conf.set(names[2], "1")
+
+    def staged(df, purpose="staged"):
+        done = stage(df, purpose)
+        spark.conf.set(names[0], next(sizes))
+        return done
+
+    for module in ("arrow", "near_dedup", "exact_dedup", "lm_scoring"):
+        monkeypatch.setattr(sys.modules[f"filefeatures.llm.{module}"], "stage", staged)
+    yield
+    for name, value in before.items():
+        spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def test_rows_keep_their_number_when_files_are_split_anew(spark, tmp_path, shifting_splits):
+    draw = np.random.default_rng(8)
+    bases = [[f"w{x}" for x in draw.integers(0, 900, 60)] for _ in range(25)]
+    rows = [(i, " ".join([*bases[i % 25][:58], *([f"x{i}"] if i % 3 else []), "end"])) for i in range(100)]
+    path = str(tmp_path / "docs")
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(6).write.parquet(path)
+    docs = spark.read.parquet(path)
+    near = brute_near(rows, 5, 80)
+    assert comparable(near_dedup(docs).collect()) == Counter(near)
+    assert sorted(r.doc_id for r in keep_one(docs).collect()) == sorted(d for d, _, c in near if d == c)
+    assert sorted(r.doc_id for r in keep_first(docs).collect()) == sorted({text: d for d, text in rows}.values())
+    plain = {r.doc_id: r.score for r in score(docs.coalesce(1), block_bytes=400, shares=3).collect()}
+    assert {r.doc_id: r.score for r in score(docs, block_bytes=400, shares=3).collect()} == pytest.approx(plain, rel=1e-6)
+
+
+def test_a_key_without_answer_is_an_error():
+    keys, values = np.array([2, 5, 9]), np.array([0.2, 0.5, 0.9])
+    assert look_up(keys, values, np.array([9, 2, 2])).tolist() == [0.9, 0.2, 0.2]
+    for missing in (1, 6, 10):
+        with pytest.raises(ValueError):
+            look_up(keys, values, np.array([2, missing]))
+
+
 def test_dedup_edge_documents(edge_docs):
     got = dedup(edge_docs).collect()
     assert len(got) == len(ROWS)
