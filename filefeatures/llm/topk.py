@@ -63,7 +63,8 @@ class Best:
         step, width = self.step, len(rows)
         head = self.matrix[:step].T @ rows[:step]  # the first dimensions of all queries at once
         for q in range(len(self.ids)):
-            scores, alive = head[q], None
+            other = row_ids != self.ids[q]  # rows of the query's own id are no answers, so they may not raise the bar
+            scores, alive = (head[q], None) if other.all() else (head[q][other], np.flatnonzero(other))
             for block, d in enumerate(range(step, width, step), start=1):
                 reach = self.rest[block, q] * rest[block] if alive is None else self.rest[block, q] * rest[block, alive]
                 kept = self._kept(q, scores, reach)
@@ -74,16 +75,14 @@ class Best:
                     break
                 part = rows[d : d + step] if alive is None else rows[d : d + step, alive]
                 scores = scores + self.matrix[d : d + step, q] @ part
-            ids = row_ids if alive is None else row_ids[alive]
-            other = ids != self.ids[q]
-            self._merge(q, scores[other], ids[other])
+            self._merge(q, scores, row_ids if alive is None else row_ids[alive])
 
     def _kept(self, q: int, scores: np.ndarray, reach: np.ndarray) -> np.ndarray:
-        """Rows that may still be among the best: at least k (and the query itself) are certain to reach the bar."""
+        """Rows that may still be among the best: at least k are certain to reach the bar."""
         bar = self.scores[q][-1] if len(self.scores[q]) == self.k else -np.inf
-        if len(scores) > self.k + 1:
+        if len(scores) > self.k:
             low = scores - reach
-            bar = max(bar, np.partition(low, len(low) - self.k - 1)[len(low) - self.k - 1])
+            bar = max(bar, np.partition(low, len(low) - self.k)[len(low) - self.k])
         # Roots are rounded; half a unit is more than their error, and scores are whole numbers.
         return scores + reach >= bar - 0.5
 

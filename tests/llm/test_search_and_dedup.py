@@ -42,6 +42,19 @@ def test_top_k_with_ties(spark, query_block, part_rows, row_block):
     assert sorted(map(tuple, got.collect())) == brute_top_k(rows, lambda i: i % 7 == 0, 5)
 
 
+@pytest.mark.parametrize("copies", [2, 5, 6, 12])
+def test_top_k_of_queries_that_occur_more_than_once(spark, copies):
+    draw = np.random.default_rng(4)
+    rows = [(i, (draw.integers(-2, 3, 40) / 4).astype(float).tolist()) for i in range(1, 200)]
+    # The query's own rows are longer than all others, so their products with it are the highest.
+    rows += [(0, (draw.integers(3, 5, 40) / 2).astype(float).tolist()) for _ in range(copies)]
+    table = spark.createDataFrame([(i, v, "x") for i, v in rows], VECTOR)
+    got = top_k(whole_vectors(table), F.col("vec_id") == 0, dimensions_at_once=8)
+    whole = [(i, np.floor(256 * np.array(v)).astype(np.int64)) for i, v in rows]
+    scored = sorted((-int(q @ w), j) for i, q in whole if i == 0 for j, w in whole if j != 0)[:5]
+    assert sorted(map(tuple, got.collect())) == [(0, rank, j, -score) for rank, (score, j) in enumerate(scored, 1)]
+
+
 def test_top_k_leaves_out_vectors_without_numbers(spark):
     rows = [(0, [1.0, 2.0]), (7, None), (14, [1.0, None]), (21, [float("nan"), 1.0]), (28, [float("inf"), 1.0]), (1, [0.5, 0.5]), (None, [1.0, 1.0])]
     got = top_k(whole_vectors(spark.createDataFrame([(*r, "x") for r in rows], VECTOR)), F.col("vec_id") % 7 == 0)
