@@ -41,13 +41,13 @@ def _local(batches):
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is tied to the node's smallest neighbour."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least("a", F.min("b")).alias("m"))
+    least = stage(both.groupBy("a").agg(F.least("a", F.min("b")).alias("m")), "least")
     return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """A node (a > b in every edge) and its smaller neighbours are tied to the smallest of these."""
-    least = edges.groupBy("a").agg(F.min("b").alias("m"))
+    least = stage(edges.groupBy("a").agg(F.min("b").alias("m")), "least")
     moved = edges.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
 
@@ -55,8 +55,10 @@ def _small_star(edges: DataFrame) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node that an edge (a, b) of longs touches; the component is its smallest node.
 
-    Loops and repeated edges change nothing; no edges give no rows. Every round is a pre-aggregated minimum and a join
-    per node, so neither a component nor a node's neighbourhood has to fit into one task.
+    Loops and repeated edges change nothing; no edges give no rows. Every round is a pre-aggregated minimum and a join with
+    one row per node. The minima are written first, so that nothing but the shuffles lies below the join and adaptive
+    execution can split the edges of a hub over several tasks: neither a component nor a node's neighbourhood has to fit
+    into one.
     """
     now = stage(edges.where("a <> b").mapInArrow(_local, "a long, b long"), "edges")
     before = None

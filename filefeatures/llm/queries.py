@@ -10,10 +10,13 @@ from filefeatures.llm.bpe import encode_documents
 from filefeatures.llm.exact_dedup import dedup
 from filefeatures.llm.html_extract import extract_pages
 from filefeatures.llm.lm_scoring import score
+from filefeatures.llm.merkle import LEAF_COLUMNS, folded, leaf, manifest, proof_text
 from filefeatures.llm.near_dedup import near_dedup
 from filefeatures.llm.packing import pack
 from filefeatures.llm.sharding import HASH_BITS, LIMIT_BYTES, shard
+from filefeatures.llm.simhash import simhash_dedup
 from filefeatures.llm.topk import top_k, whole_vectors
+from filefeatures.llm.whitening import fit, whiten
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -67,6 +70,27 @@ def op10_near_dedup(spark, sf_dir):
     return near_dedup(_table(spark, sf_dir, "documents"), shingle_words=4).drop("row", "component")
 
 
+def op11_simhash(spark, sf_dir):
+    return simhash_dedup(_table(spark, sf_dir, "documents"))
+
+
+def op12_merkle(spark, sf_dir):
+    """Rows whose id's checksum 7 divides are looked up as if one had been added to n_chars since."""
+    docs = _table(spark, sf_dir, "documents")
+    more = (F.col("n_chars").cast("decimal(20,0)") + 1).cast("string")
+    tampered = leaf([more if name == "n_chars" else docs[name] for name in LEAF_COLUMNS])
+    chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    rows = manifest(docs, carry={"tampered": F.when(chosen, tampered)})
+    root = folded(F.coalesce("tampered", "leaf"), F.col("path"))
+    rows = rows.select("doc_id", "leaf", "subroot", "root", F.sha2(proof_text(F.col("path")), 256).alias("proof_sha256"), root.alias("folded_root"))
+    return rows.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op13_whiten(spark, sf_dir):
+    vectors = _table(spark, sf_dir, "embeddings")
+    return whiten(vectors, fit(vectors))
+
+
 def queries():
     return {name: query for name, query in globals().items() if name.startswith("op")}
 
@@ -107,5 +131,60 @@ def shard_sql(limit):
     FROM placed JOIN prefixes USING (doc_id, hash, depth) JOIN buckets USING (depth, prefix)"""
 
 
+def _leaf_sql(chars):
+    values = ["CAST(doc_id AS VARCHAR)", "source", "lang", f"CAST({chars} AS VARCHAR)", "text"]
+    return "sha256(" + " || ".join(f"coalesce(CAST(strlen({v}) AS VARCHAR) || ':' || {v}, '-')" for v in values) + ")"
+
+
+# A tree level by level: (lvl, tree, size, pos, digest), size being the nodes that are left; then every leaf's way up,
+# with the digest that its neighbour has. The checksum is CRC-32, bit by bit, of the id's digits.
+MERKLE_SQL = f"""
+    WITH RECURSIVE crc AS (
+           SELECT doc_id, 4294967295 - list_reduce(
+                    list_concat([4294967295], flatten([list_concat([256 + ord(c)], [0, 0, 0, 0, 0, 0, 0, 0])
+                                                       FOR c IN string_split(CAST(doc_id AS VARCHAR), '')])),
+                    lambda a, b: CASE WHEN b > 0 THEN xor(a, b - 256) WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS crc
+           FROM (SELECT DISTINCT doc_id FROM documents)),
+         leaves AS (
+           SELECT doc_id, lang, {_leaf_sql("n_chars")} AS leaf,
+                  CASE WHEN crc % 7 = 0 THEN {_leaf_sql("(CAST(n_chars AS HUGEINT) + 1)")} END AS tampered
+           FROM documents LEFT JOIN crc USING (doc_id)),
+         placed AS (
+           SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS size,
+                  row_number() OVER (ORDER BY lang NULLS FIRST, doc_id NULLS FIRST, leaf) AS leaf_no
+           FROM leaves),
+         nodes(lvl, lang, size, pos, digest) AS (
+           SELECT 0, lang, size, pos, leaf FROM placed
+           UNION ALL
+           SELECT lvl + 1, lang, (size + 1) // 2, pos // 2, sha256(string_agg(digest, '' ORDER BY pos))
+           FROM nodes WHERE size > 1 GROUP BY lvl, lang, size, pos // 2),
+         subroots AS (
+           SELECT lang, digest, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS size FROM nodes WHERE size = 1),
+         tops(lvl, size, pos, digest) AS (
+           SELECT 0, size, pos, digest FROM subroots
+           UNION ALL
+           SELECT lvl + 1, (size + 1) // 2, pos // 2, sha256(string_agg(digest, '' ORDER BY pos))
+           FROM tops WHERE size > 1 GROUP BY lvl, size, pos // 2),
+         walk(leaf_no, lvl, lang, size, pos, proof, here) AS (
+           SELECT leaf_no, 0, lang, size, pos, '', coalesce(tampered, leaf) FROM placed
+           UNION ALL
+           SELECT w.leaf_no, w.lvl + 1, w.lang, (w.size + 1) // 2, w.pos // 2, w.proof || coalesce(n.digest, ''),
+                  sha256(CASE WHEN w.pos % 2 = 1 THEN coalesce(n.digest, '') || here ELSE here || coalesce(n.digest, '') END)
+           FROM walk w LEFT JOIN nodes n ON n.lvl = w.lvl AND n.lang IS NOT DISTINCT FROM w.lang AND n.pos = xor(w.pos, 1)
+           WHERE w.size > 1),
+         climb(leaf_no, lvl, size, pos, proof, here) AS (
+           SELECT w.leaf_no, 0, s.size, s.pos, w.proof, w.here FROM walk w JOIN subroots s ON s.lang IS NOT DISTINCT FROM w.lang WHERE w.size = 1
+           UNION ALL
+           SELECT w.leaf_no, w.lvl + 1, (w.size + 1) // 2, w.pos // 2, w.proof || coalesce(n.digest, ''),
+                  sha256(CASE WHEN w.pos % 2 = 1 THEN coalesce(n.digest, '') || here ELSE here || coalesce(n.digest, '') END)
+           FROM climb w LEFT JOIN tops n ON n.lvl = w.lvl AND n.pos = xor(w.pos, 1)
+           WHERE w.size > 1)
+    SELECT p.doc_id, p.leaf, s.digest AS subroot, t.digest AS root, sha256(c.proof) AS proof_sha256, c.here AS folded_root, c.here = t.digest AS verified
+    FROM placed p
+    JOIN climb c ON c.leaf_no = p.leaf_no AND c.size = 1
+    JOIN subroots s ON s.lang IS NOT DISTINCT FROM p.lang
+    CROSS JOIN (SELECT digest FROM tops WHERE size = 1) t"""
+
+
 def oracle_sql():
-    return {"op3_top_k": TOP_K_SQL, "op7_exact_dedup": DEDUP_SQL, "op9_shard": shard_sql(LIMIT_BYTES)}
+    return {"op3_top_k": TOP_K_SQL, "op7_exact_dedup": DEDUP_SQL, "op9_shard": shard_sql(LIMIT_BYTES), "op12_merkle": MERKLE_SQL}
