@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Hashable, Iterable, Iterator
+from typing import TypeVar
 
 import numpy as np
 import pyarrow as pa
@@ -13,6 +14,8 @@ from pyspark.sql import functions as F
 from filefeatures.session import stage
 
 ROW = "__row"
+Kept = TypeVar("Kept")
+_kept: dict[Hashable, object] = {}
 UPPER = bytes(range(ord("A"), ord("Z") + 1))
 TO_LOWER = bytes.maketrans(UPPER, UPPER.lower())
 SLICE_BYTES = 4 << 20
@@ -23,14 +26,31 @@ def ascii_lower(text: bytes) -> bytes:
     return text.translate(TO_LOWER)
 
 
+def kept_in_worker(key: Hashable, make: Callable[[], Kept]) -> Kept:
+    """What an operator has learnt, for the later tasks of a Python worker. A worker keeps one thing at a time, so that the
+    stages of a pipeline don't add up in its memory."""
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = make()
+    return _kept[key]
+
+
 def text_or_empty(docs: DataFrame, text: str = "text") -> Column:
     return F.coalesce(docs[text].cast("string"), F.lit(""))
 
 
-def numbered(docs: DataFrame) -> DataFrame:
-    """docs with the number ROW of each row, written once: every later job reads the number with its row, however files are
+def unused(docs: DataFrame, name: str) -> str:
+    """The name, or a longer one where docs has a column of that name."""
+    taken = {column.lower() for column in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def numbered(docs: DataFrame, name: str = ROW) -> DataFrame:
+    """docs with the number of each row, written once: every later job reads the number with its row, however files are
     split by then (that follows the executors that are alive)."""
-    return stage(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
+    return stage(docs.withColumn(name, F.monotonically_increasing_id()), "numbered")
 
 
 def as_bytes(column: pa.Array) -> list[bytes]:

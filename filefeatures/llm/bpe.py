@@ -8,25 +8,33 @@ longer prefix. States and moves are worked out the first time that a text needs
 lies before the place where the paths to all open ends meet can no longer change and is emitted.
 
 Decoding goes token by token through a state machine over UTF-8 byte classes, whose moves are kept per state and token.
+
+A pattern cuts a text at white space at least (CHUNK says where), so texts are cut into stretches that are encoded each by
+itself. A block of texts numbers its different stretches once; these are looked up or go through transducer and state
+machine, and numerals and decoded bytes of whole texts are gathered from theirs.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import re
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
-from itertools import chain
+from itertools import chain, islice
+from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from filefeatures.llm.arrow import slices, text_or_empty
+from filefeatures.llm.arrow import kept_in_worker, slices, text_or_empty
 
 CHUNKS_KEPT = 300_000
 MATCHES_KEPT = 300_000
 STATES_KEPT = 200_000
+LONG_TEXT = 1 << 20  # code points; longer texts are cut into stretches bit by bit
+BLOCK_CHUNKS = 1 << 18
 SETTLE = 4096
 # White space in the sense of Unicode's White_Space property; Python's \s has four control characters more.
 SPACE = r"\t-\r \x85\xa0  -     　"
@@ -229,75 +237,123 @@ class Decoder:
         return "".join(self.stream(ids))
 
 
+class Coded(NamedTuple):
+    """A stretch of text: its ids, the ids in decimals with a comma before each, and the bytes that they decode to."""
+
+    ids: tuple[int, ...]
+    numerals: bytes
+    decoded: bytes
+
+
 class Encoder:
-    """Whole texts: cut by the pattern, each match through the transducer. Stretches seen before are looked up."""
+    """Stretches of text: each match of the pattern through the transducer. Stretches seen before are looked up.
+
+    The pattern must not match over a place where CHUNK cuts: white space, but for one blank before other characters.
+    """
 
     def __init__(self, path: str, pattern: str):
         import regex
 
-        self.chunks, self.matches = regex.compile(CHUNK), regex.compile(pattern)
+        self.chunks, self.matches = re.compile(CHUNK), regex.compile(pattern)
         self.transducer = Transducer(read_ranks(path))
         self.decoder = Decoder(self.transducer.bytes_of)
-        self.numerals = {rank: str(rank) for rank in self.transducer.bytes_of}
         self.known = _Known(self)
 
-    def encode(self, text: str) -> list[int]:
+    def coded(self, chunks: list[str]) -> list[Coded]:
         if len(self.known) > CHUNKS_KEPT:
             self.known.clear()
         if len(self.known.matches) > MATCHES_KEPT:
             self.known.matches.clear()
-        return list(chain.from_iterable(map(self.known.__getitem__, self.chunks.findall(text))))
+        return list(map(self.known.__getitem__, chunks))
+
+    def encode(self, text: str) -> list[int]:
+        return [i for coded in self.coded(self.chunks.findall(text)) for i in coded.ids]
+
+    def blocks(self, texts: list[str]) -> Iterator[tuple[list[str], list[tuple[int, int]]]]:
+        """Stretches of texts, in order and in blocks of bounded size, and how many of them belong to which text."""
+        block, owners = [], []
+        for number, text in enumerate(texts):
+            if len(text) <= LONG_TEXT:
+                pieces = [self.chunks.findall(text)]
+            else:
+                found = map(re.Match.group, self.chunks.finditer(text))
+                pieces = iter(lambda: list(islice(found, BLOCK_CHUNKS)), [])  # noqa: B023
+            for piece in pieces:
+                block += piece
+                owners.append((number, len(piece)))
+                if len(block) >= BLOCK_CHUNKS:
+                    yield block, owners
+                    block, owners = [], []
+        if block:
+            yield block, owners
 
 
 class _Known(dict):
-    """Ids by stretch of text. Many stretches share a match: a word with and without the comma after it."""
+    """Coded stretches. Many share a match: a word with and without the comma after it."""
 
     def __init__(self, encoder: Encoder):
         super().__init__()
         self.encoder, self.matches = encoder, {}
 
-    def __missing__(self, chunk: str) -> tuple[int, ...]:
+    def __missing__(self, chunk: str) -> Coded:
         ids = []
         for match in self.encoder.matches.findall(chunk):
             known = self.matches.get(match)
             if known is None:
                 known = self.matches[match] = self.encoder.transducer.encode(match.encode())
             ids += known
-        found = self[chunk] = tuple(ids)
+        # A stretch is whole characters, so the state machine is back at its start behind each.
+        found = self[chunk] = Coded(tuple(ids), "".join(f",{i}" for i in ids).encode(), self.encoder.decoder.text(ids).encode())
         return found
 
 
-@lru_cache(maxsize=1)
+def _gathered(values: list[bytes], index: pa.Array) -> tuple[memoryview, np.ndarray]:
+    """values[i] for each i of index, one after another, and where each begins; at last, the end."""
+    taken = pa.array(values, pa.large_binary()).take(index)
+    _, offsets, data = taken.buffers()
+    return memoryview(data or b""), np.frombuffer(offsets, np.int64)[taken.offset : taken.offset + len(taken) + 1]
+
+
 def encoder(path: str, pattern: str) -> Encoder:
     """One per Python worker, so that what it has learnt serves all of its tasks."""
-    return Encoder(path, pattern)
+    return kept_in_worker(("byte BPE", path, pattern), lambda: Encoder(path, pattern))
 
 
 def encode_documents(docs: DataFrame, ranks: str, pattern: str, *, with_ids: bool = False) -> DataFrame:
     """Per row: the number of tokens, a digest of the ids, and a digest of what they decode to; with_ids adds both.
 
     NULL text counts as empty: no ids, and the digests of no bytes. doc_id may be NULL or repeated; each row stands for
-    itself. Other columns than doc_id and text are not read. Text is what Spark's strings hold, that is, valid UTF-8.
+    itself. Other columns than doc_id and text are not read. Text is what Spark's strings hold, that is, valid UTF-8. The
+    pattern must fit CHUNK (see Encoder), as that of the byte-level vocabularies does.
     """
     schema = T.StructType([*SCHEMA.fields, IDS, DECODED]) if with_ids else SCHEMA
 
     def run(batches):
         coder = encoder(ranks, pattern)
-        numerals, decoder = coder.numerals.__getitem__, coder.decoder
         for part in slices(batches):
-            counts, digests, decoded, ids_of, texts = [], [], [], [], []
-            for text in part.column("text").to_pylist():
-                ids = coder.encode(text)
-                back = decoder.text(ids)
-                counts.append(len(ids))
-                digests.append(hashlib.sha256(",".join(map(numerals, ids)).encode()).hexdigest())
-                decoded.append(hashlib.sha256(back.encode()).hexdigest())
-                if with_ids:
-                    ids_of.append(ids)
-                    texts.append(back)
-            arrays = [part.column("doc_id"), pa.array(counts, pa.int64()), pa.array(digests), pa.array(decoded)]
+            rows = part.num_rows
+            counts, ids, texts = [0] * rows, [[] for _ in range(rows)], [[] for _ in range(rows)]
+            digests, decoded = [hashlib.sha256() for _ in range(rows)], [hashlib.sha256() for _ in range(rows)]
+            for chunks, owners in coder.blocks(part.column("text").to_pylist()):
+                numbered = pa.array(chunks, pa.string()).dictionary_encode()
+                known, index = coder.coded(numbered.dictionary.to_pylist()), numbered.indices
+                numerals, numerals_at = _gathered([k.numerals for k in known], index)
+                back, back_at = _gathered([k.decoded for k in known], index)
+                sizes = np.fromiter((len(k.ids) for k in known), np.int64, len(known))[index.to_numpy()]
+                before, begin = np.concatenate([[0], np.cumsum(sizes)]), 0
+                for row, length in owners:
+                    end = begin + length
+                    first, last = numerals_at[begin], numerals_at[end]
+                    digests[row].update(numerals[first + (not counts[row] and first < last) : last])
+                    decoded[row].update(back[back_at[begin] : back_at[end]])
+                    counts[row] += int(before[end] - before[begin])
+                    if with_ids:
+                        ids[row] += chain.from_iterable(known[i].ids for i in index[begin:end].to_pylist())
+                        texts[row].append(bytes(back[back_at[begin] : back_at[end]]).decode())
+                    begin = end
+            arrays = [part.column("doc_id"), pa.array(counts, pa.int64()), *(pa.array([d.hexdigest() for d in own]) for own in (digests, decoded))]
             if with_ids:
-                arrays += [pa.array(ids_of, pa.list_(pa.int32())), pa.array(texts, pa.string())]
+                arrays += [pa.array(ids, pa.list_(pa.int32())), pa.array(map("".join, texts), pa.string())]
             yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
     return docs.select(docs["doc_id"].cast("long"), text_or_empty(docs).alias("text")).mapInArrow(run, schema)

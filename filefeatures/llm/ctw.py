@@ -31,7 +31,7 @@ def grams(data: np.ndarray, depth: int) -> np.ndarray:
     return out << 8 | data[depth:]
 
 
-def _log_gamma(n: np.ndarray, shift: float) -> np.ndarray:
+def _series(n: np.ndarray, shift: float) -> np.ndarray:
     """log Gamma(n + shift) for whole n >= 0 and shift 1/2 or 1: Stirling's series, and the recurrence for small n."""
     x = n + shift
     low = x < 10
@@ -46,6 +46,19 @@ def _log_gamma(n: np.ndarray, shift: float) -> np.ndarray:
     return series
 
 
+_FIRST = {shift: _series(np.arange(1 << 12, dtype=np.float64), shift) for shift in (0.5, 1.0)}
+
+
+def _log_gamma(n: np.ndarray, shift: float) -> np.ndarray:
+    """log Gamma(n + shift): most nodes are seen a few times, so the first values are looked up."""
+    first = _FIRST[shift]
+    found = first[np.minimum(n, len(first) - 1).astype(np.int64)]
+    large = np.flatnonzero(n >= len(first))
+    if len(large):
+        found[large] = _series(n[large], shift)
+    return found
+
+
 def estimate(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     """log of the Krichevsky-Trofimov probability of so many zeros and ones, in any order."""
     return _log_gamma(zeros, 0.5) + _log_gamma(ones, 0.5) - np.log(np.pi) - _log_gamma(zeros + ones, 1.0)

@@ -17,11 +17,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from filefeatures.llm.arrow import ROW, as_bytes, ascii_lower, numbered, slices, text_or_empty
+from filefeatures.llm.arrow import ROW, as_bytes, ascii_lower, numbered, slices, text_or_empty, unused
+from filefeatures.operators.select import quoted
 from filefeatures.session import stage
 
 BLOCK_BYTES = 4096
@@ -77,12 +78,12 @@ def _name_sorted(batches):
         yield pa.RecordBatch.from_arrays([pa.array(repeated), *flat.flatten()], names=NAME_SCHEMA.names)
 
 
-def identities(docs: DataFrame, *, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def identities(docs: DataFrame, *, block_bytes: int = BLOCK_BYTES, row: Column | None = None) -> DataFrame:
     """Per row of docs: row, doc_id, text_sha256, and (level, name), equal exactly for equal normalised texts.
 
-    row is the number of numbered rows, else the monotonically increasing id of the input's rows, which are read once.
+    row is the given number, else the monotonically increasing id of the input's rows, which are read once.
     """
-    row = docs[ROW] if ROW in docs.columns else F.monotonically_increasing_id()
+    row = F.monotonically_increasing_id() if row is None else row
     rows = docs.select(row.alias("row"), docs["doc_id"].cast("long"), text_or_empty(docs).alias("text"))
     blocks = rows.mapInArrow(_blocks(block_bytes), BLOCK_SCHEMA)
     named = stage(blocks.repartition("block").sortWithinPartitions("block").mapInArrow(_name_sorted, NAME_SCHEMA), "blocks")
@@ -111,14 +112,14 @@ def identities(docs: DataFrame, *, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     return whole.join(heads.select("row", "doc_id", "text_sha256"), "row")
 
 
-def dedup(docs: DataFrame, *, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def dedup(docs: DataFrame, *, block_bytes: int = BLOCK_BYTES, row: Column | None = None) -> DataFrame:
     """Per row: row, doc_id, keep_id, group_size, kept, text_sha256.
 
     Texts are equal when they are so after lower-casing A-Z; NULL counts as empty, and all empty texts are one group. Of
     a group the largest doc_id stays; NULL is smaller than any other. Where that doc_id occurs more than once in the
     group, the first of its rows stays. An empty table gives no rows. Other columns than doc_id and text are not read.
     """
-    named = stage(identities(docs, block_bytes=block_bytes), "identities")
+    named = stage(identities(docs, block_bytes=block_bytes, row=row), "identities")
     groups = named.groupBy("level", "name").agg(
         F.max(F.struct("doc_id", (-F.col("row")).alias("minus_row"))).alias("best"), F.count("*").alias("group_size")
     )
@@ -133,7 +134,9 @@ def dedup(docs: DataFrame, *, block_bytes: int = BLOCK_BYTES) -> DataFrame:
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """The rows of docs that stay, with all their columns."""
-    whole = numbered(docs)
-    kept = dedup(whole).where("kept").select(F.col("row").alias(ROW))
-    return whole.join(kept, ROW, "left_semi").select(docs.columns)
+    """The rows of docs that stay, with all their columns; which these are is told by `dedup`: of equal texts one row, also
+    of NULL and empty ones. An empty table gives no rows, and a column may have any name."""
+    number = unused(docs, ROW)
+    whole = numbered(docs, number)
+    kept = dedup(whole, row=whole[number]).where("kept").select(F.col("row").alias(number))
+    return whole.join(kept, number, "left_semi").select(*[quoted(c) for c in docs.columns])

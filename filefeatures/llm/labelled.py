@@ -17,7 +17,7 @@ def held_out(doc_id: Column) -> Column:
 def training_sample(docs: DataFrame, labels: DataFrame, label: str, limit: int = MAX_LABELLED) -> DataFrame:
     """(label, text) of up to `limit` labelled documents outside the held-out fold: those with the smallest hash of their id.
 
-    Labels that are NULL or contradict each other in equal numbers do not count. The sample of ids is at most `limit`
+    An id gives one text, however many rows repeat it: the one with the smallest hash. Labels that are NULL or contradict each other in equal numbers do not count. The sample of ids is at most `limit`
     rows of two numbers, so it may be broadcast whatever the size of the tables.
     """
     doc_id = F.col("doc_id").cast("long")
@@ -25,4 +25,5 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, limit: int =
     chosen = mean.where((F.col("mean") != 0.5) & ~held_out(F.col("id"))).orderBy(F.xxhash64("id"), "id").limit(limit)
     chosen = chosen.select(F.col("id").alias("doc_id"), (F.col("mean") > 0.5).cast("int").alias("label"))
     texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.coalesce(docs["text"].cast("string"), F.lit("")).alias("text"))
-    return texts.join(F.broadcast(chosen), "doc_id").select("label", "text")
+    of_ids = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label")
+    return of_ids.agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")).select("label", "text")

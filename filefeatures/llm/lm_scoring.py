@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from filefeatures.llm.arrow import as_bytes, ascii_lower, slices, splitmix, text_or_empty
 from filefeatures.llm.ctw import BITS, END, Top, Tree, grams, parent_keys
-from filefeatures.llm.superminhash import HASHES
+from filefeatures.llm.superminhash import word_hashes
 from filefeatures.session import stage
 
 DEPTH = 5
@@ -127,7 +127,7 @@ def words_of(text: bytes) -> list[bytes]:
 
 def word_keys(words: list[bytes]) -> np.ndarray:
     """64-bit hashes of the words and, last, of the end (as the empty word)."""
-    return np.fromiter(map(HASHES.__getitem__, [*words, b""]), np.uint64, len(words) + 1).view(np.int64)
+    return word_hashes([*words, b""]).view(np.int64)
 
 
 def gram_keys(words: list[bytes], depth: int) -> np.ndarray:

@@ -24,9 +24,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from filefeatures.llm.arrow import ROW, as_bytes, numbered, slices, text_or_empty
+from filefeatures.llm.arrow import ROW, as_bytes, numbered, slices, text_or_empty, unused
 from filefeatures.llm.components import components
-from filefeatures.llm.superminhash import bands, set_id, shingles, signatures
+from filefeatures.llm.superminhash import bands, set_id, shingle_sets, signatures
+from filefeatures.operators.select import quoted
 from filefeatures.session import stage
 
 SHINGLE_WORDS = 5
@@ -65,7 +66,7 @@ def _lists(rows: list[np.ndarray]) -> pa.Array:
 def _sketch(width: int, slots: int, count: int):
     def run(batches):
         for part in slices(batches, max_bytes=SKETCH_BYTES):
-            sets = [shingles(text, width) for text in as_bytes(part.column("text"))]
+            sets = shingle_sets(as_bytes(part.column("text")), width)
             keys = bands(signatures(sets, slots), count)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -84,7 +85,7 @@ def _sketch(width: int, slots: int, count: int):
 def _sets(width: int, slots: int):
     def run(batches):
         for part in slices(batches, max_bytes=SKETCH_BYTES):
-            sets = [shingles(text, width) for text in as_bytes(part.column("text"))]
+            sets = shingle_sets(as_bytes(part.column("text")), width)
             low = (signatures(sets, slots) & np.uint64(0xFFFF)).astype(np.uint16)
             yield pa.RecordBatch.from_arrays(
                 [part.column("row"), pa.array([len(s) for s in sets], pa.int64()), pa.array([x.tobytes() for x in low], pa.binary()), _lists(sets)],
@@ -196,18 +197,18 @@ def near_dedup(
     """Per row: row, doc_id, n_shingles, component, component_id, kept.
 
     Texts are linked if their sets of shingles share min_percent of their union at least; component is a row number that
-    exactly the rows whose texts are linked have in common, component_id the smallest doc_id that links lead to. NULL, empty and blank texts have no shingles and are linked with nothing, so each one
-    stays. A text with fewer words than a shingle is one shingle. NULL doc_ids are passed over for component_id unless a
+    exactly the rows whose texts are linked have in common, component_id the smallest doc_id that links lead to. NULL,
+    empty and blank texts have no shingles and are linked with nothing, so each one stays. A text with fewer words than a shingle is one shingle. NULL doc_ids are passed over for component_id unless a
     group has no other; kept compares doc_id and component_id as equal values, NULL with NULL too. Rows that repeat a
     doc_id are one group if their texts are, and all carry the same flag. An empty table gives no rows. Other columns
     than doc_id and text are not read.
     """
     docs = numbered(docs.select("doc_id", "text"))
-    return _near_dedup(docs, shingle_words, min_percent, slots, band_count, block_rows)
+    return _near_dedup(docs, ROW, shingle_words, min_percent, slots, band_count, block_rows)
 
 
-def _near_dedup(docs: DataFrame, shingle_words: int, min_percent: int, slots: int, band_count: int, block_rows: int) -> DataFrame:
-    rows = docs.select(docs[ROW].alias("row"), docs["doc_id"].cast("long"), text_or_empty(docs).alias("text"))
+def _near_dedup(docs: DataFrame, number: str, shingle_words: int, min_percent: int, slots: int, band_count: int, block_rows: int) -> DataFrame:
+    rows = docs.select(docs[number].alias("row"), docs["doc_id"].cast("long"), text_or_empty(docs).alias("text"))
     sketches = stage(rows.mapInArrow(_sketch(shingle_words, slots, band_count), SKETCH), "sketches")
     some = sketches.where("n_shingles > 0")
     classes = stage(some.groupBy("set_id").agg(F.min("row").alias("node"), F.min("doc_id").alias("lowest")), "classes")
@@ -237,10 +238,13 @@ def _near_dedup(docs: DataFrame, shingle_words: int, min_percent: int, slots: in
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of docs that stay, one of each component, with all their columns.
 
-    Of a component the smallest doc_id stays, NULL only where there is no other; of rows that repeat it, the first.
+    Of a component the smallest doc_id stays, NULL only where there is no other; of rows that repeat it, the first. Texts
+    without words are components of their own, so all of them stay. An empty table gives no rows, and a column may have any
+    name.
     """
-    whole = numbered(docs)
-    found = _near_dedup(whole, SHINGLE_WORDS, MIN_PERCENT, SLOTS, BANDS, BLOCK_ROWS)
+    number = unused(docs, ROW)
+    whole = numbered(docs, number)
+    found = _near_dedup(whole, number, SHINGLE_WORDS, MIN_PERCENT, SLOTS, BANDS, BLOCK_ROWS)
     order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")
-    kept = found.groupBy("component").agg(F.min(order).alias("best")).select(F.col("best.row").alias(ROW))
-    return whole.join(kept, ROW, "left_semi").select(docs.columns)
+    kept = found.groupBy("component").agg(F.min(order).alias("best")).select(F.col("best.row").alias(number))
+    return whole.join(kept, number, "left_semi").select(*[quoted(c) for c in docs.columns])

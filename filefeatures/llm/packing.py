@@ -17,7 +17,6 @@ import re
 import zlib
 from collections import deque
 from collections.abc import Generator, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from filefeatures.llm.arrow import slices, text_or_empty
+from filefeatures.llm.arrow import kept_in_worker, slices, text_or_empty
 
 SIZE = 2048
 END_ID = 1
@@ -184,10 +183,9 @@ class WordTokens:
             yield ids, after[self.sentence[numbers]]
 
 
-@lru_cache(maxsize=1)
 def word_tokens(path: str) -> WordTokens:
     """One table per Python worker, which later tasks go on with."""
-    return WordTokens(path)
+    return kept_in_worker(("word tokens", path), lambda: WordTokens(path))
 
 
 def cuts_of(length: int, sentences: np.ndarray, spacing: int = HARD_SPACING) -> tuple[np.ndarray, np.ndarray]:
@@ -270,8 +268,19 @@ class Packer:
         self.end = shift + len(ids)
 
     def finish(self) -> Iterator[tuple]:
-        if self.end:
-            yield from self._settle(self.plan.cuts())
+        """The last windows. What is left at the end may be too short for a window: it is cut into powers of two, which need
+        no padding, where that costs less."""
+        if not self.end:
+            return
+        cuts, begin = self.plan.cuts(), 0
+        if len(cuts) > 1:
+            begin = yield from self._settle(cuts[:-1])
+        rest = self.end - begin
+        powers = [1 << k for k in reversed(range(rest.bit_length())) if rest >> k & 1]
+        if (len(powers) - 1) * (HARD_PENALTY + self.plan.per_window) >= self.size - rest:
+            powers = [rest]
+        for length in powers:
+            yield from self._window(length)
 
     def _settle(self, cuts: list[int]) -> Generator[tuple, None, int]:
         """Deliver the windows up to these cuts; returns by how much positions are smaller from then on."""

@@ -15,7 +15,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from filefeatures.llm.arrow import text_or_empty
+from filefeatures.llm.arrow import text_or_empty, unused
 from filefeatures.session import stage
 
 LIMIT_BYTES = 64 << 20
@@ -95,8 +95,10 @@ def shard(docs: DataFrame, *, limit: int = LIMIT_BYTES) -> DataFrame:
 
 
 def write_shards(docs: DataFrame, folder: str, *, limit: int = LIMIT_BYTES) -> None:
-    """The documents with all their columns, one folder __shard=<bits> per shard; a shard is written by one task."""
-    shard_of = _placed(docs, limit).select("hash", F.concat(F.lit("b"), "shard").alias("__shard")).distinct()
+    """The documents with all their columns, one folder __shard=<bits> per shard; a shard is written by one task. Where the
+    documents have a column of that name, the folders' name is longer by an underscore."""
+    name, own = unused(docs, "__shard"), unused(docs, "__hash")
+    shard_of = _placed(docs, limit).select(F.col("hash").alias(own), F.concat(F.lit("b"), "shard").alias(name)).distinct()
     key = document_hash(docs["doc_id"].cast("long"), text_or_empty(docs))
-    rows = docs.withColumn("__hash", key).join(shard_of, F.col("__hash") == shard_of["hash"]).drop("__hash", "hash")
-    rows.repartition("__shard").sortWithinPartitions("__shard").write.partitionBy("__shard").parquet(folder)
+    rows = docs.withColumn(own, key).join(shard_of, own).drop(own)
+    rows.repartition(name).sortWithinPartitions(name).write.partitionBy(name).parquet(folder)

@@ -12,39 +12,50 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 
 from filefeatures.llm.arrow import ascii_lower, splitmix
 
-WORDS_KEPT = 250_000
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
-class WordHashes(dict):
-    """64-bit hashes of words, looked up when seen before."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > WORDS_KEPT:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-HASHES = WordHashes()
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    """64-bit hashes of words; each different word is hashed once."""
+    if not words:
+        return np.empty(0, np.uint64)
+    coded = pa.array(words, pa.binary()).dictionary_encode()
+    digest, different = xxhash.xxh3_64_intdigest, coded.dictionary.to_pylist()
+    return np.fromiter(map(digest, different), np.uint64, len(different))[coded.indices.to_numpy()]
 
 
 def shingles(text: bytes, width: int) -> np.ndarray:
     """Distinct 64-bit hashes, sorted, of the runs of `width` words of the lower-cased text; a shorter text is one run."""
-    words = ascii_lower(text).split()
-    if not words:
+    return shingle_sets([text], width)[0]
+
+
+def shingle_sets(texts: list[bytes], width: int) -> list[np.ndarray]:
+    """`shingles` of each text."""
+    words = [ascii_lower(text).split() for text in texts]
+    hashes, sets, begin = word_hashes([word for own in words for word in own]), [], 0
+    # The runs of `width` words over all the texts; those that cross from one text to the next are left out below.
+    mixed = _runs(hashes, width)
+    for own in words:
+        end = begin + len(own)
+        runs = mixed[begin : end - width + 1] if len(own) >= width else _runs(hashes[begin:end], len(own))
+        sets.append(np.unique(runs))
+        begin = end
+    return sets
+
+
+def _runs(hashes: np.ndarray, width: int) -> np.ndarray:
+    count = len(hashes) - width + 1
+    if not width or count < 1:
         return np.empty(0, np.uint64)
-    hashes = np.fromiter(map(HASHES.__getitem__, words), np.uint64, len(words))
-    width = min(width, len(words))
-    count = len(words) - width + 1
     mixed = np.full(count, width, np.uint64)
     for i in range(width):
         mixed = splitmix(mixed * np.uint64(0x9E3779B97F4A7C15) + hashes[i : i + count])
-    return np.unique(mixed)
+    return mixed
 
 
 def set_id(hashes: np.ndarray) -> bytes:

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from filefeatures.llm.arrow import as_bytes, ascii_lower, slices, text_or_empty
 from filefeatures.llm.labelled import MAX_LABELLED, held_out, training_sample
-from filefeatures.llm.superminhash import HASHES, shingles
+from filefeatures.llm.superminhash import shingle_sets, word_hashes
 from filefeatures.session import stage
 
 GRADES = 3
@@ -41,23 +41,26 @@ SCHEMA = T.StructType(
 )
 
 
-def features(text: bytes) -> np.ndarray:
-    """64-bit hashes of what a text has: its different words, lower-cased; and each word or stem (the first bytes of longer
+def features(texts: list[bytes]) -> list[np.ndarray]:
+    """64-bit hashes of what each text has: its different words, lower-cased; and each word or stem (the first bytes of longer
     words) that makes up a share of its words, once for each of the shares that it reaches."""
-    words = ascii_lower(text).translate(_PART).split()
-    counts = Counter(words)
-    found = list(counts)
-    for length in STEM_BYTES:
-        stems: dict[bytes, int] = {}
-        for word, count in counts.items():
-            if len(word) > length:
-                stem = word[:length] + b"-"
-                stems[stem] = stems.get(stem, 0) + count
-        counts |= stems
-    for share in SHARES:
-        least = share * len(words)
-        found += [b"%d %s" % (share * 1000, word) for word, count in counts.items() if count >= least]
-    return np.fromiter(map(HASHES.__getitem__, found), np.uint64, len(found)).view(np.int64)
+    found, ends = [], []
+    for text in texts:
+        words = ascii_lower(text).translate(_PART).split()
+        counts = Counter(words)
+        found += counts
+        for length in STEM_BYTES:
+            stems: dict[bytes, int] = {}
+            for word, count in counts.items():
+                if len(word) > length:
+                    stem = word[:length] + b"-"
+                    stems[stem] = stems.get(stem, 0) + count
+            counts |= stems
+        for share in SHARES:
+            least = share * len(words)
+            found += [b"%d %s" % (share * 1000, word) for word, count in counts.items() if count >= least]
+        ends.append(len(found))
+    return np.split(word_hashes(found).view(np.int64), ends)[:-1]
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -75,8 +78,7 @@ class Severity:
         """P(grade > k) by text and k."""
         total = np.zeros(len(texts))
         if len(self.words):
-            for i, text in enumerate(texts):
-                hashes = features(text)
+            for i, hashes in enumerate(features(texts)):
                 at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
                 total[i] = self.weights[at][self.words[at] == hashes].sum()
         return _sigmoid(total[:, None] - self.thresholds)
@@ -126,8 +128,8 @@ def train(docs: DataFrame, labels: DataFrame, *, limit: int = MAX_LABELLED) -> S
     def hashed(batches):
         for part in slices(batches):
             texts = as_bytes(part.column("text"))
-            found = [features(text) for text in texts]
-            least = [int(s[0].view(np.int64)) if len(s := shingles(text, COPY_WORDS)) else 0 for text in texts]
+            found = features(texts)
+            least = [int(s[0].view(np.int64)) if len(s) else 0 for s in shingle_sets(texts, COPY_WORDS)]
             yield pa.RecordBatch.from_arrays([part.column("label"), pa.array(least, pa.int64()), pa.array(found, pa.list_(pa.int64()))], names=["label", "least", "words"])
 
     sample = training_sample(docs, labels, "toxic", limit).mapInArrow(hashed, "label int, least long, words array<long>")

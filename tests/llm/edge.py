@@ -4,7 +4,7 @@ SF_DIR = "/root/testdata/sf0.01"
 
 LONG = " ".join(f"word{i % 977} and, then{i % 31}." for i in range(12_000))
 # Columns whose names the operators use inside.
-EXTRA = ["row", "block", "key", "node", "score", "label", "hash", "name", "n_shingles"]
+EXTRA = ["row", "block", "key", "node", "score", "label", "hash", "name", "n_shingles", "__row", "__hash", "__shard"]
 ROWS = [
     (1, None),
     (2, ""),

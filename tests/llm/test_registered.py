@@ -34,9 +34,9 @@ def test_dedup_with_many_levels_equals_sql(documents, duck, block_bytes):
     assert oracle.compare(dedup(documents, block_bytes=block_bytes).drop("row"), duck, registered.DEDUP_SQL) is None
 
 
-def test_ten_operators_are_registered():
+def test_thirteen_operators_are_registered():
     numbers = sorted(int(name[2:].split("_")[0]) for name in registered.queries())
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 def test_the_library_does_not_import_this_package():

@@ -1,6 +1,7 @@
 """Exact top-k, near dedup, components and sharding against brute force."""
 
 import itertools
+import re
 import sys
 from collections import Counter, defaultdict
 
@@ -67,23 +68,32 @@ def test_top_k_of_nothing(spark):
     assert top_k(whole_vectors(alone), F.lit(True)).count() == 0
 
 
+def plain_shingles(text, width):
+    """The set of word tuples; words of a shorter text are one."""
+    lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words = [w for w in re.split("[ \t-\r]+", lower) if w]
+    return {tuple(words[i : i + width]) for i in range(max(1, len(words) - width + 1))} if words else set()
+
+
 def brute_near(rows, width, percent):
-    """(doc_id, n_shingles, component) by comparing all pairs."""
-    sets = [shingles((text or "").encode(), width) for _, text in rows]
-    left, right = [], []
+    """(doc_id, n_shingles, component) by comparing all pairs and spreading the smallest row along links."""
+    sets = [plain_shingles(text, width) for _, text in rows]
+    links = defaultdict(list)
     for i, a in enumerate(sets):
         for j in range(i):
-            if len(a) and len(sets[j]):
-                both = len(np.intersect1d(a, sets[j]))
-                if 100 * both >= percent * (len(a) + len(sets[j]) - both):
-                    left.append(i)
-                    right.append(j)
-    found = union_find(np.array(left, np.int64), np.array(right, np.int64))
-    groups = defaultdict(list)
-    for i, (doc_id, _) in enumerate(rows):
-        groups[found.get(i, i)].append(doc_id)
-    least = {root: min((d for d in ids if d is not None), default=None) for root, ids in groups.items()}
-    return [(doc_id, len(sets[i]), least[found.get(i, i)]) for i, (doc_id, _) in enumerate(rows)]
+            if a and 100 * len(a & sets[j]) >= percent * len(a | sets[j]):
+                links[i].append(j)
+                links[j].append(i)
+    group = {}
+    for i in range(len(rows)):
+        todo = [] if i in group else [i]
+        while todo:
+            at = todo.pop()
+            if at not in group:
+                group[at] = i
+                todo += links[at]
+    least = {g: min((rows[i][0] for i in group if group[i] == g and rows[i][0] is not None), default=None) for g in set(group.values())}
+    return [(doc_id, len(sets[i]), least[group[i]]) for i, (doc_id, _) in enumerate(rows)]
 
 
 def as_file(spark, tmp_path, rows):

@@ -22,9 +22,7 @@ RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 @pytest.fixture(scope="module")
 def word_tokenizer():
-    tokenizer = Tokenizer.from_file(WORDS)
-    tokenizer.encode_special_tokens = True
-    return tokenizer
+    return Tokenizer.from_file(WORDS)
 
 
 def check_pieces(rows, expected):
