@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable
+from itertools import islice, permutations
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,7 +20,9 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from filefeatures import contracts
 from filefeatures.functions.paths import file_route, without_scheme
 from filefeatures.functions.text import keyword_flags, labelled_number, last_path_segment, marker_count
+from filefeatures.operators.asof import asof_join
 from filefeatures.operators.delivery import join_predictions, reconcile
+from filefeatures.operators.effects import train_effects
 from filefeatures.operators.labels import (
     encode,
     fit_and_encode,
@@ -46,18 +49,18 @@ from filefeatures.plans.features import (
 from filefeatures.plans.importer import run_import
 from filefeatures.session import scratch_folder, ship_package, stage
 from filefeatures.sinks.csv import write_by_source, write_csv
+from filefeatures.sinks.runs import read_output
 from filefeatures.sources.csv import glob_literal, read_by_header, read_checked, read_csv, read_inferred
+from filefeatures.streaming.answers import append_parquet, join_answers
 from filefeatures.streaming.arrivals import watch_files
-from filefeatures.streaming.rows import append_csv, append_lookup, read_csv_stream
+from filefeatures.streaming.rows import append_asof, append_csv, append_lookup, read_csv_stream
 
 try:  # the corpus operators and their pipeline are optional; nothing else needs them
     import corpus_pipeline
     from filefeatures.llm import queries as corpus_queries
 
     CORPUS = [corpus_queries, corpus_pipeline]
-except ModuleNotFoundError as missing:
-    if (missing.name or "").split(".")[0] not in {"corpus_pipeline", "filefeatures"}:
-        raise
+except ModuleNotFoundError:  # the package, or a module that only it needs
     CORPUS = []
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -206,9 +209,10 @@ def q_csv_quoted_multiline(spark, sf_dir):
 
 
 def _write_lines(spark, lines, header, files, folder):
-    """Lines (file, value) as text, one folder per file, each with the header first."""
-    headers = spark.range(files).select(F.col("id").alias("file"), F.lit(0).alias("order"), F.lit(header).alias("value"))
-    every = headers.unionByName(lines.withColumn("order", F.lit(1)))
+    """Lines (file, value) as text, one folder per file, each with its header first: the same for all, or one per file."""
+    if isinstance(header, str):
+        header = spark.range(files).select(F.col("id").alias("file"), F.lit(header).alias("value"))
+    every = header.withColumn("order", F.lit(0)).unionByName(lines.withColumn("order", F.lit(1)))
     every.repartition("file").sortWithinPartitions("file", "order").drop("order").write.partitionBy("file").text(folder)
 
 
@@ -242,6 +246,31 @@ def q_csv_mixed_headers(spark, sf_dir):
     return rows.select([F.col(field.name).cast(field.dataType) for field in customer.schema])
 
 
+def q_csv_many_layouts(spark, sf_dir):
+    """A thousand layouts: all orders of the columns, and some orders of all but one of them."""
+    orders, folder = _table(spark, sf_dir, "orders"), scratch_folder(spark, "csv")
+    names, layouts = orders.columns, list(permutations(range(6)))
+    for number in range(1000 - len(layouts)):
+        some = [i for i in range(6) if i != number % 6]
+        layouts.append(next(islice(permutations(some), number // 6, None)))
+    rows = [(file, list(places), ",".join(names[i] for i in places)) for file, places in enumerate(layouts)]
+    table = spark.createDataFrame(rows, "file long, places array<int>, value string")
+    values = F.array(*[F.coalesce(F.col(name).cast("string"), F.lit("")) for name in names]).alias("values")
+    lines = orders.select(F.pmod("o_orderkey", F.lit(1000)).alias("file"), values).join(F.broadcast(table), "file")
+    line = F.array_join(F.transform("places", lambda place: F.get("values", place)), ",").alias("value")
+    _write_lines(spark, lines.select("file", line), table.select("file", "value"), 1000, folder)
+    rows = read_by_header(spark, f"{folder}/*", glob="*.txt")
+    return rows.select([F.col(field.name).cast(field.dataType) for field in orders.schema])
+
+
+def q_csv_inferred_codes(spark, sf_dir):
+    """Types without a list of columns that must stay text: codes with leading zeros do."""
+    part, folder = _table(spark, sf_dir, "part"), scratch_folder(spark, "csv")
+    code, half = F.format_string("%05d", "p_partkey").alias("code"), (F.col("p_size") / 2).alias("half")
+    write_csv(part.select("p_partkey", code, "p_size", half, (F.col("p_size") > 9).alias("large")), folder)
+    return read_inferred(spark, folder)
+
+
 def q_csv_inferred(spark, sf_dir):
     folder = scratch_folder(spark, "csv")
     write_csv(_table(spark, sf_dir, "part"), folder)
@@ -318,7 +347,7 @@ def _stream_listing_features(spark, root, listings, labels):
     """The files in `root/in` through the job for arriving files; its dump, read back."""
     handler = features_handler(spark, f"{root}/out", root=without_scheme(f"{root}/in"), labels=labels, id_column="Listing ID")
     watch_files(spark, root, f"{root}-checkpoint", on_in=handler, root=without_scheme(root), max_files=2, trigger=ONCE).awaitTermination()
-    rows = read_csv(spark, f"{root}/out/preprocessed").drop(contracts.SOURCE_FILE)
+    rows = read_output(spark, f"{root}/out", "preprocessed").drop(contracts.SOURCE_FILE)
     return rows.select([F.col(f"`{name}`").alias(name.lower().replace(" ", "_")) for name in rows.columns])
 
 
@@ -361,6 +390,56 @@ def _stream_lookup(spark, sf_dir, **limits):
     return spark.read.parquet(f"{root}/out").drop("batch_id")
 
 
+def _customer_versions(spark, sf_dir):
+    """Four versions of every customer, hours and days apart; every third version of a customer ends before the next."""
+    customer = _table(spark, sf_dir, "customer")
+    start = F.expr("timestamp_ntz'2023-12-30 00:00:00' + make_dt_interval(v * 9, int(c_custkey % 50 * 5))")
+    number = F.explode(F.sequence(F.lit(0), F.lit(3))).alias("v")
+    rows = customer.select(F.col("c_custkey").alias("user_id"), "c_custkey", "c_mktsegment", "c_acctbal", number)
+    end = F.when(F.col("v") % 3 == 2, F.expr("valid_from + interval '3' day")).alias("valid_to")
+    segment = F.concat_ws("-", "c_mktsegment", F.col("v").cast("string")).alias("segment")
+    return rows.withColumn("valid_from", start).select("user_id", "valid_from", end, segment, (F.col("c_acctbal") + F.col("v")).alias("balance"))
+
+
+def q_events_asof_customer(spark, sf_dir):
+    """Every event with the customer's version of its time."""
+    events = _table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value")
+    return asof_join(events, _customer_versions(spark, sf_dir), ["user_id"], time="ts", valid_from="valid_from", valid_to="valid_to")
+
+
+def q_stream_events_asof(spark, sf_dir):
+    """The same on a stream of files, batch by batch."""
+    events, root = _table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value"), scratch_folder(spark, "asof")
+    events.repartition(4).write.parquet(f"{root}/in")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/in")
+    versions = _customer_versions(spark, sf_dir)
+    how = {"time": "ts", "valid_from": "valid_from", "valid_to": "valid_to", "trigger": ONCE}
+    append_asof(stream, lambda: versions, ["user_id"], f"{root}/out", f"{root}/checkpoint", **how).awaitTermination()
+    return spark.read.parquet(f"{root}/out").drop("batch_id")
+
+
+def q_predictions_stream_join(spark, sf_dir):
+    """Every document with its label, which comes up to an hour later on a stream of its own, in other files.
+
+    A last row on each stream, a year later, says that all others have come.
+    """
+    documents, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    root = scratch_folder(spark, "answers")
+    start = F.expr("timestamp'2024-01-01 00:00:00' + make_dt_interval(0, 0, int(doc_id % 100))")
+    asked = documents.select("doc_id", "lang", "source", "n_chars", start.alias("asked_at"))
+    later = F.expr("timestamp'2024-01-01 00:00:00' + make_dt_interval(0, 0, int(doc_id % 100 + doc_id % 61))")
+    answers = labels.select("doc_id", F.col("quality").alias("prediction"), later.alias("answered_at"))
+    end = spark.sql("SELECT timestamp'2025-01-01 00:00:00' AS at")
+    last = [end.withColumnRenamed("at", "asked_at"), end.withColumnRenamed("at", "answered_at")]
+    streams = []
+    for name, rows, closing in zip(["in", "answers"], [asked, answers], last, strict=True):
+        rows.repartition(3).unionByName(closing, allowMissingColumns=True).write.parquet(f"{root}/{name}")
+        streams.append(spark.readStream.schema(rows.schema).parquet(f"{root}/{name}"))
+    joined = join_answers(*streams, ["doc_id"], asked_at="asked_at", answered_at="answered_at", wait="1 hour", late="2 hours")
+    append_parquet(joined, f"{root}/out", f"{root}/checkpoint", trigger=ONCE).awaitTermination()
+    return spark.read.parquet(f"{root}/out").where("doc_id IS NOT NULL").select("doc_id", "lang", "source", "n_chars", "prediction")
+
+
 # Scoring and delivery ------------------------------------------------------------------------------
 
 
@@ -391,22 +470,30 @@ def _sales_model(spark, sf_dir):
     )
     labels, folder = fit_labels(listings, "Category"), scratch_folder(spark, "model")
     model = train_on_target(listings, labels, ["Employee Count"], folder)
-    return listings, labels, folder, model
+    return listings, folder, model
 
 
 def q_train_linear_category(spark, sf_dir):
     """The weight of each segment against that of a missing one, to three decimals."""
-    _, labels, _, model = _sales_model(spark, sf_dir)
-    weights = model.stages[-1].coefficients.toArray()[1:]
-    by_index = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), F.col("idx") + 1)
-    known = labels.table.where("label IS NOT NULL")
-    return known.select(F.col("label").alias("category"), (F.floor(by_index * 1000 + 0.5) / 1000).alias("weight"))
+    model = _sales_model(spark, sf_dir)[-1]
+    weight = F.col("constant") - F.lit(model.other)
+    return model.constants.select("category", (F.floor(weight * 1000 + 0.5) / 1000).alias("weight"))
+
+
+def q_train_linear_many_categories(spark, sf_dir):
+    """The price by order date and customer: a constant for each customer, to two decimals, and the slope."""
+    orders = _table(spark, sf_dir, "orders")
+    day = F.datediff(F.col("o_orderdate").cast("date"), F.lit("1992-01-01")).alias("day")
+    model = train_effects(orders.select("o_totalprice", "o_custkey", day), "o_totalprice", ["day"], "o_custkey")
+    rounded = (F.floor(F.col("constant") * 100 + 0.5) / 100).alias("constant")
+    slope = F.floor(F.lit(model.slopes["day"]) * 10000 + 0.5) / 10000
+    return model.constants.select("category", rounded, "rows", slope.alias("slope"))
 
 
 def q_score_stored_model(spark, sf_dir):
     """Every listing scored with a stored model; the feature values stay as they are."""
-    listings, labels, folder, _ = _sales_model(spark, sf_dir)
-    scored = score_target(listings, labels, ["Employee Count"], folder)
+    listings, folder, _ = _sales_model(spark, sf_dir)
+    scored = score_target(listings, folder)
     return scored.select(
         F.col("`Listing ID`").alias("listing_id"),
         F.col("`Employee Count`").alias("employee_count"),
@@ -505,7 +592,7 @@ def q_listing_features_job(spark, sf_dir):
     )
     run_features(spark, f"{root}/in", f"{root}/out", id_column="Listing ID")
     # The folder of a dump is named after its input file; within a folder the columns are those of the job.
-    rows = read_csv(spark, f"{root}/out/preprocessed").drop(contracts.SOURCE_FILE)
+    rows = read_output(spark, f"{root}/out", "preprocessed").drop(contracts.SOURCE_FILE)
     return rows.select([F.col(f"`{name}`").alias(name.lower().replace(" ", "_")) for name in rows.columns])
 
 
@@ -516,7 +603,21 @@ def q_features_same_name_two_folders(spark, sf_dir):
     options = {**contracts.CSV_OPTIONS, "header": True, "quoteAll": True}
     listings.select("*", half).write.options(**options).partitionBy("half").csv(f"{root}/in")
     run_features(spark, f"{root}/in/*", f"{root}/out", id_column="Listing ID")
-    rows = read_csv(spark, f"{root}/out/preprocessed").drop(contracts.SOURCE_FILE)
+    rows = read_output(spark, f"{root}/out", "preprocessed").drop(contracts.SOURCE_FILE)
+    return rows.select([F.col(f"`{name}`").alias(name.lower().replace(" ", "_")) for name in rows.columns])
+
+
+def q_features_two_runs_one_output(spark, sf_dir):
+    """Two folders with files of the same names, one after the other into one output; the second of them twice."""
+    listings, root = _listings(spark, sf_dir), scratch_folder(spark, "listings")
+    half = (F.col("`Zip Code`").cast("int") % 2).alias("half")
+    options = {**contracts.CSV_OPTIONS, "header": True, "quoteAll": True}
+    listings.select("*", half).write.options(**options).partitionBy("half").csv(f"{root}/in")
+    labels = fit_labels(listings, "Category")
+    for part in (0, 1, 1):
+        how = {"labels": labels, "id_column": "Listing ID", "root": without_scheme(f"{root}/in")}
+        run_features(spark, f"{root}/in/half={part}", f"{root}/out", **how)
+    rows = read_output(spark, f"{root}/out", "preprocessed").drop(contracts.SOURCE_FILE)
     return rows.select([F.col(f"`{name}`").alias(name.lower().replace(" ", "_")) for name in rows.columns])
 
 
@@ -534,25 +635,43 @@ def q_features_with_bad_rows(spark, sf_dir):
     file = F.pmod(F.xxhash64("Listing ID"), F.lit(8))
     _write_lines(spark, listings.select(file.alias("file"), line.alias("value")), ",".join(names), 8, f"{root}/in")
     run_features(spark, f"{root}/in/*", f"{root}/out", id_column="Listing ID", glob="*.txt")
-    good = read_csv(spark, f"{root}/out/preprocessed").select(
+    good = read_output(spark, f"{root}/out", "preprocessed").select(
         F.col("`Listing ID`").alias("listing_id"), F.col("`Zip Code`").alias("zip_code"), F.col("CategoryVector").alias("vector")
     )
-    bad = read_csv(spark, f"{root}/out/bad-rows", schema="bad_line string", header=False).select("bad_line")
+    bad = read_output(spark, f"{root}/out", "bad-rows", schema="bad_line string").select("bad_line")
     return good.unionByName(bad, allowMissingColumns=True)
 
 
-def q_listing_import_job(spark, sf_dir):
+def _import_feed(spark, sf_dir):
     """The importer's 48 columns, each with values of its own."""
-    listings, root = _listings(spark, sf_dir), scratch_folder(spark, "import")
+    listings = _listings(spark, sf_dir)
     filled = listings.withColumns({"Full Category Set": F.col("Category"), "Likes Count": F.length("Review Sources")})
     missing = {
         name: F.concat(F.lit(f"{name} "), F.col("Listing ID")) for name in contracts.IMPORT_COLUMNS if name not in filled.columns
     }
-    write_csv(filled.withColumns(missing), f"{root}/in", quote_all=True)
+    return filled.withColumns(missing)
+
+
+def _imported(spark, root):
     rows = run_import(spark, f"{root}/in", f"{root}/out")
     return rows.select([F.col(f"`{name}`").alias(name.lower().replace(" ", "_")) for name in rows.columns])
 
 
+def q_listing_import_job(spark, sf_dir):
+    root = scratch_folder(spark, "import")
+    write_csv(_import_feed(spark, sf_dir), f"{root}/in", quote_all=True)
+    return _imported(spark, root)
+
+
+def q_import_mixed_headers(spark, sf_dir):
+    """The same feed in files whose columns have opposite orders."""
+    feed, root = _import_feed(spark, sf_dir), scratch_folder(spark, "import")
+    even = F.crc32(F.col("Listing ID").cast("binary")) % 2 == 0
+    write_csv(feed.where(even), f"{root}/in", quote_all=True)
+    write_csv(feed.where(~even).select([f"`{c}`" for c in reversed(feed.columns)]), f"{root}/in", quote_all=True, mode="append")
+    return _imported(spark, root)
+
+
 def queries() -> dict[str, Query]:
     own = {name[2:]: query for name, query in globals().items() if name.startswith("q_")}
     return own | {name: _shipped(query) for module in CORPUS for name, query in module.queries().items()}
@@ -684,6 +803,26 @@ IMPORT_VALUES_SQL = {
     "Twitter Profile": "concat('Followers:', c_custkey, ' Following:1,234 Tweets: 5')",
     "PurchaseComplete": "CAST(1 AS INTEGER)",
 }
+ASOF_SQL = """
+    WITH starts AS (
+           SELECT c_custkey AS user_id, v, TIMESTAMP '2023-12-30' + to_days(9 * v) + to_hours(c_custkey % 50 * 5) AS valid_from,
+                  concat(c_mktsegment, '-', v) AS segment, c_acctbal + v AS balance
+           FROM customer, (SELECT unnest([0, 1, 2, 3]) AS v)),
+         versions AS (SELECT *, CASE WHEN v % 3 = 2 THEN valid_from + to_days(3) END AS valid_to FROM starts),
+         found AS (
+           SELECT e.event_id, e.ts, e.user_id, e.value, v.valid_from, v.valid_to, v.segment, v.balance,
+                  v.valid_to IS NULL OR e.ts < v.valid_to AS holds
+           FROM events e ASOF LEFT JOIN versions v ON e.user_id = v.user_id AND e.ts >= v.valid_from)
+    SELECT event_id, ts, user_id, value, CASE WHEN holds THEN valid_from END AS valid_from, CASE WHEN holds THEN valid_to END AS valid_to,
+           CASE WHEN holds THEN segment END AS segment, CASE WHEN holds THEN balance END AS balance
+    FROM found"""
+
+ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+MANY_LAYOUTS_SQL = "SELECT " + ", ".join(
+    f"CASE WHEN o_orderkey % 1000 < 720 OR (o_orderkey % 1000 - 720) % 6 <> {i} THEN {name} END AS {name}"
+    for i, name in enumerate(ORDER_COLUMNS)
+) + " FROM orders"
+
 IMPORT_SQL = "SELECT " + ", ".join(
     f"{IMPORT_VALUES_SQL.get(name, f"concat('{name} ', listing_id)")} AS \"{name.lower().replace(' ', '_')}\""
     for name in [*contracts.IMPORT_COLUMNS, "PurchaseComplete"]
@@ -776,6 +915,8 @@ OWN_SQL = {
             FROM lineitem""",
     "predictions_join": """SELECT doc_id, lang, source, n_chars, quality AS prediction
             FROM documents LEFT JOIN labels USING (doc_id)""",
+    "predictions_stream_join": """SELECT doc_id, lang, source, n_chars, quality AS prediction
+            FROM documents LEFT JOIN labels USING (doc_id)""",
     "predictions_delivery": """SELECT doc_id, lang, source, n_chars, quality AS prediction
             FROM documents LEFT JOIN labels USING (doc_id)""",
     "in_out_reconcile": """
@@ -789,6 +930,7 @@ OWN_SQL = {
     "listing_features_job": LISTING_FEATURES_SQL,
     "stream_listing_features": LISTING_FEATURES_SQL,
     "features_same_name_two_folders": LISTING_FEATURES_SQL,
+    "features_two_runs_one_output": LISTING_FEATURES_SQL,
     "stream_listing_features_per_file": LISTING_FEATURES_PER_FILE_SQL,
     "features_with_bad_rows": f"""
             WITH listings AS ({LISTINGS_SQL}), good AS (SELECT * FROM listings WHERE c_nationkey >= 10),
@@ -813,9 +955,28 @@ OWN_SQL = {
     "train_linear_category": f"""{SALES_MODEL_SQL}
             SELECT m.category, floor((m.constant - none.constant) * 1000 + 0.5) / 1000 AS weight
             FROM model m, (SELECT constant FROM model WHERE category IS NULL) none WHERE m.category IS NOT NULL""",
+    "train_linear_many_categories": """
+            WITH orders_by_day AS (
+                   SELECT CAST(o_custkey AS VARCHAR) AS category, o_totalprice AS y,
+                          CAST(date_diff('day', DATE '1992-01-01', CAST(o_orderdate AS DATE)) AS DOUBLE) AS x
+                   FROM orders WHERE o_totalprice IS NOT NULL AND o_orderdate IS NOT NULL),
+                 cells AS (
+                   SELECT category, count(*) AS n_rows, avg(x) AS mean_x, avg(y) AS mean_y,
+                          covar_pop(y, x) * count(*) AS xy, var_pop(x) * count(*) AS xx
+                   FROM orders_by_day GROUP BY category),
+                 line AS (SELECT sum(xy) / sum(xx) AS slope FROM cells)
+            SELECT category, floor((mean_y - slope * mean_x) * 100 + 0.5) / 100 AS constant, n_rows AS "rows",
+                   floor(slope * 10000 + 0.5) / 10000 AS slope
+            FROM cells, line WHERE category IS NOT NULL""",
     "score_stored_model": f"""{SALES_MODEL_SQL}
             SELECT listing_id, zip_code AS employee_count, sales,
                    floor((constant + slope * c_nationkey) * 1000 + 0.5) / 1000 AS prediction
             FROM rows JOIN model ON rows.category IS NOT DISTINCT FROM model.category""",
     "listing_import_job": IMPORT_SQL,
+    "import_mixed_headers": IMPORT_SQL,
+    "csv_many_layouts": MANY_LAYOUTS_SQL,
+    "events_asof_customer": ASOF_SQL,
+    "stream_events_asof": ASOF_SQL,
+    "csv_inferred_codes": """SELECT p_partkey::INTEGER AS p_partkey, lpad(p_partkey::VARCHAR, greatest(5, strlen(p_partkey::VARCHAR)::INTEGER), '0') AS code,
+            p_size::INTEGER AS p_size, p_size / 2::DOUBLE AS half, p_size > 9 AS large FROM part""",
 }

@@ -48,10 +48,9 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
         job.add_argument("--id-column", help="name of the feed's identifier column")
         job.add_argument("--labels", help="stored categories; without them they are ranked from the input")
         job.add_argument("--per-file", action="store_true", help="rank the categories of each file alone")
-        job.add_argument("--model", help="stored model to predict with; needs --labels and --numeric")
+        job.add_argument("--model", help="stored model to predict with")
     train.add_argument("--labels", required=True)
-    for job in (train, features, watch):
-        job.add_argument("--numeric", nargs="*", default=[], help="columns the model takes as numbers")
+    train.add_argument("--numeric", nargs="*", default=[], help="columns the model takes as numbers")
 
     stream = jobs.add_parser("stream", help="append a prediction to each row that arrives")
     stream.add_argument("folder")
@@ -79,10 +78,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     missing.add_argument("answers")
     missing.add_argument("out")
 
-    args = parser.parse_args(argv)
-    if getattr(args, "model", None) and not (args.labels and args.numeric):
-        parser.error("--model needs --labels and --numeric")
-    return args
+    return parser.parse_args(argv)
 
 
 def feature_options(spark: SparkSession, args: argparse.Namespace) -> dict:
@@ -91,7 +87,7 @@ def feature_options(spark: SparkSession, args: argparse.Namespace) -> dict:
     if args.per_file:
         options["per_file"] = True
     if args.model:
-        options["score"] = lambda features: score_target(features, labels, args.numeric, args.model)
+        options["score"] = lambda features: score_target(features, args.model)
     return options
 
 

@@ -73,9 +73,6 @@ CATEGORY_VECTOR = "CategoryVector"
 IN_PATTERN = r"/in/[0-9a-z\-]{1,}\.csv"
 OUT_PATTERN = r"/out/[0-9a-z\-]{1,}\.csv"
 
-# Code-like columns that type inference must leave alone (a zip code keeps its leading zero).
-TEXT_COLUMNS = ["Zip Code", "8 Digit SIC ( Source1 )", "6 Digit SIC ( Source2 )", "SIC ( Source3 )"]
-
 SOURCE_FILE = "source_file"
 
 # Options that must be equal on write and read for a file to come back unchanged.

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,21 +38,15 @@ def train_linear(
     target: str,
     numeric: Sequence[str],
     *,
-    category: str | None = None,
     reg_param: float = 0.0,
 ) -> PipelineModel:
-    """Fit a linear model on the rows that have the target and all numbers.
-
-    `category` is a label index from `with_label_index` that says in its metadata how many values it has; the last
-    of them, for NULL and unseen labels, is an all-zero vector. So the label list never passes through the driver.
-    """
+    """Fit a linear model on the rows that have the target and all numbers. With a category, see `operators.effects`."""
     known = as_numbers(df, [target, *numeric]).dropna(subset=[number(name) for name in (target, *numeric)])
-    inputs, stages = [number(name) for name in numeric], []
-    if category:
-        stages.append(OneHotEncoder(inputCol=category, outputCol="_category", dropLast=True))
-        inputs.append("_category")
-    stages.append(VectorAssembler(inputCols=inputs, outputCol="_features", handleInvalid="keep"))
-    stages.append(LinearRegression(featuresCol="_features", labelCol=number(target), regParam=reg_param))
+    inputs = [number(name) for name in numeric]
+    stages = [
+        VectorAssembler(inputCols=inputs, outputCol="_features", handleInvalid="keep"),
+        LinearRegression(featuresCol="_features", labelCol=number(target), regParam=reg_param),
+    ]
     return Pipeline(stages=stages).fit(known)
 
 
@@ -65,4 +59,4 @@ def score_model(df: DataFrame, model: PipelineModel | str, numeric: Sequence[str
     numbers = [F.col(quoted(number(name))) for name in numeric]
     complete = reduce(lambda left, right: left & right, [n.isNotNull() for n in numbers], F.lit(True))
     scored = fitted.transform(as_numbers(df, numeric)).withColumn("prediction", F.when(complete, F.col("prediction")))
-    return scored.drop("_category", "_features", *[number(name) for name in numeric])
+    return scored.drop("_features", *[number(name) for name in numeric])

@@ -4,23 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from filefeatures import contracts
 from filefeatures.functions.text import keyword_flags, labelled_number, marker_count
-from filefeatures.operators.labels import LabelModel, encode, fit_labels, with_label_index
-from filefeatures.operators.scoring import score_model, train_linear
+from filefeatures.operators.effects import EffectsModel, load_effects, score_effects, train_effects
+from filefeatures.operators.labels import LabelModel, encode, fit_labels
 from filefeatures.operators.select import Derivation, derive_if_present, match_columns, select_wanted
 from filefeatures.problems import FileProblem
 from filefeatures.session import scratch_scope, stage
 from filefeatures.sinks.csv import dump_features, write_by_source, write_model_input
-from filefeatures.sources.csv import CORRUPT, files_read, glob_literal, read_by_header, split_checked
+from filefeatures.sinks.runs import Run
+from filefeatures.sources.csv import CORRUPT, files_read, glob_literal, named_root, read_by_header, split_checked
 
-CATEGORY_BUCKET = "_category_bucket"
-# A linear model holds one coefficient per category on the driver and sends them to the tasks in each step.
-MAX_CATEGORIES = 100_000
+OUTPUTS = ("bad-rows", "preprocessed", "model-input", "predictions")
 
 
 def _payment_flags(source: Column) -> dict[str, Column]:
@@ -77,16 +75,19 @@ def run_features(
     glob: str | None = "*.csv",
     root: str | None = None,
 ) -> DataFrame:
-    """Read files, write `out/preprocessed`, `out/model-input` and, with a scorer, `out/predictions`.
+    """Read files, write the outputs `preprocessed`, `model-input`, `bad-rows` and, with a scorer, `predictions` below `out`.
 
-    The CSV text is parsed once: features are staged as parquet in the shared scratch folder, and the
+    All outputs become visible together (see `sinks.runs`; `read_output` gives their rows), so a run that fails on its way
+    changes nothing. What an earlier run wrote for the same files is replaced. The CSV text is parsed once: features are staged as parquet in the shared scratch folder, and the
     label fit and all the writes read that. Labels come from a stored model, from each file alone
     (`per_file`), or from all the files of this run. Gives the encoded features.
 
-    Rows with more or fewer values than their header go to `out/bad-rows` with their file and raw text, and nowhere else.
-    A file is its path below `root` (see `read_by_header`): per-file labels and output folders follow that. The
-    folder of a file that has no row any more is removed.
+    Rows with more or fewer values than their header go to `bad-rows` with their file and raw text, and nowhere else.
+    A file is its path below `root`, without one below the folder that `paths` names (see `named_root`): per-file labels
+    and output folders follow that, so files of the same name in two folders stay apart, also in two runs. A file that has
+    no row any more has none in any output.
     """
+    root = named_root(spark, paths) if root is None else root
     rows = read_by_header(spark, paths, multiline=multiline, glob=glob, root=root, marked=True)
     features, bad = split_checked(stage(listing_features(rows, id_column, keep=[contracts.SOURCE_FILE, CORRUPT])))
 
@@ -105,21 +106,26 @@ def run_features(
     # Laid out by source once, for all the writes.
     features = stage(select_wanted(features, last).hint("rebalance", F.col(contracts.SOURCE_FILE)))
 
-    how = {"clustered": True, "sources": files_read(spark, paths, glob, root)}
-    write_by_source(bad, f"{out}/bad-rows", quote_all=True, sources=how["sources"])
-    dump_features(features, f"{out}/preprocessed", **how)
-    write_model_input(features, f"{out}/model-input", **how)
-    if score:
-        write_by_source(score(features), f"{out}/predictions", header=True, sources=how["sources"])
+    run = Run(spark, out, OUTPUTS)
+    try:
+        write_by_source(bad, run.path("bad-rows"), quote_all=True)
+        dump_features(features, run.path("preprocessed"), clustered=True)
+        write_model_input(features, run.path("model-input"), clustered=True)
+        if score:
+            write_by_source(score(features), run.path("predictions"), header=True)
+        run.commit(files_read(spark, paths, glob, root))
+    except BaseException:
+        run.abandon()
+        raise
     return features
 
 
 def features_handler(
-    spark: SparkSession, out: str, root: str | None = None, **options: object
+    spark: SparkSession, out: str, root: str, **options: object
 ) -> Callable[[Sequence[str], int], None]:
     """`run_features` as a handler for `watch_files`; a repeated batch replaces what it wrote before.
 
-    `root` is the folder that files are named below; without it, the folder that the files of a batch share.
+    `root` is the folder that files are named below, the same for all batches.
 
     Without a stored label model each file gets labels of its own, so that the features of a file do not
     depend on the files it happens to arrive with.
@@ -136,32 +142,14 @@ def features_handler(
 
 def train_on_target(
     features: DataFrame, labels: LabelModel, numeric: Sequence[str], folder: str, *, reg_param: float = 0.0
-) -> PipelineModel:
+) -> EffectsModel:
     """Fit a linear model of the learning target on numbers and the category, and store it."""
-    model = train_linear(
-        with_category_bucket(features, labels),
-        contracts.TARGET_COLUMN,
-        numeric,
-        category=CATEGORY_BUCKET,
-        reg_param=reg_param,
+    model = train_effects(
+        features, contracts.TARGET_COLUMN, numeric, contracts.CATEGORY_COLUMN, labels=labels, reg_param=reg_param
     )
-    model.write().overwrite().save(folder)
-    return model
+    return model.save(folder)
 
 
-def with_category_bucket(features: DataFrame, labels: LabelModel) -> DataFrame:
-    """The category's index, with the number of labels for a NULL or unseen one.
-
-    The column says how many values it can have, so a model's width does not depend on whether NULL occurs.
-    """
-    if labels.labels > MAX_CATEGORIES:
-        raise ValueError(f"{labels.labels} categories, but a linear model takes at most {MAX_CATEGORIES}: group rare ones before")
-    indexed = with_label_index(features, labels, contracts.CATEGORY_COLUMN)
-    values = {"ml_attr": {"type": "nominal", "num_vals": labels.labels + 1}}
-    bucket = F.coalesce("_idx", F.lit(labels.labels)).cast("double").alias(CATEGORY_BUCKET, metadata=values)
-    return indexed.select("*", bucket).drop("_idx", "_n")
-
-
-def score_target(features: DataFrame, labels: LabelModel, numeric: Sequence[str], folder: str) -> DataFrame:
+def score_target(features: DataFrame, folder: str) -> DataFrame:
     """Add the prediction of a model stored by `train_on_target`."""
-    return score_model(with_category_bucket(features, labels), folder, numeric).drop(CATEGORY_BUCKET)
+    return score_effects(features, load_effects(features.sparkSession, folder))

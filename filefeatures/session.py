@@ -69,6 +69,13 @@ def delete_folder(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path with its scheme and from the root, as Spark names the files that it reads."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    store = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return store.makeQualified(folder).toString()
+
+
 def stage(df: DataFrame, purpose: str = "staged") -> DataFrame:
     """Write the rows once to the shared scratch folder and go on from there.
 

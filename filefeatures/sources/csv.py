@@ -4,23 +4,27 @@ from __future__ import annotations
 
 import csv
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterable, Sequence
 from functools import reduce
+from typing import NamedTuple
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from filefeatures.contracts import CSV_OPTIONS, SOURCE_FILE, TEXT_COLUMNS
-from filefeatures.functions.paths import decoded, plain_path, source_file_name
+from filefeatures.contracts import CSV_OPTIONS, SOURCE_FILE
+from filefeatures.functions.paths import decoded, plain_path, source_file_name, without_scheme
 from filefeatures.operators.select import quoted
+from filefeatures.operators.types import typed
 from filefeatures.problems import FileProblem, NoHeader
-from filefeatures.session import stage
+from filefeatures.session import qualified, stage
 
 CORRUPT = "_corrupt_record"
 
+
 def _reader(spark: SparkSession, *, multiline: bool, glob: str | None = None, **options: object):
     reader = spark.read.options(**CSV_OPTIONS, multiLine=multiline, **options)
     return reader.option("pathGlobFilter", glob) if glob else reader
@@ -64,22 +68,17 @@ def read_inferred(
     spark: SparkSession,
     paths: str | Sequence[str],
     *,
-    keep_text: Iterable[str] = TEXT_COLUMNS,
+    keep_text: Iterable[str] = (),
     multiline: bool | None = None,
     glob: str | None = "*.csv",
 ) -> DataFrame:
-    """All files of a folder with inferred types, but code-like columns stay text.
+    """All files of a folder with the types that their texts have (see `operators.types`), aligned by column name.
 
-    With `multiline=None` the files are looked at, and read in splits unless a quoted value may hold a line break.
+    A column gets a type only if every text of it prints back to itself, so codes with leading zeros stay text. The text is
+    parsed once and staged; types are measured and cast from there. `keep_text` names columns that stay text in any case.
     """
-    if multiline is None:
-        multiline = spans_lines(spark, paths, glob)
-    inferred = _reader(spark, multiline=multiline, glob=glob, header=True, inferSchema=True).csv(paths).schema
-    text = {name.lower() for name in keep_text}
-    schema = T.StructType(
-        [T.StructField(f.name, T.StringType() if f.name.lower() in text else f.dataType) for f in inferred]
-    )
-    return read_csv(spark, paths, schema=schema, multiline=multiline, glob=glob)
+    text = stage(read_by_header(spark, paths, multiline=multiline, glob=glob).drop(SOURCE_FILE))
+    return typed(text, keep_text=keep_text)
 
 
 def marked_schema(schema: T.StructType) -> T.StructType:
@@ -187,6 +186,19 @@ def common_folder(folders: Sequence[str]) -> str:
     return "/".join(parts[0][:shared])
 
 
+def named_root(spark: SparkSession, paths: str | Sequence[str]) -> str:
+    """The folder that the caller names, whatever files are in it: without glob parts, of a file the folder that it is in,
+    and of several the one that they share."""
+
+    def root(path: str) -> str:
+        plain = re.split(r"/[^/]*(?<!\\)[*?\[{]", path)[0]
+        if plain == path and re.search(r"\.[A-Za-z0-9]+$", path.rsplit("/", 1)[-1]):
+            plain = path.rsplit("/", 1)[0] if "/" in path else "."
+        return without_scheme(qualified(spark, re.sub(r"\\(.)", r"\1", plain) or "/"))
+
+    return root(paths) if isinstance(paths, str) else common_folder([root(path) for path in paths])
+
+
 def files_read(
     spark: SparkSession, paths: str | Sequence[str], glob: str | None = "*.csv", root: str | None = None
 ) -> DataFrame:
@@ -194,14 +206,89 @@ def files_read(
     files = spark.read.format("binaryFile")
     files = (files.option("pathGlobFilter", glob) if glob else files).load(paths)
     path = plain_path(F.col("path"))
-    folder = F.regexp_replace(path, "/[^/]*$", "")
-    if root is None:
-        root = common_folder([row[0] for row in files.select(folder).distinct().collect()] or [""])
+    root = named_root(spark, paths) if root is None else root
     prefix = root.rstrip("/") + "/"
     name = F.when(F.startswith(path, F.lit(prefix)), F.substring(path, len(prefix) + 1, 1 << 30)).otherwise(F.regexp_extract(path, "[^/]*$", 0))
     return files.select(name.alias(SOURCE_FILE))
 
 
+class Layout(NamedTuple):
+    """A header line and the columns that it names."""
+
+    header: str
+    names: list[str]
+
+
+def _by_position(
+    spark: SparkSession,
+    scans: Sequence[tuple[str | Sequence[str], str | None, bool]],
+    files: DataFrame,
+    layouts: Sequence[Layout],
+    root: str,
+    marked: bool,
+) -> DataFrame:
+    """Files of any number of layouts: parsed once into an array of values, which each file's layout puts into columns.
+
+    `files` has (path, header). The parser gives a value that a row does not have the text `absent`, so a row's length is
+    known. With two places more than the widest layout needs, hardly a row is as long as the parser expects, and it gives
+    the raw text of all others, which `marked` keeps where the length is not that of the file's header. A row that fills
+    all places has no raw text: its values are written as CSV anew.
+    """
+    absent, wide = f"absent-{uuid.uuid4()}", max(len(layout.names) for layout in layouts) + 2 * marked
+    default = {"EXISTS_DEFAULT": f"'{absent}'", "CURRENT_DEFAULT": f"'{absent}'"}
+    places = [T.StructField(f"_{i}", T.StringType(), True, default) for i in range(wide)]
+    schema = marked_schema(T.StructType(places)) if marked else T.StructType(places)
+    columns = _all_names(layouts)
+    numbered = spark.createDataFrame(
+        [(n, layout.header, len(layout.names), [_position(layout.names, c) for c in columns]) for n, layout in enumerate(layouts)],
+        "layout int, header string, width int, place array<int>",
+    )
+    of_file = files.join(numbered.select("header", "layout"), "header").select("path", "layout")
+    rows = [
+        _reader(spark, multiline=spanning, glob=glob, header=True, **(CHECK_OPTIONS if marked else {}))
+        .schema(schema)
+        .csv(paths)
+        .select(
+            F.col("_metadata.file_path").alias("path"),
+            source_file_name(root).alias(SOURCE_FILE),
+            F.array(*[place.name for place in places]).alias("values"),
+            *([F.coalesce(CORRUPT, F.to_csv(F.struct(*[place.name for place in places]), CSV_OPTIONS)).alias(CORRUPT)] if marked else []),
+        )
+        for paths, glob, spanning in scans
+    ]
+    rows = reduce(DataFrame.unionByName, rows).join(of_file, "path")
+    # The layouts came from the driver, so they fit wherever they go.
+    rows = rows.join(F.broadcast(numbered.select("layout", "width", "place")), "layout")
+    values = [F.nullif(F.get("values", F.get("place", F.lit(i))), F.lit(absent)).alias(name) for i, name in enumerate(columns)]
+    first_absent = F.array_position("values", absent)
+    length = F.when(first_absent > 0, first_absent - 1).otherwise(wide)
+    raw = F.when(length != F.col("width"), F.col(CORRUPT)).alias(CORRUPT)
+    return rows.select(*values, *([raw] if marked else []), SOURCE_FILE)
+
+
+def _position(names: Sequence[str], wanted: str) -> int:
+    return next((i for i, name in enumerate(names) if name.lower() == wanted.lower()), -1)
+
+
+def _all_names(layouts: Iterable[Layout]) -> list[str]:
+    """Every column once, in the spelling and order in which the layouts first name it."""
+    found: dict[str, str] = {}
+    for layout in layouts:
+        for name in layout.names:
+            found.setdefault(name.lower(), name)
+    return list(found.values())
+
+
+def _check_names(layout: Layout, example: str, taken: Iterable[str], required: Iterable[str]) -> None:
+    lower = {name.lower() for name in layout.names}
+    for name in taken:
+        if name in lower:
+            raise FileProblem(f"a column of {example} is named {name}, as one of the result is")
+    missing = [name for name in required if name.lower() not in lower]
+    if missing:
+        raise FileProblem(f"{example} lacks the columns {missing}")
+
+
 def read_by_header(
     spark: SparkSession,
     paths: str | Sequence[str],
@@ -210,61 +297,68 @@ def read_by_header(
     glob: str | None = "*.csv",
     root: str | None = None,
     marked: bool = False,
+    required: Sequence[str] = (),
 ) -> DataFrame:
     """Files whose headers differ in order or in columns, aligned by column name; adds `source_file`.
 
-    `source_file` is the path below `root`, or below the deepest folder that all the files share: the file's
-    name when they lie in one folder, and never the same for two files.
+    `source_file` is the path below `root`, without one below the folder that `paths` names (see `named_root`): the file's
+    name when it lies in that folder, and the same in every call.
 
-    All columns are text; a column that a file lacks is NULL. Files are read in groups of one header, not
-    one by one, and a folder of one group is read as a folder. With `multiline=None` each file is looked
-    at: without a line break inside quotes it is read in splits, otherwise by Spark's multi-line reader in
-    one task, whatever its size, so the rows do not depend on it. A file with a line break in a column
-    name is read by itself. With `marked`, a row with more or fewer values than its header has its raw text in
-    a column of its own (see `split_checked`). The driver holds file paths, as for any file scan, and no rows.
+    All columns are text; a column that a file lacks is NULL, unless it is `required`: then the file is an error. All
+    files are parsed in one scan, whatever the number of headers, by position; a table of headers says which value belongs
+    to which column. With `multiline=None` each file is looked at: without a line break inside quotes it is read in
+    splits, otherwise by Spark's multi-line reader in one task, whatever its size, in a second scan, so the rows do not
+    depend on it. A file with a line break in a column name is read by itself. With `marked`, a row with more or fewer
+    values than its header has its raw text in a column of its own (see `split_checked`). The driver holds distinct
+    headers, and file paths only when both scans are needed; it holds no rows.
     """
     found = file_headers(spark, paths, glob, look_for_breaks=multiline is None)
     spans = F.lit(multiline) if multiline is not None else F.col("spans")
     broken = F.regexp_count("header", F.lit('"')) % 2 == 1
     # Only a header that its first line holds whole can be shared by several files.
-    kind = F.struct("header", spans.alias("spans"), F.when(broken, F.col("path")).alias("alone"))
-    folder = F.regexp_replace(plain_path(decoded(F.col("path"))), "/[^/]*$", "")
-    files = found.select("path", kind.alias("kind"), folder.alias("folder")).persist()
-    kinds = sorted((tuple(row.kind) for row in files.select("kind").distinct().collect()), key=str)
+    files = stage(found.select("path", "header", (spans | broken).alias("spans"), F.when(broken, F.col("path")).alias("alone")), "headers")
+    kinds = files.groupBy("header", "spans", "alone").agg(F.min("path").alias("path")).collect()
+    kinds = sorted(kinds, key=lambda kind: (kind.header, kind.spans, kind.alone or ""))
     if not kinds:
-        files.unpersist()
         raise NoHeader(f"no file with a header in {paths}")
-    if root is None:
-        root = common_folder([row.folder for row in files.select("folder").distinct().collect()])
-    members: dict[tuple, list[str]] = {}
-    if len(kinds) > 1:
-        for row in files.select("path", "kind").collect():
-            members.setdefault(tuple(row.kind), []).append(glob_literal(unquote(row.path)))
-    files.unpersist()
-    groups = []
-    for kind in kinds:
-        header, spanning, alone = kind
-        group, group_glob = (sorted(members[kind]), None) if len(kinds) > 1 else (paths, glob)
-        if alone is None:
-            names = header_names(header)
-            schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
-            checked = names == next(csv.reader([header]))
-        else:
-            schema, checked, spanning = None, False, True
-        groups.append(
-            read_csv(
-                spark,
-                group,
-                schema=schema,
-                multiline=spanning,
-                glob=group_glob,
-                check_header=checked,
-                source_file=True,
-                root=root,
-                marked=marked and schema is not None,
-            )
+    root = named_root(spark, paths) if root is None else root
+    taken = [SOURCE_FILE, *([CORRUPT] if marked else [])]
+    shared = [kind for kind in kinds if kind.alone is None]
+    layouts = [Layout(header, header_names(header)) for header in dict.fromkeys(kind.header for kind in shared)]
+    example = {kind.header: unquote(kind.path) for kind in shared}
+    for layout in layouts:
+        _check_names(layout, example[layout.header], taken, required)
+
+    def members(condition: str) -> list[str]:
+        return sorted(glob_literal(unquote(row.path)) for row in files.where(condition).select("path").collect())
+
+    groups = {}  # by header, which gives the columns their order
+    ways = sorted({kind.spans for kind in shared})
+    if len(ways) == 1 and len(layouts) == 1 and len(shared) == len(kinds):
+        names = layouts[0].names
+        groups[layouts[0].header, ""] = read_csv(
+            spark,
+            paths,
+            schema=T.StructType([T.StructField(name, T.StringType()) for name in names]),
+            multiline=ways[0],
+            glob=glob,
+            check_header=names == next(csv.reader([layouts[0].header])),
+            source_file=True,
+            root=root,
+            marked=marked,
         )
-    aligned = reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), groups)
+    elif layouts:
+        scans = [(paths, glob, ways[0])]
+        if len(ways) > 1 or len(shared) < len(kinds):
+            scans = [(members(f"alone IS NULL AND spans = {way}"), None, way) for way in ways]
+        groups[layouts[0].header, ""] = _by_position(spark, scans, files.where("alone IS NULL"), layouts, root, marked)
+    for kind in kinds:
+        if kind.alone is not None:
+            file = glob_literal(unquote(kind.path))
+            by_itself = read_csv(spark, [file], multiline=True, glob=None, check_header=False, source_file=True, root=root)
+            _check_names(Layout(kind.header, by_itself.drop(SOURCE_FILE).columns), unquote(kind.path), taken, required)
+            groups[kind.header, kind.path] = by_itself
+    aligned = reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), [groups[key] for key in sorted(groups)])
     if marked and CORRUPT not in aligned.columns:
         aligned = aligned.withColumn(CORRUPT, F.lit(None).cast("string"))
     last = [CORRUPT, SOURCE_FILE] if marked else [SOURCE_FILE]

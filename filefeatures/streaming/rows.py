@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from filefeatures.contracts import CSV_OPTIONS, SOURCE_FILE
 from filefeatures.functions.paths import source_file_name
+from filefeatures.operators.asof import asof_join
 from filefeatures.operators.delivery import require_unique
 from filefeatures.operators.lookup import HOT_MIN_ROWS, hot_keys, hot_part, lookup
 from filefeatures.operators.select import quoted
@@ -127,8 +128,8 @@ def append_lookup(
 ) -> StreamingQuery:
     """Left-join each micro-batch to a static table with unique keys and write it as parquet.
 
-    Keys that occur twice in the static table are an error. Hot keys are found per batch and answered from a small broadcast; for the rest Spark decides by the
-    size of the static table. A batch owns the folder `batch_id=N`, so a repeated batch replaces itself.
+    Keys that occur twice in the static table are an error. Hot keys are found per batch and answered from a small
+    broadcast; for the rest Spark decides by the size of the static table. A batch owns the folder `batch_id=N`, so a repeated batch replaces itself.
     Rows whose key is NULL stay, spread over the tasks, without looked-up columns.
     """
 
@@ -144,3 +145,30 @@ def append_lookup(
             _write_batch(joined.unionByName(rows.where(keyless), allowMissingColumns=True), batch_id, path)
 
     return for_each_batch(stream, handle, checkpoint, trigger=trigger)
+
+
+def append_asof(
+    stream: DataFrame,
+    versions: Callable[[], DataFrame],
+    keys: Sequence[str],
+    path: str,
+    checkpoint: str,
+    *,
+    time: str,
+    valid_from: str,
+    valid_to: str | None = None,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Join each micro-batch to the versions of a table that changes (see `asof_join`) and write it as parquet.
+
+    `versions` is called for every batch, so versions that were added meanwhile are seen. A row's answer depends on its own
+    time, not on when it arrives: only a version that is added after a row was written comes too late for it. A batch owns
+    the folder `batch_id=N`, so a repeated batch replaces itself.
+    """
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        with scratch_scope(batch.sparkSession):
+            joined = asof_join(batch, versions(), keys, time=time, valid_from=valid_from, valid_to=valid_to)
+            _write_batch(joined, batch_id, path)
+
+    return for_each_batch(stream, handle, checkpoint, trigger=trigger)

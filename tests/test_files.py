@@ -1,4 +1,5 @@
 import csv
+import itertools
 import random
 from pathlib import Path
 from urllib.parse import urlparse
@@ -12,11 +13,15 @@ from filefeatures.__main__ import main, parse
 from filefeatures.operators.labels import fit_labels
 from filefeatures.operators.scoring import score_constant
 from filefeatures.plans.delivery import deliver_predictions, undelivered
+from filefeatures.plans import features as feature_plan
 from filefeatures.plans.features import features_handler, run_features
+from filefeatures.plans.importer import run_import
 from filefeatures.problems import FileProblem
 from filefeatures.session import scratch_scope, stage
 from filefeatures.sinks import csv as sink
-from filefeatures.sources.csv import header_names, read_by_header, read_checked, read_csv, read_inferred
+from filefeatures.sinks import runs
+from filefeatures.sinks.runs import Run, commits, current_sources, merge_commits, read_output, remove_superseded
+from filefeatures.sources.csv import header_names, named_root, read_by_header, read_checked, read_csv, read_inferred, split_checked
 from filefeatures.sources.listing import list_files, route_files
 from filefeatures.streaming.arrivals import append_files, watch_files
 from filefeatures.streaming.rows import append_checked, append_csv, append_lookup, read_csv_stream
@@ -46,6 +51,68 @@ def test_files_with_different_headers(spark, tmp_path):
     }
 
 
+def test_many_layouts_are_one_scan(spark, tmp_path):
+    names = [f"c{i}" for i in range(7)]
+    want = set()
+    for f, order in enumerate(itertools.islice(itertools.permutations(range(7)), 0, 5040, 17)):
+        own = order[: 7 - f % 3]  # some lack a column or two
+        put(tmp_path, f"{f:03d}.csv", ",".join(names[i] for i in own), ",".join(f"{f}-{i}" for i in own), ",".join(["" if i else '""' for i in own]))
+        want |= {tuple(f"{f}-{i}" if i in own else None for i in range(7))}
+    rows = read_by_header(spark, str(tmp_path))
+    assert {tuple(r) for r in rows.where("coalesce(c0, c1, c2, c3, c4, c5, c6) IS NOT NULL").select(names).collect()} == want
+    assert rows.count() == 2 * len(want)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 1
+
+
+@pytest.mark.parametrize("multiline", [None, False, True])
+def test_rows_of_wrong_length_in_files_of_several_layouts(spark, tmp_path, multiline):
+    put(tmp_path, "a.csv", "A,B,C", "1,,", "1,2", "1,2,3,4", ",,", "x", "1,2,3")
+    put(tmp_path, "b.csv", "B,A", "b,a", '"b, ""q""",', "b", "b,a,c", "b,a,c,d,e", "b,a,c,d,e,f")
+    rows = read_by_header(spark, str(tmp_path), multiline=multiline, marked=True)
+    good, bad = split_checked(rows)
+    assert {tuple(r) for r in good.collect()} == {
+        ("1", None, None, "a.csv"), (None, None, None, "a.csv"), ("1", "2", "3", "a.csv"), ("a", "b", None, "b.csv"), (None, 'b, "q"', None, "b.csv"),
+    }
+    assert sorted(map(tuple, bad.collect())) == [
+        ("a.csv", "1,2"), ("a.csv", "1,2,3,4"), ("a.csv", "x"), ("b.csv", "b"), ("b.csv", "b,a,c"), ("b.csv", "b,a,c,d,e"), ("b.csv", "b,a,c,d,e,f"),
+    ]
+    # Unmarked, missing values are NULL and those too many are dropped.
+    unmarked = read_by_header(spark, str(tmp_path), multiline=multiline)
+    assert unmarked.count() == 12 and unmarked.where("A = 'x' AND B IS NULL AND C IS NULL").count() == 1
+
+
+def test_files_of_several_layouts_that_span_lines(spark, tmp_path):
+    put(tmp_path, "a.csv", "A,B", "1,2")
+    put(tmp_path, "b.csv", "B,A", '"x', 'y",1')
+    put(tmp_path, "c.csv", 'C,"A', 'A"', "3,4")
+    got = {tuple(r) for r in read_by_header(spark, str(tmp_path)).select("A", "B", "C", "`A\nA`").collect()}
+    assert got == {("1", "2", None, None), ("1", "x\ny", None, None), (None, None, "3", "4")}
+
+
+def test_names_of_the_result_and_required_columns(spark, tmp_path):
+    put(tmp_path, "a.csv", "A,_corrupt_record", "1,2")
+    put(tmp_path, "b.csv", "A", "3")
+    assert read_by_header(spark, str(tmp_path)).count() == 2
+    with pytest.raises(FileProblem, match="_corrupt_record"):
+        read_by_header(spark, str(tmp_path), marked=True)
+    with pytest.raises(FileProblem, match=r"b.csv lacks the columns \['_Corrupt_Record'\]"):
+        read_by_header(spark, str(tmp_path), required=["a", "_Corrupt_Record"])
+
+
+def test_import_goes_by_name(spark, tmp_path):
+    put(tmp_path / "in", "a.csv", "Zip,n,more", "01234,1,x", "00001,2,x,y")
+    put(tmp_path / "in", "b.csv", "n,ZIP", "3,77777")
+    rows = run_import(spark, str(tmp_path / "in"), str(tmp_path / "out"), ["Zip", "n"])
+    assert {tuple(r) for r in rows.collect()} == {("01234", 1, 1), ("77777", 3, 1)}
+    bad = read_csv(spark, str(tmp_path / "out-bad-rows"), schema="line string, source_file string", header=False)
+    assert [r.line for r in bad.collect()] == ["00001,2,x,y"]
+    put(tmp_path / "in", "c.csv", "n", "3")
+    with pytest.raises(FileProblem, match="c.csv lacks"):
+        run_import(spark, str(tmp_path / "in"), str(tmp_path / "other"), ["Zip", "n"])
+    assert not (tmp_path / "other").exists()
+
+
 def test_header_names():
     assert header_names('A,"x ""y"", z",,b,B') == ["A", 'x "y", z', "_c2", "b3", "B4"]
     assert header_names("\ufeffA,B") == ["A", "B"]
@@ -145,7 +212,7 @@ def test_a_file_is_its_path(spark, tmp_path):
     out = str(tmp_path / "out")
     for _ in range(2):
         run_features(spark, str(tmp_path / "in/*"), out, per_file=True, id_column="Listing")
-    got = dump(spark, out + "/preprocessed").collect()
+    got = dump(spark, out).collect()
     assert sorted((r.source_file, r.CategoryVector) for r in got) == [
         ("p1/a.csv", "2|0|1.0"),
         ("p1/a.csv", "2|0|1.0"),
@@ -155,7 +222,92 @@ def test_a_file_is_its_path(spark, tmp_path):
     header = (tmp_path / "in/p1/a.csv").read_text().splitlines()[0]
     (tmp_path / "in/p1/a.csv").write_text(header + "\n")
     run_features(spark, str(tmp_path / "in/*"), out, per_file=True, id_column="Listing")
-    assert [r.source_file for r in dump(spark, out + "/preprocessed").collect()] == ["p2/a.csv"]
+    assert [r.source_file for r in dump(spark, out).collect()] == ["p2/a.csv"]
+
+
+def test_two_runs_into_one_output(spark, tmp_path):
+    feed(tmp_path / "in/p1", "a.csv", "x", "x")
+    feed(tmp_path / "in/p2", "a.csv", "y")
+    out = str(tmp_path / "out")
+    for part in ("p1", "p2"):
+        run_features(spark, str(tmp_path / "in" / part), out, id_column="Listing", root=str(tmp_path / "in"))
+    assert sorted(r.source_file for r in dump(spark, out).collect()) == ["p1/a.csv", "p1/a.csv", "p2/a.csv"]
+    # A handler gets one file per batch; names are those below its root.
+    handler = features_handler(spark, out, str(tmp_path / "in"), id_column="Listing")
+    handler([f"file:{tmp_path}/in/p2/a.csv"], 1)
+    assert sorted(r.source_file for r in dump(spark, out).collect()) == ["p1/a.csv", "p1/a.csv", "p2/a.csv"]
+    # The root is the folder that is named, not what its files happen to share.
+    assert named_root(spark, f"{tmp_path}/in/*") == named_root(spark, f"{tmp_path}/in") == f"{tmp_path}/in"
+    assert named_root(spark, [f"{tmp_path}/in/p1/a.csv", f"{tmp_path}/in/p2/*.csv"]) == f"{tmp_path}/in"
+    assert named_root(spark, f"{tmp_path}/in/a\\[1\\].csv") == f"{tmp_path}/in"
+
+
+STEPS = ["write_by_source", "dump_features", "write_model_input", "score", "files_read", "_publish"]
+
+
+@pytest.mark.parametrize("step", STEPS)
+def test_a_run_that_fails_changes_no_output(spark, tmp_path, monkeypatch, step):
+    feed(tmp_path / "in", "a.csv", "x")
+    feed(tmp_path / "in", "b.csv", "x", "y")
+    out = str(tmp_path / "out")
+
+    def run(fail=False):
+        def score(rows):
+            if fail and step == "score":
+                raise RuntimeError("stopped")
+            return score_constant(rows)
+
+        run_features(spark, str(tmp_path / "in"), out, id_column="Listing", score=score)
+
+    def seen():
+        outputs = [read_output(spark, out, name) for name in ("preprocessed", "predictions")]
+        outputs.append(read_output(spark, out, "model-input", schema="a string, b string"))
+        return [sorted(map(tuple, rows.collect())) for rows in outputs]
+
+    def stopped(*args, **kwargs):
+        raise RuntimeError("stopped")
+
+    run()
+    before, files = seen(), {str(f) for f in (tmp_path / "out").rglob("part-*")}
+    feed(tmp_path / "in", "a.csv", "z", "z")
+    if step != "score":
+        monkeypatch.setattr(runs if step == "_publish" else feature_plan, step, stopped)
+    with pytest.raises(RuntimeError, match="stopped"):
+        run(fail=True)
+    monkeypatch.undo()
+    assert seen() == before
+    assert {str(f) for f in (tmp_path / "out").rglob("part-*") if "_sources" not in str(f)} == {f for f in files if "_sources" not in f}
+    run()
+    assert seen() != before and [len(rows) for rows in seen()] == [4, 4, 4]
+    assert len(list((tmp_path / "out/preprocessed").glob("run=*/source_file=*"))) == 2  # what was replaced is gone
+
+
+def test_commits_of_runs(spark, tmp_path):
+    out = str(tmp_path / "out")
+
+    def write(rows, sources, **how):
+        run = Run(spark, out, ["data"])
+        table = spark.createDataFrame(rows, "v string, source_file string")
+        sink.write_by_source(table, run.path("data"), header=True)
+        return run.commit(spark.createDataFrame([(s,) for s in sources], "source_file string"), **how)
+
+    def seen():
+        return sorted(map(tuple, read_output(spark, out, "data").collect()))
+
+    assert current_sources(spark, out).count() == 0 if (tmp_path / "out").exists() else True
+    assert write([("1", "a/b.csv"), ("2", "c%.csv")], ["a/b.csv", "c%.csv"], clean=False) == 1
+    assert write([("3", "a/b.csv")], ["a/b.csv"], clean=False) == 2
+    assert seen() == [("2", "c%.csv"), ("3", "a/b.csv")]
+    assert merge_commits(spark, out) == 3 and len(commits(spark, out)) == 1
+    assert write([], ["c%.csv"], clean=False) == 4  # read again, without a row
+    assert seen() == [("3", "a/b.csv")]
+    remove_superseded(spark, out, ["data"])
+    # A number that is taken meanwhile is passed over.
+    (tmp_path / "out/_runs" / f"{5:020d}.json").write_text("")
+    assert write([("9", "007")], ["007"]) == 6
+    assert seen() == [("3", "a/b.csv"), ("9", "007")]
+    with pytest.raises(ValueError, match="not one of"):
+        Run(spark, out, ["data"]).path("other")
 
 
 def test_a_column_named_like_the_file_column(spark, tmp_path):
@@ -168,7 +320,7 @@ def test_an_import_reads_one_large_file_in_splits(spark, tmp_path):
     put(tmp_path, "a.csv", "A,B", *[f"{i},b" for i in range(5000)])
     spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
     try:
-        assert read_inferred(spark, str(tmp_path)).rdd.getNumPartitions() > 5
+        assert read_by_header(spark, str(tmp_path)).rdd.getNumPartitions() > 5
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
@@ -266,15 +418,16 @@ def feed(folder, name, *categories):
     put(folder, name, HEADER, *[f"{name}-{i},street,{c},Source:a Source:b,Payment Methods:visa|x" for i, c in enumerate(categories)])
 
 
-def dump(spark, path):
-    return read_csv(spark, path).select("Listing", "CategoryVector", "source_file", "ReviewSourcesCount", "AA_PM_support_visa")
+def dump(spark, out):
+    rows = read_output(spark, str(out), "preprocessed")
+    return rows.select("Listing", "CategoryVector", "source_file", "ReviewSourcesCount", "AA_PM_support_visa")
 
 
 def test_features_per_file_and_over_all_files(spark, tmp_path):
     feed(tmp_path / "in", "a.csv", "x", "y", "y")
     feed(tmp_path / "in", "b.csv", "x", "x", "z", "")
     run_features(spark, str(tmp_path / "in"), str(tmp_path / "one"), per_file=True, id_column="Listing")
-    got = {r.Listing: (r.CategoryVector, r.source_file, r[3], r[4]) for r in dump(spark, str(tmp_path / "one/preprocessed")).collect()}
+    got = {r.Listing: (r.CategoryVector, r.source_file, r[3], r[4]) for r in dump(spark, tmp_path / "one").collect()}
     assert got["a.csv-0"] == ("2|1|1.0", "a.csv", "2", "1") and got["a.csv-1"] == ("2|0|1.0", "a.csv", "2", "1")
     assert got["b.csv-0"] == ("2|0|1.0", "b.csv", "2", "1") and got["b.csv-3"] == ("2|null|null", "b.csv", "2", "1")
 
@@ -286,7 +439,7 @@ def test_features_per_file_and_over_all_files(spark, tmp_path):
     plain = (tmp_path / "all/model-input").rglob("part-*.csv")
     lines = [row for path in plain for row in csv.reader(path.open())]
     assert len(lines) == 7 and all(len(row) == len(features.columns) - 1 for row in lines)
-    scored = read_csv(spark, str(tmp_path / "all/predictions"))
+    scored = read_output(spark, str(tmp_path / "all"), "predictions")
     assert scored.where("prediction = 'predicted'").count() == 7
 
 
@@ -296,7 +449,7 @@ def test_watch_gives_each_file_once(spark, tmp_path):
     feed(root / "in", "NOT_READY.csv", "q")
     labels = fit_labels(spark.createDataFrame([("y",), ("y",), ("x",)], "Category string"), "Category")
     seen = []
-    handler = features_handler(spark, str(out), labels=labels, id_column="Listing")
+    handler = features_handler(spark, str(out), str(root / "in"), labels=labels, id_column="Listing")
 
     def on_in(paths, batch_id):
         seen.extend(path.rsplit("/", 1)[-1] for path in paths)
@@ -313,10 +466,10 @@ def test_watch_gives_each_file_once(spark, tmp_path):
     run()
     run()
     assert sorted(seen) == ["a-1.csv", "b-1.csv", "b-2.csv", "b-3.csv"]
-    got = {r.Listing: r.CategoryVector for r in dump(spark, str(out / "preprocessed")).collect()}
+    got = {r.Listing: r.CategoryVector for r in dump(spark, out).collect()}
     assert got["a-1.csv-0"] == "2|1|1.0" and got["b-3.csv-1"] == "2|null|null" and len(got) == 9
     handler([f"{root}/in/b-1.csv"], 1)
-    assert dump(spark, str(out / "preprocessed")).count() == 9
+    assert dump(spark, out).count() == 9
 
 
 def test_a_failing_file_goes_to_quarantine(spark, tmp_path):
@@ -330,7 +483,7 @@ def test_a_failing_file_goes_to_quarantine(spark, tmp_path):
         spark,
         str(root),
         str(tmp_path / "check"),
-        on_in=features_handler(spark, str(tmp_path / "features"), id_column="Listing"),
+        on_in=features_handler(spark, str(tmp_path / "features"), str(root / "in"), id_column="Listing"),
         on_out=lambda paths, batch_id: answered.extend(paths),
         quarantine=str(tmp_path / "quarantine"),
         max_files=1,
@@ -338,7 +491,7 @@ def test_a_failing_file_goes_to_quarantine(spark, tmp_path):
     ).awaitTermination()
     failed = spark.read.json(str(tmp_path / "quarantine")).collect()
     assert [r.path.rsplit("/", 1)[-1] for r in failed] == ["bad.csv"] and "none of the wanted" in failed[0].error
-    assert dump(spark, str(tmp_path / "features/preprocessed")).count() == 1
+    assert dump(spark, tmp_path / "features").count() == 1
     assert [path.rsplit("/", 1)[-1] for path in answered] == ["done.csv"]
 
 
@@ -447,17 +600,15 @@ def test_command_line(spark, tmp_path):
     main(["labels", folder, labels])
     numeric = ["--numeric", "Employee Count"]
     main(["train", folder, model, "--labels", labels, *numeric])
-    main(["features", folder, out, "--id-column", "Listing", "--labels", labels, "--model", model, *numeric])
-    got = {r.Listing: r for r in read_csv(spark, f"{out}/predictions").collect()}
+    main(["features", folder, out, "--id-column", "Listing", "--labels", labels, "--model", model])
+    got = {r.Listing: r for r in read_output(spark, out, "predictions").collect()}
     assert len(got) == 22 and got["a0"].CategoryVector == "3|1|1.0" and got["b"].CategoryVector == "3|0|1.0"
     assert float(got["b"].prediction) == pytest.approx(205.0) and float(got["a4"].prediction) == pytest.approx(8.0)
 
-    with pytest.raises(AnalysisException):
+    with pytest.raises(FileProblem, match="lacks the columns"):
         main(["import", folder, str(tmp_path / "imported")])
     args = parse(["watch", "hdfs://host/data", "out", "--checkpoint", "c", "--max-files", "5"])
     assert (args.job, args.max_files, args.per_file) == ("watch", 5, False)
-    with pytest.raises(SystemExit):
-        parse(["features", "in", "out", "--model", "m"])
 
 
 def test_delivery_and_what_is_left(spark, tmp_path):
@@ -473,6 +624,18 @@ def test_delivery_and_what_is_left(spark, tmp_path):
     assert {r.file_name: r.state for r in states} == {"a.csv": "DONE", "b c.csv": "DONE", "d.csv": "MISSING"}
 
 
+def test_what_is_left_of_files_with_odd_names(spark, tmp_path):
+    for folder, name in (("in", "a#b.csv"), ("in", "a%23b.csv"), ("in/sub", "c.csv"), ("in", "d=e.csv"), ("in/x/y", "plain.csv"), ("in", "left.csv")):
+        feed(tmp_path / folder, name, "x")
+    features = read_by_header(spark, [str(tmp_path / "in"), str(tmp_path / "in/*")], root=str(tmp_path / "in"))
+    features = features.unionByName(read_by_header(spark, str(tmp_path / "in/x/y"), root=str(tmp_path / "in"))).where("source_file <> 'left.csv'")
+    predictions = features.select("source_file", "Listing", F.lit(0.5).alias("prediction")).distinct()
+    deliver_predictions(features, predictions, ["source_file", "Listing"], str(tmp_path / "out"))
+    states = {r.file_name: r.state for r in undelivered(spark, str(tmp_path / "in"), str(tmp_path / "out")).collect()}
+    done = ["a#b.csv", "a%23b.csv", "sub/c.csv", "d=e.csv", "x/y/plain.csv"]
+    assert states == {name: "DONE" for name in done} | {"left.csv": "MISSING"}
+
+
 def test_scratch_is_removed_with_its_scope(spark):
     with scratch_scope(spark):
         staged = stage(spark.range(5))

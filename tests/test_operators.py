@@ -1,15 +1,16 @@
-from dataclasses import replace
-
+import numpy as np
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.sql import functions as F
 
 from filefeatures.operators.delivery import join_predictions, reconcile
+from filefeatures.operators.effects import score_effects, train_effects
 from filefeatures.operators.labels import encode, fit_and_encode, fit_labels, load_labels
 from filefeatures.operators.lookup import hot_keys, hot_part, key_part, lookup
 from filefeatures.operators.scoring import score_constant, score_linear
 from filefeatures.operators.select import derive_if_present, match_columns, select_strict, select_wanted
+from filefeatures.operators.types import measure_types, merge_types, typed
 from filefeatures.plans.features import LISTING_DERIVATIONS, listing_features, score_target, train_on_target
 
 SF = "/root/testdata/sf0.001"
@@ -165,7 +166,7 @@ def test_train_and_score_on_the_target(spark, tmp_path):
     features = spark.createDataFrame(data, "`Employee Count` string, Category string, sales string")
     labels = fit_labels(features.where("sales IS NOT NULL"), "Category")
     train_on_target(features, labels, ["Employee Count"], str(tmp_path / "model"))
-    scored = score_target(features, labels, ["Employee Count"], str(tmp_path / "model"))
+    scored = score_target(features, str(tmp_path / "model"))
     assert scored.count() == len(data)
     known = {(r["Employee Count"], r.Category): r.prediction for r in scored.collect()}
     assert known[("5", "a")] == pytest.approx(15.0) and known[("5", "b")] == pytest.approx(25.0)
@@ -173,7 +174,7 @@ def test_train_and_score_on_the_target(spark, tmp_path):
     assert known[("x", "a")] is None  # the text stays, and there is no prediction
 
 
-def test_null_categories_do_not_change_the_width_of_a_model(spark, tmp_path):
+def test_null_is_a_category_of_its_own(spark, tmp_path):
     data = [(str(n), c, str(3.0 * n + (10.0 if c == "b" else 0.0))) for n in range(20) for c in ("a", "b")]
     nulls = [(str(n), None, str(3.0 * n + 4.0)) for n in range(20)]
     schema = "`Employee Count` string, Category string, sales string"
@@ -181,15 +182,65 @@ def test_null_categories_do_not_change_the_width_of_a_model(spark, tmp_path):
         features = spark.createDataFrame(rows_, schema)
         labels = fit_labels(features, "Category")
         model = train_on_target(features, labels, ["Employee Count"], str(tmp_path / name))
-        line = model.stages[-1]
-        assert len(line.coefficients) == 3
-        scored = score_target(features, labels, ["Employee Count"], str(tmp_path / name))
-        assert scored.where("abs(prediction - cast(sales as double)) > 0.01").count() == 0
-    # The bucket of NULL is an all-zero vector: its rows alone give the intercept.
-    assert line.intercept == pytest.approx(4.0, abs=0.01)
-    with pytest.raises(ValueError, match="categories"):
-        labels = replace(labels, labels=10**6)
-        train_on_target(features, labels, ["Employee Count"], str(tmp_path / "never"))
+        assert model.slopes == {"Employee Count": pytest.approx(3.0)} and model.categories == 2
+        scored = score_target(features, str(tmp_path / name))
+        assert scored.where("abs(prediction - cast(sales as double)) > 1e-9").count() == 0
+        # Without rows of NULL their constant is the mean of all rows' constants.
+        assert model.other == pytest.approx({"without": 5.0, "with": 4.0}[name])
+
+
+def plain_effects(rows, numbers):
+    """Least squares with one indicator per category, by numpy."""
+    names = sorted({c for c, *_ in rows}, key=str)
+    x = np.array([[*values[:numbers], *[float(c == name) for name in names]] for c, *values in rows])
+    found = np.linalg.lstsq(x, np.array([values[-1] for _, *values in rows]), rcond=None)[0]
+    return found[:numbers], dict(zip(names, found[numbers:], strict=True))
+
+
+def test_absorbed_categories_equal_indicators(spark):
+    draw = np.random.default_rng(1)
+    rows = [(c, float(a), float(b), float(2 * a - b + i % 7 + draw.normal())) for i, (c, a, b) in enumerate(
+        (f"c{k % 40}" if k % 9 else None, draw.normal(k % 5), draw.normal()) for k in range(600))]
+    df = spark.createDataFrame(rows, "c string, a double, b double, y double").repartition(5)
+    slopes, constants = plain_effects(rows, 2)
+    model = train_effects(df, "y", ["a", "b"], "c")
+    assert list(model.slopes.values()) == pytest.approx(list(slopes))
+    assert {r.category: r.constant for r in model.constants.collect()} == pytest.approx({c: v for c, v in constants.items() if c})
+    assert model.other == pytest.approx(constants[None])
+    want = {(c, a): slopes[0] * a + slopes[1] * b + constants[c] for c, a, b, _ in rows}
+    for limits in ({}, {"broadcast_labels": 1, "hot_min_rows": 1, "hot_share": 0.02}):
+        scored = score_effects(df, model, **limits).collect()
+        assert {(r.c, r.a): r.prediction for r in scored} == pytest.approx(want)
+
+
+def test_numbers_that_say_nothing_have_no_slope(spark):
+    rows = [("a", 1.0, 2.0, 5.0), ("a", 2.0, 2.0, 7.0), ("b", 1.0, 3.0, 1.0), ("b", 4.0, 3.0, 7.0)]
+    df = spark.createDataFrame(rows, "c string, x double, fixed double, y double")
+    model = train_effects(df, "y", ["x", "fixed"], "c")
+    assert model.slopes == {"x": pytest.approx(2.0), "fixed": 0.0}
+    assert abs(train_effects(df, "y", ["x", "fixed"], "c", reg_param=1.0).slopes["x"]) < 2.0
+    with pytest.raises(ValueError, match="no row"):
+        train_effects(df.where("y < 0"), "y", ["x"], "c")
+
+
+def test_types_that_lose_nothing(spark):
+    rows = [
+        ("01234", "7", "1.50", "0.1", "true", "2024-01-31", "2024-01-31 10:00:00", "1", None, "9999999999", "1", "-0"),
+        ("7", "-8", "12.25", "1.0E10", "false", "2023-12-01", "2024-01-31 10:00:00.5", "2.5", None, "1", "x", "0"),
+        (None, None, "0.00", None, None, None, None, None, None, None, None, None),
+    ]
+    names = ["zip", "int", "fixed", "real", "truth", "day", "moment", "mixed", "empty", "long", "text", "minus"]
+    df = spark.createDataFrame(rows, ", ".join(f"{name} string" for name in names))
+    want = ["string", "int", "decimal(4,2)", "double", "boolean", "date", "timestamp_ntz", "string", "string", "bigint", "string", "string"]
+    assert typed(df).dtypes == list(zip(names, want, strict=True))
+    back = typed(df).select([F.col(name).cast("string") for name in names]).collect()
+    assert [tuple(r) for r in back] == rows
+    assert dict(typed(df, keep_text=["INT"]).dtypes)["int"] == "string"
+    # Measurements of parts merge into that of the whole.
+    parts = [measure_types(df.where(c)) for c in ("zip = '7'", "zip <> '7'", "zip IS NULL")]
+    merged = merge_types(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+    assert typed(df, measured=merged).dtypes == typed(df).dtypes
+    assert typed(df.where("zip = 'none'")).dtypes == [(name, "string") for name in names]
 
 
 def test_group_columns_with_odd_names(spark):
