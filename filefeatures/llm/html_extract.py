@@ -2,7 +2,9 @@
 
 Every paragraph passes points, one and more for length and commas, to its ancestors: all to its parent, half to the next,
 a third to the one after, and so on, each less the share of its text that is link text. The container with most points is
-kept, with those siblings that hold enough points of their own; parts that are no running text are left out everywhere.
+kept, with those siblings that hold enough points of their own, and headings and paragraphs beside these. Parts that are no
+running text by their tag (menus, scripts, footers) are left out everywhere. A form, or a part whose class says that it is
+no article, is left out unless the page's article is in it: it then holds nearly all the points there are.
 """
 
 from __future__ import annotations
@@ -48,7 +50,7 @@ ENDS = {
 }
 REACH = 32  # ancestors that a paragraph passes points to
 HOLDERS = frozenset("td th table button caption object html".split())  # a paragraph is not ended from inside of these
-NOT_TEXT = RAW | frozenset("head nav footer aside form button select option datalist template noscript svg math canvas object audio video dialog menu".split())
+NOT_TEXT = RAW | frozenset("head nav footer aside button select option datalist template noscript svg math canvas object audio video dialog menu".split())
 # Words in class, id or role that tell a part which is not the article.
 NOT_TEXT_WORDS = frozenset(
     "ad ads adbox adsense advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar menu nav "
@@ -56,6 +58,11 @@ NOT_TEXT_WORDS = frozenset(
     "newsletter subscribe subscription signup login share sharing social related recommended recommendations comment comments "
     "commentlist disqus replies respond toolbar pager pagination widget search complementary contentinfo".split()
 )
+# Those that say it of a single paragraph too.
+ADVERT_WORDS = frozenset("ad ads adbox adsense advert adverts advertisement advertising sponsor sponsored promo promotion cookie cookies consent gdpr".split())
+# The share of the points of its article, or of the page, from which on a part holds the article itself.
+FORM_HOLDS, PART_HOLDS = 0.5, 0.8
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 TEXT_WORDS = frozenset("article articlebody content main post entry story text body".split())
 COMMENT_WORDS = frozenset("comment comments commentlist disqus replies respond".split())
 
@@ -69,7 +76,7 @@ RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>?", re.I) for name in RAW
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "words", "points", "length", "linked", "block", "in_link", "paragraph")
+    __slots__ = ("tag", "parent", "children", "words", "points", "total", "length", "linked", "block", "in_link", "paragraph", "out")
 
     def __init__(self, tag: str, parent: Node | None, words: frozenset = frozenset()):
         self.tag, self.parent, self.words = tag, parent, words
@@ -79,11 +86,12 @@ class Node:
         self.in_link: bool = not is_block and (tag == "a" or parent.in_link)
         # The innermost open paragraph that a block's start would end.
         self.paragraph: Node | None = self if tag == "p" else None if parent is None or tag in HOLDERS else parent.paragraph
-        self.points = 0.0
+        self.out = False
+        self.points = self.total = 0.0  # points passed to it; points of the paragraphs below
         self.length = self.linked = 0  # code points of text below, and of that in links
 
     def is_text(self) -> bool:
-        if self.tag in NOT_TEXT:
+        if self.out or self.tag in NOT_TEXT:
             return False
         if self.tag == "header":
             node = self.parent
@@ -92,9 +100,14 @@ class Node:
             return node is not None
         if self.tag in ("html", "body", "main"):
             return True
-        if self.words & COMMENT_WORDS:
+        return not self.words & COMMENT_WORDS
+
+    def is_doubtful(self) -> bool:
+        if self.tag == "form":
+            return True
+        if self.tag in ("html", "body", "main", "article", "header") or self.words & TEXT_WORDS:
             return False
-        return self.tag == "article" or not self.words & NOT_TEXT_WORDS or bool(self.words & TEXT_WORDS)
+        return bool(self.words & (ADVERT_WORDS if self.tag == "p" else NOT_TEXT_WORDS))
 
 
 def _words(attributes: str) -> frozenset:
@@ -175,7 +188,33 @@ def _in_order(root: Node) -> list[Node]:
     return found
 
 
+def _leave_out(nodes: list[Node]) -> bool:
+    """Mark the doubtful parts that do not hold an article; whether there are any."""
+    doubtful = [node for node in nodes if node.is_doubtful()]
+    if not doubtful:
+        return False
+    articles = [node for node in nodes if node.tag in ("article", "main") and node.total]
+    holds, within = set(), {}
+    for node in articles:
+        up = node.parent
+        while up is not None and id(up) not in holds:
+            holds.add(id(up))
+            up = up.parent
+    for node in nodes:  # the innermost article that it lies in
+        within[id(node)] = node if node.tag in ("article", "main") and node.total else within.get(id(node.parent)) if node.parent else None
+    for node in doubtful:
+        if id(node) in holds:
+            continue
+        scope = within[id(node)] or (None if articles else nodes[0])
+        share = FORM_HOLDS if node.tag == "form" else PART_HOLDS
+        node.out = scope is None or not node.total or node.total <= share * scope.total
+    return any(node.out for node in doubtful)
+
+
 def _score(nodes: list[Node]) -> None:
+    for node in nodes:
+        node.points = node.total = 0.0
+        node.length = node.linked = 0
     own: dict[int, list[int]] = {}
     for node in nodes:  # text that belongs to this element rather than to a block in it
         total = own.setdefault(id(node.block), [0, 0, 0])
@@ -196,12 +235,16 @@ def _score(nodes: list[Node]) -> None:
         length, linked, commas = own.get(id(node), (0, 0, 0))
         if length and node.tag in PARAGRAPHS:
             points = (1 + commas + min(length / 100, 3)) * (1 - linked / length)
+            node.total += points
             up, share = node.parent, 1
             if node.tag not in ("p", "pre", "td", "blockquote", "li", "dd", "figcaption"):
                 up = node  # a container with text of its own is its own paragraph
             while up is not None and share <= REACH:
                 up.points += points / share
                 up, share = up.parent, share + 1
+    for node in reversed(nodes):
+        if node.parent is not None:
+            node.parent.total += node.total
 
 
 def _best(nodes: list[Node]) -> Node:
@@ -223,21 +266,35 @@ def _best(nodes: list[Node]) -> Node:
 
 
 def _kept(best: Node, nodes: list[Node]) -> list[Node]:
-    """The best container and the siblings that are worth it, in page order."""
+    """The best container and the siblings that are worth it, in page order; with headings and paragraphs between them, and
+    right before and after. Beside an article, which is whole by itself, only a heading is kept, if it has none."""
     if best.parent is None or best.tag in ("body", "html"):
         return [best]
     alive = set(map(id, nodes))
     enough = max(10.0, 0.2 * best.points)
-    kept = []
-    for node in best.parent.children:
-        if node is best:
-            kept.append(node)
-        elif isinstance(node, Node) and id(node) in alive and node.tag in BLOCKS and node.length:
-            density = node.linked / node.length
-            paragraph = node.tag == "p" and node.length > 80 and density < 0.25 and best.tag not in ("article", "main")
-            if paragraph or (node.points * (1 - density) >= enough and density < 0.5):
-                kept.append(node)
-    return kept
+    whole = best.tag in ("article", "main")
+    siblings = [node for node in best.parent.children if node is best or (isinstance(node, Node) and id(node) in alive and node.tag in BLOCKS and node.length)]
+    density = [node.linked / node.length if node.length else 0.0 for node in siblings]
+    kept = [node is best or (node.points * (1 - d) >= enough and d < 0.5) for node, d in zip(siblings, density, strict=True)]
+    heading = [node.tag in HEADINGS and d < 0.5 for node, d in zip(siblings, density, strict=True)]
+    short = [node.tag in ("p", "pre", "blockquote") and d < 0.25 and not whole for node, d in zip(siblings, density, strict=True)]
+    long = [s and node.length > 80 for s, node in zip(short, siblings, strict=True)]
+    kept = [k or p for k, p in zip(kept, long, strict=True)]
+    first, last = kept.index(True), len(kept) - 1 - kept[::-1].index(True)
+    titled = any(node.tag in HEADINGS for node in _below(siblings[first]))
+    while first and ((heading[first - 1] and not titled) or short[first - 1]):
+        first -= 1
+    while last + 1 < len(kept) and short[last + 1]:
+        last += 1
+    return [node for i, node in enumerate(siblings) if kept[i] or (first <= i <= last and (heading[i] or short[i]))]
+
+
+def _below(node: Node) -> Iterator[Node]:
+    waiting = [node]
+    while waiting:
+        node = waiting.pop()
+        yield node
+        waiting += [c for c in node.children if isinstance(c, Node) and c.is_text()]
 
 
 def _is_menu(node: Node) -> bool:
@@ -254,7 +311,8 @@ def _links(node: Node) -> int:
 
 
 def _texts(root: Node) -> Iterator[str]:
-    """The blocks below, each with white space made one blank."""
+    """The blocks below, each with white space made one blank. Where no container stands out, lists of links are menus."""
+    menus = root.tag in ("body", "html", "#root")
     pieces: list[str] = []
     waiting: list[tuple[Node, int]] = [(root, 0)]
     while waiting:
@@ -269,7 +327,7 @@ def _texts(root: Node) -> Iterator[str]:
                 pieces.append(child)
             elif child.tag == "br":
                 pieces.append(" ")
-            elif child.is_text() and not _is_menu(child):
+            elif child.is_text() and not (menus and _is_menu(child)):
                 waiting += [(node, at), (child, 0)]
                 break
         else:
@@ -281,8 +339,12 @@ def _texts(root: Node) -> Iterator[str]:
 
 def extract(page: str) -> str:
     """The main text: blocks in page order, one per line. Empty if there is none."""
-    nodes = _in_order(parse(page))
+    root = parse(page)
+    nodes = _in_order(root)
     _score(nodes)
+    if _leave_out(nodes):
+        nodes = _in_order(root)
+        _score(nodes)
     return "\n".join(text for node in _kept(_best(nodes), nodes) for text in _texts(node) if text)
 
 

@@ -2,6 +2,7 @@
 
 import html
 import math
+import re
 import zlib
 from collections import Counter
 
@@ -253,6 +254,44 @@ def test_odd_pages(source, text):
     assert extract(source) == text
 
 
+SENTENCE = "This is a long paragraph, with commas, and words that go on and on for quite a while here."
+LONG_PART = f"<p>{SENTENCE}</p>" * 3
+
+
+@pytest.mark.parametrize(
+    "page, lines",
+    [
+        (f"<form id=f><div><nav><a href=1>x</a></nav><div id=x>{LONG_PART}</div></div></form>", [SENTENCE] * 3),
+        (f"<article>{LONG_PART}<ul><li><a href=1>One</a></li><li><a href=2>Two</a></li></ul><p>End</p></article>", [*[SENTENCE] * 3, "One", "Two", "End"]),
+        (f"<article>{LONG_PART}<table><tr><td><a href=1>One</a></td><td><a href=2>Two</a></td></tr></table></article>", [*[SENTENCE] * 3, "One", "Two"]),
+        (f"<article>{LONG_PART}<div><a href=1>One</a> <a href=2>Two</a></div></article>", [*[SENTENCE] * 3, "One Two"]),
+        (f"<div id=w><h1>Title</h1><div id=c>{LONG_PART}</div><p>The end.</p></div><footer><p>Imprint</p></footer>", ["Title", *[SENTENCE] * 3, "The end."]),
+        (f"<article>{LONG_PART}<p class='share price'>The share price rose.</p></article>", [*[SENTENCE] * 3, "The share price rose."]),
+        (f"<div class='social-history'>{LONG_PART}</div>", [SENTENCE] * 3),
+        # What the article is without.
+        (f"<article>{LONG_PART}<div class=ad><p>Buy</p></div><p class=ad>Cheap</p><form><p>Search</p></form></article>", [SENTENCE] * 3),
+        (f"<div class=sidebar>{LONG_PART * 9}</div><article><p>Short.</p></article><form>{LONG_PART * 9}</form>", ["Short."]),
+        (f"<div id=a>{LONG_PART}</div><div class=related>{LONG_PART}</div><div class=comments>{LONG_PART * 5}</div>", [SENTENCE] * 3),
+    ],
+)
+def test_the_article_is_whole(page, lines):
+    assert extract(f"<html><body>{page}</body></html>").split("\n") == lines
+
+
+def plain_article(page):
+    """The one <article> that each page of the table has, by regular expressions."""
+    inner = re.search("<article>(.*?)</article>", page, re.S)
+    parts = re.split("</?(?:p|h[1-6]|ul|ol|li|div|table|tr|td|blockquote)(?:\\s[^>]*)?>", inner[1]) if inner else []
+    texts = [" ".join(html.unescape(re.sub("<[^>]*>", "", part.replace("<br>", " "))).split()) for part in parts]
+    return "\n".join(text for text in texts if text)
+
+
+def test_pages_equal_a_plain_extractor(spark):
+    pages = spark.read.parquet(f"{SF_DIR}/pages.parquet")
+    want = {row.page_id: plain_article(row.html or "") for row in pages.collect()}
+    assert {row.page_id: row.text for row in extract_pages(pages).collect()} == want
+
+
 def test_pages_table(spark):
     pages = spark.read.parquet(f"{SF_DIR}/pages.parquet")
     got = extract_pages(pages).collect()

@@ -62,6 +62,38 @@ def test_top_k_leaves_out_vectors_without_numbers(spark):
     assert [tuple(r) for r in got.collect()] == [(0, 1, 1, 256 * 128 + 512 * 128)]
 
 
+def test_top_k_among_vectors_of_the_same_length(spark):
+    draw = np.random.default_rng(6)
+    rows = [(i, (draw.integers(-9, 9, 3 + i % 2) / 4).astype(float).tolist()) for i in range(80)] + [(700, []), (701, [1.0] * 9)]
+    table = spark.createDataFrame([(i, v, "x") for i, v in rows], VECTOR)
+    got = top_k(whole_vectors(table), F.col("vec_id") % 7 == 0, query_block=3, part_rows=20, dimensions_at_once=2)
+    want = [r for n in (3, 4, 9) for r in brute_top_k([x for x in rows if len(x[1]) == n], lambda i: i % 7 == 0, 5)]
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
+@pytest.mark.parametrize("size", [1e6, 3e7])
+def test_top_k_of_large_components(spark, size):
+    draw = np.random.default_rng(7)
+    vectors = (size * draw.normal(size=(150, 12))).astype(np.float32).astype(float)
+    vectors[40:60] = vectors[20]  # near ties: only exact sums tell them apart
+    vectors[40:60, 3] += np.arange(20) / 128 if size < 1e7 else np.arange(20) * 4
+    rows = [(i, v.astype(np.float32).astype(float).tolist()) for i, v in enumerate(vectors)]
+    table = spark.createDataFrame([(i, v, "x") for i, v in rows], VECTOR)
+    got = top_k(whole_vectors(table), F.col("vec_id") % 10 == 0, query_block=8, part_rows=40, row_block=16, dimensions_at_once=4)
+    whole = {i: [int(np.floor(256 * x)) for x in v] for i, v in rows}
+    want = []
+    for i in range(0, 150, 10):
+        scored = sorted((-sum(a * b for a, b in zip(whole[i], w, strict=True)), j) for j, w in whole.items() if j != i)[:5]
+        want += [(i, rank, j, -score) for rank, (score, j) in enumerate(scored, 1)]
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
+def test_top_k_refuses_products_beyond_64_bits(spark):
+    table = spark.createDataFrame([(0, [1e12], "x"), (1, [1e12], "x")], VECTOR)
+    with pytest.raises(Exception, match="does not fit into 64 bits"):
+        top_k(whole_vectors(table), F.col("vec_id") == 0).collect()
+
+
 def test_top_k_of_nothing(spark):
     assert top_k(whole_vectors(spark.createDataFrame([], VECTOR)), F.lit(True)).count() == 0
     alone = spark.createDataFrame([(0, [1.0], "x")], VECTOR)
