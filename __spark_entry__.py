@@ -47,12 +47,15 @@ from filefeatures.plans.features import (
     train_on_target,
 )
 from filefeatures.plans.importer import run_import
+from filefeatures.plans.replay import Replays, quarantined
 from filefeatures.session import scratch_folder, ship_package, stage
-from filefeatures.sinks.csv import write_by_source, write_csv
-from filefeatures.sinks.runs import read_output
+from filefeatures.sinks.csv import write_by_source, write_csv, write_single_csv
+from filefeatures.sinks.runs import Run, read_output
 from filefeatures.sources.csv import glob_literal, read_by_header, read_checked, read_csv, read_inferred
-from filefeatures.streaming.answers import append_parquet, join_answers
+from filefeatures.streaming.answers import append_parquet, join_answers, watch_answers
 from filefeatures.streaming.arrivals import watch_files
+from filefeatures.streaming.ledger import Ledger
+from filefeatures.streaming.labels import LabelHistory, append_encoded
 from filefeatures.streaming.rows import append_asof, append_csv, append_lookup, read_csv_stream
 
 try:  # the corpus operators and their pipeline are optional; nothing else needs them
@@ -418,6 +421,17 @@ def q_stream_events_asof(spark, sf_dir):
     return spark.read.parquet(f"{root}/out").drop("batch_id")
 
 
+def q_stream_label_epochs(spark, sf_dir):
+    """Orders by customer in four batches, each by a restarted stream: indices stay, counts are those of all orders."""
+    orders, root = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), scratch_folder(spark, "epochs")
+    history = LabelHistory(spark, f"{root}/labels")
+    for part in range(4):
+        orders.where(F.pmod("o_orderkey", F.lit(4)) == part).coalesce(1).write.mode("append").parquet(f"{root}/in")
+        stream = spark.readStream.schema(orders.schema).parquet(f"{root}/in")
+        append_encoded(stream, "o_custkey", "vector", history, f"{root}/out", f"{root}/checkpoint", trigger=ONCE).awaitTermination()
+    return history.model().table.select("label", "idx", "n", "rows")
+
+
 def q_predictions_stream_join(spark, sf_dir):
     """Every document with its label, which comes up to an hour later on a stream of its own, in other files.
 
@@ -429,7 +443,7 @@ def q_predictions_stream_join(spark, sf_dir):
     asked = documents.select("doc_id", "lang", "source", "n_chars", start.alias("asked_at"))
     later = F.expr("timestamp'2024-01-01 00:00:00' + make_dt_interval(0, 0, int(doc_id % 100 + doc_id % 61))")
     answers = labels.select("doc_id", F.col("quality").alias("prediction"), later.alias("answered_at"))
-    end = spark.sql("SELECT timestamp'2025-01-01 00:00:00' AS at")
+    end = spark.sql("SELECT -1L AS doc_id, timestamp'2025-01-01 00:00:00' AS at")
     last = [end.withColumnRenamed("at", "asked_at"), end.withColumnRenamed("at", "answered_at")]
     streams = []
     for name, rows, closing in zip(["in", "answers"], [asked, answers], last, strict=True):
@@ -437,7 +451,7 @@ def q_predictions_stream_join(spark, sf_dir):
         streams.append(spark.readStream.schema(rows.schema).parquet(f"{root}/{name}"))
     joined = join_answers(*streams, ["doc_id"], asked_at="asked_at", answered_at="answered_at", wait="1 hour", late="2 hours")
     append_parquet(joined, f"{root}/out", f"{root}/checkpoint", trigger=ONCE).awaitTermination()
-    return spark.read.parquet(f"{root}/out").where("doc_id IS NOT NULL").select("doc_id", "lang", "source", "n_chars", "prediction")
+    return spark.read.parquet(f"{root}/out").where("doc_id >= 0").select("doc_id", "lang", "source", "n_chars", "prediction")
 
 
 # Scoring and delivery ------------------------------------------------------------------------------
@@ -520,13 +534,90 @@ def q_predictions_delivery(spark, sf_dir):
 
 
 def q_in_out_reconcile(spark, sf_dir):
-    """Spanish documents were answered but never came in; others came in, with or without an answer."""
+    """Documents came in, with or without an answer; for every label there is also an answer that nobody asked for."""
+    documents, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    return reconcile(_file_names(documents), _file_names(labels).unionByName(_file_names(labels, "lost")))
 
-    def names(rows: DataFrame) -> DataFrame:
-        return rows.select(F.format_string("doc-%d.csv", "doc_id").alias("file_name"))
 
-    documents = _table(spark, sf_dir, "documents").where("lang <> 'es'")
-    return reconcile(names(documents), names(_table(spark, sf_dir, "labels")))
+def q_stream_in_out_reconcile(spark, sf_dir):
+    """The same from two streams: answers come before or after their file, and the streams end far behind the deadline."""
+    documents, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    root = scratch_folder(spark, "watch")
+    at = F.expr("timestamp'2024-01-01 00:00:00' + make_dt_interval(0, 0, int(doc_id % 500))").alias("modified")
+    answered = F.expr("timestamp'2024-01-01 00:00:00' + make_dt_interval(0, int(doc_id % 31) - 10, int(doc_id % 500))").alias("modified")
+    sides = {
+        "in": _file_names(documents, extra=at),
+        "out": _file_names(labels, extra=answered).unionByName(_file_names(labels, "lost", extra=answered)),
+    }
+    streams = []
+    for side, rows in sides.items():
+        closing = spark.createDataFrame([(f"end of {side}",)], "file_name string").withColumn("modified", F.expr("timestamp'2025-01-01 00:00:00'"))
+        rows.repartition(3).unionByName(closing).write.parquet(f"{root}/{side}")
+        streams.append(spark.readStream.schema(rows.schema).parquet(f"{root}/{side}"))
+    states = watch_answers(*streams, deadline="1 day", late="3 days")
+    append_parquet(states, f"{root}/states", f"{root}/checkpoint", trigger=ONCE).awaitTermination()
+    return spark.read.parquet(f"{root}/states").where("file_name NOT LIKE 'end of %'").select("file_name", "state")
+
+
+def _file_names(rows: DataFrame, kind: str = "doc", extra: Column | None = None) -> DataFrame:
+    return rows.select(F.format_string(f"{kind}-%d.csv", "doc_id").alias("file_name"), *([] if extra is None else [extra]))
+
+
+def _put_file(spark, rows, path):
+    """Rows as one CSV file of this name, over one that is there."""
+    folder = scratch_folder(spark, "upload")
+    write_single_csv(rows, folder)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    store = hadoop.Path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    [part] = [status.getPath() for status in store.globStatus(hadoop.Path(f"{folder}/part-*.csv"))]
+    target = hadoop.Path(path)
+    store.mkdirs(target.getParent())
+    store.delete(target, False)
+    store.rename(part, target)
+
+
+def q_arrivals_reuploaded(spark, sf_dir):
+    """Customers in files. One file comes again with other rows, one as it was, one is new; then nothing has changed."""
+    customer, root = _table(spark, sf_dir, "customer"), scratch_folder(spark, "arrivals")
+    rows = customer.select("c_custkey", "c_name", "c_acctbal")
+    part, ledger, folder = F.pmod("c_custkey", F.lit(4)), Ledger(spark, f"{root}/ledger"), f"{root}/in"
+
+    def handle(paths, number):
+        run = Run(spark, f"{root}/out", ["rows"])
+        found = read_by_header(spark, [glob_literal(path) for path in paths], glob=None, root=without_scheme(folder))
+        write_by_source(found, run.path("rows"), header=True)
+        run.commit(found.select(contracts.SOURCE_FILE).distinct())
+
+    for file in range(3):
+        _put_file(spark, rows.where(part == file), f"{folder}/f{file}.csv")
+    ledger.take(folder, handle)
+    _put_file(spark, rows.where(part == 1).withColumn("c_acctbal", F.col("c_acctbal") + 1), f"{folder}/f1.csv")
+    _put_file(spark, rows.where(part == 2), f"{folder}/f2.csv")
+    _put_file(spark, rows.where(part == 3), f"{folder}/f3.csv")
+    ledger.take(folder, handle)
+    ledger.take(folder, handle)
+    versions = ledger.versions().groupBy(F.regexp_extract("path", "[^/]*$", 0).alias(contracts.SOURCE_FILE)).agg(F.max("version").alias("version"))
+    seen = read_output(spark, f"{root}/out", "rows").join(versions, contracts.SOURCE_FILE)
+    return seen.select(F.col("c_custkey").cast("long"), "c_name", F.col("c_acctbal").cast("double"), "version", contracts.SOURCE_FILE)
+
+
+def q_replay_repaired_rows(spark, sf_dir):
+    """Events as lines, some broken; the repaired ones are replayed twice, in two halves that overlap."""
+    events = _table(spark, sf_dir, "events").select("event_id", "event_type", "value")
+    root = scratch_folder(spark, "replay")
+    right = F.concat_ws(",", *[F.col(name).cast("string") for name in events.columns])
+    line = F.when(F.col("event_type") == "error", F.concat(right, F.lit(",more"))).when(
+        F.col("event_type") == "signup", F.concat_ws(",", F.col("event_id").cast("string"), "event_type")
+    ).otherwise(right)
+    events.select(line.alias("value")).write.text(f"{root}/in")
+    good, bad = read_checked(spark, f"{root}/in", events.schema, header=False, multiline=False, glob="*.txt")
+    quarantine = stage(quarantined(bad))
+    by_id = F.regexp_extract("line", "^([0-9]+)", 1).cast("long")
+    repairs = quarantine.select("id", by_id.alias("event_id")).join(events.select("event_id", right.alias("line")), "event_id")
+    replays = Replays(spark, f"{root}/replays")
+    for some in ("event_id % 3 > 0", "event_id % 3 < 2", "event_id IS NOT NULL"):
+        replays.replay(quarantine, repairs.where(some).select("id", "line"), events.schema)
+    return good.unionByName(replays.rows()).select(events.columns)
 
 
 # Whole jobs ----------------------------------------------------------------------------------------
@@ -817,6 +908,12 @@ ASOF_SQL = """
            CASE WHEN holds THEN segment END AS segment, CASE WHEN holds THEN balance END AS balance
     FROM found"""
 
+RECONCILE_SQL = """
+            SELECT concat('doc-', coalesce(d.doc_id, l.doc_id), '.csv') AS file_name,
+                   CASE WHEN l.doc_id IS NULL THEN 'MISSING' WHEN d.doc_id IS NULL THEN 'STRAY' ELSE 'DONE' END AS state
+            FROM documents d FULL JOIN labels l ON d.doc_id = l.doc_id
+            UNION ALL SELECT concat('lost-', doc_id, '.csv'), 'STRAY' FROM labels"""
+
 ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 MANY_LAYOUTS_SQL = "SELECT " + ", ".join(
     f"CASE WHEN o_orderkey % 1000 < 720 OR (o_orderkey % 1000 - 720) % 6 <> {i} THEN {name} END AS {name}"
@@ -915,14 +1012,23 @@ OWN_SQL = {
             FROM lineitem""",
     "predictions_join": """SELECT doc_id, lang, source, n_chars, quality AS prediction
             FROM documents LEFT JOIN labels USING (doc_id)""",
+    "stream_label_epochs": """
+            WITH parts AS (
+                   SELECT CAST(o_custkey AS VARCHAR) AS label, o_orderkey % 4 AS part, count(*) AS n_rows FROM orders GROUP BY ALL),
+                 labels AS (SELECT label, min(part) AS first, arg_min(n_rows, part) AS at_first, sum(n_rows)::BIGINT AS "rows" FROM parts GROUP BY label)
+            SELECT label, CAST(row_number() OVER (ORDER BY first, at_first DESC, label) - 1 AS INTEGER) AS idx,
+                   count(*) OVER () AS n, "rows" FROM labels""",
     "predictions_stream_join": """SELECT doc_id, lang, source, n_chars, quality AS prediction
             FROM documents LEFT JOIN labels USING (doc_id)""",
     "predictions_delivery": """SELECT doc_id, lang, source, n_chars, quality AS prediction
             FROM documents LEFT JOIN labels USING (doc_id)""",
-    "in_out_reconcile": """
-            SELECT concat('doc-', coalesce(d.doc_id, l.doc_id), '.csv') AS file_name,
-                   CASE WHEN l.doc_id IS NULL THEN 'MISSING' WHEN d.doc_id IS NULL THEN 'STRAY' ELSE 'DONE' END AS state
-            FROM (SELECT * FROM documents WHERE lang <> 'es') d FULL JOIN labels l ON d.doc_id = l.doc_id""",
+    "in_out_reconcile": RECONCILE_SQL,
+    "stream_in_out_reconcile": RECONCILE_SQL,
+    "arrivals_reuploaded": """
+            SELECT c_custkey, c_name, c_acctbal + CASE WHEN c_custkey % 4 = 1 THEN 1 ELSE 0 END AS c_acctbal,
+                   CAST(CASE WHEN c_custkey % 4 = 1 THEN 2 ELSE 1 END AS INTEGER) AS version, concat('f', c_custkey % 4, '.csv') AS source_file
+            FROM customer""",
+    "replay_repaired_rows": "SELECT event_id, event_type, value FROM events",
     "features_job": f"""
             SELECT *, 0.5::DOUBLE + list_items::DOUBLE * 0.25::DOUBLE + title_has_the::DOUBLE * 1.5::DOUBLE
                    + title_has_der::DOUBLE * (-2.0)::DOUBLE AS prediction

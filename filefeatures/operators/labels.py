@@ -64,13 +64,19 @@ def fit_labels(
         raise ValueError(f"rename the group columns {list(groups)}: label, rows, idx, n and part are columns of the result")
     counts = df.groupBy(*group_columns, label).agg(F.count(F.lit(1)).alias("rows"))
     size = _measured(stage(counts, "labels"), groups)
-    if size.table_rows <= one_window_labels:
-        table = _rank_in_one_window(size.table, groups)
-    else:
-        table = _rank_by_ranges(size.table, groups, -(-size.table_rows // one_window_labels))
+    table = rank_counts(size.table, groups, size.table_rows, one_window_labels=one_window_labels)
     return LabelModel(table, size.groups, size.table_rows, size.labels, size.fact_rows)
 
 
+def rank_counts(
+    counts: DataFrame, groups: Sequence[str], table_rows: int, *, one_window_labels: int = ONE_WINDOW_LABELS
+) -> DataFrame:
+    """Label counts with `idx` and `n`: few labels are ranked in one window, more in ranges."""
+    if table_rows <= one_window_labels:
+        return _rank_in_one_window(counts, groups)
+    return _rank_by_ranges(counts, groups, -(-table_rows // one_window_labels))
+
+
 def _falling_frequency() -> list[Column]:
     return [F.col("label").isNull(), F.col("rows").desc(), F.col("label")]
 

@@ -8,13 +8,10 @@ for every output alike, also where it wrote no row. A run that fails on its way
 
 from __future__ import annotations
 
-import json
-import logging
 import uuid
 from collections.abc import Iterable, Sequence
 from datetime import datetime, timezone
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,13 +19,11 @@ from pyspark.sql import types as T
 from filefeatures.contracts import CSV_OPTIONS, SOURCE_FILE
 from filefeatures.functions.paths import decoded, without_scheme
 from filefeatures.session import delete_folder, qualified
+from filefeatures.sinks.commits import commits, publish
 from filefeatures.sinks.csv import escaped
 from filefeatures.sources.csv import read_by_header
 
-log = logging.getLogger(__name__)
-
 COMMITS, SOURCES = "_runs", "_sources"
-COMMIT = "number long, run string, complete boolean"
 
 
 class Run:
@@ -51,7 +46,7 @@ class Run:
         """
         names = sources.select(F.col(self.by).alias("source")).distinct()
         names.withColumn("run", F.lit(self.id)).write.parquet(f"{self.out}/{SOURCES}/{self.id}")
-        number = _publish(self.spark, self.out, self.id, complete=False)
+        number = publish(self.spark, f"{self.out}/{COMMITS}", {"run": self.id, "complete": False})
         if clean:
             own = self.spark.read.parquet(f"{self.out}/{SOURCES}/{self.id}").select("source")
             remove_superseded(self.spark, self.out, self.outputs, by=self.by, sources=own)
@@ -63,46 +58,22 @@ class Run:
             delete_folder(self.spark, self.path(output))
 
 
-def _publish(spark: SparkSession, out: str, run: str, *, complete: bool) -> int:
-    """Put the next commit file in its place, whole or not at all."""
-    jvm, gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
-    hadoop = jvm.org.apache.hadoop.fs
-    folder = hadoop.Path(qualified(spark, f"{out}/{COMMITS}"))
-    files = hadoop.FileContext.getFileContext(folder.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
-    store = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    store.mkdirs(folder)
-    number = 1 + max((commit.number for commit in commits(spark, out)), default=0)
-    while True:
-        draft = hadoop.Path(folder, f".{run}")
-        stream = store.create(draft, True)
-        stream.write(bytearray(json.dumps({"number": number, "run": run, "complete": complete}).encode() + b"\n"))
-        stream.close()
-        try:
-            files.rename(draft, hadoop.Path(folder, f"{number:020d}.json"), gateway.new_array(hadoop.Options.Rename, 0))
-            return number
-        except Py4JJavaError as error:
-            if "FileAlreadyExistsException" not in error.java_exception.getClass().getName():
-                raise
-            number += 1  # another run was faster
-
-
-def commits(spark: SparkSession, out: str) -> list:
+def counting_commits(spark: SparkSession, out: str) -> list[dict]:
     """The commits (number, run, complete) that count: from the last one on that lists all sources."""
-    found = spark.read.schema(COMMIT).option("pathGlobFilter", "*.json").json(f"{out.rstrip('/')}/{COMMITS}").collect()
-    found.sort(key=lambda commit: commit.number)
-    whole = max((i for i, commit in enumerate(found) if commit.complete), default=0)
+    found = commits(spark, f"{out.rstrip('/')}/{COMMITS}")
+    whole = max((i for i, commit in enumerate(found) if commit["complete"]), default=0)
     return found[whole:]
 
 
 def _history(spark: SparkSession, out: str) -> DataFrame:
     """(source, run, number): which run has written which source, by commit."""
-    known = commits(spark, out)
+    known = counting_commits(spark, out)
     if not known:
         return spark.createDataFrame([], "source string, run string, number long")
-    folders = [f"{out.rstrip('/')}/{SOURCES}/{commit.run}" for commit in known]
+    folders = [f"{out.rstrip('/')}/{SOURCES}/{commit['run']}" for commit in known]
     rows = spark.read.schema("source string, run string").parquet(*folders)
     folder = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
-    numbers = spark.createDataFrame([(commit.run, commit.number) for commit in known], "folder string, number long")
+    numbers = spark.createDataFrame([(commit["run"], commit["number"]) for commit in known], "folder string, number long")
     return rows.withColumn("folder", folder).join(F.broadcast(numbers), "folder").drop("folder")
 
 
@@ -155,4 +126,4 @@ def merge_commits(spark: SparkSession, out: str) -> int:
     """One commit that lists all sources, so that readers need no earlier one."""
     run = f"merged-{uuid.uuid4().hex}"
     current_sources(spark, out).write.parquet(f"{out.rstrip('/')}/{SOURCES}/{run}")
-    return _publish(spark, out, run, complete=True)
+    return publish(spark, f"{out.rstrip('/')}/{COMMITS}", {"run": run, "complete": True})

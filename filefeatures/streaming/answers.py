@@ -50,3 +50,33 @@ def append_parquet(df: DataFrame, path: str, checkpoint: str, *, trigger: dict |
     """Append to a parquet folder; with the checkpoint, every row is written exactly once."""
     writer = df.writeStream.outputMode("append").format("parquet").option("path", path)
     return writer.option("checkpointLocation", checkpoint).trigger(**(trigger or POLL)).start()
+
+
+def watch_answers(
+    incoming: DataFrame,
+    outgoing: DataFrame,
+    *,
+    name: str = "file_name",
+    time: str = "modified",
+    deadline: str = "1 day",
+    late: str = "1 hour",
+) -> DataFrame:
+    """The state of every file name from streams of what came in and what went out: (name, state, came, answered).
+
+    A name is DONE as soon as both are there, at most `deadline` apart, whichever came first. When both streams have passed
+    the deadline by `late`, a file without an answer is MISSING, and an answer without a file STRAY; each goes out once. An
+    answer after its deadline is STRAY, the file MISSING: a report says so in two rows. Names that repeat within the
+    deadline count once. What is kept per name ends with its deadline. Rows without a name are not taken.
+    """
+
+    def named(rows: DataFrame, side: str) -> DataFrame:
+        rows = rows.select(F.col(quoted(name)).alias(f"{side}_name"), F.col(quoted(time)).alias(side))
+        rows = rows.where(F.col(f"{side}_name").isNotNull()).withWatermark(side, late)
+        return rows.dropDuplicatesWithinWatermark([f"{side}_name"])
+
+    came, answered = named(incoming, "came"), named(outgoing, "answered")
+    apart = F.expr(f"interval {deadline}")
+    near = (F.col("answered") >= F.col("came") - apart) & (F.col("answered") <= F.col("came") + apart)
+    joined = came.join(answered, (F.col("came_name") == F.col("answered_name")) & near, "fullOuter")
+    state = F.when(F.col("answered").isNull(), "MISSING").when(F.col("came").isNull(), "STRAY").otherwise("DONE")
+    return joined.select(F.coalesce("came_name", "answered_name").alias(name), state.alias("state"), "came", "answered")

@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from filefeatures.contracts import IN_PATTERN, OUT_PATTERN
 from filefeatures.functions.paths import without_scheme
-from filefeatures.problems import FileProblem, is_file_problem
+from filefeatures.problems import FileProblem, is_at_fault, is_file_problem, is_read_problem
 from filefeatures.session import scratch_scope
 from filefeatures.sinks.csv import write_by_source
 from filefeatures.sources.csv import file_headers, glob_literal, header_names, read_checked
@@ -62,8 +62,9 @@ def watch_files(
 
     When a batch fails by the fault of a file, it is halved until the files at fault are found: about twice the
     logarithm of the batch in runs per file. These are written to the `quarantine` folder with the error, and
-    the watch goes on. Any other error, such as a store that is down, stops the watch and leaves the checkpoint,
-    so a restart takes the batch again; without a quarantine folder every error does.
+    the watch goes on. A file that Spark cannot read is at fault if the store gives its bytes, or another file's. Any
+    other error, such as a store that is down, stops the watch and leaves the checkpoint, so a restart takes the batch
+    again; without a quarantine folder every error does.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
@@ -136,9 +137,11 @@ def _handle_files(
             handler(part, batch_id)
             return []
         except Exception as error:
-            if not quarantine or not is_file_problem(error):
+            if not quarantine or not (is_file_problem(error) or is_read_problem(error)):
                 raise
             if len(part) == 1:
+                if not is_at_fault(spark, error, part[0], [path for path in paths if path != part[0]]):
+                    raise
                 log.exception("put %s into quarantine", part[0])
                 return [(part[0], str(error), batch_id, route)]
         log.warning("batch %s failed, trying its %s files by halves", batch_id, len(part))
