@@ -10,6 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from filefeatures.llm import quality, toxicity
+from filefeatures.llm.arrow import bound_batches
 from filefeatures.llm.exact_dedup import keep_first
 from filefeatures.llm.near_dedup import keep_one
 from filefeatures.llm.packing import pack
@@ -21,27 +22,41 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier scores below its threshold go. It is fitted on labelled documents of the whole table."""
+    """Documents that the classifier scores below its threshold go. It is fitted on labelled documents of the whole table.
+
+    NULL and empty texts are scored as empty; rows that repeat an id, or have none, are each judged by their text. Without
+    both labels, and for an empty table, nothing goes.
+    """
+    bound_batches(spark)
     return quality.keep_good(docs, quality.train(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")))
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are likelier toxic than not go."""
+    """Documents that are likelier toxic than not go. NULL and empty texts have no words and stay; repeated rows and ids are
+    each judged by their text. Without both labels, and for an empty table, nothing goes."""
+    bound_batches(spark)
     return toxicity.keep_clean(docs, toxicity.train(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the one with the largest doc_id stays."""
+    """Of equal texts the one with the largest doc_id stays, of rows that repeat it the first. All NULL and empty texts are
+    one group; a NULL doc_id is smaller than any other. An empty table stays one."""
+    bound_batches(spark)
     return keep_first(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five words a shingle, similarity 0.8) the one with the smallest doc_id stays."""
+    """Of each group of near copies (five words a shingle, similarity 0.8) the one with the smallest doc_id stays, of rows
+    that repeat it the first, and a NULL doc_id only where there is no other. Texts without words are near no other and stay.
+    An empty table stays one."""
+    bound_batches(spark)
     return keep_one(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """What is left, packed into sequences of at most 2048 tokens."""
+    """What is left, packed into sequences of at most 2048 tokens, one row a piece. A NULL or empty text is its end token
+    alone; repeated rows and ids are packed each by itself. An empty table gives no rows."""
+    bound_batches(spark)
     return pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 

@@ -8,7 +8,7 @@ from typing import TypeVar
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from filefeatures.session import stage
@@ -19,6 +19,7 @@ _kept: dict[Hashable, object] = {}
 UPPER = bytes(range(ord("A"), ord("Z") + 1))
 TO_LOWER = bytes.maketrans(UPPER, UPPER.lower())
 SLICE_BYTES = 4 << 20
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
 
 
 def ascii_lower(text: bytes) -> bytes:
@@ -35,6 +36,13 @@ def kept_in_worker(key: Hashable, make: Callable[[], Kept]) -> Kept:
     return _kept[key]
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Let Spark hand texts to Python in batches of some megabytes, unless the session says otherwise: the default of 64 MB
+    is held several times, on both sides, for each task of an executor."""
+    if spark.conf.get(BATCH_SETTING) == "67108864b":
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+
+
 def text_or_empty(docs: DataFrame, text: str = "text") -> Column:
     return F.coalesce(docs[text].cast("string"), F.lit(""))
 

@@ -10,20 +10,18 @@ lies before the place where the paths to all open ends meet can no longer change
 Decoding goes token by token through a state machine over UTF-8 byte classes, whose moves are kept per state and token.
 
 A pattern cuts a text at white space at least (CHUNK says where), so texts are cut into stretches that are encoded each by
-itself. A block of texts numbers its different stretches once; these are looked up or go through transducer and state
-machine, and numerals and decoded bytes of whole texts are gathered from theirs.
+itself, and looked up when seen before.
 """
 
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 import re
 from collections.abc import Iterable, Iterator
 from itertools import chain, islice
-from typing import NamedTuple
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -32,9 +30,9 @@ from filefeatures.llm.arrow import kept_in_worker, slices, text_or_empty
 
 CHUNKS_KEPT = 300_000
 MATCHES_KEPT = 300_000
-STATES_KEPT = 200_000
+STATES_KEPT = 400_000
 LONG_TEXT = 1 << 20  # code points; longer texts are cut into stretches bit by bit
-BLOCK_CHUNKS = 1 << 18
+CHUNKS_AT_ONCE = 1 << 18
 SETTLE = 4096
 # White space in the sense of Unicode's White_Space property; Python's \s has four control characters more.
 SPACE = r"\t-\r \x85\xa0  -     　"
@@ -124,14 +122,19 @@ class Transducer:
 
     def _move(self, state: int, byte: int) -> tuple[int, int]:
         ends, last = [], -1
-        for node, before in self.states[state]:  # the longest first
-            child = self.children[node].get(byte)
+        children, token_at, pairs, merges = self.children, self.token_at, self.pairs, self.last_merge
+        for end in self.states[state]:  # the longest first
+            node, before = end
+            child = children[node].get(byte)
             if child is None:
                 continue
-            token = self.token_at[child]
-            if last < 0 <= token and self._halves(token) is not None and (before < 0 or self._stands(before, token)):
-                last = token
-            if self.children[child]:
+            if last < 0 <= (token := token_at[child]):
+                made = merges[token] if token in merges else self._halves(token)
+                if made is not None:
+                    stands = True if before < 0 else pairs.get((before, token))
+                    if self._stands(before, token) if stands is None else stands:
+                        last = token
+            if children[child]:
                 ends.append((child, before))
         if last < 0:
             raise ValueError(f"no token for byte {byte}")
@@ -176,7 +179,20 @@ class Transducer:
     def encode(self, data: bytes) -> tuple[int, ...]:
         """The ids of one match. A match that is a token as a whole is that token."""
         whole = self.ranks.get(data)
-        return (whole,) if whole is not None else tuple(chain.from_iterable(self.stream(data)))
+        if whole is not None:
+            return (whole,)
+        if len(data) > SETTLE:
+            return tuple(chain.from_iterable(self.stream(data)))
+        if len(self.states) > STATES_KEPT:
+            self._forget()
+        moves, state, lasts = self.moves, 0, [-1]
+        for byte in data:
+            here = moves[state]
+            if byte not in here:
+                here[byte] = self._move(state, byte)
+            state, last = here[byte]
+            lasts.append(last)
+        return tuple(self._path(lasts, len(data)))
 
 
 def _utf8_start(byte: int) -> tuple[int, int, int] | None:
@@ -237,16 +253,8 @@ class Decoder:
         return "".join(self.stream(ids))
 
 
-class Coded(NamedTuple):
-    """A stretch of text: its ids, the ids in decimals with a comma before each, and the bytes that they decode to."""
-
-    ids: tuple[int, ...]
-    numerals: bytes
-    decoded: bytes
-
-
 class Encoder:
-    """Stretches of text: each match of the pattern through the transducer. Stretches seen before are looked up.
+    """Whole texts: cut by the pattern, each match through the transducer. Stretches seen before are looked up.
 
     The pattern must not match over a place where CHUNK cuts: white space, but for one blank before other characters.
     """
@@ -257,61 +265,56 @@ class Encoder:
         self.chunks, self.matches = re.compile(CHUNK), regex.compile(pattern)
         self.transducer = Transducer(read_ranks(path))
         self.decoder = Decoder(self.transducer.bytes_of)
+        self.numerals = {rank: b",%d" % rank for rank in self.transducer.bytes_of}
+        # Tokens that are whole characters: from the state machine's start they lead back there.
+        self.whole = {rank: token for rank, token in self.transducer.bytes_of.items() if _is_whole(token)}
         self.known = _Known(self)
 
-    def coded(self, chunks: list[str]) -> list[Coded]:
-        if len(self.known) > CHUNKS_KEPT:
-            self.known.clear()
-        if len(self.known.matches) > MATCHES_KEPT:
-            self.known.matches.clear()
-        return list(map(self.known.__getitem__, chunks))
-
     def encode(self, text: str) -> list[int]:
-        return [i for coded in self.coded(self.chunks.findall(text)) for i in coded.ids]
-
-    def blocks(self, texts: list[str]) -> Iterator[tuple[list[str], list[tuple[int, int]]]]:
-        """Stretches of texts, in order and in blocks of bounded size, and how many of them belong to which text."""
-        block, owners = [], []
-        for number, text in enumerate(texts):
-            if len(text) <= LONG_TEXT:
-                pieces = [self.chunks.findall(text)]
-            else:
-                found = map(re.Match.group, self.chunks.finditer(text))
-                pieces = iter(lambda: list(islice(found, BLOCK_CHUNKS)), [])  # noqa: B023
-            for piece in pieces:
-                block += piece
-                owners.append((number, len(piece)))
-                if len(block) >= BLOCK_CHUNKS:
-                    yield block, owners
-                    block, owners = [], []
-        if block:
-            yield block, owners
+        return list(chain.from_iterable(self.parts(text)))
+
+    def parts(self, text: str) -> Iterator[list[int]]:
+        """The ids of a text, in parts that begin and end between characters."""
+        found = self.chunks.findall(text) if len(text) <= LONG_TEXT else map(re.Match.group, self.chunks.finditer(text))
+        found = iter(found)
+        while part := list(islice(found, CHUNKS_AT_ONCE)):
+            if len(self.known) > CHUNKS_KEPT:
+                self.known.clear()
+            if len(self.known.matches) > MATCHES_KEPT:
+                self.known.matches.clear()
+            yield list(chain.from_iterable(map(self.known.__getitem__, part)))
+
+    def decode(self, ids: list[int]) -> bytes:
+        """The bytes of whole characters. Only where a token leaves a character open the state machine is needed."""
+        try:
+            return b"".join(map(self.whole.__getitem__, ids))
+        except KeyError:
+            return self.decoder.text(ids).encode()
 
 
 class _Known(dict):
-    """Coded stretches. Many share a match: a word with and without the comma after it."""
+    """Ids by stretch of text. Many stretches share a match: a word with and without the comma after it."""
 
     def __init__(self, encoder: Encoder):
         super().__init__()
         self.encoder, self.matches = encoder, {}
 
-    def __missing__(self, chunk: str) -> Coded:
+    def __missing__(self, chunk: str) -> tuple[int, ...]:
         ids = []
         for match in self.encoder.matches.findall(chunk):
             known = self.matches.get(match)
             if known is None:
                 known = self.matches[match] = self.encoder.transducer.encode(match.encode())
             ids += known
-        # A stretch is whole characters, so the state machine is back at its start behind each.
-        found = self[chunk] = Coded(tuple(ids), "".join(f",{i}" for i in ids).encode(), self.encoder.decoder.text(ids).encode())
+        found = self[chunk] = tuple(ids)
         return found
 
 
-def _gathered(values: list[bytes], index: pa.Array) -> tuple[memoryview, np.ndarray]:
-    """values[i] for each i of index, one after another, and where each begins; at last, the end."""
-    taken = pa.array(values, pa.large_binary()).take(index)
-    _, offsets, data = taken.buffers()
-    return memoryview(data or b""), np.frombuffer(offsets, np.int64)[taken.offset : taken.offset + len(taken) + 1]
+def _is_whole(token: bytes) -> bool:
+    try:
+        return bool(token.decode())
+    except UnicodeDecodeError:
+        return False
 
 
 def encoder(path: str, pattern: str) -> Encoder:
@@ -328,32 +331,32 @@ def encode_documents(docs: DataFrame, ranks: str, pattern: str, *, with_ids: boo
     """
     schema = T.StructType([*SCHEMA.fields, IDS, DECODED]) if with_ids else SCHEMA
 
+    def coded(coder: Encoder, text: str) -> tuple[int, str, str, list[int], str]:
+        count, digest, decoded, ids_of, back = 0, hashlib.sha256(), hashlib.sha256(), [], []
+        for ids in coder.parts(text):
+            numerals, data = b"".join(map(coder.numerals.__getitem__, ids)), coder.decode(ids)
+            digest.update(numerals if count else numerals[1:])
+            decoded.update(data)
+            count += len(ids)
+            if with_ids:
+                ids_of += ids
+                back.append(data.decode())
+        return count, digest.hexdigest(), decoded.hexdigest(), ids_of, "".join(back)
+
     def run(batches):
         coder = encoder(ranks, pattern)
-        for part in slices(batches):
-            rows = part.num_rows
-            counts, ids, texts = [0] * rows, [[] for _ in range(rows)], [[] for _ in range(rows)]
-            digests, decoded = [hashlib.sha256() for _ in range(rows)], [hashlib.sha256() for _ in range(rows)]
-            for chunks, owners in coder.blocks(part.column("text").to_pylist()):
-                numbered = pa.array(chunks, pa.string()).dictionary_encode()
-                known, index = coder.coded(numbered.dictionary.to_pylist()), numbered.indices
-                numerals, numerals_at = _gathered([k.numerals for k in known], index)
-                back, back_at = _gathered([k.decoded for k in known], index)
-                sizes = np.fromiter((len(k.ids) for k in known), np.int64, len(known))[index.to_numpy()]
-                before, begin = np.concatenate([[0], np.cumsum(sizes)]), 0
-                for row, length in owners:
-                    end = begin + length
-                    first, last = numerals_at[begin], numerals_at[end]
-                    digests[row].update(numerals[first + (not counts[row] and first < last) : last])
-                    decoded[row].update(back[back_at[begin] : back_at[end]])
-                    counts[row] += int(before[end] - before[begin])
-                    if with_ids:
-                        ids[row] += chain.from_iterable(known[i].ids for i in index[begin:end].to_pylist())
-                        texts[row].append(bytes(back[back_at[begin] : back_at[end]]).decode())
-                    begin = end
-            arrays = [part.column("doc_id"), pa.array(counts, pa.int64()), *(pa.array([d.hexdigest() for d in own]) for own in (digests, decoded))]
-            if with_ids:
-                arrays += [pa.array(ids, pa.list_(pa.int32())), pa.array(map("".join, texts), pa.string())]
-            yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
+        # Tables of tuples grow all the time and hold no cycles: looking through them for cycles costs a third of the time.
+        collecting = gc.isenabled()
+        gc.disable()
+        try:
+            for part in slices(batches):
+                columns = list(zip(*[coded(coder, text) for text in part.column("text").to_pylist()], strict=True))
+                arrays = [part.column("doc_id"), pa.array(columns[0], pa.int64()), pa.array(columns[1]), pa.array(columns[2])]
+                if with_ids:
+                    arrays += [pa.array(columns[3], pa.list_(pa.int32())), pa.array(columns[4], pa.string())]
+                yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
+        finally:
+            if collecting:
+                gc.enable()
 
     return docs.select(docs["doc_id"].cast("long"), text_or_empty(docs).alias("text")).mapInArrow(run, schema)

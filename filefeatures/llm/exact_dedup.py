@@ -123,6 +123,7 @@ def dedup(docs: DataFrame, *, block_bytes: int = BLOCK_BYTES, row: Column | None
     groups = named.groupBy("level", "name").agg(
         F.max(F.struct("doc_id", (-F.col("row")).alias("minus_row"))).alias("best"), F.count("*").alias("group_size")
     )
+    groups = stage(groups, "groups")  # one row a group: the join has nothing but shuffles below it and splits a hot one
     return named.join(groups, ["level", "name"]).select(
         "row",
         "doc_id",

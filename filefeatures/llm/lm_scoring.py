@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -38,6 +39,7 @@ BLOCK_BYTES = 32 << 20
 SHARES = 512
 TOP = 2  # bytes of context that choose a subtree's task
 GRAM, WORD = 0, 1
+PLACE_BITS = 16  # grams of five bytes of context have 48 bits
 
 SHARED = T.StructType(
     [
@@ -125,9 +127,9 @@ def words_of(text: bytes) -> list[bytes]:
     return ascii_lower(text).split()
 
 
-def word_keys(words: list[bytes]) -> np.ndarray:
-    """64-bit hashes of the words and, last, of the end (as the empty word)."""
-    return word_hashes([*words, b""]).view(np.int64)
+def word_keys(texts: list[list[bytes]]) -> np.ndarray:
+    """64-bit hashes of the words of texts, one after another, and after each text of its end (as the empty word)."""
+    return word_hashes([word for words in texts for word in (*words, b"")]).view(np.int64)
 
 
 def gram_keys(words: list[bytes], depth: int) -> np.ndarray:
@@ -161,11 +163,29 @@ def _by_block(batches) -> Iterator[tuple[int, pa.RecordBatch]]:
 
 
 def look_up(keys: np.ndarray, values: np.ndarray, asked: np.ndarray) -> np.ndarray:
-    """The values of the keys asked for; keys are sorted. A key that is not there is an error."""
-    at = np.searchsorted(keys, asked)
-    if len(at) and (int(at.max()) >= len(keys) or (keys[at] != asked).any()):
-        raise ValueError("a key has no answer")
-    return values[at]
+    """The values of the keys asked for; keys are sorted. A key that is not there is an error.
+
+    Where keys leave room for it, some are sorted together with their places: each is then looked for once, and neighbours
+    one after the other, which finds them in the cache.
+    """
+    if not len(asked):
+        return values[:0]
+    if int(asked.min()) < 0 or int(asked.max()) >> 64 - PLACE_BITS:
+        at = pc.index_in(pa.array(asked), value_set=pa.array(keys))
+        if at.null_count:
+            raise ValueError("a key has no answer")
+        return values[at.to_numpy()]
+    found, size = np.empty(len(asked), values.dtype), 1 << PLACE_BITS
+    for begin in range(0, len(asked), size):
+        part = asked[begin : begin + size].astype(np.uint64)
+        packed = np.sort(part << np.uint64(PLACE_BITS) | np.arange(len(part), dtype=np.uint64))
+        ordered, place = (packed >> np.uint64(PLACE_BITS)).astype(np.int64), (packed & np.uint64(size - 1)).astype(np.int64)
+        first = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
+        at = np.searchsorted(keys, ordered[first])
+        if int(at[-1]) >= len(keys) or (keys[at] != ordered[first]).any():
+            raise ValueError("a key has no answer")
+        found[begin + place] = np.repeat(values[at], np.diff(first, append=len(part)))
+    return found
 
 
 def _occurrences(depth: int, shares: int):
@@ -191,14 +211,13 @@ def _occurrences(depth: int, shares: int):
                 yield from emit(block, sums)
             if number != block:
                 block, sums = number, [Sum(), Sum()]
-            sides: dict[tuple[int, bool], list[np.ndarray]] = {}
+            sides: dict[bool, list[list[bytes]]] = {}
             for doc_id, text in zip(part.column("doc_id").to_pylist(), as_bytes(part.column("text")), strict=True):
-                words, held = words_of(text), is_held_out(doc_id)
-                sides.setdefault((GRAM, held), []).append(gram_keys(words, depth))
-                sides.setdefault((WORD, held), []).append(word_keys(words))
-            for (kind, held), keys in sides.items():
-                found, amounts = np.unique(np.concatenate(keys), return_counts=True)
-                sums[kind].add(found, amounts * (not held))
+                sides.setdefault(is_held_out(doc_id), []).append(words_of(text))
+            for held, texts in sides.items():
+                for kind, keys in ((GRAM, np.concatenate([gram_keys(words, depth) for words in texts])), (WORD, word_keys(texts))):
+                    found, amounts = np.unique(keys, return_counts=True)
+                    sums[kind].add(found, amounts * (not held))
         if block is not None:
             yield from emit(block, sums)
 
@@ -339,14 +358,20 @@ def _score(depth: int, total: int, distinct: int):
                     yield _batch(list(score_rows(part, tables)), SCORES)
 
     def score_rows(part: pa.RecordBatch, tables):
-        for doc_id, text in zip(part.column("doc_id").to_pylist(), as_bytes(part.column("text")), strict=True):
-            words = words_of(text)
-            keys = gram_keys(words, depth)
-            score = float(look_up(*tables[GRAM], keys).sum())
-            counts = look_up(*tables[WORD], word_keys(words))
-            base = float(np.log10((counts + 0.5) / (total + 0.5 * (distinct + 1))).sum())
-            bits = -score / np.log10(2) / len(keys)
-            yield doc_id, is_held_out(doc_id), len(counts), int((counts > 0).sum()), total, base, score, bits
+        texts = [words_of(text) for text in as_bytes(part.column("text"))]
+        keys = [gram_keys(words, depth) for words in texts]
+        lengths, tokens = np.array([len(k) for k in keys]), np.array([len(words) + 1 for words in texts])
+        scores = sums(look_up(*tables[GRAM], np.concatenate(keys)), lengths)
+        counts = look_up(*tables[WORD], word_keys(texts))
+        bases = sums(np.log10((counts + 0.5) / (total + 0.5 * (distinct + 1))), tokens)
+        known = sums((counts > 0).astype(np.int64), tokens)
+        bits = -scores / np.log10(2) / lengths
+        for i, doc_id in enumerate(part.column("doc_id").to_pylist()):
+            yield doc_id, is_held_out(doc_id), int(tokens[i]), int(known[i]), total, float(bases[i]), float(scores[i]), float(bits[i])
+
+    def sums(values: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Of each text's values; a text has its end at least, so none is empty."""
+        return np.add.reduceat(values, np.cumsum(lengths) - lengths)
 
     return run
 
@@ -362,6 +387,7 @@ def score(docs: DataFrame, *, depth: int = DEPTH, block_bytes: int = BLOCK_BYTES
     if not TOP <= depth <= 6:
         raise ValueError(f"depth must be {TOP} to 6")
     texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_or_empty(docs).alias("text"))
+
     def blocked(batches):
         for block, part in _blocked(batches, block_bytes):
             yield pa.RecordBatch.from_arrays([pa.array(np.full(part.num_rows, block)), part.column("doc_id"), part.column("text")], names=["block", "doc_id", "text"])

@@ -35,7 +35,7 @@ MIN_PERCENT = 80
 SLOTS = 160
 BANDS = 32
 BLOCK_ROWS = 512
-SKETCH_BYTES = 1 << 20  # text at a time: a signature takes 160 two-byte places for each shingle of a short text
+SKETCH_BYTES = 1 << 19  # text at a time: a signature takes 160 two-byte places for each shingle of a short text
 AT_ONCE = 64  # candidates whose sets are compared together
 
 SKETCH = T.StructType(

@@ -35,7 +35,7 @@ PER_WINDOW = 16  # keeps the plan from dissolving into many tiny windows
 HARD_SPACING = 64
 SMALLEST_POWER = 32
 HORIZON = 32  # windows that are planned together
-WORDS_KEPT = 1_000_000
+WORDS_KEPT = 600_000
 # Letters up to U+024F: none has marks to compose, and lower case is letter for letter (U+0130 is left out for that).
 LETTERS = r"^[A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{12F}\x{131}-\x{24F}]+$"
 

@@ -185,7 +185,8 @@ def score(docs: DataFrame, trees: Trees, *, threshold: float = THRESHOLD) -> Dat
 
 
 def keep_good(docs: DataFrame, trees: Trees, *, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows whose text reaches the threshold, with all their columns; all rows if the trees do not decide."""
+    """The rows whose text reaches the threshold, with all their columns; all rows if the trees do not decide. NULL counts
+    as empty and is judged like any text; repeated rows are each judged by theirs. An empty table gives no rows."""
     if not trees.decides:
         return docs
 

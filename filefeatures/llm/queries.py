@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from filefeatures.llm import quality, toxicity
+from filefeatures.llm.arrow import bound_batches
 from filefeatures.llm.bpe import encode_documents
 from filefeatures.llm.exact_dedup import dedup
 from filefeatures.llm.html_extract import extract_pages
@@ -24,6 +25,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def _table(spark, sf_dir, name):
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -12,21 +12,27 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-import pyarrow as pa
 import xxhash
 
-from filefeatures.llm.arrow import ascii_lower, splitmix
+from filefeatures.llm.arrow import ascii_lower, kept_in_worker, splitmix
 
+WORDS_KEPT = 250_000
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
+class WordHashes(dict):
+    """64-bit hashes of words, looked up when seen before."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > WORDS_KEPT:
+            self.clear()
+        value = self[word] = xxhash.xxh3_64_intdigest(word)
+        return value
+
+
 def word_hashes(words: list[bytes]) -> np.ndarray:
-    """64-bit hashes of words; each different word is hashed once."""
-    if not words:
-        return np.empty(0, np.uint64)
-    coded = pa.array(words, pa.binary()).dictionary_encode()
-    digest, different = xxhash.xxh3_64_intdigest, coded.dictionary.to_pylist()
-    return np.fromiter(map(digest, different), np.uint64, len(different))[coded.indices.to_numpy()]
+    """64-bit hashes of words."""
+    return np.fromiter(map(kept_in_worker("word hashes", WordHashes).__getitem__, words), np.uint64, len(words))
 
 
 def shingles(text: bytes, width: int) -> np.ndarray:

@@ -154,7 +154,8 @@ def train(docs: DataFrame, labels: DataFrame, *, limit: int = MAX_LABELLED) -> S
     if not len(words):
         return fit([], np.repeat([0, 1], [other, toxic]), none)
     known = F.array_sort(F.array_intersect("words", F.array(*[F.lit(int(w)) for w in words])))
-    rows = sample.select("label", known.alias("known")).orderBy("label", "known").collect()
+    # The sample comes in any order; the model must not depend on it.
+    rows = sorted(sample.select("label", known.alias("known")).collect(), key=lambda row: (row["label"], row["known"]))
     numbers = [np.searchsorted(words, np.array(row["known"], np.int64)) for row in rows]
     is_toxic = np.array([row["label"] for row in rows]) == 1
     variety = np.array([len(n) for n in numbers])
@@ -185,7 +186,8 @@ def score(docs: DataFrame, model: Severity, *, threshold: float = THRESHOLD) ->
 
 def keep_clean(docs: DataFrame, model: Severity, *, threshold: float = THRESHOLD) -> DataFrame:
     """The rows whose text is less likely toxic than the threshold, with all their columns; all rows if the model does not
-    decide."""
+    decide. NULL and empty texts have no word and stay with the chances of the thresholds alone; repeated rows are each
+    judged by their text. An empty table gives no rows."""
     if not model.decides:
         return docs
 

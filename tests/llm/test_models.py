@@ -39,6 +39,85 @@ def test_trees_separate_and_walk_alike():
     assert margins[:50] == pytest.approx([walk(row) for row in x[:50]])
 
 
+def plain_trees(x, y, count):
+    """Boosted trees one row and one split at a time: margins of the rows."""
+    share = (sum(y) + 1) / (len(y) + 2)
+    margins = [math.log(share / (1 - share))] * len(y)
+    edges = [sorted(set(np.quantile(column, np.linspace(0, 1, quality.BINS + 1)[1:-1]).tolist())) for column in x.T]
+    for _ in range(count):
+        p = [1 / (1 + math.exp(-m)) for m in margins]
+        g, h = [a - b for a, b in zip(p, y, strict=True)], [max(a * (1 - a), 1e-6) for a in p]
+
+        def weight(rows):
+            return math.fsum(g[r] for r in rows), math.fsum(h[r] for r in rows)  # noqa: B023
+
+        def grow(rows, depth):
+            total = weight(rows)
+            best, found = 1e-3, None
+            for f, own in enumerate(edges if depth < quality.DEPTH else []):
+                for edge in own:
+                    sides = [r for r in rows if x[r, f] <= edge], [r for r in rows if x[r, f] > edge]
+                    parts = [weight(side) for side in sides]
+                    if min(part[1] for part in parts) < quality.LEAST_WEIGHT:
+                        continue
+                    gain = sum(a * a / (b + quality.RIDGE) for a, b in parts) - total[0] ** 2 / (total[1] + quality.RIDGE)
+                    if gain > best + 1e-12:
+                        best, found = gain, sides
+            if found:
+                for side in found:
+                    grow(side, depth + 1)
+            else:
+                for r in rows:
+                    margins[r] -= quality.RATE * total[0] / (total[1] + quality.RIDGE)
+
+        grow(list(range(len(y))), 0)
+    return margins
+
+
+def test_trees_equal_plain_ones(monkeypatch):
+    draw = np.random.default_rng(4)
+    x = draw.normal(size=(160, 3))
+    y = ((x[:, 0] + 0.5 * x[:, 1] ** 2 + 0.3 * draw.normal(size=160)) > 0.4).astype(float)
+    monkeypatch.setattr(quality, "TREES", 4)
+    monkeypatch.setattr(quality, "BINS", 16)
+    monkeypatch.setattr(quality, "LEAST_WEIGHT", 1.0)
+    assert quality.fit(x, y).margins(x) == pytest.approx(plain_trees(x, y, 4), abs=1e-9)
+
+
+def plain_likelihood(state, rows, grades, words):
+    """Ridge-penalised log-likelihood of a cumulative-link model, straight from its definition."""
+    weights, first, gaps = state[:words], state[words], np.exp(state[words + 1 :])
+    thresholds = first + np.concatenate([[0.0], np.cumsum(gaps)])
+    total = -toxicity.RIDGE / 2 * float(weights @ weights)
+    for row, grade in zip(rows, grades, strict=True):
+        above = [1.0, *(1 / (1 + math.exp(-(sum(weights[i] for i in row) - t))) for t in thresholds), 0.0]
+        total += math.log(above[grade] - above[grade + 1])
+    return total
+
+
+def test_ordinal_fit_reaches_the_highest_likelihood():
+    draw = np.random.default_rng(8)
+    rows = [np.flatnonzero(draw.random(3) < 0.5) for _ in range(120)]
+    pull = np.array([1.5, 0.7, -0.5])
+    grades = np.array([int(np.clip(round(pull[r].sum() + draw.normal()), 0, 3)) for r in rows])
+    model = toxicity.fit(rows, grades, np.arange(3))
+    mine = np.concatenate([model.weights, model.thresholds[:1], np.log(np.diff(model.thresholds))])
+    state, step = np.zeros(6), 0.1
+    best = plain_likelihood(state, rows, grades, 3)
+    while step > 1e-4:  # a step along one number at a time, for as long as one helps
+        moved = False
+        for i in range(6):
+            for way in (step, -step):
+                tried = state.copy()
+                tried[i] += way
+                value = plain_likelihood(tried, rows, grades, 3)
+                if value > best:
+                    state, best, moved = tried, value, True
+        step = step if moved else step / 3
+    assert plain_likelihood(mine, rows, grades, 3) > best - 0.01
+    assert model.weights == pytest.approx(state[:3], abs=0.05)
+
+
 def test_trees_without_rows_or_with_one_label_are_constant():
     assert quality.fit(np.empty((0, 30)), np.empty(0)).margins(np.zeros((3, 30))).tolist() == [0, 0, 0]
     assert len(set(quality.fit(np.random.rand(9, 30), np.ones(9)).margins(np.random.rand(4, 30)))) == 1
