@@ -39,9 +39,12 @@ def _prints_back(text: Column, kind: str) -> Column:
 def _measured(text: Column) -> dict[str, Column]:
     """What one text says; NULL says nothing."""
     known = text.isNotNull()
-    number = text.try_cast("bigint")
-    whole = _prints_back(text, "bigint")
-    fixed = text.rlike(FIXED)
+    # What a text begins with rules most types out, which is cheaper than a cast that fails.
+    first = F.substring(text, 1, 1)
+    digit = first.isin("-", *"0123456789")
+    number = F.when(digit, text.try_cast("bigint"))
+    whole = digit & _prints_back(text, "bigint")
+    fixed = digit & text.rlike(FIXED)
     point = F.locate(".", text)
     return {
         "texts": F.when(known, 1).otherwise(0).cast("long"),
@@ -53,10 +56,10 @@ def _measured(text: Column) -> dict[str, Column]:
         "least_scale": F.when(fixed, F.length(text) - point),
         "most_scale": F.when(fixed, F.length(text) - point),
         "most_digits": F.when(fixed, F.length(F.regexp_replace(text, "[-.]", ""))),
-        "real": F.when(known, _prints_back(text, "double")),
-        "truth": F.when(known, _prints_back(text, "boolean")),
-        "day": F.when(known, _prints_back(text, "date")),
-        "moment": F.when(known, _prints_back(text, "timestamp_ntz")),
+        "real": F.when(known, (digit | text.isin("NaN", "Infinity")) & _prints_back(text, "double")),
+        "truth": F.when(known, text.isin("true", "false")),
+        "day": F.when(known, digit & _prints_back(text, "date")),
+        "moment": F.when(known, digit & _prints_back(text, "timestamp_ntz")),
     }
 
 

@@ -1,5 +1,9 @@
 """Every registered query against its SQL in DuckDB, over whole tables."""
 
+import subprocess
+import sys
+from pathlib import Path
+
 import __spark_entry__ as contract
 import pytest
 
@@ -26,3 +30,10 @@ def test_query_equals_oracle(spark, duck, name):
 
 def test_entry(spark):
     assert contract.entry(spark).count() > 0
+
+
+@pytest.mark.parametrize("missing", ["xxhash", "zstandard", "public_tokenizers", "corpus_pipeline"])
+def test_entry_without_what_only_the_corpus_needs(missing):
+    code = f"import sys; sys.modules[{missing!r}] = None; import __spark_entry__ as e; print(sorted(e.queries()) == sorted(e.OWN_SQL))"
+    done = subprocess.run([sys.executable, "-c", code], cwd=Path(__file__).parents[1], capture_output=True, text=True)
+    assert done.stdout.strip() == "True", done.stderr
