@@ -137,6 +137,17 @@ def parent_keys(keys: np.ndarray) -> np.ndarray:
     return (keys >> 16) << 8 | keys & 0xFF
 
 
+def levels_of(keys: np.ndarray, zeros: np.ndarray, ones: np.ndarray, longer: np.ndarray) -> dict[int, Level]:
+    """Nodes of one context length as levels by decided bits; longer: log of the product over the nodes one byte longer."""
+    levels = {}
+    decided = np.frexp((keys & 0xFF).astype(np.float64))[1] - 1
+    for bits in range(BITS):
+        own = decided == bits
+        level = levels[bits] = Level(keys[own], zeros[own], ones[own])
+        level.log_pw = np.logaddexp(level.log_pe, longer[own]) - np.log(2)
+    return levels
+
+
 class Top:
     """The nodes with contexts shorter than `length`, from those at `length` - 1 with the product over their longer ones."""
 
@@ -144,11 +155,7 @@ class Top:
         """keys: sorted keys of the longest contexts here, of all numbers of bits; longer: log of the product."""
         self.length = length
         self.levels: dict[tuple[int, int], Level] = {}
-        decided = np.frexp((keys & 0xFF).astype(np.float64))[1] - 1
-        for bits in range(BITS):
-            own = decided == bits
-            level = Level(keys[own], zeros[own], ones[own])
-            level.log_pw = np.logaddexp(level.log_pe, longer[own]) - np.log(2)
+        for bits, level in levels_of(keys, zeros, ones, longer).items():
             self.levels[length - 1, bits] = level
             for shorter in range(length - 2, -1, -1):
                 below = self.levels[shorter + 1, bits]

@@ -7,8 +7,9 @@ stand end bytes. Four steps, each a shuffle of compact tables, none of whose key
    in shares by hash.
 2. Per share, counts of all blocks are added up.
 3. The context tree is built from the distinct grams: subtrees below two bytes of context by task, and from their sums
-   the few nodes above (at most 255 for each byte value, so their broadcast is bounded). Each gram gets its log
-   probability: also grams that only other documents have.
+   the few nodes above (at most 255 for each byte value, so their broadcast is bounded). The few contexts of two bytes
+   that hold many grams each are split once more, into subtrees below three bytes. Each gram gets its log probability:
+   also grams that only other documents have.
 4. The answers go back to the blocks that asked, and meet the documents there.
 
 A task holds one share or one block's tables at a time. What is gathered grows with the input; nothing is sampled.
@@ -18,6 +19,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from filefeatures.llm.arrow import as_bytes, ascii_lower, slices, splitmix, text_or_empty
-from filefeatures.llm.ctw import BITS, END, Top, Tree, grams, parent_keys
+from filefeatures.llm.ctw import BITS, END, Level, Top, Tree, grams, levels_of, node_keys, parent_keys
 from filefeatures.llm.superminhash import word_hashes
 from filefeatures.session import stage
 
@@ -38,7 +40,9 @@ FOLDS, HELD_OUT_FOLD = 5, 1
 BLOCK_BYTES = 32 << 20
 SHARES = 512
 TOP = 2  # bytes of context that choose a subtree's task
+HOT = 256  # a context of two bytes with more than this part of the distinct grams is split; so there are fewer of them
 GRAM, WORD = 0, 1
+NODE_NAMES = ["key", "zeros", "ones", "longer"]
 PLACE_BITS = 16  # grams of five bytes of context have 48 bits
 
 SHARED = T.StructType(
@@ -263,39 +267,61 @@ def _unpacked(batches):
             yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(unpack(row["amounts"], np.int64))], names=["gram", "seen"])
 
 
-def _subtree(batches, depth: int) -> tuple[np.ndarray, Tree] | None:
+def _subtree(batches, depth: int, shortest: int) -> tuple[np.ndarray, Tree] | None:
     parts = [(b.column("gram").to_numpy(), b.column("seen").to_numpy()) for b in batches if b.num_rows]
     if not parts:
         return None
     keys, counts = np.concatenate([k for k, _ in parts]), np.concatenate([c for _, c in parts])
     order = np.argsort(keys)
     keys, counts = keys[order], counts[order]
-    return keys, Tree(keys, counts, depth, shortest=TOP)
+    return keys, Tree(keys, counts, depth, shortest)
 
 
-def _sums_for_top(depth: int):
+def _for_parents(level: Level) -> tuple[np.ndarray, ...]:
+    """By the keys of the nodes one byte shorter: zeros, ones, and the log of the product of what is weighted below."""
+    up, back = np.unique(parent_keys(level.keys), return_inverse=True)
+    return up, *(np.bincount(back, weights=x, minlength=len(up)) for x in (level.zeros, level.ones, level.log_pw))
+
+
+def _sums_for_top(depth: int, shortest: int):
     def run(batches):
-        made = _subtree(batches, depth)
+        made = _subtree(batches, depth, shortest)
         if made is None:
             return
         for bits in range(BITS):
-            level = made[1].levels[TOP, bits]
-            up, back = np.unique(parent_keys(level.keys), return_inverse=True)
-            sums = [np.bincount(back, weights=x, minlength=len(up)) for x in (level.zeros, level.ones, level.log_pw)]
-            yield pa.RecordBatch.from_arrays([pa.array(up), *map(pa.array, sums)], names=["key", "zeros", "ones", "longer"])
+            yield pa.RecordBatch.from_arrays([*map(pa.array, _for_parents(made[1].levels[shortest, bits]))], names=NODE_NAMES)
 
     return run
 
 
-def _probabilities(depth: int, shares: int, top: Top):
+class Above:
+    """The nodes above the subtrees: those of hot contexts of TOP bytes, and all shorter ones."""
+
+    def __init__(self, cold: list[np.ndarray], hot: list[np.ndarray]):
+        """Sums by parent (key, zeros, ones, longer): of subtrees below TOP bytes, and of those below one byte more."""
+        self.hot = levels_of(*hot)
+        parts = [cold, *(_for_parents(level) for level in self.hot.values())]
+        keys = np.concatenate([part[0] for part in parts])
+        up, back = np.unique(keys, return_inverse=True)
+        sums = [np.bincount(back, weights=np.concatenate([part[i] for part in parts]), minlength=len(up)) for i in (1, 2, 3)]
+        self.top = Top(TOP, up, *sums)
+
+    def mix(self, grams_: np.ndarray, depth: int, bits: int, longer: np.ndarray, hot: bool) -> np.ndarray:
+        if hot:
+            bit = (grams_ >> (BITS - 1 - bits)) & 1
+            longer = self.hot[bits].mix(node_keys(grams_, depth, TOP, bits), bit, longer)
+        return self.top.mix(grams_, depth, bits, longer)
+
+
+def _probabilities(depth: int, shares: int, above: Above, hot: bool):
     def run(batches):
-        made = _subtree(batches, depth)
+        made = _subtree(batches, depth, TOP + hot)
         if made is None:
             return
         keys, tree = made
         log10 = np.zeros(len(keys))
         for bits in range(BITS):
-            log10 += np.log10(top.mix(keys, depth, bits, tree.bit_probabilities(keys, bits)))
+            log10 += np.log10(above.mix(keys, depth, bits, tree.bit_probabilities(keys, bits), hot))
         share = _share_of(keys, shares)
         order = np.argsort(share, kind="stable")
         cuts = np.searchsorted(share[order], np.arange(shares + 1))
@@ -376,7 +402,9 @@ def _score(depth: int, total: int, distinct: int):
     return run
 
 
-def score(docs: DataFrame, *, depth: int = DEPTH, block_bytes: int = BLOCK_BYTES, shares: int = SHARES) -> DataFrame:
+def score(
+    docs: DataFrame, *, depth: int = DEPTH, block_bytes: int = BLOCK_BYTES, shares: int = SHARES, hot_part: int = HOT
+) -> DataFrame:
     """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10), bits_per_byte.
 
     Documents whose crc32 of the id leaves 1 modulo 5 are held out: scored, not learnt from. NULL text counts as empty:
@@ -401,13 +429,26 @@ def score(docs: DataFrame, *, depth: int = DEPTH, block_bytes: int = BLOCK_BYTES
     distinct, total = (int(x or 0) for x in word_sums)
 
     unpacked = counts.where(F.col("kind") == GRAM).select("keys", "amounts").mapInArrow(_unpacked, "gram long, seen long")
-    subtrees = unpacked.repartition(F.shiftright("gram", 8 * (depth + 1 - TOP)))
-    sums = subtrees.mapInArrow(_sums_for_top(depth), "key long, zeros double, ones double, longer double")
-    # One row per node with one byte of context: 256 * 255 at most, whatever the corpus.
-    top = sums.groupBy("key").agg(*(F.sum(c).alias(c) for c in ("zeros", "ones", "longer"))).orderBy("key").toPandas()
-    top = Top(TOP, *(top[c].to_numpy() for c in ("key", "zeros", "ones", "longer")))
-    answers = SHARED.fields[:2] + SHARED.fields[3:]
-    gram_answers = subtrees.mapInArrow(_probabilities(depth, shares, top), T.StructType(answers))
+    context = F.shiftright("gram", 8 * (depth + 1 - TOP))
+    sizes = dict(map(tuple, unpacked.groupBy(context.alias("context")).count().collect())) if depth > TOP else {}
+    # Fewer than HOT contexts can be hot, and there are 65,536 at most.
+    hot = sorted(c for c, size in sizes.items() if size * hot_part > sum(sizes.values()))
+    is_hot = context.isin(hot) if hot else F.lit(False)
+    subtrees = {False: unpacked.where(~is_hot).repartition(context)}
+    if hot:
+        subtrees[True] = unpacked.where(is_hot).repartition(F.shiftright("gram", 8 * (depth - TOP)))
+
+    def sums(split: bool) -> list[np.ndarray]:
+        """One row per node with one byte of context, or with those of a hot one: 256 * 255 at most, whatever the corpus."""
+        if split not in subtrees:
+            return [np.empty(0, np.int64), np.empty(0), np.empty(0), np.empty(0)]
+        found = subtrees[split].mapInArrow(_sums_for_top(depth, TOP + split), "key long, zeros double, ones double, longer double")
+        found = found.groupBy("key").agg(*(F.sum(c).alias(c) for c in NODE_NAMES[1:])).toPandas().sort_values("key")
+        return [found[c].to_numpy() for c in NODE_NAMES]
+
+    above = Above(sums(False), sums(True))
+    answers = T.StructType(SHARED.fields[:2] + SHARED.fields[3:])
+    gram_answers = reduce(DataFrame.unionByName, [rows.mapInArrow(_probabilities(depth, shares, above, split), answers) for split, rows in subtrees.items()])
     word_answers = counts.where(F.col("kind") == WORD).select("kind", "share", "keys", "amounts")
     known = gram_answers.unionByName(word_answers).withColumn("block", F.lit(None).cast("long"))
     together = known.unionByName(asked).repartition("kind", "share").sortWithinPartitions("kind", "share", "block")

@@ -198,8 +198,8 @@ def near_dedup(
 
     Texts are linked if their sets of shingles share min_percent of their union at least; component is a row number that
     exactly the rows whose texts are linked have in common, component_id the smallest doc_id that links lead to. NULL,
-    empty and blank texts have no shingles and are linked with nothing, so each one stays. A text with fewer words than a shingle is one shingle. NULL doc_ids are passed over for component_id unless a
-    group has no other; kept compares doc_id and component_id as equal values, NULL with NULL too. Rows that repeat a
+    empty and blank texts have no shingles and are linked with nothing, so each one stays. A text with fewer words than a
+    shingle is one shingle. NULL doc_ids are passed over for component_id unless a group has no other; kept compares doc_id and component_id as equal values, NULL with NULL too. Rows that repeat a
     doc_id are one group if their texts are, and all carry the same flag. An empty table gives no rows. Other columns
     than doc_id and text are not read.
     """

@@ -76,12 +76,12 @@ def plain_trees(x, y, count):
 
 def test_trees_equal_plain_ones(monkeypatch):
     draw = np.random.default_rng(4)
-    x = draw.normal(size=(160, 3))
-    y = ((x[:, 0] + 0.5 * x[:, 1] ** 2 + 0.3 * draw.normal(size=160)) > 0.4).astype(float)
-    monkeypatch.setattr(quality, "TREES", 4)
-    monkeypatch.setattr(quality, "BINS", 16)
-    monkeypatch.setattr(quality, "LEAST_WEIGHT", 1.0)
-    assert quality.fit(x, y).margins(x) == pytest.approx(plain_trees(x, y, 4), abs=1e-9)
+    x = draw.normal(size=(600, 3))  # so many that no two splits are equally good
+    y = ((x[:, 0] + 0.5 * x[:, 1] ** 2 + 0.3 * draw.normal(size=600)) > 0.4).astype(float)
+    monkeypatch.setattr(quality, "TREES", 3)
+    monkeypatch.setattr(quality, "BINS", 6)
+    monkeypatch.setattr(quality, "LEAST_WEIGHT", 4.0)
+    assert quality.fit(x, y).margins(x) == pytest.approx(plain_trees(x, y, 3), abs=1e-9)
 
 
 def plain_likelihood(state, rows, grades, words):
@@ -244,15 +244,15 @@ def naive_bits(train, text, depth):
     return total
 
 
-@pytest.mark.parametrize("depth", [2, 3])
-def test_scores_equal_the_definition(spark, tmp_path, depth):
+@pytest.mark.parametrize("depth, hot_part", [(2, 256), (3, 256), (3, 10**9), (4, 40)])
+def test_scores_equal_the_definition(spark, tmp_path, depth, hot_part):
     texts = ["the cat sat on the mat", "The dog sat", "a cat and a dog", "", None, "zebra über 中", "the the the cat"] * 2
     rows = list(enumerate(texts))
     spark.createDataFrame(rows, "doc_id long, text string").coalesce(2).write.parquet(str(tmp_path / "d"))
     docs = spark.read.parquet(str(tmp_path / "d"))
     as_bytes = {d: b" ".join(words_of((t or "").encode())) + b"\n" for d, t in rows}
     train = [as_bytes[d] for d, _ in rows if not is_held_out(d)]
-    got = {r.doc_id: r for r in score(docs, depth=depth, block_bytes=30, shares=3).collect()}
+    got = {r.doc_id: r for r in score(docs, depth=depth, block_bytes=30, shares=3, hot_part=hot_part).collect()}
     assert len(got) == len(rows) and {r.held_out for r in got.values()} == {False, True}
     for d in (0, 4, 5, 8, 13):
         assert got[d].score == pytest.approx(naive_bits(train, as_bytes[d], depth), rel=1e-6)
