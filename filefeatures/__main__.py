@@ -22,8 +22,9 @@ from filefeatures.plans.features import (
 from filefeatures.plans.importer import run_import
 from filefeatures.session import build_session, scratch_scope, stage
 from filefeatures.sinks.csv import write_csv
-from filefeatures.sources.csv import read_by_header
+from filefeatures.sources.csv import named_root, read_by_header
 from filefeatures.streaming.arrivals import append_files, watch_files
+from filefeatures.streaming.ledger import Ledger
 from filefeatures.streaming.rows import FILES_PER_BATCH, append_csv, read_csv_stream
 
 
@@ -40,11 +41,13 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     watch.add_argument("--in-pattern", default=IN_PATTERN, help="paths below FOLDER that are taken, matched as a whole")
     watch.add_argument("--out-pattern", default=OUT_PATTERN, help="paths below FOLDER that are answers")
     watch.add_argument("--max-files", type=int, default=FILES_PER_BATCH, help="files per micro-batch")
-    for job in (labels, train, features, watch):
+    take = jobs.add_parser("take", help="one pass: features of the files that are new, or were replaced under their name")
+    take.add_argument("--ledger", required=True, help="folder that says which files were taken")
+    for job in (labels, train, features, watch, take):
         job.add_argument("folder")
         job.add_argument("out")
         job.add_argument("--one-line-rows", action="store_true", help="no value holds a line break")
-    for job in (features, watch):
+    for job in (features, watch, take):
         job.add_argument("--id-column", help="name of the feed's identifier column")
         job.add_argument("--labels", help="stored categories; without them they are ranked from the input")
         job.add_argument("--per-file", action="store_true", help="rank the categories of each file alone")
@@ -110,6 +113,9 @@ def main(argv: list[str] | None = None) -> None:
             out_pattern=args.out_pattern,
             max_files=args.max_files,
         ).awaitTermination()
+    elif args.job == "take":
+        root = named_root(spark, args.folder)
+        Ledger(spark, args.ledger).take(args.folder, features_handler(spark, args.out, root, **feature_options(spark, args)))
     elif args.job == "stream":
         how = {"header": not args.no_header, "max_files": args.max_files}
         if args.quarantine:

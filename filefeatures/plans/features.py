@@ -78,9 +78,9 @@ def run_features(
     """Read files, write the outputs `preprocessed`, `model-input`, `bad-rows` and, with a scorer, `predictions` below `out`.
 
     All outputs become visible together (see `sinks.runs`; `read_output` gives their rows), so a run that fails on its way
-    changes nothing. What an earlier run wrote for the same files is replaced. The CSV text is parsed once: features are staged as parquet in the shared scratch folder, and the
-    label fit and all the writes read that. Labels come from a stored model, from each file alone
-    (`per_file`), or from all the files of this run. Gives the encoded features.
+    changes nothing. What an earlier run wrote for the same files is replaced. The CSV text is parsed once: features are
+    staged as parquet in the shared scratch folder, and the label fit and all the writes read that. Labels come from a
+    stored model, from each file alone (`per_file`), or from all the files of this run. Gives the encoded features.
 
     Rows with more or fewer values than their header go to `bad-rows` with their file and raw text, and nowhere else.
     A file is its path below `root`, without one below the folder that `paths` names (see `named_root`): per-file labels

@@ -76,6 +76,12 @@ def qualified(spark: SparkSession, path: str) -> str:
     return store.makeQualified(folder).toString()
 
 
+def is_file(spark: SparkSession, path: str) -> bool:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    store = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(store.exists(place) and not store.getFileStatus(place).isDirectory())
+
+
 def stage(df: DataFrame, purpose: str = "staged") -> DataFrame:
     """Write the rows once to the shared scratch folder and go on from there.
 

@@ -56,6 +56,7 @@ class Run:
         """Remove what the run has written, after a failure."""
         for output in self.outputs:
             delete_folder(self.spark, self.path(output))
+        delete_folder(self.spark, f"{self.out}/{SOURCES}/{self.id}")
 
 
 def counting_commits(spark: SparkSession, out: str) -> list[dict]:
@@ -86,7 +87,8 @@ def read_output(spark: SparkSession, out: str, output: str, *, schema: T.StructT
     """The rows of an output that count, with their source.
 
     Without a schema the files have headers, which may differ from run to run: columns are aligned by name and all text.
-    With one, the files have no header and its columns. An output without a commit has no rows.
+    With one, the files have no header and its columns. What was written without a commit does not count; an output that
+    no run has written is an error.
     """
     folder = f"{out.rstrip('/')}/{output}"
     if schema is None:

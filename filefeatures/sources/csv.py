@@ -16,11 +16,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from filefeatures.contracts import CSV_OPTIONS, SOURCE_FILE
-from filefeatures.functions.paths import decoded, plain_path, source_file_name, without_scheme
+from filefeatures.functions.paths import plain_path, source_file_name, without_scheme
 from filefeatures.operators.select import quoted
 from filefeatures.operators.types import typed
 from filefeatures.problems import FileProblem, NoHeader
-from filefeatures.session import qualified, stage
+from filefeatures.session import is_file, qualified, stage
 
 CORRUPT = "_corrupt_record"
 
@@ -191,10 +191,9 @@ def named_root(spark: SparkSession, paths: str | Sequence[str]) -> str:
     and of several the one that they share."""
 
     def root(path: str) -> str:
-        plain = re.split(r"/[^/]*(?<!\\)[*?\[{]", path)[0]
-        if plain == path and re.search(r"\.[A-Za-z0-9]+$", path.rsplit("/", 1)[-1]):
-            plain = path.rsplit("/", 1)[0] if "/" in path else "."
-        return without_scheme(qualified(spark, re.sub(r"\\(.)", r"\1", plain) or "/"))
+        plain = re.sub(r"\\(.)", r"\1", re.split(r"/[^/]*(?<!\\)[*?\[{]", path)[0]) or "/"
+        folder = without_scheme(qualified(spark, plain))
+        return folder.rsplit("/", 1)[0] if is_file(spark, plain) else folder
 
     return root(paths) if isinstance(paths, str) else common_folder([root(path) for path in paths])
 

@@ -60,26 +60,28 @@ class Ledger:
         return self.entries().where("news").drop("news")
 
     def arrivals(self, folder: str, glob: str = "*.csv") -> DataFrame:
-        """What a pass would add: new versions (`news`), and files that were only delivered again.
+        """What a pass would add: new versions (`news`), and files that were only delivered again; with the `uri` to read.
 
         Only files that look changed are read. Empty files are not listed.
         """
-        listed = list_files(self.spark, folder, glob).select(plain_path(F.col("path")).alias("path"), "bytes", "modified")
+        listed = list_files(self.spark, folder, glob)
+        listed = listed.select(plain_path(F.col("path")).alias("path"), F.col("path").alias("uri"), "bytes", "modified")
         known = merge_entries(self.entries())
-        old = known.select("path", F.col("version").alias("old_version"), F.col("bytes").alias("old_bytes"), F.col("modified").alias("old_modified"), F.col("digest").alias("old_digest"))
+        old = known.select("path", *[F.col(name).alias(f"old_{name}") for name in ("version", "bytes", "modified", "digest")])
         both = listed.join(old, "path", "left")
         changed = stage(both.where("old_version IS NULL OR bytes <> old_bytes OR modified <> old_modified"), "changed-files")
-        paths = [row.path for row in changed.select("path").toLocalIterator()]
+        paths = [row.uri for row in changed.select("uri").toLocalIterator()]
         found = changed.join(content_digests(self.spark, paths), "path", "left")
         digest = F.coalesce("digest", F.lit(""))
         news = F.col("old_digest").isNull() | (digest != F.col("old_digest"))
         version = F.coalesce("old_version", F.lit(0)) + F.when(news, 1).otherwise(0)
-        return found.select("path", version.alias("version"), "bytes", "modified", F.coalesce("lines", F.lit(0)).alias("lines"), digest.alias("digest"), news.alias("news"))
+        lines = F.coalesce("lines", F.lit(0)).alias("lines")
+        return found.select("path", version.alias("version"), "bytes", "modified", lines, digest.alias("digest"), news.alias("news"), "uri")
 
     def add(self, arrivals: DataFrame) -> int:
         """Make a pass part of the ledger; gives its number."""
         name = f"pass={uuid.uuid4().hex}"
-        arrivals.write.parquet(f"{self.folder}/{name}")
+        arrivals.drop("uri").write.parquet(f"{self.folder}/{name}")
         return publish(self.spark, f"{self.folder}/{COMMITS}", {"table": name})
 
     def take(self, folder: str, handler: Callable[[Sequence[str], int], None], glob: str = "*.csv") -> int:
@@ -90,7 +92,7 @@ class Ledger:
         """
         with scratch_scope(self.spark):
             found = stage(self.arrivals(folder, glob), "arrivals")
-            paths = sorted(row.path for row in found.where("news").select("path").collect())
+            paths = sorted(row.uri for row in found.where("news").select("uri").collect())
             if paths:
                 handler(paths, 1 + len(commits(self.spark, f"{self.folder}/{COMMITS}")))
             if paths or not found.isEmpty():

@@ -661,6 +661,12 @@ def test_command_line(spark, tmp_path):
     assert len(got) == 22 and got["a0"].CategoryVector == "3|1|1.0" and got["b"].CategoryVector == "3|0|1.0"
     assert float(got["b"].prediction) == pytest.approx(205.0) and float(got["a4"].prediction) == pytest.approx(8.0)
 
+    main(["take", folder, str(tmp_path / "taken"), "--ledger", str(tmp_path / "ledger"), "--id-column", "Listing", "--labels", labels])
+    put(tmp_path / "in", "b.csv", "sales,Listing,Category,Employee Count", ",b2,y,100")
+    main(["take", folder, str(tmp_path / "taken"), "--ledger", str(tmp_path / "ledger"), "--id-column", "Listing", "--labels", labels])
+    taken = read_output(spark, str(tmp_path / "taken"), "preprocessed").collect()
+    assert {r.Listing for r in taken} == {f"a{i}" for i in range(20)} | {"b2"}
+
     with pytest.raises(FileProblem, match="lacks the columns"):
         main(["import", folder, str(tmp_path / "imported")])
     args = parse(["watch", "hdfs://host/data", "out", "--checkpoint", "c", "--max-files", "5"])
