@@ -241,6 +241,7 @@ def test_two_runs_into_one_output(spark, tmp_path):
     # The root is the folder that is named, not what its files happen to share.
     assert named_root(spark, f"{tmp_path}/in/*") == named_root(spark, f"{tmp_path}/in") == f"{tmp_path}/in"
     assert named_root(spark, [f"{tmp_path}/in/p1/a.csv", f"{tmp_path}/in/p2/*.csv"]) == f"{tmp_path}/in"
+    put(tmp_path / "in", "a[1].csv", "x")
     assert named_root(spark, f"{tmp_path}/in/a\\[1\\].csv") == f"{tmp_path}/in"
 
 
