@@ -127,7 +127,7 @@ def test_a_key_with_many_members_gives_fewer_links_than_members(spark):
     draw = np.random.default_rng(1)
     made = sorted({int((1 << a) | (1 << b)) for a in range(40) for b in range(a)} | {1 << a for a in range(60)})
     nodes = spark.createDataFrame([(int(p),) for p in draw.permutation(made)], "print long")
-    assert links(nodes, block=64).count() < 64 * 3 * len(made)
+    assert links(nodes).count() < 64 * len(made)
     assert components(links(nodes, block=64)).select("component").distinct().count() == 1
 
 
@@ -269,7 +269,7 @@ def test_whitening_query_equals_plain_version(spark):
     check_whitening(rows, registered.queries()["op13_whiten"](spark, SF_DIR).collect())
 
 
-@pytest.mark.parametrize("size", [1.0, 3e4])
+@pytest.mark.parametrize("size", [1.0, 100.0])
 def test_whitening_of_odd_vectors(spark, size):
     draw = np.random.default_rng(5)
     rows = [(i, (size * draw.normal(size=10) * np.arange(1, 11)).astype(np.float32).tolist()) for i in range(200)]
