@@ -70,6 +70,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 TITLE_WORDS = ["the", "der", "que", "and", "des", "und", "los"]
 ONCE = {"availableNow": True}
+LISTINGS_PER_PART = 20_000
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -648,10 +649,17 @@ def q_features_job(spark, sf_dir):
     return score_linear(encoded, {"list_items": 0.25, "title_has_the": 1.5, "title_has_der": -2.0}, 0.5)
 
 
+def _spread(table: DataFrame) -> DataFrame:
+    """The rows in parts of some thousands, however the table is stored: what is made of them grows far beyond the table,
+    and is written as files of moderate size by all cores."""
+    parts = 1 + table.count() // LISTINGS_PER_PART
+    return table.repartition(parts) if parts > 1 else table
+
+
 def _listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers as a listing feed, with the text columns the features are read from."""
     key, nation = F.col("c_custkey"), F.col("c_nationkey")
-    return _table(spark, sf_dir, "customer").select(
+    return _spread(_table(spark, sf_dir, "customer")).select(
         F.col("c_name").alias("Listing ID"),
         F.concat(F.lit('1 "Q" St,\nflat '), nation.cast("string")).alias("Address"),
         F.format_string("%05d", nation).alias("Zip Code"),
