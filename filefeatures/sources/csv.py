@@ -4,8 +4,7 @@ from __future__ import annotations
 
 import csv
 import re
-import uuid
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterable, Sequence
 from functools import reduce
 from typing import NamedTuple
@@ -23,6 +22,7 @@ from filefeatures.problems import FileProblem, NoHeader
 from filefeatures.session import is_file, qualified, stage
 
 CORRUPT = "_corrupt_record"
+FILES_BROADCAST = 100_000  # layouts of so many files go to the tasks; of more, rows are shuffled to meet them
 
 
 def _reader(spark: SparkSession, *, multiline: bool, glob: str | None = None, **options: object):
@@ -218,51 +218,51 @@ class Layout(NamedTuple):
     names: list[str]
 
 
+class Scan(NamedTuple):
+    """What one scan reads: files whose rows have `width` values, across lines or not."""
+
+    paths: str | Sequence[str]
+    glob: str | None
+    spanning: bool
+    width: int
+
+
 def _by_position(
-    spark: SparkSession,
-    scans: Sequence[tuple[str | Sequence[str], str | None, bool]],
-    files: DataFrame,
-    layouts: Sequence[Layout],
-    root: str,
-    marked: bool,
+    spark: SparkSession, scans: Sequence[Scan], files: DataFrame, layouts: Sequence[Layout], root: str, marked: bool
 ) -> DataFrame:
     """Files of any number of layouts: parsed once into an array of values, which each file's layout puts into columns.
 
-    `files` has (path, header). The parser gives a value that a row does not have the text `absent`, so a row's length is
-    known. With two places more than the widest layout needs, hardly a row is as long as the parser expects, and it gives
-    the raw text of all others, which `marked` keeps where the length is not that of the file's header. A row that fills
-    all places has no raw text: its values are written as CSV anew.
+    `files` has (path, header). `marked` needs scans of files of one width each: then the parser itself tells rows of
+    another length, and gives the raw text of these alone, which takes it much longer than a row that fits.
     """
-    absent, wide = f"absent-{uuid.uuid4()}", max(len(layout.names) for layout in layouts) + 2 * marked
-    default = {"EXISTS_DEFAULT": f"'{absent}'", "CURRENT_DEFAULT": f"'{absent}'"}
-    places = [T.StructField(f"_{i}", T.StringType(), True, default) for i in range(wide)]
-    schema = marked_schema(T.StructType(places)) if marked else T.StructType(places)
     columns = _all_names(layouts)
     numbered = spark.createDataFrame(
-        [(n, layout.header, len(layout.names), [_position(layout.names, c) for c in columns]) for n, layout in enumerate(layouts)],
-        "layout int, header string, width int, place array<int>",
+        [(n, layout.header, [_position(layout.names, c) for c in columns]) for n, layout in enumerate(layouts)],
+        "layout int, header string, place array<int>",
     )
     of_file = files.join(numbered.select("header", "layout"), "header").select("path", "layout")
-    rows = [
-        _reader(spark, multiline=spanning, glob=glob, header=True, **(CHECK_OPTIONS if marked else {}))
-        .schema(schema)
-        .csv(paths)
-        .select(
-            F.col("_metadata.file_path").alias("path"),
-            source_file_name(root).alias(SOURCE_FILE),
-            F.array(*[place.name for place in places]).alias("values"),
-            *([F.coalesce(CORRUPT, F.to_csv(F.struct(*[place.name for place in places]), CSV_OPTIONS)).alias(CORRUPT)] if marked else []),
+    of_file = F.broadcast(of_file) if files.count() <= FILES_BROADCAST else of_file
+
+    def values(scan: Scan) -> DataFrame:
+        schema = T.StructType([T.StructField(f"_{i}", T.StringType()) for i in range(scan.width)])
+        reader = _reader(spark, multiline=scan.spanning, glob=scan.glob, header=True, **(CHECK_OPTIONS if marked else {}))
+        return (
+            reader.schema(marked_schema(schema) if marked else schema)
+            .csv(scan.paths)
+            .select(
+                F.col("_metadata.file_path").alias("path"),
+                source_file_name(root).alias(SOURCE_FILE),
+                F.array(*schema.names).alias("values"),
+                # Spark refuses a scan of the raw text alone, so that goes with the values.
+                *([F.when(F.coalesce(*schema.names, CORRUPT).isNotNull(), F.col(CORRUPT)).alias(CORRUPT)] if marked else []),
+            )
         )
-        for paths, glob, spanning in scans
-    ]
-    rows = reduce(DataFrame.unionByName, rows).join(of_file, "path")
+
+    rows = reduce(DataFrame.unionByName, map(values, scans)).join(of_file, "path")
     # The layouts came from the driver, so they fit wherever they go.
-    rows = rows.join(F.broadcast(numbered.select("layout", "width", "place")), "layout")
-    values = [F.nullif(F.get("values", F.get("place", F.lit(i))), F.lit(absent)).alias(name) for i, name in enumerate(columns)]
-    first_absent = F.array_position("values", absent)
-    length = F.when(first_absent > 0, first_absent - 1).otherwise(wide)
-    raw = F.when(length != F.col("width"), F.col(CORRUPT)).alias(CORRUPT)
-    return rows.select(*values, *([raw] if marked else []), SOURCE_FILE)
+    rows = rows.join(F.broadcast(numbered.select("layout", "place")), "layout")
+    named = [F.get("values", F.get("place", F.lit(i))).alias(name) for i, name in enumerate(columns)]
+    return rows.select(*named, *([CORRUPT] if marked else []), SOURCE_FILE)
 
 
 def _position(names: Sequence[str], wanted: str) -> int:
@@ -305,11 +305,11 @@ def read_by_header(
 
     All columns are text; a column that a file lacks is NULL, unless it is `required`: then the file is an error. All
     files are parsed in one scan, whatever the number of headers, by position; a table of headers says which value belongs
-    to which column. With `multiline=None` each file is looked at: without a line break inside quotes it is read in
-    splits, otherwise by Spark's multi-line reader in one task, whatever its size, in a second scan, so the rows do not
-    depend on it. A file with a line break in a column name is read by itself. With `marked`, a row with more or fewer
+    to which column. With `marked` there is a scan for each number of columns that headers have. With `multiline=None` each
+    file is looked at: without a line break inside quotes it is read in splits, otherwise by Spark's multi-line reader in
+    one task, whatever its size, in a second scan, so the rows do not depend on it. A file with a line break in a column name is read by itself. With `marked`, a row with more or fewer
     values than its header has its raw text in a column of its own (see `split_checked`). The driver holds distinct
-    headers, and file paths only when both scans are needed; it holds no rows.
+    headers, and file paths only when there are several scans or few files; it holds no rows.
     """
     found = file_headers(spark, paths, glob, look_for_breaks=multiline is None)
     spans = F.lit(multiline) if multiline is not None else F.col("spans")
@@ -328,9 +328,6 @@ def read_by_header(
     for layout in layouts:
         _check_names(layout, example[layout.header], taken, required)
 
-    def members(condition: str) -> list[str]:
-        return sorted(glob_literal(unquote(row.path)) for row in files.where(condition).select("path").collect())
-
     groups = {}  # by header, which gives the columns their order
     ways = sorted({kind.spans for kind in shared})
     if len(ways) == 1 and len(layouts) == 1 and len(shared) == len(kinds):
@@ -347,9 +344,17 @@ def read_by_header(
             marked=marked,
         )
     elif layouts:
-        scans = [(paths, glob, ways[0])]
-        if len(ways) > 1 or len(shared) < len(kinds):
-            scans = [(members(f"alone IS NULL AND spans = {way}"), None, way) for way in ways]
+        width_of = {layout.header: len(layout.names) for layout in layouts}
+        widest = max(width_of.values())
+        width_of = width_of if marked else dict.fromkeys(width_of, widest)
+        shapes = sorted({(kind.spans, width_of[kind.header]) for kind in shared})
+        if len(shapes) == 1 and len(shared) == len(kinds):
+            scans = [Scan(paths, glob, *shapes[0])]
+        else:
+            members = defaultdict(list)
+            for row in files.where("alone IS NULL").select("path", "header", "spans").collect():
+                members[row.spans, width_of[row.header]].append(glob_literal(unquote(row.path)))
+            scans = [Scan(sorted(members[shape]), None, *shape) for shape in shapes]
         groups[layouts[0].header, ""] = _by_position(spark, scans, files.where("alone IS NULL"), layouts, root, marked)
     for kind in kinds:
         if kind.alone is not None:

@@ -84,6 +84,32 @@ def test_rows_of_wrong_length_in_files_of_several_layouts(spark, tmp_path, multi
     assert unmarked.count() == 12 and unmarked.where("A = 'x' AND B IS NULL AND C IS NULL").count() == 1
 
 
+@pytest.mark.parametrize("multiline", [None, True])
+def test_raw_text_of_rows_longer_than_any_header(spark, tmp_path, multiline):
+    put(tmp_path, "a.csv", "A,B", '"1","2","3","4"', '"1","2","3"', "5,6")
+    put(tmp_path, "b.csv", "B,A", '"7","8","9","0"')
+    put(tmp_path, "c.csv", "B", '"7",8', "9")
+    good, bad = split_checked(read_by_header(spark, str(tmp_path), multiline=multiline, marked=True))
+    assert {tuple(r) for r in good.collect()} == {("5", "6", "a.csv"), (None, "9", "c.csv")}
+    assert sorted(map(tuple, bad.collect())) == [
+        ("a.csv", '"1","2","3"'), ("a.csv", '"1","2","3","4"'), ("b.csv", '"7","8","9","0"'), ("c.csv", '"7",8'),
+    ]
+    # Spark works a column's default out again for every row that is too short, which took a millisecond a row.
+    plan = good._jdf.queryExecution().analyzed().toJSON()
+    assert "EXISTS_DEFAULT" not in plan and "absent-" not in plan
+
+
+def test_layouts_of_few_files_are_broadcast(spark, tmp_path, monkeypatch):
+    put(tmp_path, "a.csv", "A,B", "1,2")
+    put(tmp_path, "b.csv", "B,A", "4,3")
+    for limit, shuffles in ((2, False), (1, True)):
+        monkeypatch.setattr("filefeatures.sources.csv.FILES_BROADCAST", limit)
+        rows = read_by_header(spark, str(tmp_path)).select("A", "B")
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        assert (plan.count("strategy=broadcast") < 2) == shuffles
+        assert sorted(map(tuple, rows.collect())) == [("1", "2"), ("3", "4")]
+
+
 def test_files_of_several_layouts_that_span_lines(spark, tmp_path):
     put(tmp_path, "a.csv", "A,B", "1,2")
     put(tmp_path, "b.csv", "B,A", '"x', 'y",1')
