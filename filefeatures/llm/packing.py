@@ -15,8 +15,9 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import deque
+from collections import defaultdict, deque
 from collections.abc import Generator, Iterator
+from itertools import compress, count
 
 import numpy as np
 import pyarrow as pa
@@ -54,12 +55,9 @@ SCHEMA = T.StructType(
 IDS = T.StructField("ids", T.ArrayType(T.IntegerType()))
 
 
-class _Numbers(dict):
-    """Numbers for keys in the order in which they are first asked for."""
-
-    def __missing__(self, key) -> int:
-        number = self[key] = len(self)
-        return number
+def _numbers() -> defaultdict:
+    """Numbers from 0 on for keys in the order in which they are first asked for."""
+    return defaultdict(count().__next__)
 
 
 class _Ids:
@@ -109,8 +107,8 @@ class WordTokens:
         self._clear()
 
     def _clear(self) -> None:
-        self.index, self.words, self.sentence = _Numbers(), _Ids(), np.empty(0, bool)
-        self.part_index, self.parts = _Numbers(), _Ids()
+        self.index, self.words, self.sentence = _numbers(), _Ids(), np.empty(0, bool)
+        self.part_index, self.parts = _numbers(), _Ids()
 
     def start(self) -> None:
         """Between slices: make room if the table is full."""
@@ -129,24 +127,29 @@ class WordTokens:
         if self.added:
             alone = pc.match_substring_regex(distinct, self.added, ignore_case=True).to_numpy(zero_copy_only=False)
         distinct = distinct.to_pylist()
-        ways = np.where(alone, 2, np.where(letters, 0, 1))
+        ways, numbers = np.where(alone, 2, np.where(letters, 0, 1)), np.empty(len(distinct), np.int64)
         for way, encode in enumerate((self._ids_of_letters, self._ids_of, self._ids_alone)):
-            self._learn_parts([text for text, own in zip(distinct, ways, strict=True) if own == way], encode)
-        ends = ["" if not plain else word[len(word.rstrip(".,")) :] for word, plain in zip(words.to_pylist(), simple.to_pylist(), strict=True)]
-        self._learn_parts([*dict.fromkeys(ends)], self._ids_of)
-        pairs = np.empty((len(words), 2), np.int64)
-        pairs[:, 0] = np.array([self.part_index[text] for text in distinct], np.int64)[keys.indices.to_numpy()]
-        pairs[:, 1] = [self.part_index[text] for text in ends]
+            numbers[ways == way] = self._learn_parts(list(compress(distinct, ways == way)), encode)
+        # Most words have nothing after their letters.
+        longer = pc.and_(simple, pc.not_equal(pc.binary_length(words), pc.binary_length(cores)))
+        texts = words.filter(longer).to_pylist()
+        ends = [text[len(text.rstrip(".,")) :] for text in texts]
+        known = ["", *dict.fromkeys(ends)]
+        number_of = dict(zip(known, self._learn_parts(known, self._ids_of).tolist(), strict=True))
+        pairs = np.full((len(words), 2), number_of[""], np.int64)
+        pairs[:, 0] = numbers[keys.indices.to_numpy()]
+        pairs[longer.to_numpy(zero_copy_only=False), 1] = [number_of[text] for text in ends]
         ids, after = self.parts.of(pairs.ravel())
         self.words.add(ids, np.diff(after[1::2], prepend=0))
         self.sentence = np.concatenate([self.sentence, pc.match_substring_regex(words, "[.!?]$").to_numpy(zero_copy_only=False)])
 
-    def _learn_parts(self, texts: list[str], encode) -> None:
-        new = [text for text in texts if text not in self.part_index]
-        if new:
-            for text in new:
-                self.part_index[text]
-            self.parts.add(*encode(new))
+    def _learn_parts(self, texts: list[str], encode) -> np.ndarray:
+        """The numbers of these distinct texts; those that are new are encoded."""
+        known = len(self.part_index)
+        numbers = np.fromiter(map(self.part_index.__getitem__, texts), np.int64, len(texts))
+        if len(self.part_index) > known:
+            self.parts.add(*encode(list(compress(texts, numbers >= known))))
+        return numbers
 
     def _ids_of_letters(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids and counts for words of letters alone: each ends with a token that ends a word."""

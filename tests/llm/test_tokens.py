@@ -7,6 +7,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import regex
 import tiktoken
@@ -14,7 +15,7 @@ from edge import ROWS
 from tokenizers import Tokenizer
 
 from filefeatures.llm.bpe import Decoder, Encoder, encode_documents, read_ranks
-from filefeatures.llm.packing import HARD_SPACING, PER_WINDOW, SMALLEST_POWER, Packer, Plan, cuts_of, pack
+from filefeatures.llm.packing import HARD_SPACING, PER_WINDOW, SMALLEST_POWER, Packer, Plan, WordTokens, cuts_of, pack
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -177,3 +178,21 @@ def test_chunks_are_cut_where_the_pattern_cuts(encoder):
     pattern = regex.compile(public_tokenizers.PATTERN)
     text = "a  b\n\nc \n d's x　y \x1cz   "
     assert [m for chunk in encoder.chunks.findall(text) for m in pattern.findall(chunk)] == pattern.findall(text)
+
+
+def test_a_part_of_a_word_is_numbered_and_encoded_once():
+    tokens, seen = WordTokens(WORDS), []
+
+    def encode(texts):
+        seen.append(texts)
+        return tokens._ids_of(texts)
+
+    assert tokens._learn_parts(["b", "", "a."], encode).tolist() == [0, 1, 2]
+    assert tokens._learn_parts(["a.", "c", "b"], encode).tolist() == [2, 3, 0]
+    assert tokens._learn_parts(["c", ""], encode).tolist() == [3, 1]
+    assert seen == [["b", "", "a."], ["c"]]
+    words = ["Ab", "ab.", "AB.,", "x..", ".,", "Été,", "ab", "5.,", "a<|endoftext|>.", "İ.", "é."]
+    whole = tokens.tokenizer
+    for text in (" ".join(words[:5]), " ".join(words)):
+        [(ids, _)] = tokens.encode(pa.array([text]))
+        assert ids.tolist() == [i for word in text.split(" ") for i in whole.encode(word, add_special_tokens=False).ids]
