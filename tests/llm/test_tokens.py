@@ -196,3 +196,35 @@ def test_a_part_of_a_word_is_numbered_and_encoded_once():
     for text in (" ".join(words[:5]), " ".join(words)):
         [(ids, _)] = tokens.encode(pa.array([text]))
         assert ids.tolist() == [i for word in text.split(" ") for i in whole.encode(word, add_special_tokens=False).ids]
+
+
+def test_words_share_their_letters_whatever_punctuation_follows():
+    tokens, marks = WordTokens(WORDS), "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'"
+    words = [w + end for w in ("ab", "AB", "Été", "5") for end in ("", "%%%", "!!", ".,%", marks, *marks)]
+    words += ["", "'", "%%%", "ab's.", "ab'", "a<|endoftext|>%%%", "é!!", "≠", "ab≠"]
+    texts = [" ".join(words), "", "ab%%% AB!! %%%", " ab "]
+    want = [[i for word in text.split(" ") for i in tokens.tokenizer.encode(word, add_special_tokens=False).ids] for text in texts]
+    assert [ids.tolist() for ids, _ in tokens.encode(pa.array(texts))] == want
+    fresh = WordTokens(WORDS)
+    [(ids, sentences)] = fresh.encode(pa.array(["ab%%% AB!! ab?!? Ab"]))
+    assert set(fresh.part_index) == {"ab", "", "%%%", "!!", "?!?"}
+    assert ids.tolist() == fresh.tokenizer.encode("ab%%% AB!! ab?!? Ab", add_special_tokens=False).ids
+    assert sentences.tolist() == [len(fresh.tokenizer.encode(t, add_special_tokens=False).ids) for t in ("ab%%% AB!!", "ab%%% AB!! ab?!?")]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_documents_packed_together_or_one_by_one_give_the_same(seed):
+    draw = np.random.default_rng(seed)
+    lengths = draw.choice([1, 2, 63, 64, 65, 700, 5_000, 300_000], 60, p=[0.2, 0.1, 0.1, 0.1, 0.1, 0.2, 0.18, 0.02])
+    marks = [np.sort(draw.integers(0, n, n // draw.integers(3, 200))) for n in lengths]
+    ids, ends = np.arange(lengths.sum(), dtype=np.uint32), np.cumsum(lengths)
+    alone, together = Packer(256, 0), Packer(256, 0)
+    one_by_one, at_once = [], []
+    for doc, (end, n) in enumerate(zip(ends, lengths, strict=True)):
+        one_by_one += alone.add(doc, ids[end - n : end], marks[doc])
+    for part in (slice(0, 25), slice(25, 26), slice(26, 60)):
+        first = ends[part.start] - lengths[part.start]
+        sentences = np.concatenate([marks[doc] + ends[doc] - lengths[doc] for doc in range(60)[part]]) - first
+        at_once += together.add_all(list(range(60)[part]), ids[first : ends[part.stop - 1]], ends[part] - first, sentences)
+    pieces = [[row[:8] for row in (*rows, *packer.finish())] for rows, packer in ((one_by_one, alone), (at_once, together))]
+    assert pieces[0] == pieces[1] and sum(row[2] for row in pieces[0]) == lengths.sum()
